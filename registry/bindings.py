@@ -55,7 +55,7 @@ SELECT CAST(doc_id AS STRING) AS offre_id, split_part(text, chr(10), 1) AS titre
   CASE WHEN doc_id % 5 < 2 THEN CAST(20000 + n_chars AS INT) END AS salaire_min,
   CASE WHEN doc_id % 5 = 1 THEN CAST(30000 + n_chars AS INT) END AS salaire_max,
   CASE WHEN doc_id % 5 = 2 THEN CAST(2000 + n_chars AS DOUBLE) END AS salaire_predit_eur,
-  CAST(NULL AS STRING) AS rome_code, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END AS rome_libelle,
+  CAST(NULL AS STRING) AS salaire_confiance, CAST(NULL AS STRING) AS rome_code, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END AS rome_libelle,
   concat('https://postings.example/', CAST(doc_id AS STRING)) AS url_offre,
   CAST('2024-01-01' AS TIMESTAMP) AS date_creation, source
 FROM {documents}
