@@ -53,43 +53,47 @@ def text_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind(spark, sf_dir, TEXT_POSTINGS)
 
 
-def hash_star(spark: SparkSession, sf_dir: str) -> star.Star:
-    return star.build_star(star.stage(postings(spark, sf_dir)), with_predictions=True)
+def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.stage(postings(spark, sf_dir))
+
+
+def fact_table(rows: DataFrame) -> DataFrame:
+    return star.fact_by_hash(rows, with_predictions=True)
 
 
 # --- views over the star -------------------------------------------------------------------------
 
 @query
 def salary_market(spark, sf_dir):
-    s = hash_star(spark, sf_dir)
-    return marts.salary_market(s.fact, s.dim_place)
+    rows = staged(spark, sf_dir)
+    return marts.salary_market(fact_table(rows), star.dim_place(rows))
 
 
 @query
 def kpi_global(spark, sf_dir):
-    s = hash_star(spark, sf_dir)
-    return marts.kpi_global(s.fact, s.dim_place)
+    rows = staged(spark, sf_dir)
+    return marts.kpi_global(fact_table(rows), star.dim_place(rows))
 
 
 @query
 def kpi_source(spark, sf_dir):
-    return marts.kpi_source(hash_star(spark, sf_dir).fact)
+    return marts.kpi_source(fact_table(staged(spark, sf_dir)))
 
 
 @query
 def kpi_company(spark, sf_dir):
-    s = hash_star(spark, sf_dir)
-    return marts.kpi_company(s.fact, s.dim_company)
+    rows = staged(spark, sf_dir)
+    return marts.kpi_company(fact_table(rows), star.dim_company(rows))
 
 
 @query
 def weekly_trend(spark, sf_dir):
-    return marts.weekly_trend(hash_star(spark, sf_dir).fact, F.to_date(F.lit(AS_OF)))
+    return marts.weekly_trend(fact_table(staged(spark, sf_dir)), F.to_date(F.lit(AS_OF)))
 
 
 @query
 def data_quality(spark, sf_dir):
-    return marts.data_quality(hash_star(spark, sf_dir).fact)
+    return marts.data_quality(fact_table(staged(spark, sf_dir)))
 
 
 @query
@@ -99,17 +103,17 @@ def silver_quality(spark, sf_dir):
 
 @query
 def flat_postings(spark, sf_dir):
-    return marts.flat_postings(hash_star(spark, sf_dir))
+    return marts.flat_postings(star.build_star(staged(spark, sf_dir), with_predictions=True))
 
 
 @query
 def salary_fallback(spark, sf_dir):
-    return marts.salary_fallback(hash_star(spark, sf_dir).fact)
+    return marts.salary_fallback(fact_table(staged(spark, sf_dir)))
 
 
 @query
 def market_stats(spark, sf_dir):
-    return marts.market_stats(hash_star(spark, sf_dir).fact)
+    return marts.market_stats(fact_table(staged(spark, sf_dir)))
 
 
 @query
@@ -119,7 +123,7 @@ def source_distribution(spark, sf_dir):
 
 @query
 def table_counts(spark, sf_dir):
-    s = hash_star(spark, sf_dir)
+    s = star.build_star(staged(spark, sf_dir), with_predictions=True)
     return row_counts({"fact_offres": s.fact, "dim_date": s.dim_date, "dim_entreprise": s.dim_company,
                        "dim_lieu": s.dim_place, "vw_entreprises_kpi": marts.kpi_company(s.fact, s.dim_company)})
 
@@ -177,7 +181,7 @@ def _old_and_new(spark, sf_dir):
 
 @query
 def fact_incremental(spark, sf_dir):
-    fact = hash_star(spark, sf_dir).fact.select("offre_id", "source", "titre", "salaire_min", "date_creation")
+    fact = fact_table(staged(spark, sf_dir)).select("offre_id", "source", "titre", "salaire_min", "date_creation")
     built = fact.filter(F.col("date_creation") < F.lit(TARGET_UNTIL).cast("date"))
     return new_rows(built, fact)
 
@@ -382,7 +386,7 @@ def skill_bridge(spark, sf_dir):
 
 @query
 def skill_top(spark, sf_dir):
-    fact = _text_star(spark, sf_dir).fact
+    fact = fact_table(star.stage(text_postings(spark, sf_dir)))
     return skills.skill_top(skills.skill_bridge(fact, _DICTIONARY), skills.skill_table(spark, _DICTIONARY), fact)
 
 

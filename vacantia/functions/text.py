@@ -14,9 +14,14 @@ def clean_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
+# Every character that counts as white space.
+WHITE_SPACE = ("\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+               "\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only spaces."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def normalise_title(c: Column) -> Column:

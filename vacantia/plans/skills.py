@@ -77,35 +77,22 @@ def _whole_word(lowered: Column, name: str) -> Column:
     return lowered.rlike(rf"(?U)(?<!\w){quoted}(?!\w)")
 
 
-def _hits(texts: Sequence[Column], skills: Sequence[Skill], boundary: bool) -> Column:
-    """Ids of the skills found in any of the lower-cased texts."""
-    def found(skill: Skill) -> Column:
-        tests = [_whole_word(t, skill.nom) if boundary else F.contains(t, F.lit(skill.nom.lower())) for t in texts]
-        test = F.coalesce(tests[0], F.lit(False))
-        for other in tests[1:]:
-            test = test | F.coalesce(other, F.lit(False))
-        return F.when(test, F.lit(skill.competence_id))
-
-    return F.array_compact(F.array(*[found(s) for s in skills]))
-
-
 def skill_matches(postings: DataFrame, skills: Sequence[Skill], keep: Sequence[str] = ("offre_id",),
                   per_field: bool = True, boundary: bool = False) -> DataFrame:
     """One row per posting and skill found, with the columns to keep.
 
-    The dictionary is part of the expression, so postings are read once and not joined. With ``per_field``
-    title and description are searched separately, otherwise as one text (a name may then span both).
-    ``boundary`` asks for whole words; the default is plain containment, which finds 'r' in 'spark'.
+    The dictionary is part of the expression, so postings are read once and not joined. Title and
+    description are searched as one text; with ``per_field`` a line break, which no name holds, keeps a
+    match from spanning both. ``boundary`` asks for whole words; the default is plain containment, which
+    finds 'r' in 'spark'.
     """
-    if per_field:
-        texts = [F.lower("titre").alias("_t0"), F.lower("description").alias("_t1")]
-    else:
-        blank = F.lit("")
-        texts = [F.lower(F.concat(F.coalesce("titre", blank), F.lit(" "), F.coalesce("description", blank))).alias("_t0")]
-    lowered = postings.select(*keep, *texts)
-    names = [f"_t{i}" for i in range(len(texts))]
-    hits = _hits([F.col(n) for n in names], skills, boundary)
-    return lowered.select(*keep, F.explode(hits).alias("competence_id"))
+    blank = F.lit("")
+    joined = F.concat(F.coalesce("titre", blank), F.lit("\n" if per_field else " "), F.coalesce("description", blank))
+    lowered = postings.select(*keep, F.lower(joined).alias("_text"))
+    text = F.col("_text")
+    hits = [F.when(_whole_word(text, s.nom) if boundary else F.contains(text, F.lit(s.nom.lower())),
+                   F.lit(s.competence_id)) for s in skills]
+    return lowered.select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("competence_id"))
 
 
 def skill_bridge(postings: DataFrame, skills: Sequence[Skill], unique_ids: bool = False,

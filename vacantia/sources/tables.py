@@ -30,6 +30,16 @@ def try_read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def spread_few_files(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when a table comes in fewer files than there are cores.
+
+    For costly text work on input that cannot be split (few files of one row group). A table of many files
+    is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def align(df: DataFrame, schema: T.StructType = POSTING_SCHEMA) -> DataFrame:
     """The columns of a schema, in order and type; absent ones are NULL."""
     return df.select(*[
