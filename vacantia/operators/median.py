@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET_WIDTH = 1000.0
+NULL_RANGE = -(1 << 62)
 
 
 def aggregate_with_median(df: DataFrame, keys: Sequence[str], value: str, median_name: str,
@@ -24,40 +25,41 @@ def aggregate_with_median(df: DataFrame, keys: Sequence[str], value: str, median
     compared inside a struct, where NULL equals NULL.
     """
     sums = dict(sums or {})
+    carried = [f"_s_{n}" for n in sums]
     group = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     weight = F.lit(1) if weight is None else weight
+    # NULL values sit in a range of their own below all others, which holds no ranks.
+    value_range = F.coalesce(F.floor(F.col(value) / width), F.lit(NULL_RANGE))
     counted = (
-        df.select(group.alias("_g"), F.col(value).alias("_v"), F.floor(F.col(value) / width).alias("_range"),
+        df.select(group.alias("_g"), F.col(value).alias("_v"), value_range.alias("_range"),
                   weight.cast("bigint").alias("_w"), *[c.alias(f"_s_{n}") for n, c in sums.items()])
         .groupBy("_g", "_range", "_v")
-        .agg(F.sum("_w").alias("_c"), *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums])
+        .agg(F.sum("_w").alias("_c"), *[F.sum(c).alias(c) for c in carried])
     )
     ranges = counted.groupBy("_g", "_range").agg(
-        F.sum(F.when(F.col("_range").isNotNull(), F.col("_c"))).alias("_n"),
-        *[F.sum(f"_s_{n}").alias(f"_s_{n}") for n in sums])
+        F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")).otherwise(0)).alias("_n"),
+        *[F.sum(c).alias(c) for c in carried])
 
     whole = Window.partitionBy("_g")
-    running = whole.orderBy(F.col("_range").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        ranges.withColumn("_upto", F.sum("_n").over(running))
-        .withColumn("_all", F.sum("_n").over(whole))
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .withColumn("_low", F.floor((F.col("_all") - 1) / 2))
-        .withColumn("_high", F.floor(F.col("_all") / 2))
+    running = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    middle = (
+        ranges.select("_g", "_range", "_n", F.sum("_n").over(running).alias("_upto"), F.sum("_n").over(whole).alias("_all"),
+                      *[F.sum(c).over(whole).alias(c) for c in carried])
+        .select("_g", "_range", "_upto", (F.col("_upto") - F.col("_n")).alias("_before"),
+                F.floor((F.col("_all") - 1) / 2).alias("_low"), F.floor(F.col("_all") / 2).alias("_high"), *carried)
+        # One or two ranges per group hold the middle ranks; a group without values keeps its NULL range.
+        .filter("_before <= _high AND _upto > _low").drop("_upto")
     )
-    middle = placed.filter("_before <= _high AND _upto > _low").select("_g", "_range", "_before", "_low", "_high")
-
     inside = Window.partitionBy("_g", "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     near = (
         counted.select("_g", "_range", "_v", "_c").join(middle, ["_g", "_range"])
-        .withColumn("_to", F.sum("_c").over(inside) + F.col("_before"))
-        .withColumn("_from", F.col("_to") - F.col("_c"))
-        .select("_g", *[F.expr(f"CASE WHEN _from <= {r} AND _to > {r} THEN _v END").alias(f"v{r}")
-                        for r in ("_low", "_high")])
+        .select("_g", "_v", "_c", "_low", "_high", (F.sum("_c").over(inside) + F.col("_before")).alias("_to"), *carried)
     )
-    # Sums and middle values meet in one aggregate; a join would need both sides ordered.
-    both = placed.select("_g", *[f"_s_{n}" for n in sums]).unionByName(near, allowMissingColumns=True)
-    out = both.groupBy("_g").agg(
-        *[F.sum(f"_s_{n}").alias(n) for n in sums],
-        ((F.max("v_low") + F.max("v_high")) / 2.0).alias(median_name))
+
+    def at(rank: str) -> Column:
+        here = (F.col("_to") - F.col("_c") <= F.col(rank)) & (F.col("_to") > F.col(rank))
+        return F.max(F.when(here, F.col("_v")))
+
+    out = near.groupBy("_g").agg(*[F.first(c).alias(n) for c, n in zip(carried, sums)],
+                                 ((at("_low") + at("_high")) / 2.0).alias(median_name))
     return out.select(*[F.col("_g").getField(k).alias(k) for k in keys], *sums, median_name)
