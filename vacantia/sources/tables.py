@@ -81,6 +81,12 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/v{versions[-1]}") if versions else None
 
 
+def append_current(df: DataFrame, path: str) -> None:
+    """Add rows to the latest version of a table, or start its first version."""
+    versions = _versions(df.sparkSession, path)
+    df.write.mode("append").parquet(f"{path}/v{versions[-1] if versions else 1}")
+
+
 def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a new version of a table and return it.
 
