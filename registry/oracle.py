@@ -264,7 +264,7 @@ ORACLE: dict[str, str] = {
         list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(i.embedding AS DOUBLE[])) AS score
         FROM embeddings q, embeddings i),
       r AS (SELECT *, row_number() OVER (PARTITION BY candidat_id ORDER BY round(score, 9) DESC, offre_id) AS rang FROM s)
-      SELECT candidat_id, offre_id, CAST(rang AS INT) AS rang, round(score, 4) AS score FROM r WHERE rang <= 10""",
+      SELECT candidat_id, offre_id, CAST(rang AS INT) AS rang, round(score, 9) AS score FROM r WHERE rang <= 10""",
     "vector_refresh": f"""WITH {T} SELECT offre_id, sha256(concat(titre, ' ', description)) AS texte_hash FROM t
       WHERE pays IN ('es', 'de')""",
     "explain_match": f"""WITH {T}, {CV}, m AS (SELECT candidat_id, offre_id, turn + 1 AS rang,

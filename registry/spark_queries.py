@@ -452,7 +452,7 @@ def recommend_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     best = top_k_similar(vectors, vectors, 10, "vec_id", "vec_id", "embedding", "embedding")
     return best.select(F.col("query_id").alias("candidat_id"), F.col("item_id").alias("offre_id"), "rang",
-                       F.round("score", 4).alias("score"))
+                       "score")
 
 
 @query
