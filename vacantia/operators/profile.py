@@ -35,7 +35,8 @@ def field_profile(df: DataFrame, json_column: str) -> DataFrame:
 
     ``nb_lignes`` counts records that are objects; text that is not JSON is left out.
     """
-    parsed = df.select(F.try_parse_json(json_column).alias("v")).filter("schema_of_variant(v) LIKE 'OBJECT%'")
+    objects = df.filter(F.col(json_column).rlike(r"^\s*\{"))
+    parsed = objects.select(F.try_parse_json(json_column).alias("v")).filter("v IS NOT NULL")
     total = parsed.agg(F.count("*").alias("n")).scalar()
     spark = df.sparkSession
     fields = parsed.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))

@@ -11,100 +11,14 @@ from vacantia.functions.labels import contract_label
 from vacantia.functions.salary import salary_range
 from vacantia.functions.text import clean_text, key_md5
 from vacantia.operators.dedup import best_source_per_posting, first_per_key, latest_per_key
-from vacantia.schema import (DEFAULT_COUNTRY, LABOUR_API, LISTING_API, POSTING_SCHEMA, SCRAPED_SITE, TEXT_WIDTHS)
+from vacantia.schema import (DEFAULT_COUNTRY, LABOUR_API, LISTING_API, POSTING_COLUMNS, POSTING_SCHEMA, SCRAPED_SITE,
+                             TEXT_WIDTHS)
 from vacantia.sources.tables import align
 
 
-def keep_valid(df: DataFrame) -> DataFrame:
-    """Postings with an id and a title of more than three characters."""
-    return df.filter(F.col("offre_id").isNotNull() & (F.length("titre") > 3))
-
-
-def labour_postings(records: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
-    """Records of the labour-office API: nested fields and salary as text."""
-    low, high = salary_range(F.col("salaire.libelle"))
-    return align(records.select(
-        F.col("id").alias("offre_id"),
-        clean_text(F.col("intitule")).alias("titre"),
-        contract_label(F.col("typeContrat")).alias("type_contrat"),
-        F.col("experienceLibelle").alias("experience"),
-        "description",
-        F.col("lieuTravail.libelle").alias("ville"),
-        F.col("lieuTravail.codePostal").alias("code_postal"),
-        F.col("lieuTravail.latitude").alias("latitude"),
-        F.col("lieuTravail.longitude").alias("longitude"),
-        F.col("entreprise.nom").alias("entreprise"),
-        F.col("secteurActiviteLibelle").alias("secteur"),
-        F.col("trancheEffectifEtab").alias("taille_entreprise"),
-        F.col("salaire.libelle").alias("salaire_libelle"),
-        low.alias("salaire_min"),
-        high.alias("salaire_max"),
-        F.col("romeCode").alias("rome_code"),
-        F.col("romeLibelle").alias("rome_libelle"),
-        F.col("origineOffre.urlOrigine").alias("url_offre"),
-        safe_timestamp(F.col("dateCreation")).alias("date_creation"),
-        F.lit(LABOUR_API).alias("source"),
-        F.lit(country).alias("pays"),
-    ))
-
-
-def listing_postings(records: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
-    """Records of the listing API: region is the first area, salaries are numbers."""
-    return align(records.select(
-        F.col("id").alias("offre_id"),
-        clean_text(F.col("title")).alias("titre"),
-        contract_label(F.col("contract_type")).alias("type_contrat"),
-        "description",
-        F.col("location.display_name").alias("ville"),
-        F.get(F.col("location.area"), F.lit(0)).alias("region"),
-        "latitude", "longitude",
-        F.col("company.display_name").alias("entreprise"),
-        F.col("category.label").alias("secteur"),
-        F.col("salary_min").try_cast("int").alias("salaire_min"),
-        F.col("salary_max").try_cast("int").alias("salaire_max"),
-        F.col("redirect_url").alias("url_offre"),
-        safe_timestamp(F.col("created")).alias("date_creation"),
-        F.lit(LISTING_API).alias("source"),
-        F.lit(country).alias("pays"),
-    ))
-
-
-def scraped_postings(records: DataFrame, country: str | None = None) -> DataFrame:
-    """Records of the scraped site: id from title, company and link; region stands for the city; the
-    skills text fills the sector. Older files name the link ``url``."""
-    link = F.coalesce("url_offre", "url")
-    return align(records.select(
-        key_md5(F.col("titre"), F.col("entreprise"), link).alias("offre_id"),
-        clean_text(F.col("titre")).alias("titre"),
-        contract_label(F.col("type_contrat")).alias("type_contrat"),
-        "experience",
-        F.col("region").alias("ville"),
-        "region",
-        "entreprise",
-        F.col("competences").alias("secteur"),
-        link.alias("url_offre"),
-        safe_timestamp(F.col("date_publication"), "dd.MM.yyyy").alias("date_creation"),
-        F.lit(SCRAPED_SITE).alias("source"),
-        (F.col("pays") if country is None else F.lit(country)).alias("pays"),
-    ))
-
-
-CONFORMERS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    LABOUR_API: labour_postings, LISTING_API: listing_postings, SCRAPED_SITE: scraped_postings}
-
-
-def clean_source(postings: DataFrame) -> DataFrame:
-    """Valid postings of one source, the latest row per id."""
-    return latest_per_key(keep_valid(postings))
-
-
-def unify(sources: DataFrame) -> DataFrame:
-    """Postings of all sources without cross-source copies."""
-    return best_source_per_posting(sources)
-
-
-# Raw field for each posting column, per source, where the names differ.
-RENAMES: dict[str, dict[str, str]] = {
+# Where each posting column is found in the records of a source. Columns not listed have
+# their own name there, or do not exist.
+FIELDS: dict[str, dict[str, str]] = {
     LABOUR_API: {
         "offre_id": "id", "titre": "intitule", "type_contrat": "typeContrat", "experience": "experienceLibelle",
         "ville": "lieuTravail.libelle", "code_postal": "lieuTravail.codePostal",
@@ -121,55 +35,96 @@ RENAMES: dict[str, dict[str, str]] = {
     SCRAPED_SITE: {"url_offre": "url", "date_creation": "date_publication"},
 }
 LENIENT_COUNTRY = {LABOUR_API: "France", LISTING_API: "France", SCRAPED_SITE: "Maroc"}
+SCRAPED_DATES = "dd.MM.yyyy"
 
 
-def _has(schema: T.StructType, path: str) -> bool:
+def _scalar(schema: T.StructType, path: str) -> bool:
+    """Whether a dotted path leads to a plain value."""
     at: T.DataType = schema
     for name in path.split("."):
         if not isinstance(at, T.StructType) or name not in at.names:
             return False
         at = at[name].dataType
-    return True
+    return not isinstance(at, (T.StructType, T.ArrayType, T.MapType))
 
 
-def lenient_postings(records: DataFrame, source: str, renames: Mapping[str, str] | None = None,
-                     country: str | None = None) -> DataFrame:
-    """Rename what is there, leave the rest NULL. Values stay as landed, only typed (no contract labels,
-    no salary parsing, no region from the area). A scraped record without id gets the hash id."""
-    renames = RENAMES.get(source, {}) if renames is None else renames
-    country = LENIENT_COUNTRY.get(source) if country is None else country
-    types = {f.name: f.dataType for f in POSTING_SCHEMA.fields}
-
-    def column(name: str) -> Column:
-        paths = [p for p in (renames.get(name), name) if p and _has(records.schema, p)]
-        present = [F.col(p) for p in paths
-                   if not isinstance(_type(records.schema, p), (T.StructType, T.ArrayType))]
-        return F.coalesce(*present) if present else F.lit(None)
-
-    special = {"source": F.lit(source), "pays": F.lit(country)}
-    if source == SCRAPED_SITE:
-        special["offre_id"] = key_md5(column("titre"), column("entreprise"), column("url_offre"))
-        special["date_creation"] = safe_timestamp(column("date_creation"), "dd.MM.yyyy")
-
-    def typed(name: str) -> Column:
-        c = special.get(name, column(name))
-        kind = types[name]
-        if isinstance(kind, T.IntegerType):
-            return safe_int(c)
-        if isinstance(kind, T.DoubleType):
-            return safe_double(c)
-        if isinstance(kind, T.TimestampType) and name not in special:
-            return safe_timestamp(c)
-        return c.cast(kind)
+def raw_field(records: DataFrame, fields: Mapping[str, str], name: str) -> Column:
+    """A posting column as landed: under its own name, else under the name of the source, else NULL."""
+    present = [F.col(p) for p in (name, fields.get(name)) if p and _scalar(records.schema, p)]
+    return F.coalesce(*present) if present else F.lit(None)
 
-    return records.select(*[typed(n).alias(n) for n in POSTING_SCHEMA.names])
 
+def _postings(records: DataFrame, source: str, computed: Callable[[dict[str, Column]], dict[str, Column]]) -> DataFrame:
+    """Postings of one source: landed fields, replaced by the computed ones, in posting order and types."""
+    landed = {name: raw_field(records, FIELDS[source], name) for name in POSTING_COLUMNS}
+    columns = {**landed, "titre": clean_text(landed["titre"]), "type_contrat": contract_label(landed["type_contrat"]),
+               "source": F.lit(source), **computed(landed)}
+    return align(records.select(*[c.alias(name) for name, c in columns.items()]))
 
-def _type(schema: T.StructType, path: str) -> T.DataType:
-    at: T.DataType = schema
-    for name in path.split("."):
-        at = at[name].dataType
-    return at
+
+def labour_postings(records: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
+    """Records of the labour-office API: the salary bounds are read from a text."""
+    def computed(landed: dict[str, Column]) -> dict[str, Column]:
+        low, high = salary_range(landed["salaire_libelle"])
+        return {"salaire_min": low, "salaire_max": high, "pays": F.lit(country),
+                "date_creation": safe_timestamp(landed["date_creation"])}
+
+    return _postings(records, LABOUR_API, computed)
+
+
+def listing_postings(records: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
+    """Records of the listing API: the first area is the region."""
+    return _postings(records, LISTING_API, lambda landed: {
+        "region": F.get("location.area", F.lit(0)), "pays": F.lit(country),
+        "date_creation": safe_timestamp(landed["date_creation"])})
+
+
+def scraped_postings(records: DataFrame, country: str | None = None) -> DataFrame:
+    """Records of the scraped site: id from title, company and link; the region stands for the city; the
+    skills text fills the sector; no description."""
+    return _postings(records, SCRAPED_SITE, lambda landed: {
+        "offre_id": key_md5(landed["titre"], landed["entreprise"], landed["url_offre"]),
+        "description": F.lit(None), "ville": landed["region"], "secteur": F.col("competences"),
+        "date_creation": safe_timestamp(landed["date_creation"], SCRAPED_DATES),
+        **({} if country is None else {"pays": F.lit(country)})})
+
+
+def keep_valid(df: DataFrame) -> DataFrame:
+    """Postings with an id and a title of more than three characters."""
+    return df.filter(F.col("offre_id").isNotNull() & (F.length("titre") > 3))
+
+
+CONFORMERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    LABOUR_API: labour_postings, LISTING_API: listing_postings, SCRAPED_SITE: scraped_postings}
+
+
+def clean_source(postings: DataFrame) -> DataFrame:
+    """Valid postings of one source, the latest row per id."""
+    return latest_per_key(keep_valid(postings))
+
+
+def unify(sources: DataFrame) -> DataFrame:
+    """Postings of all sources without cross-source copies."""
+    return best_source_per_posting(sources)
+
+
+def lenient_postings(records: DataFrame, source: str, fields: Mapping[str, str] | None = None,
+                     country: str | None = None) -> DataFrame:
+    """Rename what is there, leave the rest NULL. Values stay as landed, only typed (no contract labels,
+    no salary parsing, no region from the area). A scraped record gets the hash id."""
+    fields = FIELDS.get(source, {}) if fields is None else fields
+    country = LENIENT_COUNTRY.get(source) if country is None else country
+    columns = {name: raw_field(records, fields, name) for name in POSTING_COLUMNS}
+    columns |= {"source": F.lit(source), "pays": F.lit(country)}
+    scraped = source == SCRAPED_SITE
+    if scraped:
+        columns["offre_id"] = key_md5(columns["titre"], columns["entreprise"], columns["url_offre"])
+    columns["date_creation"] = safe_timestamp(columns["date_creation"], SCRAPED_DATES if scraped else None)
+    for number in ("latitude", "longitude"):
+        columns[number] = safe_double(columns[number])
+    for whole in ("salaire_min", "salaire_max"):
+        columns[whole] = safe_int(columns[whole])
+    return align(records.select(*[c.alias(name) for name, c in columns.items()]))
 
 
 def clean_lenient(postings: DataFrame) -> DataFrame:

@@ -99,24 +99,26 @@ def load_skills(spark: SparkSession, lake: Lake, raw: DataFrame, fact: DataFrame
 
 def apply_predictions(spark: SparkSession, lake: Lake, predictions: DataFrame, at: Column) -> int:
     """Write predictions into the fact as a new version; returns the number of rows changed."""
-    updated = update_predictions(read_current(spark, lake.table("fact_offres")), predictions, at)
-    staged = publish(updated, lake.table("fact_offres_update"))
-    changed = staged.filter("modifie").count()
+    fact = lake.table("fact_offres")
+    updated = update_predictions(read_current(spark, fact), predictions, at)
+    # The count reads four narrow columns; the table is written once, and only if something changes.
+    changed = updated.filter("modifie").count()
     if changed:
-        publish(staged.drop("modifie"), lake.table("fact_offres"))
+        publish(updated.drop("modifie"), fact)
     return changed
 
 
 def run_daily(spark: SparkSession, landed: Mapping[str, str], lake: Lake) -> dict[str, object]:
-    """All stages in order. Returns the sources built, gold tables written and quality of the unified table."""
+    """All stages in order. Returns the sources built, the gold tables written, the quality of the unified
+    table and the rows per source in the raw table."""
     sources = build_silver(spark, landed, lake)
     raw = load_raw(spark, lake)
     tables = load_star(spark, lake, raw)
     load_skills(spark, lake, raw, tables.fact)
     unified = spark.read.parquet(lake.unified)
     written: Sequence[str] = write_named(gold.gold_tables(unified), lake.gold, gold.SKIP_WHEN_EMPTY)
-    report = marts.silver_quality(unified)
-    return {"sources": sources, "gold": list(written), "quality": report}
+    return {"sources": sources, "gold": list(written), "quality": marts.silver_quality(unified),
+            "rows": marts.distribution(raw, "source")}
 
 
 def read_star(spark: SparkSession, lake: Lake) -> star.Star:

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vacantia.functions.labels import JUNIOR_WORDS, SENIOR_WORDS, TECH_WORDS, category, keyword_flag
 from vacantia.functions.salary import TARGET_RANGE, confidence, floor_prediction, monthly_target
 from vacantia.functions.text import fold_accents, search_text
+from vacantia.session import use_checkpoints
+from vacantia.sources.tables import try_read
 
 CATEGORIES = ("pays", "type_contrat", "source", "secteur", "taille_entreprise")
 FLAGS = ("is_senior", "is_junior", "has_tech")
@@ -172,6 +174,7 @@ def _share(key: str, seed: int, parts: int) -> Column:
 def train(postings: DataFrame, settings: ModelSettings = ModelSettings(), key: str = "offre_id",
           max_chars: int | None = None) -> SalaryModel:
     """Fit the model and measure it on held-out rows and, with ``folds`` > 1, by cross-validation."""
+    use_checkpoints(postings.sparkSession)
     columns = [key, "texte", *CATEGORIES, *FLAGS, TARGET]
     features = engineer_features(postings, max_chars)
     counts = features.agg(
@@ -256,8 +259,6 @@ def load_model(spark: SparkSession, path: str) -> SalaryModel:
 
 def model_status(spark: SparkSession, path: str) -> dict:
     """Whether a model is stored, with its metrics."""
-    from vacantia.sources.tables import try_read
-
     metrics = try_read(spark, f"{path}/metrics")
     return {"available": False} if metrics is None else {"available": True, **metrics.first().asDict()}
 

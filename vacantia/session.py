@@ -42,6 +42,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let long iterative jobs cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
