@@ -58,7 +58,7 @@ def test_median_matches_brute_force(spark):
     rows = [("hot" if i % 3 == 0 else rng.choice(["x", "y", None]), rng.choice([None, float(rng.randint(-3000, 9000)) / 2, 1234.5]))
             for i in range(3000)] + [("none", None)]
     df = spark.createDataFrame(rows, "g STRING, v DOUBLE").repartition(5)
-    out = {r.g: r for r in median.aggregate_with_median(df, ["g"], "v", "m", {"n": F.lit(1)}).collect()}
+    out = {r.g: r for r in median.aggregate_with_median(df.withColumn("n", F.lit(1)), ["g"], "v", "m", ["n"]).collect()}
     groups = {g for g, _ in rows}
     assert set(out) == groups
     for g in groups:
@@ -71,7 +71,7 @@ def test_median_matches_brute_force(spark):
 
 def test_median_with_weights(spark):
     df = spark.createDataFrame([("a", 1.0, 5), ("a", 2000.0, 1), ("a", 3000.0, 6)], "g STRING, v DOUBLE, w INT")
-    assert median.aggregate_with_median(df, ["g"], "v", "m", weight=F.col("w")).first().m == (2000.0 + 3000.0) / 2
+    assert median.aggregate_with_median(df, ["g"], "v", "m", weight="w").first().m == (2000.0 + 3000.0) / 2
 
 
 def test_median_has_no_percentile_state(spark):

@@ -47,6 +47,11 @@ def field_profile(df: DataFrame, json_column: str) -> DataFrame:
     ).withColumn("pct_remplis", percent(F.col("nb_remplis"), total))
 
 
+def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that occur more than once. No rows for a table that is unique by the key."""
+    return df.groupBy(key).agg(F.count("*").alias("nb")).filter("nb > 1")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One line per table with its number of rows."""
     out: DataFrame | None = None

@@ -62,14 +62,14 @@ def salary_market(fact: DataFrame, places: DataFrame) -> DataFrame:
         .select(*keys, estimate(F.col("salaire_min"), F.col("salaire_max"), F.col("salaire_predit_eur")).alias("_v"),
                 *[c.alias(n) for n, c in parts.items()])
         .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("n"), *[F.sum(n).alias(f"s_{n}") for n in parts],
-             *[F.count(n).alias(f"n_{n}") for n in parts])
+        .agg(F.count("*").alias("n"), *[F.expr(f"sum({n}) AS s_{n}") for n in parts],
+             *[F.expr(f"count({n}) AS n_{n}") for n in parts])
     )
     placed = by_place.join(places.select("lieu_id", "pays", "ville"), "lieu_id", "left")
     carried = ["n", *[f"{p}_{n}" for n in parts for p in ("s", "n")]]
     out = aggregate_with_median(
         placed, ["rome_libelle", "pays", "ville", "type_contrat", "experience"], "_v", "_median",
-        sums={c: F.col(c) for c in carried}, weight=F.col("n"))
+        sums=carried, weight="n")
 
     def mean(name: str) -> Column:
         return rounded_ratio(F.col(f"s_{name}"), F.col(f"n_{name}"))

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacantia.operators.merge import new_rows, update_predictions
+from vacantia.operators.profile import duplicate_keys
 from vacantia.plans import gold, marts, skills, star
 from vacantia.plans.conform import CONFORMERS, clean_source, sanitise, unify
 from vacantia.schema import RECORD_SCHEMAS
@@ -80,6 +81,10 @@ def load_star(spark: SparkSession, lake: Lake, raw: DataFrame) -> star.Star:
     dims = {"dim_date": star.dim_date(staged), "dim_entreprise": star.dim_company(staged),
             "dim_lieu": star.dim_place(staged)}
     written = {name: publish(df, lake.table(name)) for name, df in dims.items()}
+    for df in written.values():
+        # Two natural keys with one hash would mix their postings.
+        if not duplicate_keys(df, df.columns[0]).isEmpty():
+            raise ValueError(f"{df.columns[0]} is not unique; build this star with dense ids")
     fact = lake.table("fact_offres")
     known = read_current(spark, fact)
     rows = star.fact_by_hash(staged)
