@@ -211,6 +211,15 @@ ORACLE: dict[str, str] = {
         entreprise, secteur, CAST(salaire_min AS DOUBLE) AS salaire_min,
         CAST(CASE WHEN salaire_max <= 2147 THEN salaire_max * 1000000 END AS DOUBLE) AS salaire_max,
         'adzuna' AS source, CASE WHEN rome_code <> '3' THEN date_creation END AS date_creation FROM p WHERE length(titre) > 3""",
+    "conform_labour": rf"""WITH {P}, r AS (SELECT *, regexp_extract(salaire_libelle, '(\d+) - (\d+)', 1) AS a,
+        regexp_extract(salaire_libelle, '(\d+) - (\d+)', 2) AS b FROM p)
+      SELECT offre_id, titre, {_contract} AS type_contrat, experience, ville, code_postal, longitude, 'France' AS pays,
+        entreprise, secteur, TRY_CAST(a AS DOUBLE) AS salaire_min, TRY_CAST(b AS DOUBLE) AS salaire_max,
+        'france_travail' AS source, date_creation FROM r""",
+    "conform_lenient": f"""WITH {P} SELECT offre_id, titre, type_contrat, ville,
+        'France' AS pays, CAST(salaire_min AS DOUBLE) AS salaire_min, 'adzuna' AS source FROM p""",
+    "partitioned_roundtrip": f"WITH {P} SELECT offre_id, titre, source, pays FROM p",
+    "landing_stream": f"WITH {P} SELECT offre_id, titre, source, CAST(salaire_min AS DOUBLE) AS salaire_min FROM p",
     "conform_scraped": f"""WITH {P} SELECT md5(concat(titre, '|', coalesce(entreprise, chr(0)), '|', url_offre)) AS offre_id,
         titre, {_contract} AS type_contrat, region AS ville, region, 'Maroc' AS pays, secteur, 'emploima' AS source,
         date_creation FROM p WHERE length(titre) > 3""",
@@ -270,7 +279,7 @@ ORACLE: dict[str, str] = {
     "explain_match": f"""WITH {T}, {CV}, m AS (SELECT candidat_id, offre_id, turn + 1 AS rang,
           CASE WHEN competences = '' THEN [] ELSE string_split(competences, ',') END AS own,
           lower(concat(description, ' ', titre)) AS txt
-        FROM cv JOIN t ON CAST(conv_id AS VARCHAR) = offre_id),
+        FROM cv JOIN t ON CAST(offre_id AS BIGINT) % (SELECT count(DISTINCT conv_id) FROM conversations) = conv_id),
       x AS (SELECT *, list_filter(own, lambda s: contains(txt, s))[1:3] AS good,
           list_filter({_cv_list}, lambda s: contains(txt, s) AND NOT list_contains(own, s))[1:2] AS bad FROM m)
       SELECT candidat_id, offre_id, rang,

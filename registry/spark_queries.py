@@ -17,9 +17,11 @@ from vacantia.operators.merge import delete_insert, insert_ignore, new_rows, syn
 from vacantia.operators.profile import field_profile, row_counts
 from vacantia.operators.topk import top_k_similar
 from vacantia.plans import conform, gold, marts, recommend, salary_model, skills, star
+from vacantia.schema import LISTING_API, POSTING_SCHEMA
 from vacantia.session import staging_path
 from vacantia.sources import envelopes, pages
-from vacantia.sources.tables import align
+from vacantia.sources.tables import align, write_partitioned
+from vacantia.streaming import landing
 
 AS_OF = "2001-08-01"
 TARGET_UNTIL, BATCH_FROM = "2000-06-01", "2000-01-01"
@@ -302,6 +304,49 @@ def conform_listing(spark, sf_dir):
         "salaire_max", "source", F.col("date_creation").cast("timestamp_ntz").alias("date_creation"))
 
 
+@query
+def conform_labour(spark, sf_dir):
+    rows = postings(spark, sf_dir)
+    raw = rows.select(
+        F.col("offre_id").alias("id"), F.concat(F.lit(" "), "titre").alias("intitule"), F.col("type_contrat").alias("typeContrat"),
+        F.col("experience").alias("experienceLibelle"), "description",
+        F.struct(F.col("ville").alias("libelle"), F.col("code_postal").alias("codePostal"), "latitude", "longitude").alias("lieuTravail"),
+        F.struct(F.col("entreprise").alias("nom")).alias("entreprise"), F.col("secteur").alias("secteurActiviteLibelle"),
+        F.struct(F.col("salaire_libelle").alias("libelle")).alias("salaire"),
+        F.date_format("date_creation", "yyyy-MM-dd'T'HH:mm:ss").alias("dateCreation"))
+    again = raw.withColumn("dateCreation", F.lit("1990-01-01T00:00:00")).withColumn("intitule", F.lit("older copy"))
+    return conform.clean_source(conform.labour_postings(raw.unionByName(again))).select(
+        "offre_id", "titre", "type_contrat", "experience", "ville", "code_postal", "longitude", "pays", "entreprise", "secteur",
+        "salaire_min", "salaire_max", "source", F.col("date_creation").cast("timestamp_ntz").alias("date_creation"))
+
+
+@query
+def conform_lenient(spark, sf_dir):
+    rows = postings(spark, sf_dir)
+    raw = rows.select(
+        F.col("offre_id").alias("id"), F.concat(F.lit(" "), "titre").alias("title"), F.col("type_contrat").alias("contract_type"),
+        F.struct(F.col("ville").alias("display_name"), F.array("region").alias("area")).alias("location"),
+        F.col("salaire_min").cast("string").alias("salary_min"))
+    return conform.clean_lenient(conform.lenient_postings(raw, LISTING_API)).select(
+        "offre_id", "titre", "type_contrat", "ville", "pays", "salaire_min", "source")
+
+
+@query
+def partitioned_roundtrip(spark, sf_dir):
+    path = staging_path(spark, "postings")
+    write_partitioned(postings(spark, sf_dir), path, ["source", "pays"])
+    return spark.read.parquet(path).select("offre_id", "titre", "source", "pays")
+
+
+@query
+def landing_stream(spark, sf_dir):
+    source, target, state = (staging_path(spark, n) for n in ("landed", "raw", "state"))
+    align(postings(spark, sf_dir)).write.parquet(source)
+    for _ in range(2):  # the second run finds nothing new
+        landing.land_new_postings(landing.stream_table(spark, source, POSTING_SCHEMA), target, state).awaitTermination()
+    return spark.read.parquet(target).select("offre_id", "titre", "source", "salaire_min")
+
+
 @query
 def conform_scraped(spark, sf_dir):
     rows = postings(spark, sf_dir)
@@ -466,9 +511,11 @@ def vector_refresh(spark, sf_dir):
 
 @query
 def explain_match(spark, sf_dir):
-    rows = text_postings(spark, sf_dir).select("offre_id", "titre", "description", F.length("description").alias("n"))
-    people = _cvs(spark, sf_dir).select("candidat_id", "competences", F.col("conv_id").cast("string").alias("offre_id"), "turn")
-    pairs = people.join(rows, "offre_id").withColumn("score", (F.col("n") % 997) / 1000).withColumn("rang", F.col("turn") + 1)
+    talks = table(spark, sf_dir, "conversations").agg(F.count_distinct("conv_id")).scalar()
+    rows = text_postings(spark, sf_dir).select("offre_id", "titre", "description", F.length("description").alias("n")).withColumn(
+        "conv_id", F.col("offre_id").cast("bigint") % talks)
+    people = _cvs(spark, sf_dir).select("candidat_id", "competences", "conv_id", "turn")
+    pairs = people.join(rows, "conv_id").withColumn("score", (F.col("n") % 997) / 1000).withColumn("rang", F.col("turn") + 1)
     out = recommend.explain_matches(pairs)
     return out.select("candidat_id", "offre_id", "rang", F.col("explication.points_forts").alias("forts"),
                       F.col("explication.points_amelioration").alias("ameliorer")).withColumns(

@@ -24,6 +24,13 @@ def test_dedup_limits_groups_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
 
 
+def test_cross_source_copies_are_limited_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("CAST(id AS STRING) AS offre_id", "CAST(id % 3 AS STRING) AS titre", "CAST(id AS STRING) AS entreprise",
+                                     "CAST(id AS STRING) AS ville", "CAST(id % 2 AS STRING) AS source")
+    plan = plan_of(dedup.best_source_per_posting(df))
+    assert plan.count("WindowGroupLimit") == 2 and plan.index("Exchange") < plan.index("Partial")
+
+
 def test_best_source(spark):
     rows = [("b", "Data-Engineer!", "ACME", None, "adzuna"), ("a", "DataEngineer", "ACME", None, "france_travail"),
             ("c", "Data Engineer", None, "ACME", "emploima"), ("e", "dataengineer", "ACME", None, "other")]
@@ -185,3 +192,8 @@ def test_field_profile(spark):
     df = spark.createDataFrame([(r,) for r in rows], "j STRING")
     out = {r.champ: (r.nb_lignes, r.nb_remplis, r.pct_remplis) for r in profile.field_profile(df, "j").collect()}
     assert out == {"a": (3, 3, 100.0), "b": (1, 0, 0.0), "c": (1, 1, 33.3)}
+
+
+def test_duplicate_keys(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,)], "k INT")
+    assert [tuple(r) for r in profile.duplicate_keys(df, "k").collect()] == [(2, 2)]
