@@ -244,3 +244,28 @@ def test_salary_estimate_only_where_unknown(spark):
     predicted = spark.createDataFrame([(str(i), 1000.0, "haute") for i in range(1, 4)], "offre_id STRING, salaire_predit_eur DOUBLE, salaire_confiance STRING")
     out = {r.offre_id: r.salaire_predit_eur for r in recommend.with_salary_estimate(df, predicted).collect()}
     assert out == {"1": None, "2": 1000.0, "3": 1000.0}
+
+
+def test_hot_company_is_split_in_the_join(spark):
+    """With broadcasts off, the join of a company that holds a third of the postings runs as several tasks."""
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").cast("string").alias("offre_id"), F.lit("t").alias("titre"), F.expr("repeat(uuid(), 3)").alias("description"),
+        F.expr("IF(id % 3 = 0, 'hot', CAST(id % 997 AS STRING))").alias("entreprise"),
+        F.expr("CAST(id % 89 AS STRING)").alias("ville"), F.expr("CAST(id % 5 AS STRING)").alias("pays"))
+    from vacantia.sources.tables import align
+
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200000",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200000", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        tables = star.build_star(align(rows))
+        out = marts.flat_postings(tables).select("offre_id", "description", "entreprise", "ville")
+        assert len(out.collect()) == 60_000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
