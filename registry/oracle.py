@@ -295,3 +295,4 @@ ORACLE: dict[str, str] = {
         + CAST(secteur IS NOT NULL AS INT) + CAST(length(coalesce(description, '')) > 100 AS INT) AS n FROM p)
       SELECT offre_id, CASE WHEN n >= 3 THEN 'haute' WHEN n >= 2 THEN 'moyenne' ELSE 'basse' END AS confiance FROM c""",
 }
+ORACLE["skill_top_joined"] = ORACLE["skill_top"]

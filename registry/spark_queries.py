@@ -431,6 +431,13 @@ def skill_bridge(spark, sf_dir):
 
 @query
 def skill_top(spark, sf_dir):
+    fact = fact_table(star.stage(text_postings(spark, sf_dir)))
+    bridge = skills.skill_bridge(fact, _DICTIONARY, unique_ids=True, amounts=True)
+    return skills.skill_top(bridge, skills.skill_table(spark, _DICTIONARY), fact)
+
+
+@query
+def skill_top_joined(spark, sf_dir):
     fact = fact_table(star.stage(text_postings(spark, sf_dir)))
     return skills.skill_top(skills.skill_bridge(fact, _DICTIONARY), skills.skill_table(spark, _DICTIONARY), fact)
 

@@ -175,6 +175,16 @@ def test_bridge(spark):
     assert "Exchange" not in plan_of(skills.skill_bridge(rows, DICT, unique_ids=True))
 
 
+def test_carried_salaries_spare_the_join(spark):
+    rows = postings(spark, [dict(titre="R", salaire_min=10 * i) for i in range(1, 4)])
+    fact, names = star.fact_by_hash(rows), skills.skill_table(spark, DICT)
+    carried = skills.skill_top(skills.skill_bridge(fact, DICT, unique_ids=True, amounts=True), names, fact)
+    joined = skills.skill_top(skills.skill_bridge(fact, DICT), names, fact)
+    assert [tuple(r) for r in carried.collect()] == [tuple(r) for r in joined.collect()] == [("R", "L", 3, 100.0, 20.0, None, None)]
+    with pytest.raises(ValueError):
+        skills.skill_bridge(fact, DICT, amounts=True)
+
+
 def test_summary_numbers_found_skills_only(spark):
     rows = postings(spark, [dict(titre="C++ only"), dict(titre="apache", description="spark")])
     out = [tuple(r) for r in skills.skill_summary(rows, DICT).orderBy("competence_id").collect()]

@@ -95,11 +95,19 @@ def skill_matches(postings: DataFrame, skills: Sequence[Skill], keep: Sequence[s
     return lowered.select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("competence_id"))
 
 
-def skill_bridge(postings: DataFrame, skills: Sequence[Skill], unique_ids: bool = False,
-                 boundary: bool = False) -> DataFrame:
-    """Posting id and skill id, each pair once. With ``unique_ids`` postings have one row per id and the
-    pairs need no shuffle to be distinct."""
-    pairs = skill_matches(postings, skills, boundary=boundary)
+AMOUNTS = ("salaire_min", "salaire_max", "salaire_predit_eur")
+
+
+def skill_bridge(postings: DataFrame, skills: Sequence[Skill], unique_ids: bool = False, boundary: bool = False,
+                 amounts: bool = False) -> DataFrame:
+    """Posting id and skill id, each pair once.
+
+    With ``unique_ids`` postings have one row per id and the pairs need no shuffle to be distinct. Such a
+    bridge may carry the salary columns (``amounts``), which spares ``skill_top`` the join to the fact.
+    """
+    if amounts and not unique_ids:
+        raise ValueError("amounts can be carried only when posting ids are unique")
+    pairs = skill_matches(postings, skills, ("offre_id", *(AMOUNTS if amounts else ())), boundary=boundary)
     pairs = pairs if unique_ids else pairs.distinct()
     return pairs.withColumn("source_champ", F.lit(BRIDGE_FIELD))
 
@@ -107,20 +115,24 @@ def skill_bridge(postings: DataFrame, skills: Sequence[Skill], unique_ids: bool
 def skill_top(bridge: DataFrame, skills: DataFrame, fact: DataFrame) -> DataFrame:
     """Skills by number of postings, with their share and mean salaries.
 
-    Bridge rows are aggregated by skill id before they meet the skill names.
+    A bridge that carries salaries is only aggregated; otherwise it is joined to the fact by posting id.
+    Rows are aggregated by skill id before they meet the skill names.
     """
     total = fact.agg(F.count("*").alias("n")).scalar()
-    amounts = ["salaire_min", "salaire_max", "salaire_predit_eur"]
-    joined = bridge.select("offre_id", "competence_id").join(fact.select("offre_id", *amounts), "offre_id", "left")
-    per_skill = joined.groupBy("competence_id").agg(
-        F.count_distinct("offre_id").alias("nb_offres"),
-        *[exact_sum(F.col(a)).alias(f"s_{a}") for a in amounts], *[F.count(a).alias(f"n_{a}") for a in amounts])
+    if set(AMOUNTS) <= set(bridge.columns):
+        rows, postings = bridge, F.count("offre_id")
+    else:
+        rows = bridge.select("offre_id", "competence_id").join(fact.select("offre_id", *AMOUNTS), "offre_id", "left")
+        postings = F.count_distinct("offre_id")
+    per_skill = rows.groupBy("competence_id").agg(
+        postings.alias("nb_offres"),
+        *[exact_sum(F.col(a)).alias(f"s_{a}") for a in AMOUNTS], *[F.count(a).alias(f"n_{a}") for a in AMOUNTS])
     named = per_skill.join(skills, "competence_id")
     return named.select(
         F.col("nom").alias("competence"), "categorie", "nb_offres",
         percent(F.col("nb_offres"), total).alias("pct_offres"),
         *[rounded_ratio(F.col(f"s_{a}"), F.col(f"n_{a}")).alias(out) for a, out in
-          zip(amounts, ("salaire_moyen_min", "salaire_moyen_max", "salaire_predit_moyen"))],
+          zip(AMOUNTS, ("salaire_moyen_min", "salaire_moyen_max", "salaire_predit_moyen"))],
     ).orderBy(F.desc("nb_offres"), "competence")
 
 
