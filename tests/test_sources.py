@@ -105,3 +105,35 @@ def test_versions(spark, tmp_path):
 def test_named_writes_skip_empty(spark, tmp_path):
     written = tables.write_named({"a": spark.range(1), "b": spark.range(0)}, str(tmp_path), skip_empty=["b"])
     assert written == ["a"] and tables.try_read(spark, str(tmp_path / "b")) is None
+
+
+def test_replace_touches_concerned_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    columns = "offre_id STRING, n INT, mois STRING"
+    spark.createDataFrame([("1", 0, "2024-01"), ("2", 0, "2024-01"), ("3", 0, "2024-02"), ("4", 0, "2024-03"), ("5", 0, None)],
+                          columns).write.partitionBy("mois").parquet(path)
+    untouched = sorted(f.name for f in (tmp_path / "t" / "mois=2024-03").iterdir())
+    batch = spark.createDataFrame([("2", 1, "2024-04"), ("3", 1, "2024-01"), ("5", 1, "2024-04"), ("6", 1, "2024-04")], columns)
+    for _ in range(2):  # a second run changes nothing
+        tables.replace_in_partitions(batch, path, "offre_id", "mois")
+        rows = sorted(tuple(r) for r in spark.read.schema(columns).parquet(path).collect())
+        assert rows == [("1", 0, "2024-01"), ("2", 1, "2024-04"), ("3", 1, "2024-01"), ("4", 0, "2024-03"), ("5", 1, "2024-04"),
+                        ("6", 1, "2024-04")]
+    assert sorted(f.name for f in (tmp_path / "t" / "mois=2024-03").iterdir()) == untouched
+
+
+def test_bucketed_table_is_not_shuffled_for_known_keys(spark, tmp_path):
+    from vacantia.operators.merge import new_rows
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bucketed LOCATION '{tmp_path}/db'")
+    rows = spark.range(100).select(F.col("id").cast("string").alias("offre_id"), F.lit("t").alias("titre"))
+    try:
+        tables.append_bucketed(rows, "bucketed.raw", "offre_id", 4)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        batch = spark.range(90, 110).select(F.col("id").cast("string").alias("offre_id"), F.lit("t").alias("titre"))
+        fresh = new_rows(spark.table("bucketed.raw"), batch)
+        assert plan_of(fresh).count("Exchange hashpartitioning") == 1  # the batch, not the table
+        assert fresh.count() == 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE IF EXISTS bucketed CASCADE")

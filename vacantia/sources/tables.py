@@ -8,7 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from vacantia.operators.merge import delete_insert, known_keys
 from vacantia.schema import POSTING_SCHEMA
+from vacantia.session import staging_path
 
 log = logging.getLogger(__name__)
 
@@ -123,3 +125,39 @@ def write_named(tables: Mapping[str, DataFrame], root: str, skip_empty: Sequence
         df.write.mode("overwrite").parquet(f"{root}/{name}")
         written.append(name)
     return written
+
+
+def append_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Append to a catalog table bucketed and sorted by its key.
+
+    Looking for known keys in such a table, as insert-ignore does every day, does not shuffle it again.
+    """
+    df.write.mode("append").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
+def replace_in_partitions(batch: DataFrame, path: str, key: str, by: str) -> int:
+    """Delete-then-insert by key that reads and rewrites only the partitions concerned.
+
+    These are the partitions of the batch and those holding an older row of one of its keys, found from the
+    key and partition columns alone. The new content is written to the shared folder first, because a
+    partition cannot be overwritten while it is read. A run that stops half-way is repaired by running it
+    again. Returns the number of partitions rewritten.
+    """
+    spark = batch.sparkSession
+    stored = spark.read.schema(batch.schema).parquet(path)
+    older = stored.select(key, by).join(known_keys(batch, key), key, "left_semi").select(by)
+    values = [r[0] for r in older.union(batch.select(by)).distinct().collect()]  # one per partition
+    concerned = F.col(by).isin([v for v in values if v is not None])
+    if None in values:
+        concerned = concerned | F.col(by).isNull()
+    staged_at = staging_path(spark, "replace")
+    delete_insert(stored.filter(concerned), batch, key).write.partitionBy(by).parquet(staged_at)
+    staged = spark.read.schema(batch.schema).parquet(staged_at)
+    write = staged.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    write.partitionBy(by).parquet(path)
+    kept = {r[0] for r in staged.select(by).distinct().collect()}
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in set(values) - kept:  # all rows of the partition have moved elsewhere
+        at, fs = _fs(spark, f"{path}/{names.getPartitionPathString(by, None if value is None else str(value))}")
+        fs.delete(at, True)
+    return len(values)
