@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vacantia.llm.byte_bpe import round_trip_digests
 from vacantia.llm.decontaminate import contamination_report
+from vacantia.llm.quality_classifier import score_quality
+from vacantia.llm.quality_rules import quality_verdicts
+from vacantia.llm.sharding import shard_manifest
+from vacantia.llm.simhash import near_copies, print_hex
+from vacantia.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +59,82 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op9_quality_rules"] = r"""
+WITH w AS MATERIALIZED (SELECT doc_id, lang, source, coalesce(text, '') AS text,
+  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, p, w[p:p + 2] AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM w WHERE len(w) > 2)),
+r AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (
+  SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM (
+    SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, t) AS n FROM g) WHERE n > 1) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+c AS (SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM w LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
+m AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  1000 * n_symbols // nullif(n_words, 0) AS symbols, 1000 * n_repeat_words // nullif(n_words, 0) AS repeats,
+  1000 * n_dup_lines // nullif(n_lines, 0) AS dup_lines, 100 * word_chars // nullif(n_words, 0) AS word_length FROM c),
+v AS (SELECT lang, source, unnest(['symbols', 'repeats', 'dup_lines', 'word_length']) AS measure,
+  unnest([symbols, repeats, dup_lines, word_length]) AS x FROM m WHERE NOT base_failed),
+b AS MATERIALIZED (SELECT lang, source, measure, (x >> greatest(length(bin(x)) - 6, 0)) << greatest(length(bin(x)) - 6, 0) AS x FROM v),
+q AS MATERIALIZED (
+  SELECT 1 AS level, lang, source, measure, count(*) AS n, quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.75) AS q3 FROM b GROUP BY ALL
+  UNION ALL SELECT 2, lang, NULL, measure, count(*), quantile_disc(x, 0.25), quantile_disc(x, 0.75) FROM b GROUP BY ALL
+  UNION ALL SELECT 3, NULL, NULL, measure, count(*), quantile_disc(x, 0.25), quantile_disc(x, 0.75) FROM b GROUP BY ALL),
+lim AS (SELECT p.lang, p.source, k.measure, coalesce(a.q1, s.q1, z.q1) AS q1, coalesce(a.q3, s.q3, z.q3) AS q3
+  FROM (SELECT DISTINCT lang, source FROM m) p
+  CROSS JOIN (SELECT unnest(['symbols', 'repeats', 'dup_lines', 'word_length']) AS measure) k
+  LEFT JOIN q a ON a.level = 1 AND a.n >= 100 AND a.measure = k.measure AND a.lang IS NOT DISTINCT FROM p.lang AND a.source IS NOT DISTINCT FROM p.source
+  LEFT JOIN q s ON s.level = 2 AND s.n >= 100 AND s.measure = k.measure AND s.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN q z ON z.level = 3 AND z.measure = k.measure),
+h AS (SELECT lang, source, max(CASE measure WHEN 'symbols' THEN q3 + 3 * greatest(q3 - q1, 100) END) AS hs,
+  max(CASE measure WHEN 'repeats' THEN q3 + 3 * greatest(q3 - q1, 100) END) AS hr,
+  max(CASE measure WHEN 'dup_lines' THEN q3 + 3 * greatest(q3 - q1, 200) END) AS hd,
+  max(CASE measure WHEN 'word_length' THEN q3 + 3 * greatest(q3 - q1, 100) END) AS hw,
+  max(CASE measure WHEN 'word_length' THEN q1 - 3 * greatest(q3 - q1, 100) END) AS lw FROM lim GROUP BY ALL)
+SELECT m.doc_id, m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words, m.base_failed,
+  NOT m.base_failed AND coalesce(symbols <= hs, true) AND coalesce(repeats <= hr, true) AND coalesce(dup_lines <= hd, true)
+    AND coalesce(word_length <= hw, true) AND coalesce(word_length >= lw, true) AS kept
+FROM m LEFT JOIN h ON m.lang IS NOT DISTINCT FROM h.lang AND m.source IS NOT DISTINCT FROM h.source
+"""
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents")).select(
+        "doc_id", print_hex(F.col("print")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op7_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
+g AS (SELECT digest, max(page_id) AS response FROM d WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+  CASE WHEN response <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN response <> page_id THEN response END AS refers_to
+FROM d LEFT JOIN g ON d.digest = g.digest AND n >= 1000
+"""
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_manifest(table(spark, sf_dir, "documents"), [1.0] * 40)
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
