@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vacantia.llm.byte_bpe import round_trip_digests
 from vacantia.llm.decontaminate import contamination_report
+from vacantia.llm.language_id import identify_pages
 from vacantia.llm.quality_classifier import score_quality
 from vacantia.llm.quality_rules import quality_verdicts
 from vacantia.llm.sharding import shard_manifest
@@ -138,3 +139,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
