@@ -1,19 +1,50 @@
-"""Documents to token ids in five stages; each is written as Parquet and read again as the next one's documents."""
+"""Documents to token ids in five stages; each is written as Parquet and read again as the next one's documents.
+
+Each stage judges all documents that the one before has kept:
+
+* quality: documents that fail the quality rules go;
+* language: documents whose language is not one of the accepted ones, or not clear, go;
+* near-copies: of each group of near-copies the document of the smallest doc_id stays. Rows that repeat a doc_id are one
+  document and stay once; rows without a doc_id go if a document with one is in their group, and all stay if none is;
+* decontamination: documents that hold a passage of the benchmark go;
+* tokens: each document gets its token ids and their byte offsets.
+
+Null texts fail the quality rules, so no later stage of ``run`` sees any. An empty table gives an empty table.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vacantia.llm.byte_bpe import encode_table
 from vacantia.llm.common import staged
 from vacantia.llm.decontaminate import contaminated_ids
+from vacantia.llm.language_id import keep_identified
+from vacantia.llm.quality_rules import keep_good
+from vacantia.llm.simhash import keep_first
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules, whose limits come from the documents given."""
+    return keep_good(docs)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the accepted languages."""
+    return keep_identified(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies."""
+    return keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return docs.join(staged(contaminated_ids(docs, benchmark), "contaminated"), "doc_id", "left_anti").select(docs.columns)
+    found = staged(contaminated_ids(docs, benchmark), "contaminated").withColumnRenamed("doc_id", "__found")
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti").select(docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +52,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_table(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-STAGES = [("decontamination", decontamination), ("tokens", tokens)]
+STAGES = [("quality", quality), ("language", language), ("near_copies", near_copies), ("decontamination", decontamination),
+          ("tokens", tokens)]
 
 #: XXH64, pair merging and code point classes are beyond SQL; tests hold the rows against a brute-force version.
 ORACLE_SQL = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.session import staging_path
@@ -27,3 +28,29 @@ def ascii_lower(text: Column) -> Column:
 
 def sha256_hex(data: Column) -> Column:
     return F.sha2(data, 256)
+
+
+class SlotTables:
+    """Whole numbers to values, looked up side by side: tables of one key a slot; keys that meet go on to the next table."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing):
+        self.missing, self.kind, self.tables = missing, values.dtype, []
+        random = np.random.default_rng(0)
+        while len(keys):
+            bits = int(len(keys)).bit_length() + 2
+            factor, shift = np.uint64(random.integers(1 << 62, 1 << 63) | 1), np.uint64(64 - bits)
+            at = (keys.view(np.uint64) * factor >> shift).view(np.int64)
+            _, first = np.unique(at, return_index=True)
+            slots, held = np.zeros(1 << bits, np.int64), np.full(1 << bits, missing, values.dtype)
+            full = np.zeros(1 << bits, bool)
+            slots[at[first]], held[at[first]], full[at[first]] = keys[first], values[first], True
+            self.tables.append((factor, shift, slots, held, full))
+            keys, values = np.delete(keys, first), np.delete(values, first)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        out = np.full(len(keys), self.missing, self.kind)
+        for factor, shift, slots, held, full in self.tables:
+            at = (keys.view(np.uint64) * factor >> shift).view(np.int64)
+            hit = (slots[at] == keys) & full[at]
+            out[hit] = held[at[hit]]
+        return out

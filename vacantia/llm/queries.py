@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vacantia.llm.byte_bpe import round_trip_digests
 from vacantia.llm.decontaminate import contamination_report
 from vacantia.llm.language_id import identify_pages
+from vacantia.llm.licences import scan_licences
 from vacantia.llm.quality_classifier import score_quality
 from vacantia.llm.quality_rules import quality_verdicts
 from vacantia.llm.sharding import shard_manifest
 from vacantia.llm.simhash import near_copies, print_hex
+from vacantia.llm.token_counts import count_tokens
 from vacantia.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +146,16 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licences(table(spark, sf_dir, "documents"))
+    spans = F.transform("notices", lambda n: F.concat_ws(":", n["licence"], n["at"], n["length"]))
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"), F.array_join(spans, ",").alias("spans"),
+                        "n_notices", "n_unmatched")
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

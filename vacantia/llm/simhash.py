@@ -300,3 +300,28 @@ def near_copies(docs: DataFrame, settings: Linking = Linking(), doc: str = "doc_
 
 def print_hex(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
+
+
+def keep_first(docs: DataFrame, settings: Linking = Linking()) -> DataFrame:
+    """The documents whose doc_id names their group, with their columns.
+
+    Only ids are joined with the texts. Rows without an id go with their fingerprint: they stay if their group has no id at all.
+    Rows that repeat an id stay once; where no id repeats, no text is moved for that.
+    """
+    found = staged(near_copies(docs, settings), "groups")
+    copies = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__copy")).distinct()
+    named = found.where(F.col("doc_id").isNull() & F.col("component_id").isNotNull()).select(
+        F.col("print").alias("__named")).distinct()
+    repeated = staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("__repeated")), "repeated")
+    kept = docs.join(staged(copies, "copies"), F.col("doc_id") == F.col("__copy"), "left_anti")
+    named = staged(named, "named")
+    if not named.isEmpty():
+        without = kept.where("doc_id IS NULL").withColumn("__print", fingerprint(F.col("text"), settings))
+        without = without.join(named, F.col("__print") == F.col("__named"), "left_anti").select(*docs.columns)
+        kept = kept.where("doc_id IS NOT NULL").select(*docs.columns).unionByName(without)
+    if not repeated.isEmpty():
+        again = F.col("doc_id") == F.col("__repeated")
+        once = kept.join(repeated, again, "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+        kept = kept.join(repeated, again, "left_anti").select(*docs.columns).unionByName(once)
+    return kept.select(*docs.columns)
