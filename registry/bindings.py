@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from vacantia.sources.tables import spread_few_files
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
           "pages", "benchmark", "labels", "conversations")
 
@@ -77,16 +75,14 @@ CORPUS_SKILLS = (("License", "Corpus"), ("Apache", "Corpus"), ("The", "Corpus"),
 
 
 _SCHEMAS: dict[str, StructType] = {}
-LONG_TEXT = ("documents", "pages", "conversations")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is read once per folder; long texts are spread over the cores."""
+    """A given table. Its schema is read once per folder."""
     path = f"{sf_dir}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    return spread_few_files(df) if name in LONG_TEXT else df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def bind(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:

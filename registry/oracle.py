@@ -5,6 +5,7 @@ from __future__ import annotations
 from registry.bindings import CORPUS_SKILLS, CVS, POSTINGS, TEXT_POSTINGS, plain
 from vacantia.functions.labels import CONTRACT_WORDS, JUNIOR_WORDS, SENIOR_WORDS, TECH_WORDS
 from vacantia.plans.skills import CV_SKILLS, dictionary
+from vacantia.schema import POSTING_COLUMNS
 
 P = f"p AS ({plain(POSTINGS)})"
 T = f"t AS ({plain(TEXT_POSTINGS)})"
@@ -87,6 +88,29 @@ def flag(text: str, pattern: str, name: str) -> str:
 
 _text = "lower(concat(titre, ' ', coalesce(rome_libelle, ''), ' ', coalesce(experience, ''), ' ', coalesce(description, '')))"
 
+_KINDS = {"latitude": "DOUBLE", "longitude": "DOUBLE", "salaire_min": "DOUBLE", "salaire_max": "DOUBLE", "date_creation": "TIMESTAMP"}
+
+
+def posting(**known: str) -> str:
+    """The 22 posting columns; those not given are NULL."""
+    return ", ".join(f"{known[c]} AS {c}" if c in known else f"CAST(NULL AS {_KINDS.get(c, 'VARCHAR')}) AS {c}" for c in POSTING_COLUMNS)
+
+
+def same(*names: str) -> dict[str, str]:
+    """Posting columns as they are; whole numbers that may be NULL as doubles."""
+    return {c: f"CAST({c} AS DOUBLE)" if c.startswith("salaire_m") else c for c in names}
+
+
+def whole_word(name: str) -> str:
+    quoted = "".join(c if c.isalnum() or c == " " else "\\" + c for c in name.lower())
+    return rf"(?:^|[^\p{{L}}\p{{N}}_]){quoted}(?:$|[^\p{{L}}\p{{N}}_])"
+
+
+ALL = same(*POSTING_COLUMNS)
+STAR_FACT = """offre_id, date_id, entreprise_id, lieu_id, source, titre, type_contrat, CAST(salaire_min AS DOUBLE) AS salaire_min,
+    CAST(salaire_max AS DOUBLE) AS salaire_max, salaire_libelle, salaire_predit_eur, salaire_confiance,
+    CAST(NULL AS TIMESTAMP) AS date_prediction, rome_code, rome_libelle, experience, description, url_offre, date_creation"""
+
 ORACLE: dict[str, str] = {
     "salary_market": f"""{STAR} SELECT rome_libelle AS metier, coalesce(pays, 'France') AS pays,
         coalesce(ville, 'Non renseigné') AS ville, type_contrat, experience, count(*) AS nb_offres, {MEANS},
@@ -151,13 +175,13 @@ ORACLE: dict[str, str] = {
         rpad(dayname(date_full), 9, ' ') AS jour_semaine FROM d""",
     "dim_company": f"WITH {P}, {COMPANIES} SELECT * FROM e",
     "dim_place": f"WITH {P}, {PLACES} SELECT * FROM l",
-    "fact_full_key": f"""{STAR} SELECT offre_id, date_id, entreprise_id, lieu_id, source, CAST(salaire_min AS DOUBLE) AS salaire_min FROM f""",
+    "fact_full_key": f"{STAR} SELECT {STAR_FACT} FROM f",
     "fact_name_key": f"""WITH {P}, {DATES}, {COMPANIES}, {PLACES}
-      SELECT offre_id, date_id, entreprise_id, lieu_id, source, CAST(salaire_min AS DOUBLE) AS salaire_min
+      SELECT {STAR_FACT}
       FROM p LEFT JOIN d ON CAST(date_creation AS DATE) = date_full
       LEFT JOIN e ON coalesce(entreprise, 'Non renseigné') = nom
       LEFT JOIN l ON coalesce(p.ville, 'Non renseigné') = l.ville AND coalesce(p.pays, 'France') = l.pays""",
-    "staging": f"""WITH {P} SELECT offre_id, titre, latitude, CAST(salaire_min AS DOUBLE) AS salaire_min, pays, source FROM p
+    "staging": f"""WITH {P} SELECT {posting(**{k: v for k, v in ALL.items() if k != "region"})}, CAST(length(offre_id) AS INT) AS extra FROM p
       WHERE experience IS NULL OR experience <> '1-URGENT'""",
     "fact_incremental": f"""WITH {P} SELECT offre_id, source, titre, CAST(salaire_min AS DOUBLE) AS salaire_min, date_creation FROM p
       WHERE offre_id NOT IN (SELECT offre_id FROM p WHERE date_creation < DATE '2000-06-01')""",
@@ -204,30 +228,31 @@ ORACLE: dict[str, str] = {
     "dedup_cross_source": f"""WITH {T} SELECT offre_id, source FROM t QUALIFY row_number() OVER (
         PARTITION BY lower(regexp_replace(titre, '[^a-zA-Z0-9À-ɏ ]', '', 'g')), pays, ville
         ORDER BY CASE source WHEN 'src3' THEN 0 WHEN 'src1' THEN 1 WHEN 'src2' THEN 2 ELSE 3 END, offre_id) = 1""",
-    "conform_union": f"""WITH {P} SELECT offre_id, titre, CASE WHEN source <> 'src_a' THEN experience END AS experience,
-        CASE WHEN source <> 'src_b' THEN region END AS region, CASE WHEN source <> 'src_b' THEN pays END AS pays,
-        CASE WHEN source <> 'src_c' THEN CAST(salaire_max AS DOUBLE) END AS salaire_max, source FROM p WHERE length(titre) > 3""",
-    "conform_listing": f"""WITH {P} SELECT offre_id, titre, {_contract} AS type_contrat, ville, region, 'France' AS pays,
-        entreprise, secteur, CAST(salaire_min AS DOUBLE) AS salaire_min,
-        CAST(CASE WHEN salaire_max <= 2147 THEN salaire_max * 1000000 END AS DOUBLE) AS salaire_max,
-        'adzuna' AS source, CASE WHEN rome_code <> '3' THEN date_creation END AS date_creation FROM p WHERE length(titre) > 3""",
-    "conform_labour": rf"""WITH {P}, r AS (SELECT *, regexp_extract(salaire_libelle, '(\d+) - (\d+)', 1) AS a,
+    "conform_union": f"""WITH {P} SELECT {posting(**ALL | {
+        "experience": "CASE WHEN source <> 'src_a' THEN experience END", "region": "CASE WHEN source <> 'src_b' THEN region END",
+        "pays": "CASE WHEN source <> 'src_b' THEN pays END", "salaire_max": "CASE WHEN source <> 'src_c' THEN CAST(salaire_max AS DOUBLE) END"})}
+      FROM p WHERE length(titre) > 3""",
+    "conform_listing": f"""WITH {P} SELECT {posting(**same(
+        "offre_id", "titre", "description", "ville", "region", "latitude", "longitude", "entreprise", "secteur", "salaire_min", "url_offre"),
+        type_contrat=_contract, pays="'France'", source="'adzuna'", date_creation="CASE WHEN rome_code <> '3' THEN date_creation END",
+        salaire_max="CAST(CASE WHEN salaire_max <= 2147 THEN salaire_max * 1000000 END AS DOUBLE)")} FROM p WHERE length(titre) > 3""",
+    "conform_labour": rf"""WITH {P}, r AS (SELECT * EXCLUDE (salaire_min, salaire_max), regexp_extract(salaire_libelle, '(\d+) - (\d+)', 1) AS a,
         regexp_extract(salaire_libelle, '(\d+) - (\d+)', 2) AS b FROM p)
-      SELECT offre_id, titre, {_contract} AS type_contrat, experience, ville, code_postal, longitude, 'France' AS pays,
-        entreprise, secteur, TRY_CAST(a AS DOUBLE) AS salaire_min, TRY_CAST(b AS DOUBLE) AS salaire_max,
-        'france_travail' AS source, date_creation FROM r""",
-    "conform_lenient": f"""WITH {P} SELECT offre_id, titre, type_contrat, ville,
-        'France' AS pays, CAST(salaire_min AS DOUBLE) AS salaire_min, 'adzuna' AS source FROM p""",
-    "partitioned_roundtrip": f"WITH {P} SELECT offre_id, titre, source, pays FROM p",
-    "landing_stream": f"WITH {P} SELECT offre_id, titre, source, CAST(salaire_min AS DOUBLE) AS salaire_min FROM p",
-    "conform_scraped": f"""WITH {P} SELECT md5(concat(titre, '|', coalesce(entreprise, chr(0)), '|', url_offre)) AS offre_id,
-        titre, {_contract} AS type_contrat, region AS ville, region, 'Maroc' AS pays, secteur, 'emploima' AS source,
-        date_creation FROM p WHERE length(titre) > 3""",
-    "sanitise": f"""WITH {P} SELECT offre_id, titre, ville,
-        CASE WHEN pays IN ('ASIA', 'AFRICA') THEN NULL ELSE left(repeat(pays, 20), 50) END AS pays, longitude,
-        CAST(CASE WHEN salaire_min % 3 = 0 THEN salaire_min
-          WHEN salaire_min % 3 = 1 AND salaire_min <= 2147 THEN salaire_min * 1000000 END AS DOUBLE) AS salaire_min,
-        CASE WHEN rome_code <> '2' THEN date_creation END AS date_creation FROM p""",
+      SELECT {posting(**same(
+        "offre_id", "titre", "experience", "description", "ville", "code_postal", "latitude", "longitude", "entreprise", "secteur",
+        "salaire_libelle", "date_creation"), type_contrat=_contract, pays="'France'", source="'france_travail'",
+        salaire_min="TRY_CAST(a AS DOUBLE)", salaire_max="TRY_CAST(b AS DOUBLE)")} FROM r""",
+    "conform_lenient": f"""WITH {P} SELECT {posting(**same("offre_id", "titre", "type_contrat", "ville", "salaire_min"),
+        pays="'France'", source="'adzuna'")} FROM p WHERE length(titre) > 3""",
+    "partitioned_roundtrip": f"WITH {P} SELECT * REPLACE (CAST(salaire_min AS DOUBLE) AS salaire_min, CAST(salaire_max AS DOUBLE) AS salaire_max) FROM p",
+    "landing_stream": f"WITH {P} SELECT {posting(**ALL)} FROM p",
+    "conform_scraped": f"""WITH {P} SELECT {posting(**same("titre", "experience", "region", "entreprise", "secteur", "date_creation"),
+        type_contrat=_contract, ville="region", pays="'Maroc'", source="'emploima'", url_offre="coalesce(CASE WHEN rome_code <> '1' THEN url_offre END, url_offre)",
+        offre_id="md5(concat(titre, '|', coalesce(entreprise, chr(0)), '|', url_offre))")} FROM p WHERE length(titre) > 3""",
+    "sanitise": f"""WITH {P} SELECT {posting(
+        **same("offre_id", "titre", "ville", "longitude"), pays="CASE WHEN pays IN ('ASIA', 'AFRICA') THEN NULL ELSE left(repeat(pays, 20), 50) END",
+        salaire_min="CAST(CASE WHEN salaire_min % 3 = 0 THEN salaire_min WHEN salaire_min % 3 = 1 AND salaire_min <= 2147 THEN salaire_min * 1000000 END AS DOUBLE)",
+        date_creation="CASE WHEN rome_code <> '2' THEN date_creation END")} FROM p""",
     "envelope_roundtrip": "SELECT event_id, user_id, value, props, event_type AS source FROM events",
     "flatten_nested": "SELECT event_id, user_id AS user_id, event_type AS user_action_type, value AS user_action_value FROM events",
     "html_cards": r"""WITH c AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<article\b[^>]*>(.*?)</article>', 1)) AS card,
@@ -253,9 +278,9 @@ ORACLE: dict[str, str] = {
     "skill_summary": f"""WITH {T}, {S}, {COUNTED} SELECT CAST(row_number() OVER (ORDER BY competence_id) AS INT) AS competence_id,
         nom, categorie, n AS nb_offres FROM c""",
     "skill_categories": f"WITH {T}, {S}, {COUNTED} SELECT categorie, count(*) AS nb FROM c GROUP BY categorie",
-    "skill_matrix": f"""WITH {T}, {S}, {B} SELECT offre_id, rome_libelle AS metier, source, type_contrat, experience,
-        nom AS competence, categorie, CAST(salaire_min AS DOUBLE) AS salaire_min,
-        CAST(salaire_max AS DOUBLE) AS salaire_max, salaire_predit_eur, coalesce(ville, 'Non renseigné') AS ville, pays, entreprise, secteur
+    "skill_matrix": f"""WITH {T}, {S}, {B} SELECT offre_id, titre, rome_libelle AS metier, source, type_contrat, experience,
+        nom AS competence, categorie, CAST(salaire_min AS DOUBLE) AS salaire_min, CAST(salaire_max AS DOUBLE) AS salaire_max,
+        salaire_predit_eur, salaire_confiance, coalesce(ville, 'Non renseigné') AS ville, pays, entreprise, secteur
       FROM b JOIN s USING (competence_id) JOIN t USING (offre_id)""",
     "cv_skills": f"WITH {CV} SELECT candidat_id, competences FROM cv",
     "candidate_skills": f"""WITH {CV} SELECT candidat_id, nom, prenom, email, unnest(string_split(competences, ',')) AS competence,
@@ -264,7 +289,7 @@ ORACLE: dict[str, str] = {
       WHERE conv_id IN (SELECT conv_id FROM conversations WHERE turn >= 2)""",
     "candidate_upsert": f"""WITH {CV}, first AS (SELECT * FROM cv WHERE turn = 0),
       last AS (SELECT * FROM cv WHERE turn > 0 QUALIFY row_number() OVER (PARTITION BY email ORDER BY turn DESC) = 1)
-      SELECT email, coalesce(last.nom, first.nom) AS nom, coalesce(last.prenom, first.prenom) AS prenom,
+      SELECT coalesce(CAST(first.candidat_id AS VARCHAR), 'hash') AS candidat_id, email, coalesce(last.nom, first.nom) AS nom, coalesce(last.prenom, first.prenom) AS prenom,
         md5(coalesce(last.texte_cv, first.texte_cv)) AS cv, coalesce(last.competences, first.competences) AS competences,
         CAST(CAST(coalesce(first.updated_at, last.updated_at) AS DATE) AS VARCHAR) AS created_at,
         CAST(CAST(coalesce(last.updated_at, first.updated_at) AS DATE) AS VARCHAR) AS updated_at
@@ -276,7 +301,7 @@ ORACLE: dict[str, str] = {
       SELECT candidat_id, offre_id, CAST(rang AS INT) AS rang, round(score, 9) AS score FROM r WHERE rang <= 10""",
     "vector_refresh": f"""WITH {T} SELECT offre_id, sha256(concat(titre, ' ', description)) AS texte_hash FROM t
       WHERE pays IN ('es', 'de')""",
-    "explain_match": f"""WITH {T}, {CV}, m AS (SELECT candidat_id, offre_id, turn + 1 AS rang,
+    "explain_match": f"""WITH {T}, {CV}, m AS (SELECT candidat_id, offre_id, turn + 1 AS rang, CAST(length(description) % 997 AS DOUBLE) / 1000 AS score,
           CASE WHEN competences = '' THEN [] ELSE string_split(competences, ',') END AS own,
           lower(concat(description, ' ', titre)) AS txt
         FROM cv JOIN t ON CAST(offre_id AS BIGINT) % (SELECT count(DISTINCT conv_id) FROM conversations) = conv_id),
@@ -285,6 +310,7 @@ ORACLE: dict[str, str] = {
       SELECT candidat_id, offre_id, rang,
         CASE WHEN rang <= 5 THEN CASE WHEN len(good) = 0 THEN 'Profil pertinent' ELSE array_to_string(list_transform(good,
           lambda s: concat('Compétence ''', s, ''' requise et présente')), '; ') END END AS forts,
+        CASE WHEN rang <= 5 THEN concat('Score de ', CAST(round_even(100 * score, 1) AS VARCHAR), '% — candidature recommandée !') END AS conseil,
         CASE WHEN rang <= 5 THEN CASE WHEN len(bad) = 0 THEN 'Personnaliser la candidature' ELSE array_to_string(
           list_transform(bad, lambda s: concat('À acquérir : ''', s, '''')), '; ') END END AS ameliorer FROM x""",
     "salary_features": f"""WITH {P}, {T}, a AS (SELECT * FROM p UNION ALL BY NAME SELECT * FROM t)
@@ -296,3 +322,24 @@ ORACLE: dict[str, str] = {
       SELECT offre_id, CASE WHEN n >= 3 THEN 'haute' WHEN n >= 2 THEN 'moyenne' ELSE 'basse' END AS confiance FROM c""",
 }
 ORACLE["skill_top_joined"] = ORACLE["skill_top"]
+LANDED = f"""{P}, k AS (SELECT *, CAST(offre_id AS BIGINT) AS k FROM p), v AS (SELECT *, k % 50 = 1 AS bad, k % 50 <> 1 AND k % 5 = 2 AS odd FROM k)"""
+ORACLE |= {
+    "partitioned_rebuild": f"""WITH {P} SELECT * REPLACE (CAST(salaire_min AS DOUBLE) AS salaire_min, CAST(salaire_max AS DOUBLE) AS salaire_max)
+      FROM p WHERE source = 'src_a' AND pays IS NOT NULL""",
+    "lenient_labour": f"""WITH {P} SELECT {posting(**same("offre_id", "titre", "type_contrat", "ville", "latitude", "salaire_libelle", "rome_code",
+        "date_creation"), pays="'France'", source="'france_travail'")} FROM p WHERE length(titre) > 3""",
+    "lenient_scraped": f"""WITH {P} SELECT {posting(**same("titre", "entreprise", "experience", "type_contrat", "region", "url_offre", "date_creation"),
+        offre_id="md5(concat(titre, '|', coalesce(entreprise, chr(0)), '|', url_offre))", pays="'Maroc'", source="'emploima'")} FROM p""",
+    "landed_records": f"""WITH {LANDED} SELECT offre_id, titre, latitude, CASE WHEN NOT odd THEN CAST(salaire_min AS DOUBLE) END AS salaire_min,
+        CASE WHEN NOT odd THEN entreprise END AS entreprise FROM v WHERE NOT bad""",
+    "landed_files": f"""WITH {LANDED} SELECT source AS dossier, true AS lisible, count(DISTINCT k % 7) AS nb_fichiers,
+        CAST(count(*) FILTER (WHERE NOT bad) AS BIGINT) AS nb_lues, CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS nb_rejetees FROM v GROUP BY source
+      UNION ALL SELECT unnest(['cut', 'blank']), false, 1, 0, 0""",
+    "skill_words": f"WITH {T}, x AS MATERIALIZED (SELECT offre_id, concat(lower(titre), chr(10), lower(description)) AS txt FROM t) " + " UNION ALL ".join(
+        f"SELECT offre_id, CAST({k.competence_id} AS INT) AS competence_id FROM x WHERE regexp_matches(txt, '{whole_word(k.nom)}')"
+        for k in dictionary(CORPUS_SKILLS)),
+    "vector_store": f"""WITH {T} SELECT offre_id, CAST(512 AS BIGINT) AS taille, (SELECT count(*) FROM t WHERE pays <> 'es') AS premiers,
+        (SELECT count(*) FROM t WHERE pays IN ('es', 'de')) AS ensuite FROM t""",
+    "candidate_table": f"""WITH {CV}, x AS (SELECT * FROM cv QUALIFY row_number() OVER (PARTITION BY email ORDER BY turn DESC) = 1)
+      SELECT email, nom, prenom, md5(texte_cv) AS cv, competences FROM x""",
+}

@@ -12,12 +12,13 @@ from vacantia.functions.labels import contract_label
 from vacantia.functions.salary import confidence, estimate, monthly_target, salary_from_text, salary_range
 from vacantia.functions.text import clean_text, key_md5, normalise_title
 from vacantia.operators.dedup import best_source_per_posting, latest_per_key
+from vacantia.operators.keys import hash_key
 from vacantia.operators.merge import delete_insert, insert_ignore, new_rows, sync_schema, update_predictions, \
     upsert_candidates
 from vacantia.operators.profile import field_profile, row_counts
 from vacantia.operators.topk import top_k_similar
-from vacantia.plans import conform, gold, marts, recommend, salary_model, skills, star
-from vacantia.schema import LISTING_API, POSTING_SCHEMA
+from vacantia.plans import conform, gold, marts, pipeline, recommend, salary_model, skills, star
+from vacantia.schema import LABOUR_API, LISTING_API, POSTING_SCHEMA, RECORD_SCHEMAS, SCRAPED_SITE
 from vacantia.session import staging_path
 from vacantia.sources import envelopes, pages
 from vacantia.sources.tables import align, write_partitioned
@@ -147,11 +148,14 @@ def dim_place(spark, sf_dir):
     return star.dim_place(postings(spark, sf_dir), dense=True)
 
 
-_FACT_KEYS = ("offre_id", "date_id", "entreprise_id", "lieu_id", "source", "salaire_min")
+def plain_times(df: DataFrame) -> DataFrame:
+    """Times without a zone, as the given tables have them."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, kind in df.dtypes if kind == "timestamp"})
 
 
 def _fact(spark, sf_dir, match):
-    return star.build_star(star.stage(postings(spark, sf_dir)), dense=True, match=match).fact.select(*_FACT_KEYS)
+    fact = star.build_star(star.stage(postings(spark, sf_dir)), dense=True, match=match, with_predictions=True).fact
+    return plain_times(fact)
 
 
 @query
@@ -166,10 +170,10 @@ def fact_name_key(spark, sf_dir):
 
 @query
 def staging(spark, sf_dir):
-    raw = postings(spark, sf_dir).drop("salaire_confiance")
+    raw = postings(spark, sf_dir).drop("salaire_confiance", "salaire_predit_eur")
     blank = raw.withColumn("titre", F.when(F.col("experience") == "1-URGENT", None).otherwise(F.col("titre")))
-    staged = star.stage(blank.drop("salaire_predit_eur"))
-    return staged.select("offre_id", "titre", "latitude", "salaire_min", "pays", "source")
+    texts = blank.withColumns({c: F.col(c).cast("string") for c in ("latitude", "longitude", "salaire_min", "date_creation")})
+    return plain_times(star.stage(texts.drop("region").withColumn("extra", F.length("offre_id"))))
 
 
 # --- keyed writes --------------------------------------------------------------------------------
@@ -282,7 +286,7 @@ def conform_union(spark, sf_dir):
              rows.filter("source = 'src_c'").drop("salaire_max")]
     aligned = [align(p) for p in parts]
     merged = aligned[0].unionByName(aligned[1]).unionByName(aligned[2])
-    return conform.keep_valid(merged).select("offre_id", "titre", "experience", "region", "pays", "salaire_max", "source")
+    return plain_times(conform.keep_valid(merged))
 
 
 @query
@@ -299,9 +303,7 @@ def conform_listing(spark, sf_dir):
         (F.col("salaire_min") + 0.9).alias("salary_min"), (F.col("salaire_max") * 1e6).alias("salary_max"),
         F.col("url_offre").alias("redirect_url"),
         F.when(F.col("rome_code") == "3", "Non precise").otherwise(F.date_format("date_creation", "yyyy-MM-dd'T'HH:mm:ss")).alias("created"))
-    return conform.clean_source(conform.listing_postings(raw)).select(
-        "offre_id", "titre", "type_contrat", "ville", "region", "pays", "entreprise", "secteur", "salaire_min",
-        "salaire_max", "source", F.col("date_creation").cast("timestamp_ntz").alias("date_creation"))
+    return plain_times(conform.clean_source(conform.listing_postings(raw)))
 
 
 @query
@@ -315,27 +317,59 @@ def conform_labour(spark, sf_dir):
         F.struct(F.col("salaire_libelle").alias("libelle")).alias("salaire"),
         F.date_format("date_creation", "yyyy-MM-dd'T'HH:mm:ss").alias("dateCreation"))
     again = raw.withColumn("dateCreation", F.lit("1990-01-01T00:00:00")).withColumn("intitule", F.lit("older copy"))
-    return conform.clean_source(conform.labour_postings(raw.unionByName(again))).select(
-        "offre_id", "titre", "type_contrat", "experience", "ville", "code_postal", "longitude", "pays", "entreprise", "secteur",
-        "salaire_min", "salaire_max", "source", F.col("date_creation").cast("timestamp_ntz").alias("date_creation"))
+    return plain_times(conform.clean_source(conform.labour_postings(raw.unionByName(again))))
+
+
+def _lenient(raw, source):
+    return plain_times(conform.clean_lenient(conform.lenient_postings(raw, source)))
 
 
 @query
 def conform_lenient(spark, sf_dir):
     rows = postings(spark, sf_dir)
-    raw = rows.select(
+    return _lenient(rows.select(
         F.col("offre_id").alias("id"), F.concat(F.lit(" "), "titre").alias("title"), F.col("type_contrat").alias("contract_type"),
         F.struct(F.col("ville").alias("display_name"), F.array("region").alias("area")).alias("location"),
-        F.col("salaire_min").cast("string").alias("salary_min"))
-    return conform.clean_lenient(conform.lenient_postings(raw, LISTING_API)).select(
-        "offre_id", "titre", "type_contrat", "ville", "pays", "salaire_min", "source")
+        F.col("salaire_min").cast("string").alias("salary_min")), LISTING_API)
+
+
+@query
+def lenient_labour(spark, sf_dir):
+    rows = postings(spark, sf_dir)
+    return _lenient(rows.select(
+        F.col("offre_id").alias("id"), F.col("titre").alias("intitule"), F.col("type_contrat").alias("typeContrat"),
+        F.struct(F.col("ville").alias("libelle"), F.concat("latitude", F.lit(" ")).alias("latitude")).alias("lieuTravail"),
+        F.struct(F.col("salaire_libelle").alias("libelle")).alias("salaire"), F.col("rome_code").alias("romeCode"),
+        F.date_format("date_creation", "yyyy-MM-dd'T'HH:mm:ss").alias("dateCreation")), LABOUR_API)
+
+
+@query
+def lenient_scraped(spark, sf_dir):
+    rows = postings(spark, sf_dir)
+    return _lenient(rows.select(
+        "titre", "entreprise", "experience", "type_contrat", "region", F.col("url_offre").alias("url"),
+        F.date_format("date_creation", "dd.MM.yyyy").alias("date_publication")), SCRAPED_SITE)
 
 
 @query
 def partitioned_roundtrip(spark, sf_dir):
     path = staging_path(spark, "postings")
     write_partitioned(postings(spark, sf_dir), path, ["source", "pays"])
-    return spark.read.parquet(path).select("offre_id", "titre", "source", "pays")
+    return spark.read.parquet(path)
+
+
+@query
+def partitioned_rebuild(spark, sf_dir):
+    """The second write has fewer sources and countries, and replaces the first whatever the session says."""
+    path, rows = staging_path(spark, "postings"), postings(spark, sf_dir)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    try:
+        for session, part in (("STATIC", rows), ("DYNAMIC", rows.filter("source <> 'src_b'")), ("DYNAMIC", rows.filter("source = 'src_a' AND pays IS NOT NULL"))):
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", session)
+            write_partitioned(part, path, ["source", "pays"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    return spark.read.parquet(path)
 
 
 @query
@@ -344,7 +378,7 @@ def landing_stream(spark, sf_dir):
     align(postings(spark, sf_dir)).write.parquet(source)
     for _ in range(2):  # the second run finds nothing new
         landing.land_new_postings(landing.stream_table(spark, source, POSTING_SCHEMA), target, state).awaitTermination()
-    return spark.read.parquet(target).select("offre_id", "titre", "source", "salaire_min")
+    return plain_times(landing.landed(spark, target))
 
 
 @query
@@ -355,9 +389,7 @@ def conform_scraped(spark, sf_dir):
         F.date_format("date_creation", "dd.MM.yyyy").alias("date_publication"),
         F.when(F.col("rome_code") == "1", None).otherwise(F.col("url_offre")).alias("url_offre"),
         F.col("url_offre").alias("url"), F.lit("Maroc").alias("pays"))
-    return conform.clean_source(conform.scraped_postings(raw)).select(
-        "offre_id", "titre", "type_contrat", "ville", "region", "pays", "secteur", "source",
-        F.col("date_creation").cast("timestamp_ntz").alias("date_creation"))
+    return plain_times(conform.clean_source(conform.scraped_postings(raw)))
 
 
 @query
@@ -371,9 +403,7 @@ def sanitise(spark, sf_dir):
         F.when(F.col("salaire_min") % 3 == 0, F.concat("salaire_min", F.lit(".9")))
         .when(F.col("salaire_min") % 3 == 1, F.concat("salaire_min", F.lit("000000"))).otherwise("NaN").alias("salaire_min"),
         F.when(F.col("rome_code") == "2", "bientôt").otherwise(F.date_format("date_creation", "yyyy-MM-dd HH:mm:ss")).alias("date_creation"))
-    return conform.sanitise(junk).select(
-        "offre_id", "titre", "ville", "pays", "longitude", "salaire_min",
-        F.col("date_creation").cast("timestamp_ntz").alias("date_creation"))
+    return plain_times(conform.sanitise(junk))
 
 
 @query
@@ -385,7 +415,42 @@ def envelope_roundtrip(spark, sf_dir):
     packed = envelopes.to_envelopes(events, "2024-01-31_000000", records_per_envelope=1000)
     envelopes.write_envelopes(packed, path)
     record = events.drop("source", "keyword").schema
-    return envelopes.records(envelopes.read_envelopes(spark, path, record))
+    return envelopes.records(envelopes.read_envelopes(spark, path), record)
+
+
+def _landed_folder(spark, sf_dir):
+    """Envelopes as text: numbers that are words, a struct that is a word, records that are none, a cut file, a blank one."""
+    rows = postings(spark, sf_dir).withColumn("k", F.col("offre_id").cast("bigint"))
+    sound = F.to_json(F.struct(
+        F.col("offre_id").alias("id"), F.col("titre").alias("title"), "latitude", F.col("salaire_min").alias("salary_min"),
+        F.struct(F.col("entreprise").alias("display_name")).alias("company")))
+    odd = F.to_json(F.struct(
+        F.col("offre_id").alias("id"), F.col("titre").alias("title"), F.col("latitude").cast("string").alias("latitude"),
+        F.lit("on request").alias("salary_min"), F.col("entreprise").alias("company")))
+    text = F.when(F.col("k") % 50 == 1, F.lit('"no record"')).when(F.col("k") % 5 == 2, odd).otherwise(sound)
+    chunk = F.concat("source", F.lit("_"), F.col("k") % 7)
+    files = rows.groupBy(chunk.alias("keyword"), "source").agg(F.array_join(F.collect_list(text), ",").alias("offres")).select(
+        F.col("source").alias("dossier"),
+        F.concat(F.lit('{"source": "'), "source", F.lit('", "keyword": "'), "keyword", F.lit('", "nb_offres": "many", "offres": ['), "offres", F.lit("]}")).alias("value"))
+    cut = files.limit(1).select(F.lit("cut").alias("dossier"), F.expr("left(value, length(value) - 9)").alias("value"))
+    blank = files.limit(1).select(F.lit("blank").alias("dossier"), F.lit("").alias("value"))
+    path = staging_path(spark, "landed")
+    files.unionByName(cut).unionByName(blank).write.option("maxRecordsPerFile", 1).partitionBy("dossier").text(path)
+    return path
+
+
+@query
+def landed_records(spark, sf_dir):
+    read = envelopes.records(envelopes.read_envelopes(spark, _landed_folder(spark, sf_dir)), RECORD_SCHEMAS[LISTING_API])
+    return conform.listing_postings(read).select("offre_id", "titre", "latitude", "salaire_min", "entreprise")
+
+
+@query
+def landed_files(spark, sf_dir):
+    report = envelopes.landing_report(spark, _landed_folder(spark, sf_dir))
+    folder = F.regexp_extract("fichier", "dossier=([^/]*)/", 1).alias("dossier")
+    return report.groupBy(folder, "lisible").agg(F.count("*").alias("nb_fichiers"), F.sum("nb_lues").alias("nb_lues"),
+                                                 F.sum("nb_rejetees").alias("nb_rejetees"))
 
 
 @query
@@ -429,6 +494,11 @@ def skill_bridge(spark, sf_dir):
     return skills.skill_bridge(text_postings(spark, sf_dir), _DICTIONARY)
 
 
+@query
+def skill_words(spark, sf_dir):
+    return skills.skill_words(text_postings(spark, sf_dir), skills.skill_table(spark, _DICTIONARY))
+
+
 @query
 def skill_top(spark, sf_dir):
     fact = fact_table(star.stage(text_postings(spark, sf_dir)))
@@ -462,8 +532,7 @@ def skill_categories(spark, sf_dir):
 def skill_matrix(spark, sf_dir):
     s = _text_star(spark, sf_dir)
     bridge = skills.skill_bridge(s.fact, _DICTIONARY)
-    return skills.skill_matrix(bridge, skills.skill_table(spark, _DICTIONARY), s.fact, s.dim_place, s.dim_company
-                               ).drop("titre", "salaire_confiance")
+    return skills.skill_matrix(bridge, skills.skill_table(spark, _DICTIONARY), s.fact, s.dim_place, s.dim_company)
 
 
 def _cvs(spark, sf_dir):
@@ -493,7 +562,8 @@ def candidate_upsert(spark, sf_dir):
     rows = _cvs(spark, sf_dir)
     existing = rows.filter("turn = 0").withColumn("created_at", F.col("updated_at"))
     out = upsert_candidates(existing, rows.filter("turn > 0"), F.to_timestamp(F.lit("2024-06-01")))
-    return out.select("email", "nom", "prenom", F.md5("texte_cv").alias("cv"), "competences",
+    known = F.when(F.col("candidat_id") == hash_key(F.col("email")), "hash").otherwise(F.col("candidat_id").cast("string"))
+    return out.select(known.alias("candidat_id"), "email", "nom", "prenom", F.md5("texte_cv").alias("cv"), "competences",
                       F.to_date("created_at").alias("created_at"), F.to_date("updated_at").alias("updated_at"))
 
 
@@ -516,6 +586,28 @@ def vector_refresh(spark, sf_dir):
     return recommend.to_encode(rows, stored, text).select("offre_id", "texte_hash")
 
 
+@query
+def vector_store(spark, sf_dir):
+    """Refreshed twice: some texts change and some postings are new the second time. One vector of today's text for each."""
+    rows, lake = text_postings(spark, sf_dir), pipeline.Lake(staging_path(spark, "lake"))
+    old = rows.filter("pays <> 'es'").withColumn("description", F.when(F.col("pays") == "de", F.lit("old")).otherwise(F.col("description")))
+    first = pipeline.refresh_vectors(spark, lake, old)
+    second = pipeline.refresh_vectors(spark, lake, rows)
+    current = pipeline.current_vectors(spark, lake, rows)
+    return current.select("offre_id", F.size("vector").cast("bigint").alias("taille"), F.lit(first).cast("bigint").alias("premiers"),
+                          F.lit(second).cast("bigint").alias("ensuite"))
+
+
+@query
+def candidate_table(spark, sf_dir):
+    """Registered in two goes; the later CV of a person replaces the earlier one."""
+    lake, people = pipeline.Lake(staging_path(spark, "lake")), bind(spark, sf_dir, CVS).withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    now = F.to_timestamp(F.lit("2024-06-01"))
+    pipeline.register_candidates(spark, lake, people.filter("turn = 0"), now)
+    out = pipeline.register_candidates(spark, lake, people.filter("turn > 0"), now)
+    return out.select("email", "nom", "prenom", F.md5("texte_cv").alias("cv"), "competences")
+
+
 @query
 def explain_match(spark, sf_dir):
     talks = table(spark, sf_dir, "conversations").agg(F.count_distinct("conv_id")).scalar()
@@ -525,8 +617,8 @@ def explain_match(spark, sf_dir):
     pairs = people.join(rows, "conv_id").withColumn("score", (F.col("n") % 997) / 1000).withColumn("rang", F.col("turn") + 1)
     out = recommend.explain_matches(pairs)
     return out.select("candidat_id", "offre_id", "rang", F.col("explication.points_forts").alias("forts"),
-                      F.col("explication.points_amelioration").alias("ameliorer")).withColumns(
-        {c: F.array_join(c, "; ") for c in ("forts", "ameliorer")})
+                      F.col("explication.points_amelioration").alias("ameliorer"), F.col("explication.conseil").alias("conseil")
+                      ).withColumns({c: F.array_join(c, "; ") for c in ("forts", "ameliorer")})
 
 
 @query

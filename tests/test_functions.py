@@ -139,8 +139,10 @@ def test_search_text_keeps_the_whole_description(spark):
 
 
 def test_unescape(spark, x):
-    raw = ["Caf&eacute; &amp; th&#233; &#x2019;", "&amp;lt;", "a & b &#; &#99999999;", None, "plain"]
-    assert values(spark, raw, "string", text.unescape_html(x)) == ["Café & thé ’", "&lt;", "a & b &#; &#99999999;", None, "plain"]
+    raw = ["Caf&eacute; &amp; th&#233; &#x2019;", "&amp;lt;", "a & b &#; &#99999999;", None, "plain", "&#128512; &oelig; &deg;&NotEqualTilde;", "&#xD800;&#0;",
+           "&nosuchname; &eacute &#x1F600;x", "&", "&&amp;"]
+    assert values(spark, raw, "string", text.unescape_html(x)) == [
+        "Café & thé ’", "&lt;", "a & b &#; \ufffd", None, "plain", "\U0001F600 œ °≂̸", "\ufffd\ufffd", "&nosuchname; &eacute \U0001F600x", "&", "&&"]
 
 
 def test_links(spark, x):

@@ -81,13 +81,11 @@ def test_save_load_reuse(spark, model, table, tmp_path):
     assert sm.model_status(spark, path)["available"]
 
 
-def test_many_values_are_hashed(table, monkeypatch):
-    wide = sm.training_rows(sm.engineer_features(table.withColumn("secteur", F.col("offre_id"))))
-    listed, hashed = sm.split_categories(wide, limit=50)
-    assert hashed == ["secteur"] and "pays" in listed
-    monkeypatch.setattr(sm, "MAX_LISTED_VALUES", 50)
-    model = sm.train(table.withColumn("secteur", F.col("offre_id")), sm.ModelSettings(terms=10, trees=2, folds=0))
-    assert model.metrics["n_train"] > 0
+def test_named_categories_are_hashed(table):
+    settings = sm.ModelSettings(terms=10, trees=2, folds=0, hashed=("secteur",))
+    model = sm.train(table.withColumn("secteur", F.col("offre_id")), settings)
+    hasher, = [s for s in model.pipeline.stages if type(s).__name__ == "FeatureHasher"]
+    assert hasher.getInputCols() == ["secteur"] and model.metrics["n_train"] > 0
 
 
 def test_too_few_rows(spark):

@@ -22,12 +22,17 @@ def test_bad_and_empty_files(spark, tmp_path):
     write(folder, "a.json", envelope("s", {"id": "1", "intitule": "x", "lieuTravail": {"libelle": "Paris"}}))
     write(folder, "b.json", envelope("s"))
     write(folder, "c.json", json.dumps(envelope("s", {"id": "2"}))[:-20])
-    read = envelopes.read_envelopes(spark, f"{folder}/*.json", LABOUR_RECORD)
-    rows = envelopes.records(read).collect()
-    assert [(r.id, r.lieuTravail.libelle, r.entreprise, r.source) for r in rows] == [("1", "Paris", None, "s")]
-    bad = envelopes.rejected_files(spark, f"{folder}/*.json", LABOUR_RECORD)
-    assert [r.fichier.rsplit("/", 1)[1] for r in bad.collect()] == ["c.json"]
-    assert bad.count() == 1
+    write(folder, "d.json", "")
+    write(folder, "e.json", envelope("s", {"id": "3", "entreprise": "ACME", "lieuTravail": {"latitude": "48.85", "longitude": "far"}}, "none", None, {"id": 4}))
+    read = envelopes.read_envelopes(spark, f"{folder}/*.json")
+    rows = sorted(envelopes.records(read, LABOUR_RECORD).collect(), key=lambda r: r.id)
+    assert [(r.id, r.lieuTravail and r.lieuTravail.libelle, r.entreprise, r.source) for r in rows] == [
+        ("1", "Paris", None, "s"), ("3", None, None, "s"), ("4", None, None, "s")]
+    assert (rows[1].lieuTravail.latitude, rows[1].lieuTravail.longitude) == ("48.85", "far")
+    report = {r.fichier.rsplit("/", 1)[1]: (r.lisible, r.nb_lues, r.nb_rejetees) for r in envelopes.landing_report(spark, f"{folder}/*.json").collect()}
+    assert report == {"a.json": (True, 1, 0), "b.json": (True, 0, 0), "c.json": (False, 0, 0), "d.json": (False, 0, 0), "e.json": (True, 2, 2)}
+    bad = envelopes.rejected(envelopes.landing_report(spark, f"{folder}/*.json"))
+    assert sorted(r.fichier.rsplit("/", 1)[1] for r in bad.collect()) == ["c.json", "d.json", "e.json"]
 
 
 def test_envelopes_are_bounded_and_round_trip(spark, tmp_path):
@@ -36,8 +41,11 @@ def test_envelopes_are_bounded_and_round_trip(spark, tmp_path):
     packed = envelopes.to_envelopes(df, "2026", records_per_envelope=50)
     sizes = [(r.nb_offres, len(r.offres)) for r in packed.collect()]
     assert all(n == m <= 50 for n, m in sizes) and sum(n for n, _ in sizes) == 1000
+    small = envelopes.to_envelopes(df, "2026", bytes_per_envelope=500)
+    assert all(sum(len(json.dumps(o.asDict(True), separators=(",", ":"))) for o in r.offres) <= 600 for r in small.collect())
+    assert small.agg(F.sum("nb_offres")).first()[0] == 1000 and small.count() < 200
     envelopes.write_envelopes(packed, str(tmp_path / "out"))
-    back = envelopes.records(envelopes.read_envelopes(spark, str(tmp_path / "out"), df.drop("source", "keyword").schema))
+    back = envelopes.records(envelopes.read_envelopes(spark, str(tmp_path / "out")), df.drop("source", "keyword").schema)
     assert sorted((r.source, r.id, r.nested.x) for r in back.collect()) == sorted(
         ("a" if i % 3 == 0 else "b", i, 2 * i) for i in range(1000))
 
@@ -89,6 +97,28 @@ def test_partition_pruning(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(source" in plan_of(read)
 
 
+@pytest.mark.parametrize("mode", ["STATIC", "DYNAMIC"])
+def test_a_rebuild_replaces_all_partitions(spark, tmp_path, mode):
+    path, df = str(tmp_path / "p"), spark.createDataFrame([("1", "a"), ("2", "b")], "offre_id STRING, source STRING")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        tables.write_partitioned(df, path, ["source"])
+        tables.write_partitioned(df.filter("source = 'a'"), path, ["source"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert [r.offre_id for r in spark.read.parquet(path).collect()] == ["1"]
+
+
+def test_append_with_other_columns_and_retention(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(5):
+        tables.publish(spark.range(i, i + 1), path)
+    assert sorted(f.name for f in (tmp_path / "t").iterdir()) == ["v3", "v4", "v5"]
+    tables.append_current(spark.createDataFrame([(9, "x")], "id LONG, extra STRING"), path)
+    assert sorted((r.id, r.extra) for r in tables.read_current(spark, path).collect()) == [(4, None), (9, "x")]
+
+
 def test_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.read_current(spark, path) is None

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -34,11 +36,6 @@ def key_md5(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit(NULL_MARK)) for p in parts]))
 
 
-def contains_ci(text: Column, needle: Column) -> Column:
-    """Case-insensitive substring test; false when either side is NULL."""
-    return F.coalesce(F.contains(F.lower(text), F.lower(needle)), F.lit(False))
-
-
 def found_names(lowered: Column, names: Sequence[str], values: Sequence[object] | None = None) -> Column:
     """Array of the names contained in an already lower-cased text, in list order.
 
@@ -85,33 +82,31 @@ def fold_accents(c: Column) -> Column:
     )
 
 
-# Named character references common in French pages. `&amp;` is decoded last.
-_NAMED_REFERENCES = {
-    "&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'",
-    "&eacute;": "é", "&egrave;": "è", "&ecirc;": "ê", "&euml;": "ë", "&agrave;": "à", "&acirc;": "â",
-    "&ccedil;": "ç", "&icirc;": "î", "&iuml;": "ï", "&ocirc;": "ô", "&ugrave;": "ù", "&ucirc;": "û",
-    "&Eacute;": "É", "&Agrave;": "À", "&Ccedil;": "Ç", "&rsquo;": "’", "&lsquo;": "‘", "&ndash;": "–",
-    "&mdash;": "—", "&euro;": "€", "&hellip;": "…", "&laquo;": "«", "&raquo;": "»", "&amp;": "&",
-}
+def _references() -> Column:
+    """Named character references, from the table of the HTML standard in Python's library, as a constant map."""
+    named = {name[:-1]: letters for name, letters in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(named)), "map<string,string>")
 
 
 def unescape_html(c: Column) -> Column:
-    """Decode numeric (basic plane) and common named character references."""
-    pieces = F.split(c, "&#")
+    """Decode character references that end with a semicolon: all names of the HTML standard and all code points.
+
+    A number that is no character gives the replacement character; an unknown name stays. Each reference is decoded once.
+    """
+    pieces, names = F.split(c, "&"), _references()
 
     def decode(piece: Column) -> Column:
-        number = F.regexp_extract(piece, r"^([xX][0-9a-fA-F]{1,4}|[0-9]{1,5});", 1)
-        digits = F.when(number.rlike("^[xX]"), F.substring(number, 2, 4)).otherwise(F.hex(number.try_cast("bigint")))
-        letter = F.decode(F.unhex(F.lpad(digits, 4, "0")), "UTF-16BE")
-        decoded = F.concat(letter, F.substr(piece, F.length(number) + 2))
-        return F.when((number == "") | (F.length(digits) > 4), F.concat(F.lit("&#"), piece)).otherwise(decoded)
+        name = F.regexp_extract(piece, r"^(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9]*);", 1)
+        point = F.when(name.rlike("^#[xX]"), F.conv(F.right(F.concat(F.lit("000000000000"), F.substr(name, F.lit(3))), F.lit(12)), 16, 10)
+                       ).otherwise(F.substr(name, F.lit(2))).try_cast("bigint")
+        valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        letter = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        value = F.when(F.startswith(name, F.lit("#")), letter).otherwise(F.try_element_at(names, name))
+        known = F.concat(value, F.substr(piece, F.length(name) + 2))
+        return F.coalesce(F.when(name != "", known), F.concat(F.lit("&"), piece))
 
-    head = F.get(pieces, F.lit(0))
     tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), decode)
-    out = F.concat(head, F.array_join(tail, ""))
-    for reference, letter in _NAMED_REFERENCES.items():
-        out = F.replace(out, F.lit(reference), F.lit(letter))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+    return F.when(F.contains(c, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))).otherwise(c)
 
 
 def absolute_link(base: str, href: Column) -> Column:

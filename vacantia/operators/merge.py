@@ -15,9 +15,12 @@ def known_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def new_rows(target: DataFrame, batch: DataFrame, key: str = "offre_id", order: tuple[Column, ...] = ()) -> DataFrame:
-    """Rows of the batch, one per key, whose key is not in the target yet (insert, ignore on conflict)."""
-    unique = first_per_key(batch, [key], list(order))
-    return unique.join(known_keys(target, key), key, "left_anti")
+    """Rows of the batch, one per key, whose key is not in the target yet (insert, ignore on conflict).
+
+    Known rows go first, so that only new ones are ordered.
+    """
+    unknown = batch.join(known_keys(target, key), key, "left_anti").select(*batch.columns)
+    return first_per_key(unknown, [key], list(order))
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, key: str = "offre_id",

@@ -46,40 +46,37 @@ def salary_market(fact: DataFrame, places: DataFrame) -> DataFrame:
     """Salaries by occupation, country, city, contract and experience: means, means with the predicted band
     as fallback, and the exact median of the estimate.
 
-    Postings are aggregated by place id and estimate before they meet the places, so the join carries
-    counted values and a place holding much of the table is one row per value. Groups are formed on the
-    raw place values: a NULL and its printed label are two groups.
+    Postings are counted once, by place id and their three amounts, before they meet the places: all means and the median
+    follow from these counts, so both branches read one shuffle of narrow rows, and a place holding much of the table is one
+    row per value. Groups are formed on the raw place values: a NULL and its printed label are two groups.
     """
-    low, high, predicted = (F.col(c).cast(EXACT) for c in ("salaire_min", "salaire_max", "salaire_predit_eur"))
+    amounts = ["salaire_min", "salaire_max", "salaire_predit_eur"]
+    counted = (
+        fact.filter(F.col("salaire_min").isNotNull() | F.col("salaire_predit_eur").isNotNull())
+        .groupBy("rome_libelle", "lieu_id", "type_contrat", "experience", *amounts).agg(F.count("*").alias("n"))
+    )
+    placed = counted.join(places.select("lieu_id", "pays", "ville"), "lieu_id", "left")
+    keys = ["rome_libelle", "pays", "ville", "type_contrat", "experience"]
+    valued = placed.withColumn("_v", estimate(*[F.col(a) for a in amounts]))
+    medians = aggregate_with_median(valued, keys, "_v", "_median", weight="n")
+
+    low, high, predicted = (F.col(c).cast(EXACT) for c in amounts)
     parts = {
         "min": low, "max": high, "pred": predicted,
         "emin": F.coalesce(low, (predicted * F.lit(LOW_BAND).cast("decimal(2,1)")).cast(EXACT)),
         "emax": F.coalesce(high, (predicted * F.lit(HIGH_BAND).cast("decimal(2,1)")).cast(EXACT)),
     }
-    keys = ["rome_libelle", "lieu_id", "type_contrat", "experience"]
-    by_place = (
-        fact.filter(F.col("salaire_min").isNotNull() | F.col("salaire_predit_eur").isNotNull())
-        .select(*keys, estimate(F.col("salaire_min"), F.col("salaire_max"), F.col("salaire_predit_eur")).alias("_v"),
-                *[c.alias(n) for n, c in parts.items()])
-        .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("n"), *[F.expr(f"sum({n}) AS s_{n}") for n in parts],
-             *[F.expr(f"count({n}) AS n_{n}") for n in parts])
-    )
-    placed = by_place.join(places.select("lieu_id", "pays", "ville"), "lieu_id", "left")
-    carried = ["n", *[f"{p}_{n}" for n in parts for p in ("s", "n")]]
-    out = aggregate_with_median(
-        placed, ["rome_libelle", "pays", "ville", "type_contrat", "experience"], "_v", "_median",
-        sums=carried, weight="n")
-
-    def mean(name: str) -> Column:
-        return rounded_ratio(F.col(f"s_{name}"), F.col(f"n_{name}"))
-
+    n = F.col("n")
+    means = placed.groupBy(*keys).agg(F.sum(n).alias("nb_offres"), *[
+        rounded_ratio(F.sum(c * n), F.sum(F.when(c.isNotNull(), n))).alias(f"_{name}") for name, c in parts.items()])
+    group = F.struct(*keys)  # compares NULL parts as equal
+    out = means.withColumn("_g", group).join(medians.select(group.alias("_g"), "_median"), "_g")
     return out.select(
         F.col("rome_libelle").alias("metier"), or_label(F.col("pays"), DEFAULT_COUNTRY).alias("pays"),
-        or_label(F.col("ville")).alias("ville"), "type_contrat", "experience", F.col("n").alias("nb_offres"),
-        mean("min").alias("salaire_moyen_min"), mean("max").alias("salaire_moyen_max"),
-        mean("emin").alias("salaire_moyen_estime_min"), mean("emax").alias("salaire_moyen_estime_max"),
-        mean("pred").alias("salaire_predit_moyen"), F.round("_median", 0).alias("salaire_mediane"))
+        or_label(F.col("ville")).alias("ville"), "type_contrat", "experience", "nb_offres",
+        F.col("_min").alias("salaire_moyen_min"), F.col("_max").alias("salaire_moyen_max"),
+        F.col("_emin").alias("salaire_moyen_estime_min"), F.col("_emax").alias("salaire_moyen_estime_max"),
+        F.col("_pred").alias("salaire_predit_moyen"), F.round("_median", 0).alias("salaire_mediane"))
 
 
 def _means() -> list[Column]:

@@ -5,18 +5,20 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vacantia.operators.merge import new_rows, update_predictions
+from vacantia.operators.merge import new_rows, update_predictions, upsert_candidates
 from vacantia.operators.profile import duplicate_keys
-from vacantia.plans import gold, marts, skills, star
+from vacantia.plans import gold, marts, recommend, salary_model, skills, star
 from vacantia.plans.conform import CONFORMERS, clean_source, sanitise, unify
-from vacantia.schema import RECORD_SCHEMAS
+from vacantia.schema import CANDIDATE_SCHEMA, RECORD_SCHEMAS
+from vacantia.session import staging_path
 from vacantia.sources import envelopes
-from vacantia.sources.tables import (append_current, publish, read_current, read_sources, reload_if_any, try_read,
-                                     write_named, write_partitioned)
+from vacantia.sources.tables import (align, append_current, current_path, publish, read_current, read_sources, reload_if_any,
+                                     replace_in_partitions, try_read, write_named, write_partitioned)
 
 log = logging.getLogger(__name__)
 
@@ -44,8 +46,22 @@ class Lake:
 
 def silver_of_source(spark: SparkSession, source: str, files: str) -> DataFrame:
     """Clean postings of one source from its landed files."""
-    landed = envelopes.read_envelopes(spark, files, RECORD_SCHEMAS[source])
-    return clean_source(CONFORMERS[source](envelopes.records(landed)))
+    landed = envelopes.records(envelopes.read_envelopes(spark, files), RECORD_SCHEMAS[source])
+    return clean_source(CONFORMERS[source](landed))
+
+
+def landing_rejects(spark: SparkSession, landed: Mapping[str, str]) -> DataFrame:
+    """Files of all sources that could not be read, or not in whole, with the number of records rejected."""
+    parts = []
+    for source, files in landed.items():
+        try:
+            report = envelopes.rejected(envelopes.landing_report(spark, files))
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        parts.append(report.select(F.lit(source).alias("source"), "*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def build_silver(spark: SparkSession, landed: Mapping[str, str], lake: Lake) -> list[str]:
@@ -67,68 +83,146 @@ def build_silver(spark: SparkSession, landed: Mapping[str, str], lake: Lake) ->
 
 
 def load_raw(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Append unified postings with unseen ids to the raw table."""
+    """Append unified postings with unseen ids to the raw table. Returns the rows appended."""
     raw, batch = lake.table("raw_offres"), sanitise(spark.read.parquet(lake.unified))
     known = read_current(spark, raw)
     fresh = new_rows(batch.limit(0) if known is None else known, batch, order=(F.col("date_creation").desc_nulls_last(),))
+    staged = staging_path(spark, "fresh")  # the table they are found against is about to hold them
+    fresh.write.parquet(staged)
+    fresh = spark.read.schema(fresh.schema).parquet(staged)
     append_current(fresh, raw)
-    return read_current(spark, raw)
+    return fresh
 
 
-def load_star(spark: SparkSession, lake: Lake, raw: DataFrame) -> star.Star:
-    """Rebuild the dimensions, append new postings to the fact. Hash keys tie old and new rows alike."""
-    staged = star.stage(raw)
+def load_star(spark: SparkSession, lake: Lake, fresh: DataFrame) -> star.Star:
+    """Append what new postings bring to the dimensions and to the fact. Hash keys tie old and new rows alike; postings
+    that are known are not read."""
+    staged = star.stage(fresh)
     dims = {"dim_date": star.dim_date(staged), "dim_entreprise": star.dim_company(staged),
             "dim_lieu": star.dim_place(staged)}
-    written = {name: publish(df, lake.table(name)) for name, df in dims.items()}
-    for df in written.values():
+    for name, df in dims.items():
+        known, key = read_current(spark, lake.table(name)), df.columns[0]
+        append_current(df if known is None else _unknown(df, known), lake.table(name))
         # Two natural keys with one hash would mix their postings.
-        if not duplicate_keys(df, df.columns[0]).isEmpty():
-            raise ValueError(f"{df.columns[0]} is not unique; build this star with dense ids")
+        if not duplicate_keys(read_current(spark, lake.table(name)), key).isEmpty():
+            raise ValueError(f"{key} is not unique; build this star with dense ids")
     fact = lake.table("fact_offres")
+    rows = with_month(star.fact_by_hash(staged))
     known = read_current(spark, fact)
-    rows = star.fact_by_hash(staged)
-    append_current(rows if known is None else new_rows(known, rows), fact)
-    return star.Star(read_current(spark, fact), written["dim_date"], written["dim_entreprise"], written["dim_lieu"])
+    append_current(rows if known is None else new_rows(known, rows), fact, [MONTH])
+    return read_star(spark, lake)
 
 
-def load_skills(spark: SparkSession, lake: Lake, raw: DataFrame, fact: DataFrame) -> bool:
-    """Replace the skill dimension by the skills found, and the bridge with it; nothing found changes nothing."""
-    found = skills.skill_summary(raw, skills.dictionary())
-    if not reload_if_any(found, lake.table("dim_competence")):
+def _unknown(df: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows whose natural key the dimension does not hold; NULL parts are equal."""
+    row = F.struct(*df.columns)
+    return df.withColumn("_row", row).join(known.select(row.alias("_row")), "_row", "left_anti").drop("_row")
+
+
+MONTH = "mois_creation"
+
+
+def with_month(fact: DataFrame) -> DataFrame:
+    """The fact with the month it is partitioned by."""
+    return fact.withColumn(MONTH, F.date_format("date_creation", "yyyy-MM"))
+
+
+def load_skills(spark: SparkSession, lake: Lake, fresh: DataFrame, fact: DataFrame) -> bool:
+    """Add the skills of new postings to the skill dimension and the bridge; nothing found changes nothing.
+
+    Only new postings are searched. Skills keep their number; one not seen before gets the next ones.
+    """
+    dim, bridge = lake.table("dim_competence"), lake.table("bridge_offre_competence")
+    found = skills.skill_summary(fresh, skills.dictionary())
+    known = read_current(spark, dim)
+    if known is not None and found.isEmpty():
+        return False
+    if not reload_if_any(found if known is None else skills.add_counts(known, found), dim):
         return False
-    names = skills.read_dictionary(read_current(spark, lake.table("dim_competence")))
-    publish(skills.skill_bridge(fact, names), lake.table("bridge_offre_competence"))
+    names = skills.read_dictionary(read_current(spark, dim))
+    rows = fact.join(fresh.select("offre_id"), "offre_id", "left_semi")
+    append_current(skills.skill_bridge(rows, names), bridge)
     return True
 
 
 def apply_predictions(spark: SparkSession, lake: Lake, predictions: DataFrame, at: Column) -> int:
-    """Write predictions into the fact as a new version; returns the number of rows changed."""
+    """Write predictions into the fact; returns the number of rows changed. Only months with changed rows are written anew."""
     fact = lake.table("fact_offres")
     updated = update_predictions(read_current(spark, fact), predictions, at)
-    # The count reads four narrow columns; the table is written once, and only if something changes.
-    changed = updated.filter("modifie").count()
-    if changed:
-        publish(updated.drop("modifie"), fact)
-    return changed
+    staged = staging_path(spark, "changed")
+    updated.filter("modifie").drop("modifie").write.parquet(staged)
+    changed = spark.read.parquet(staged)
+    n = changed.count()
+    if n:
+        replace_in_partitions(changed, current_path(spark, fact), "offre_id", MONTH)
+    return n
+
+
+def predict_salaries(spark: SparkSession, lake: Lake, at: Column, force: bool = False,
+                     settings: salary_model.ModelSettings = salary_model.ModelSettings()) -> int:
+    """Train or load the model, predict the postings without a salary, export the predictions to gold and write them into the
+    fact. Returns the number of postings changed."""
+    raw = read_current(spark, lake.table("raw_offres"))
+    model = salary_model.train_or_load(raw, lake.table("modele_salaire"), force, settings)
+    predicted = salary_model.predict_batch(model, raw).filter(F.col(salary_model.PREDICTED).isNotNull())
+    export = salary_model.prediction_export(predicted, at)
+    written = publish(export, f"{lake.gold}/salaires_predits")
+    return apply_predictions(spark, lake, written, at)
+
+
+def refresh_vectors(spark: SparkSession, lake: Lake, postings: DataFrame, refit: bool = False) -> int:
+    """Encode the postings whose text has no vector of the current model yet, and append the vectors. Returns their number.
+
+    The text model is stored with the vectors and carries on until ``refit`` asks for a new one.
+    """
+    path = lake.table("modele_texte")
+    version, model = recommend.train_or_load_text_model(spark, postings, path, refit)
+    stored = read_current(spark, lake.table("vecteurs"))
+    text = recommend.posting_text()
+    known = postings.sparkSession.createDataFrame([], "offre_id string, texte_hash string") if stored is None else \
+        stored.filter(F.col("modele") == version)
+    fresh = recommend.refresh_vectors(postings, known, model, text).withColumn("modele", F.lit(version))
+    staged = staging_path(spark, "vectors")
+    fresh.write.parquet(staged)
+    written = spark.read.schema(fresh.schema).parquet(staged)
+    append_current(written, lake.table("vecteurs"))
+    return written.count()
+
+
+def current_vectors(spark: SparkSession, lake: Lake, postings: DataFrame) -> DataFrame:
+    """(offre_id, vector): one for each posting with a vector of its current text by the current model."""
+    stored = read_current(spark, lake.table("vecteurs"))
+    version = recommend.text_model_version(spark, lake.table("modele_texte"))
+    today = recommend.hashed_texts(postings, recommend.posting_text()).select("offre_id", "texte_hash").distinct()
+    return stored.filter(F.col("modele") == version).join(today, ["offre_id", "texte_hash"], "left_semi").select("offre_id", "vector")
+
+
+def register_candidates(spark: SparkSession, lake: Lake, incoming: DataFrame, now: Column) -> DataFrame:
+    """Insert or update candidates by email in the stored table; returns the table."""
+    path = lake.table("candidats")
+    known = read_current(spark, path)
+    existing = spark.createDataFrame([], CANDIDATE_SCHEMA) if known is None else known
+    return publish(align(upsert_candidates(existing, skills.with_cv_skills(incoming), now), CANDIDATE_SCHEMA), path)
 
 
 def run_daily(spark: SparkSession, landed: Mapping[str, str], lake: Lake) -> dict[str, object]:
-    """All stages in order. Returns the sources built, the gold tables written, the quality of the unified
-    table and the rows per source in the raw table."""
+    """All stages in order. Returns the sources built, the landed files that were rejected in whole or in part, the gold
+    tables written, the quality of the unified table and the rows per source in the raw table."""
     sources = build_silver(spark, landed, lake)
-    raw = load_raw(spark, lake)
-    tables = load_star(spark, lake, raw)
-    load_skills(spark, lake, raw, tables.fact)
+    fresh = load_raw(spark, lake)
+    tables = load_star(spark, lake, fresh)
+    load_skills(spark, lake, fresh, tables.fact)
     unified = spark.read.parquet(lake.unified)
     written: Sequence[str] = write_named(gold.gold_tables(unified), lake.gold, gold.SKIP_WHEN_EMPTY)
-    return {"sources": sources, "gold": list(written), "quality": marts.silver_quality(unified),
-            "rows": marts.distribution(raw, "source")}
+    return {"sources": sources, "rejects": landing_rejects(spark, landed), "gold": list(written),
+            "quality": marts.silver_quality(unified),
+            "rows": marts.distribution(read_current(spark, lake.table("raw_offres")), "source")}
 
 
 def read_star(spark: SparkSession, lake: Lake) -> star.Star:
     names = ("fact_offres", "dim_date", "dim_entreprise", "dim_lieu")
-    return star.Star(*[read_current(spark, lake.table(n)) for n in names])
+    fact, *dims = [read_current(spark, lake.table(n)) for n in names]
+    return star.Star(fact.drop(MONTH), *dims)
 
 
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame | None:

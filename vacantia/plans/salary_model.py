@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (CountVectorizer, FeatureHasher, IDF, NGram, Normalizer, OneHotEncoder, RegexTokenizer,
@@ -28,14 +29,16 @@ TARGET = "salaire_cible"
 PREDICTED = "salaire_predit_eur"
 MODEL_TAG = "gradient_boosting_v1"
 
-# Above this many values a category is hashed instead of listed: the list would pass through the driver.
-MAX_LISTED_VALUES = 500
 HASHED_SIZE = 1 << 12
 
 
 @dataclass(frozen=True)
 class ModelSettings:
-    """The defaults are those of the model to reproduce."""
+    """The defaults are those of the model to reproduce.
+
+    Categories named in ``hashed`` get ``HASHED_SIZE`` columns by a hash; the others one for each value, the list of which
+    passes through the driver. Name those with many values.
+    """
 
     terms: int = 300
     trees: int = 200
@@ -47,6 +50,7 @@ class ModelSettings:
     test_percent: int = 20
     folds: int = 5
     at_least: int = 20
+    hashed: tuple[str, ...] = ()
 
 
 @dataclass
@@ -159,13 +163,6 @@ def feature_stages(terms: int, listed: Sequence[str], hashed: Sequence[str]) ->
     return stages
 
 
-def split_categories(rows: DataFrame, limit: int = MAX_LISTED_VALUES) -> tuple[list[str], list[str]]:
-    """Categories with few values, and those with many."""
-    seen = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORIES]).first()
-    listed = [c for c in CATEGORIES if seen[c] <= limit]
-    return listed, [c for c in CATEGORIES if c not in listed]
-
-
 def _share(key: str, seed: int, parts: int) -> Column:
     """Part 0..parts-1 of a row by a hash of its id: the same in every run and after a lost executor."""
     return F.pmod(F.xxhash64(F.lit(seed), F.col(key).cast("string")), F.lit(parts))
@@ -182,38 +179,44 @@ def train(postings: DataFrame, settings: ModelSettings = ModelSettings(), key: s
         F.count_if(F.col(TARGET).between(*TARGET_RANGE)).alias("usable")).first()
     if counts.usable < settings.at_least:
         raise ValueError(f"{counts.usable} rows with a usable salary, {settings.at_least} are needed")
-    rows = training_rows(features).select(*columns)
-    listed, hashed = split_categories(rows)
-
-    def pipeline() -> Pipeline:
-        regressor = GBTRegressor(
-            featuresCol="_features", labelCol=TARGET, predictionCol="prediction", maxIter=settings.trees,
-            stepSize=settings.rate, maxDepth=settings.depth, minInstancesPerNode=settings.leaf,
-            subsamplingRate=settings.subsample, seed=settings.seed)
-        return Pipeline(stages=[*feature_stages(settings.terms, listed, hashed), regressor])
-
-    def score(model: PipelineModel, test: DataFrame, metric: str) -> float:
-        return RegressionEvaluator(labelCol=TARGET, metricName=metric).evaluate(model.transform(test))
-
-    held_out = _share(key, settings.seed, 100) < settings.test_percent
-    fit_rows, test_rows = rows.filter(~held_out).persist(), rows.filter(held_out).persist()
+    rows = training_rows(features).select(*columns).persist()
+    listed = [c for c in CATEGORIES if c not in settings.hashed]
+    regressor = GBTRegressor(
+        featuresCol="_features", labelCol=TARGET, predictionCol="prediction", maxIter=settings.trees,
+        stepSize=settings.rate, maxDepth=settings.depth, minInstancesPerNode=settings.leaf,
+        subsamplingRate=settings.subsample, seed=settings.seed)
+
+    def fit_and_score(fit_on: Column) -> tuple[PipelineModel, dict[str, float]]:
+        """Fit features and trees on some rows, score on the rest. Features are computed once for both."""
+        stages = Pipeline(stages=feature_stages(settings.terms, listed, settings.hashed)).fit(rows.filter(fit_on))
+        vectors = stages.transform(rows).select("_features", TARGET, fit_on.alias("_fit")).persist()
+        try:
+            trees = regressor.fit(vectors.filter("_fit"))
+            scored = trees.transform(vectors.filter("NOT _fit"))
+            scores = {m: RegressionEvaluator(labelCol=TARGET, metricName=m).evaluate(scored) for m in ("mae", "r2")}
+            sizes = {r["_fit"]: r["count"] for r in vectors.groupBy("_fit").count().collect()}
+        finally:
+            vectors.unpersist()
+        scores |= {"n_train": sizes.get(True, 0), "n_test": sizes.get(False, 0)}
+        return PipelineModel([*stages.stages, trees]), scores
+
+    splits = [_share(key, settings.seed, 100) >= settings.test_percent]
+    if settings.folds > 1:
+        splits += [_share(key, settings.seed + 1, settings.folds) != i for i in range(settings.folds)]
     try:
-        model = pipeline().fit(fit_rows)
-        metrics = {
-            "mae_eur": score(model, test_rows, "mae"), "r2_score": score(model, test_rows, "r2"),
-            "n_train": fit_rows.count(), "n_test": test_rows.count(),
-            "n_offres_total": counts.n_offres_total, "n_sans_salaire": counts.n_sans_salaire,
-        }
-        if settings.folds > 1:
-            fold = _share(key, settings.seed + 1, settings.folds)
-            scores = [score(pipeline().fit(rows.filter(fold != i)), rows.filter(fold == i), "r2")
-                      for i in range(settings.folds)]
-            mean = sum(scores) / len(scores)
-            metrics["cv_r2_mean"] = mean
-            metrics["cv_r2_std"] = (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5
+        # Boosting is a chain of short jobs; the splits' chains run side by side.
+        with ThreadPool(len(splits)) as pool:
+            fitted = pool.map(inheritable_thread_target(postings.sparkSession)(fit_and_score), splits)
     finally:
-        fit_rows.unpersist()
-        test_rows.unpersist()
+        rows.unpersist()
+    model, held_out = fitted[0]
+    metrics = {"mae_eur": held_out["mae"], "r2_score": held_out["r2"], "n_train": held_out["n_train"], "n_test": held_out["n_test"],
+               "n_offres_total": counts.n_offres_total, "n_sans_salaire": counts.n_sans_salaire}
+    if settings.folds > 1:
+        scores = [s["r2"] for _, s in fitted[1:]]
+        mean = sum(scores) / len(scores)
+        metrics["cv_r2_mean"] = mean
+        metrics["cv_r2_std"] = (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5
     return SalaryModel(model, metrics)
 
 

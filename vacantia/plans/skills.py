@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from vacantia.functions.measures import exact_sum, percent, rounded_ratio
 from vacantia.functions.text import found_names, join_list, split_list
@@ -45,7 +45,6 @@ CV_SKILLS: tuple[str, ...] = (
 )
 
 BRIDGE_FIELD = "description"
-MAX_DICTIONARY = 5_000
 
 
 class Skill(NamedTuple):
@@ -65,11 +64,39 @@ def skill_table(spark: SparkSession, skills: Sequence[Skill]) -> DataFrame:
 
 
 def read_dictionary(table: DataFrame) -> list[Skill]:
-    """A stored skill dimension as a dictionary. Its size is checked: it becomes part of the plan."""
-    rows = table.select("competence_id", "nom", "categorie").limit(MAX_DICTIONARY + 1).collect()
-    if len(rows) > MAX_DICTIONARY:
-        raise ValueError(f"more than {MAX_DICTIONARY} skills; use a shorter dictionary")
-    return sorted(Skill(*r) for r in rows)
+    """A stored skill dimension as a dictionary that becomes part of the plan. For thousands of skills leave it a
+    table and use ``skill_words``."""
+    return sorted(Skill(*r) for r in table.select("competence_id", "nom", "categorie").collect())
+
+
+WORD = r"(?U)\w+"
+
+
+def skill_words(postings: DataFrame, skills: DataFrame, keep: Sequence[str] = ("offre_id",)) -> DataFrame:
+    """One row per posting and skill found as whole words, for dictionaries of any size.
+
+    The words and groups of words of a posting, each once, are joined with those of the names, and what meets is compared
+    letter by letter. Names without a letter or digit have no words and are never found. ``skills`` has competence_id and nom.
+    """
+    blank = F.lit("")
+
+    def runs(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size("_all") - (n - 1), F.lit(1))),
+                           lambda i: F.array_join(F.slice("_all", i, n), " "))
+
+    name_words = F.regexp_extract_all(F.lower("nom"), F.lit(WORD), F.lit(0))
+    names = skills.select("competence_id", F.lower("nom").alias("_name"), F.array_join(name_words, " ").alias("_words"),
+                          F.size(name_words).alias("_n")).filter("_n > 0")
+    longest = names.agg(F.max("_n")).first()[0] or 1
+    text = F.lower(F.concat(F.coalesce("titre", blank), F.lit("\n"), F.coalesce("description", blank)))
+    # The words are a column of their own: inside the lambda they would be made again for each word.
+    split = postings.select(*keep, text.alias("_text")).select(
+        *keep, "_text", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)).alias("_all"))
+    groups = F.array_distinct(F.concat(*[runs(n) for n in range(1, longest + 1)]))
+    each = split.select(*keep, "_text", F.explode(groups).alias("_words"))
+    quoted = F.regexp_replace("_name", r"([^\p{L}\p{N}\s])", r"\\$1")
+    found = F.call_function("rlike", F.col("_text"), F.concat(F.lit(r"(?U)(?<!\w)"), quoted, F.lit(r"(?!\w)")))
+    return each.join(names, "_words").filter(found).select(*keep, "competence_id").distinct()
 
 
 def _whole_word(lowered: Column, name: str) -> Column:
@@ -158,6 +185,16 @@ def skill_summary(postings: DataFrame, skills: Sequence[Skill], boundary: bool =
         (F.col("at") + 1).alias("competence_id"), "s.nom", "s.categorie", "s.nb_offres")
 
 
+def add_counts(known: DataFrame, found: DataFrame) -> DataFrame:
+    """A skill dimension with the counts of further postings added. Skills keep their number; new ones follow."""
+    last = known.agg(F.coalesce(F.max("competence_id"), F.lit(0))).scalar()
+    both = found.withColumnsRenamed({"competence_id": "_at", "nb_offres": "_more"}).join(known, ["nom", "categorie"], "full_outer")
+    new = F.row_number().over(Window.partitionBy(F.col("competence_id").isNull()).orderBy("_at"))  # at most the dictionary
+    return both.select(
+        F.coalesce("competence_id", new + last).cast("int").alias("competence_id"), "nom", "categorie",
+        (F.coalesce("nb_offres", F.lit(0)) + F.coalesce("_more", F.lit(0))).alias("nb_offres"))
+
+
 def skill_matrix(bridge: DataFrame, skills: DataFrame, fact: DataFrame, places: DataFrame,
                  companies: DataFrame) -> DataFrame:
     """Posting and skill rows with posting, place and company attributes, for cross filtering."""

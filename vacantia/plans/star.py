@@ -10,7 +10,6 @@ from vacantia.functions.dates import weekday_name
 from vacantia.functions.labels import or_label
 from vacantia.operators.keys import dense_ids, hash_key
 from vacantia.schema import DEFAULT_COUNTRY, POSTING_SCHEMA
-from vacantia.sources.tables import align
 
 COMPANY_KEY = ("nom", "secteur", "taille")
 PLACE_KEY = ("ville", "region", "pays", "code_postal", "latitude", "longitude")
@@ -29,8 +28,10 @@ class Star(NamedTuple):
 
 
 def stage(raw: DataFrame) -> DataFrame:
-    """Typed postings with id and title."""
-    typed = align(raw, POSTING_SCHEMA) if set(raw.columns) == set(POSTING_SCHEMA.names) else raw
+    """Typed postings with id and title. Posting columns are cast, or NULL where absent; further columns are kept."""
+    others = [c for c in raw.columns if c not in POSTING_SCHEMA.names]
+    typed = raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in raw.columns
+                         else F.lit(None).cast(f.dataType).alias(f.name) for f in POSTING_SCHEMA.fields], *others)
     return typed.filter(F.col("offre_id").isNotNull() & F.col("titre").isNotNull())
 
 

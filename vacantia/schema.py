@@ -44,16 +44,17 @@ TEXT_WIDTHS = {
     "url_offre": None, "source": 50,
 }
 
+# Numbers of landed records are read as text: one that does not fit its type must not cost its record.
 LABOUR_RECORD = _struct(
     "id", "intitule", "typeContrat", "experienceLibelle", "description", "secteurActiviteLibelle",
     "trancheEffectifEtab", "romeCode", "romeLibelle", "dateCreation",
-    lieuTravail=_struct("libelle", "codePostal", latitude=NUMBER, longitude=NUMBER), entreprise=_struct("nom"),
+    lieuTravail=_struct("libelle", "codePostal", "latitude", "longitude"), entreprise=_struct("nom"),
     salaire=_struct("libelle"), origineOffre=_struct("urlOrigine"),
 )
 LISTING_RECORD = _struct(
-    "id", "title", "contract_type", "description", "redirect_url", "created",
-    location=_struct("display_name", area=T.ArrayType(TEXT)), latitude=NUMBER, longitude=NUMBER,
-    company=_struct("display_name"), category=_struct("label"), salary_min=NUMBER, salary_max=NUMBER,
+    "id", "title", "contract_type", "description", "redirect_url", "created", "latitude", "longitude", "salary_min",
+    "salary_max", location=_struct("display_name", area=T.ArrayType(TEXT)), company=_struct("display_name"),
+    category=_struct("label"),
 )
 SCRAPED_RECORD = _struct(
     "titre", "entreprise", "niveau_etudes", "experience", "type_contrat", "region", "competences",
@@ -62,17 +63,8 @@ SCRAPED_RECORD = _struct(
 RECORD_SCHEMAS = {LABOUR_API: LABOUR_RECORD, LISTING_API: LISTING_RECORD, SCRAPED_SITE: SCRAPED_RECORD}
 
 
-def envelope_schema(record: T.StructType) -> T.StructType:
-    """One landed document: header fields and the array of records."""
-    return T.StructType(
-        [
-            T.StructField("source", T.StringType()),
-            T.StructField("keyword", T.StringType()),
-            T.StructField("date_collecte", T.StringType()),
-            T.StructField("nb_offres", T.LongType()),
-            T.StructField("offres", T.ArrayType(record)),
-        ]
-    )
+# One landed document: header fields and the records, each still as JSON text.
+ENVELOPE = _struct("source", "keyword", "date_collecte", "nb_offres", offres=T.ArrayType(TEXT))
 
 
 CANDIDATE_SCHEMA = T.StructType([

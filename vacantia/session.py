@@ -18,7 +18,6 @@ def build_session(app: str = "vacantia", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         **conf,
     }
     for key, value in settings.items():

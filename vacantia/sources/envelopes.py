@@ -2,48 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from vacantia.schema import envelope_schema
+from vacantia.schema import ENVELOPE
 
 CORRUPT = "_corrupt"
 RECORDS_PER_ENVELOPE = 50_000
+BYTES_PER_ENVELOPE = 64 << 20
 
 
-def _with_corrupt(record: T.StructType) -> T.StructType:
-    return envelope_schema(record).add(CORRUPT, T.StringType())
+def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
+    """Documents under a path or glob: header fields, ``offres`` (JSON text of each record) and ``fichier``.
 
-
-def read_envelopes(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """Documents under a path or glob. An unreadable file gives a row with ``_corrupt`` set and does not fail.
-
-    The schema is given, so no pass over the data is needed to infer it, and an absent field is NULL.
+    The schema is given, so no pass over the data is needed to infer it, and an absent field is NULL. Records stay text
+    here, so a record that does not fit its schema costs neither its document nor its neighbours. A file without a
+    readable list of records gives a row whose ``offres`` is NULL, or no row.
     """
     return (
-        spark.read.schema(_with_corrupt(record))
+        spark.read.schema(T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
+        .json(path).withColumn("fichier", F.col("_metadata.file_path")).drop(CORRUPT)
     )
 
 
-def rejected_files(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
-    """Files that hold no readable document: path and size."""
-    parsed = F.from_json("value", _with_corrupt(record),
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    files = spark.read.text(path, wholetext=True)
-    return (
-        files.select(F.col("_metadata.file_path").alias("fichier"), F.length("value").alias("nb_caracteres"),
-                     parsed.getField(CORRUPT).alias("c"))
-        .filter("c IS NOT NULL").drop("c")
-    )
+def _is_object(text: Column) -> Column:
+    return F.coalesce(F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
+
 
+def records(envelopes: DataFrame, record: T.StructType) -> DataFrame:
+    """One row per record with its fields and the source of the envelope. Empty envelopes give none.
 
-def records(envelopes: DataFrame) -> DataFrame:
-    """One row per record with its fields and the source of the envelope. Empty envelopes give none."""
-    readable = envelopes.filter(F.col(CORRUPT).isNull()) if CORRUPT in envelopes.columns else envelopes
-    exploded = readable.select("source", F.explode("offres").alias("o"))
-    fields = [f.name for f in exploded.schema["o"].dataType.fields if f.name != "source"]
-    return exploded.select(*[F.col(f"o.`{f}`").alias(f) for f in fields], "source")
+    A value that does not fit its field is NULL, the record's other values stay. What is not an object gives no row.
+    """
+    raw = envelopes.select("source", F.explode("offres").alias("_raw")).filter(_is_object(F.col("_raw")))
+    parsed = raw.select(F.from_json("_raw", record, {"mode": "PERMISSIVE"}).alias("_o"), "source")
+    return parsed.select(*[F.col("_o")[f].alias(f) for f in record.names if f != "source"], "source")
+
+
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Files without a byte under a path or glob."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs, found = at.getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for status in fs.globStatus(at) or []:
+        inside = fs.listFiles(status.getPath(), True)
+        while inside.hasNext():
+            file = inside.next()
+            if file.getLen() == 0 and not file.getPath().getName().startswith(("_", ".")):
+                found.append(file.getPath().toUri().toString().replace("file:/", "file:///", 1))
+    return found
+
+
+def landing_report(spark: SparkSession, path: str) -> DataFrame:
+    """Every file: its size, whether a list of records could be read, and how many records were read and rejected."""
+    files = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("fichier"), F.col("_metadata.file_size").alias("octets"))
+    empty = spark.createDataFrame([(f, 0) for f in empty_files(spark, path)], "fichier string, octets bigint")
+    files = files.unionByName(empty)  # scans leave them out
+    good = F.size(F.filter("offres", _is_object))
+    seen = read_envelopes(spark, path).filter("offres IS NOT NULL").groupBy("fichier").agg(
+        F.sum(good).alias("nb_lues"), F.sum(F.size("offres") - good).alias("nb_rejetees"))
+    zero = F.lit(0).cast("bigint")
+    return files.join(seen, "fichier", "left").select(
+        "fichier", "octets", F.col("nb_lues").isNotNull().alias("lisible"),
+        F.coalesce("nb_lues", zero).alias("nb_lues"), F.coalesce("nb_rejetees", zero).alias("nb_rejetees"))
+
+
+def rejected(report: DataFrame) -> DataFrame:
+    """Files that could not be read, or not all of whose records could."""
+    return report.filter(~F.col("lisible") | (F.col("nb_rejetees") > 0))
 
 
 def flatten(df: DataFrame) -> DataFrame:
@@ -61,18 +87,25 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 def to_envelopes(df: DataFrame, collected_at: str, source: str = "source", keyword: str = "keyword",
-                 records_per_envelope: int = RECORDS_PER_ENVELOPE) -> DataFrame:
-    """Pack records into envelopes of bounded size.
+                 records_per_envelope: int = RECORDS_PER_ENVELOPE, bytes_per_envelope: int = BYTES_PER_ENVELOPE) -> DataFrame:
+    """Pack records into envelopes of bounded size, in records and in bytes.
 
-    A source and keyword may hold most of the table, so an envelope never spans input partitions and is
-    cut after ``records_per_envelope`` records. Readers treat several envelopes of a keyword as one.
+    A source and keyword may hold most of the table. Its records are dealt into as many chunks as keep the bounds on
+    average, by a hash of the record, and each chunk is cut again where it holds more; so no task holds a group, and
+    there are no more envelopes than the bounds ask for. Readers treat several envelopes of a keyword as one.
     """
     fields = [c for c in df.columns if c not in (source, keyword)]
-    here = df.withColumn("_part", F.spark_partition_id())
-    order = Window.partitionBy(source, keyword, "_part").orderBy(F.xxhash64(*fields))
-    cut = here.withColumn("_chunk", F.floor((F.row_number().over(order) - 1) / records_per_envelope))
+    sized = df.withColumn("_size", F.length(F.to_json(F.struct(*fields))))
+    chunks = F.ceil(F.greatest(F.count("*") / records_per_envelope, F.sum("_size") / bytes_per_envelope)).alias("_chunks")
+    totals = sized.groupBy(source, keyword).agg(chunks).select(F.struct(source, keyword).alias("_group"), "_chunks")
+    dealt = sized.withColumn("_group", F.struct(source, keyword)).join(totals, "_group").drop("_group").withColumn(
+        "_chunk", F.pmod(F.xxhash64(*fields), F.col("_chunks")))
+    order = Window.partitionBy(source, keyword, "_chunk").orderBy(F.xxhash64(*fields)).rowsBetween(Window.unboundedPreceding, -1)
+    cut = dealt.withColumn("_cut", F.greatest(
+        F.floor(F.count("*").over(order) / records_per_envelope),
+        F.floor(F.coalesce(F.sum("_size").over(order), F.lit(0)) / bytes_per_envelope)))
     return (
-        cut.groupBy(source, keyword, "_part", "_chunk")
+        cut.groupBy(source, keyword, "_chunk", "_cut")
         .agg(F.count("*").alias("nb_offres"), F.collect_list(F.struct(*fields)).alias("offres"))
         .select(F.col(source).alias("source"), F.col(keyword).alias("keyword"),
                 F.lit(collected_at).alias("date_collecte"), "nb_offres", "offres")

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from vacantia.operators.merge import delete_insert, known_keys
+from vacantia.operators.merge import delete_insert, known_keys, sync_schema
 from vacantia.schema import POSTING_SCHEMA
 from vacantia.session import staging_path
 
@@ -17,8 +17,12 @@ log = logging.getLogger(__name__)
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
     """Write by partition columns. The rebalance gives few, even files and splits a partition value that
-    holds much of the table over several tasks."""
-    df.hint("rebalance", *[F.col(c) for c in by]).write.mode(mode).partitionBy(*by).parquet(path)
+    holds much of the table over several tasks.
+
+    Overwriting replaces the whole table, also partitions that have no rows any more, whatever the session's overwrite mode.
+    """
+    writer = df.hint("rebalance", *[F.col(c) for c in by]).write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(*by).parquet(path)
 
 
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -32,16 +36,6 @@ def try_read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def spread_few_files(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores when a table comes in fewer files than there are cores.
-
-    For costly text work on input that cannot be split (few files of one row group). A table of many files
-    is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def align(df: DataFrame, schema: T.StructType = POSTING_SCHEMA) -> DataFrame:
     """The columns of a schema, in order and type; absent ones are NULL."""
     return df.select(*[
@@ -83,14 +77,30 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/v{versions[-1]}") if versions else None
 
 
-def append_current(df: DataFrame, path: str) -> None:
-    """Add rows to the latest version of a table, or start its first version."""
-    versions = _versions(df.sparkSession, path)
-    df.write.mode("append").parquet(f"{path}/v{versions[-1] if versions else 1}")
+def current_path(spark: SparkSession, path: str) -> str | None:
+    """The folder of the latest complete version of a table, or None."""
+    versions = _versions(spark, path)
+    return f"{path}/v{versions[-1]}" if versions else None
 
 
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write a new version of a table and return it.
+def append_current(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Add rows to the latest version of a table, or start its first version.
+
+    Rows with other columns than the table has go into a new version under their columns: new ones are NULL in old
+    rows, vanished ones go.
+    """
+    spark = df.sparkSession
+    current = read_current(spark, path)
+    if current is None:
+        publish(df, path, partition_by)
+    elif set(current.columns) != set(df.columns):
+        publish(sync_schema(current, df), path, partition_by)
+    else:
+        df.write.mode("append").partitionBy(*partition_by).parquet(current_path(spark, path))
+
+
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 3) -> DataFrame:
+    """Write a new version of a table and return it; the latest ``keep`` versions stay.
 
     The old version stays readable, so the new content may be computed from it. A failed write leaves no
     ``_SUCCESS`` file and is not picked up.
@@ -98,14 +108,13 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataF
     spark = df.sparkSession
     versions = _versions(spark, path)
     target = f"{path}/v{versions[-1] + 1 if versions else 1}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(target)
+    for old in versions[:len(versions) + 1 - keep]:
+        at, fs = _fs(spark, f"{path}/v{old}")
+        fs.delete(at, True)
     return spark.read.parquet(target)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def reload_if_any(df: DataFrame, path: str) -> bool:
     """Replace a table by the rows given; no rows leave it unchanged. Says whether it was replaced."""
     if df.isEmpty():
@@ -160,4 +169,6 @@ def replace_in_partitions(batch: DataFrame, path: str, key: str, by: str) -> int
     for value in set(values) - kept:  # all rows of the partition have moved elsewhere
         at, fs = _fs(spark, f"{path}/{names.getPartitionPathString(by, None if value is None else str(value))}")
         fs.delete(at, True)
+    at, fs = _fs(spark, staged_at)
+    fs.delete(at, True)
     return len(values)

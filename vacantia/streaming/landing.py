@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vacantia.functions.measures import rounded_mean
 from vacantia.operators.merge import new_rows
-from vacantia.sources.tables import append_rows, try_read
+from vacantia.sources.tables import try_read
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000) -> DataFrame:
@@ -15,16 +15,30 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def land_new_postings(postings: DataFrame, target: str, checkpoint: str, key: str = "offre_id") -> StreamingQuery:
+PART = "_part"
+
+
+def landed(spark: SparkSession, target: str) -> DataFrame:
+    """The postings of a landing table."""
+    return spark.read.parquet(target).drop(PART)
+
+
+def land_new_postings(postings: DataFrame, target: str, checkpoint: str, key: str = "offre_id", parts: int = 256) -> StreamingQuery:
     """Append postings with unseen ids to a table, for all files present, then stop.
 
+    The table is partitioned by a hash of the id, and a batch looks for its ids only in the ``parts`` it falls into.
     A batch that is run again after a failure finds its ids in the table and adds nothing.
     """
     def append(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
+        dealt = batch.withColumn(PART, F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
         known = try_read(spark, target)
-        fresh = batch.limit(0) if known is None else known
-        append_rows(new_rows(fresh, batch, key, (F.col("date_creation").desc_nulls_last(),)), target)
+        if known is None:
+            known = dealt.limit(0)
+        else:  # at most ``parts`` numbers
+            known = known.filter(F.col(PART).isin([r[0] for r in dealt.select(PART).distinct().collect()]))
+        fresh = new_rows(known, dealt, key, (F.col("date_creation").desc_nulls_last(),))
+        fresh.write.mode("append").partitionBy(PART).parquet(target)
 
     return (postings.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
