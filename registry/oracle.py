@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from registry.bindings import CORPUS_SKILLS, CVS, POSTINGS, TEXT_POSTINGS, plain
 from vacantia.functions.labels import CONTRACT_WORDS, JUNIOR_WORDS, SENIOR_WORDS, TECH_WORDS
+from vacantia.functions.text import ACCENTED, PLAIN
 from vacantia.plans.skills import CV_SKILLS, dictionary
 from vacantia.schema import POSTING_COLUMNS
 
@@ -343,3 +344,34 @@ ORACLE |= {
     "candidate_table": f"""WITH {CV}, x AS (SELECT * FROM cv QUALIFY row_number() OVER (PARTITION BY email ORDER BY turn DESC) = 1)
       SELECT email, nom, prenom, md5(texte_cv) AS cv, competences FROM x""",
 }
+
+
+def shown(c: str) -> str:
+    return f"coalesce(trim({c}), 'Non precise')"
+
+
+ORACLE["job_cards"] = f"""WITH {P}, k AS (SELECT *, CAST(offre_id AS BIGINT) AS k FROM p)
+  SELECT k // 5 AS page_id, CAST(row_number() OVER (PARTITION BY k // 5 ORDER BY k) - 1 AS INT) AS position, concat(titre, ' & co') AS titre,
+    {shown('entreprise')} AS entreprise, {shown('taille_entreprise')} AS niveau_etudes, {shown('experience')} AS experience,
+    {shown('type_contrat')} AS type_contrat, {shown('region')} AS region, {shown('secteur')} AS competences,
+    strftime(date_creation, '%d.%m.%Y') AS date_publication, concat('https://www.emploi.ma/offre/', offre_id) AS url_offre,
+    'emploima' AS source, 'Maroc' AS pays, {shown('region')} AS ville FROM k"""
+ORACLE["salary_terms"] = f"""WITH {T},
+  f AS (SELECT offre_id, translate({_text}, '{ACCENTED}', '{PLAIN}') AS txt FROM t),
+  w AS (SELECT offre_id, regexp_extract_all(lower(txt), '[\\p{{L}}\\p{{M}}\\p{{N}}_]{{2,}}') AS w FROM f),
+  a AS (SELECT offre_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))) AS term FROM w),
+  v AS (SELECT term, count(DISTINCT offre_id) AS df FROM a GROUP BY term ORDER BY count(*) DESC, term LIMIT 300),
+  c AS (SELECT offre_id, term, (1 + ln(count(*))) * (1 + ln(((SELECT count(*) FROM t) + 1) / (any_value(df) + 1))) AS x FROM a JOIN v USING (term)
+    GROUP BY offre_id, term)
+  SELECT offre_id, term, round(x / sqrt(sum(x * x) OVER (PARTITION BY offre_id)), 6) AS weight FROM c"""
+
+
+def standardised(c: str) -> str:
+    return f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS {c}"
+
+
+ORACLE["salary_flags"] = f"""WITH {P}, r AS (SELECT * REPLACE (concat(titre, CASE WHEN CAST(offre_id AS BIGINT) % 3 = 0 THEN ' senior' ELSE '' END,
+    CASE WHEN CAST(offre_id AS BIGINT) % 7 = 0 THEN ' junior' ELSE '' END, CASE WHEN CAST(offre_id AS BIGINT) % 5 = 0 THEN ' python' ELSE '' END) AS titre) FROM p),
+  f AS (SELECT offre_id, {flag('titre', SENIOR_WORDS, 'is_senior')}, {flag('titre', JUNIOR_WORDS, 'is_junior')},
+    {flag(_text, TECH_WORDS, 'has_tech')} FROM r)
+  SELECT offre_id, {", ".join(standardised(c) for c in ("is_senior", "is_junior", "has_tech"))} FROM f"""

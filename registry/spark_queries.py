@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from registry.bindings import CORPUS_SKILLS, CVS, POSTINGS, TEXT_POSTINGS, bind, table
 from vacantia.functions.labels import contract_label
@@ -19,7 +19,7 @@ from vacantia.operators.profile import field_profile, row_counts
 from vacantia.operators.topk import top_k_similar
 from vacantia.plans import conform, gold, marts, pipeline, recommend, salary_model, skills, star
 from vacantia.schema import LABOUR_API, LISTING_API, POSTING_SCHEMA, RECORD_SCHEMAS, SCRAPED_SITE
-from vacantia.session import staging_path
+from vacantia.session import shared_folder, ship_package, staging_path
 from vacantia.sources import envelopes, pages
 from vacantia.sources.tables import align, write_partitioned
 from vacantia.streaming import landing
@@ -42,6 +42,7 @@ def comparable(df: DataFrame) -> DataFrame:
 def query(f: Query) -> Query:
     @wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
         return comparable(f(spark, sf_dir))
 
     QUERIES[f.__name__] = run
@@ -475,6 +476,27 @@ def html_links(spark, sf_dir):
     return cards.select("page_id", "position", "titre", "url_offre")
 
 
+@query
+def job_cards(spark, sf_dir):
+    """Pages of five cards with all parts, some of them missing, nested elements, and an unclosed last card on every fourth page."""
+    rows = postings(spark, sf_dir).withColumn("k", F.col("offre_id").cast("bigint"))
+
+    def item(label: str, value) -> Column:
+        return F.coalesce(F.concat(F.lit(f"<li>{label} : <strong> "), F.trim(value), F.lit(" </strong></li>")), F.lit(""))
+
+    company = F.coalesce(F.concat(F.lit("<div><a class='x card-job-company' href='/c'>"), "entreprise", F.lit("</a></div>")), F.lit(""))
+    card = F.concat(
+        F.lit('<div id="j" class="row card-job-detail y"><div><div class="in"><h3><a href="/offre/'), "offre_id", F.lit('">'), "titre",
+        F.lit(" &amp; <b>co</b></a></h3></div></div>"), company, F.lit("<ul>"), item("Niveau d´études requis", F.col("taille_entreprise")),
+        item("Niveau d'expérience", F.col("experience")), item("Contrat proposé", F.col("type_contrat")), item("Région de", F.col("region")),
+        item("Compétences clés", F.col("secteur")), F.lit("</ul><time>"), F.date_format("date_creation", "dd.MM.yyyy"), F.lit("</time>"))
+    page = F.floor(F.col("k") / 5)
+    html = rows.groupBy(page.alias("page_id")).agg(F.sort_array(F.collect_list(F.struct("k", card.alias("card")))).alias("c")).select(
+        "page_id", F.concat(F.lit("<html><body><li>Région : <strong>none</strong></li>"), F.array_join(F.col("c.card"), "</div>\n"),
+                            F.when(F.col("page_id") % 4 == 0, "").otherwise("</div><footer><time>never</time></footer></body></html>")).alias("html"))
+    return pages.extract_cards(html)
+
+
 @query
 def raw_field_profile(spark, sf_dir):
     return field_profile(table(spark, sf_dir, "events"), "props")
@@ -651,6 +673,22 @@ def salary_features(spark, sf_dir):
                       F.round(salary_model.TARGET, 2).alias("cible"))
 
 
+@query
+def salary_terms(spark, sf_dir):
+    features = salary_model.engineer_features(text_postings(spark, sf_dir))
+    out = salary_model.term_weights(features)
+    return out.select("offre_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@query
+def salary_flags(spark, sf_dir):
+    k = F.col("offre_id").cast("bigint")
+    rows = postings(spark, sf_dir).withColumn("titre", F.concat(
+        "titre", F.when(k % 3 == 0, " senior").otherwise(""), F.when(k % 7 == 0, " junior").otherwise(""), F.when(k % 5 == 0, " python").otherwise("")))
+    out = salary_model.scaled_flags(salary_model.engineer_features(rows))
+    return out.select("offre_id", *[F.round(f, 6).alias(f) for f in salary_model.FLAGS])
+
+
 @query
 def confidence_levels(spark, sf_dir):
     rows = postings(spark, sf_dir)
@@ -658,21 +696,17 @@ def confidence_levels(spark, sf_dir):
     return rows.select("offre_id", level.alias("confiance"))
 
 
-_MODELS: dict[tuple[str, str], salary_model.SalaryModel] = {}
-
-
 def _model(spark, sf_dir) -> salary_model.SalaryModel:
-    """One small model per session and folder; the library's own settings take many minutes."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = salary_model.train(postings(spark, sf_dir), salary_model.ModelSettings(trees=10, folds=0))
-    return _MODELS[key]
+    """The model with its documented settings. It is trained once for a table and stored below the shared folder under a key
+    made from the table's rows, so it is never older than they are."""
+    rows = postings(spark, sf_dir)
+    content = rows.agg(F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)"))).first()[0]
+    return salary_model.train_or_load(rows, f"{shared_folder(spark)}/salary-model-{content}")
 
 
 @query
 def salary_train(spark, sf_dir):
-    model = salary_model.train(postings(spark, sf_dir), salary_model.ModelSettings(trees=5, folds=2))
-    return spark.createDataFrame([{k: float(v) for k, v in model.metrics.items()}])
+    return spark.createDataFrame([{k: float(v) for k, v in _model(spark, sf_dir).metrics.items()}])
 
 
 @query

@@ -203,11 +203,12 @@ def test_cv_skills_in_list_order(spark):
 
 
 def test_skill_words_finds_whole_words(spark):
-    names = spark.createDataFrame([(1, "R"), (2, "Apache Spark"), (3, "C++"), (4, "CI/CD"), (5, "++")], "competence_id INT, nom STRING")
+    names = spark.createDataFrame([(1, "R"), (2, "Apache Spark"), (3, "C++"), (4, "CI/CD"), (5, "++"), (6, ".NET")], "competence_id INT, nom STRING")
     rows = postings(spark, [dict(titre="Spark", description="apache  R"), dict(titre="C++ dev", description="ci/cd, apache spark"),
-                            dict(titre="Apache", description="Spark"), dict(titre="c ci cd"), dict(titre="arr", description=None)])
+                            dict(titre="Apache", description="Spark"), dict(titre="c ci cd"), dict(titre="arr", description=None),
+                            dict(titre="asp.net", description="c++x"), dict(titre=".net", description="(.NET) c++"), dict(titre="", description=" r")])
     found = sorted((r.offre_id, r.competence_id) for r in skills.skill_words(rows, names).collect())
-    assert found == [("0", 1), ("1", 2), ("1", 3), ("1", 4)]
+    assert found == [("0", 1), ("1", 2), ("1", 3), ("1", 4), ("6", 3), ("6", 6), ("7", 1)]
 
 
 def test_lookup_is_pushed_to_the_scan(spark, tmp_path):

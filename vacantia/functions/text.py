@@ -73,13 +73,14 @@ def join_list(c: Column) -> Column:
     return F.array_join(c, ",")
 
 
+# Accented Latin letters and their base letters.
+ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ"
+PLAIN = "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY"
+
+
 def fold_accents(c: Column) -> Column:
     """Replace accented Latin letters by their base letter."""
-    return F.translate(
-        c,
-        "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ",
-        "aaaaaaceeeeiiiinoooooouuuuyyAAAAAACEEEEIIIINOOOOOOUUUUY",
-    )
+    return F.translate(c, ACCENTED, PLAIN)
 
 
 def _references() -> Column:

@@ -7,11 +7,12 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target, keyword_only
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import (CountVectorizer, FeatureHasher, IDF, NGram, Normalizer, OneHotEncoder, RegexTokenizer,
+from pyspark.ml.feature import (CountVectorizerModel, FeatureHasher, IDF, NGram, Normalizer, OneHotEncoder, RegexTokenizer,
                                 StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -127,6 +128,23 @@ class AddVectors(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable,
         return dataset.withColumn(self.getOutputCol(), array_to_vector(F.zip_with(a, b, lambda x, y: x + y)))
 
 
+class TopTerms(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Counts of the most frequent terms. Equal frequencies are ordered by name, so the vocabulary is the same in every run."""
+
+    size = Param(Params._dummy(), "size", "number of terms", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None, size=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset):
+        terms = dataset.select(F.explode(self.getInputCol()).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+        best = terms.orderBy(F.desc("n"), "term").limit(self.getOrDefault(self.size)).collect()
+        model = CountVectorizerModel.from_vocabulary([r.term for r in best], self.getInputCol(), self.getOutputCol())
+        return model
+
+
 def _text_stages(terms: int) -> list:
     """Weights of the most frequent words and word pairs, unit length."""
     return [
@@ -134,7 +152,7 @@ def _text_stages(terms: int) -> list:
         RegexTokenizer(inputCol="_folded", outputCol="_words", pattern=r"(?U)\w\w+", gaps=False),
         NGram(n=2, inputCol="_words", outputCol="_pairs"),
         JoinWords(inputCols=["_words", "_pairs"], outputCol="_terms"),
-        CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=terms),
+        TopTerms(inputCol="_terms", outputCol="_counts", size=terms),
         SublinearCounts(inputCol="_counts", outputCol="_tf"),
         IDF(inputCol="_tf", outputCol="_tfidf"),
         AddVectors(inputCols=["_tf", "_tfidf"], outputCol="_weighted"),
@@ -163,6 +181,22 @@ def feature_stages(terms: int, listed: Sequence[str], hashed: Sequence[str]) ->
     return stages
 
 
+def term_weights(features: DataFrame, terms: int = ModelSettings.terms, key: str = "offre_id") -> DataFrame:
+    """(key, term, weight): the text part of the feature vector, its non-zero entries."""
+    model = Pipeline(stages=_text_stages(terms)).fit(features)
+    names, = [s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel)]
+    weights = F.transform(vector_to_array("_text"), lambda w, i: F.struct(F.get(F.lit(names), i).alias("term"), w.alias("weight")))
+    rows = model.transform(features).select(key, F.explode(F.filter(weights, lambda w: w["weight"] > 0)).alias("w"))
+    return rows.select(key, "w.term", "w.weight")
+
+
+def scaled_flags(features: DataFrame, key: str = "offre_id") -> DataFrame:
+    """The standardised flags of the feature vector."""
+    stages = [VectorAssembler(inputCols=list(FLAGS), outputCol="_flags"), StandardScaler(inputCol="_flags", outputCol="_scaled", withMean=True)]
+    scaled = Pipeline(stages=stages).fit(features).transform(features)
+    return scaled.select(key, *[F.get(vector_to_array("_scaled"), F.lit(i)).alias(f) for i, f in enumerate(FLAGS)])
+
+
 def _share(key: str, seed: int, parts: int) -> Column:
     """Part 0..parts-1 of a row by a hash of its id: the same in every run and after a lost executor."""
     return F.pmod(F.xxhash64(F.lit(seed), F.col(key).cast("string")), F.lit(parts))

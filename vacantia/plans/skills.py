@@ -69,34 +69,41 @@ def read_dictionary(table: DataFrame) -> list[Skill]:
     return sorted(Skill(*r) for r in table.select("competence_id", "nom", "categorie").collect())
 
 
-WORD = r"(?U)\w+"
-
-
 def skill_words(postings: DataFrame, skills: DataFrame, keep: Sequence[str] = ("offre_id",)) -> DataFrame:
     """One row per posting and skill found as whole words, for dictionaries of any size.
 
-    The words and groups of words of a posting, each once, are joined with those of the names, and what meets is compared
-    letter by letter. Names without a letter or digit have no words and are never found. ``skills`` has competence_id and nom.
+    The words and groups of words of a posting, each with the text they cover, are joined with the words of the names, and what
+    meets is compared letter by letter. Texts themselves don't travel. Names without a letter or digit have no words and are
+    never found. ``skills`` has competence_id and nom.
     """
-    blank = F.lit("")
-
-    def runs(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.size("_all") - (n - 1), F.lit(1))),
-                           lambda i: F.array_join(F.slice("_all", i, n), " "))
-
-    name_words = F.regexp_extract_all(F.lower("nom"), F.lit(WORD), F.lit(0))
-    names = skills.select("competence_id", F.lower("nom").alias("_name"), F.array_join(name_words, " ").alias("_words"),
-                          F.size(name_words).alias("_n")).filter("_n > 0")
+    blank, word = F.lit(""), r"(?U)\w+"
+    name_words = F.regexp_extract_all(F.lower("nom"), F.lit(word), F.lit(0))
+    lead = F.regexp_extract(F.lower("nom"), r"(?U)^\W*", 0)
+    names = skills.select("competence_id", lead.alias("_lead"), F.substr(F.lower("nom"), F.length(lead) + 1).alias("_body"),
+                          F.array_join(name_words, " ").alias("_words"), F.size(name_words).alias("_n")).filter("_n > 0")
     longest = names.agg(F.max("_n")).first()[0] or 1
+
+    # Arrays are columns of their own: inside a lambda they would be made again for each word.
     text = F.lower(F.concat(F.coalesce("titre", blank), F.lit("\n"), F.coalesce("description", blank)))
-    # The words are a column of their own: inside the lambda they would be made again for each word.
-    split = postings.select(*keep, text.alias("_text")).select(
-        *keep, "_text", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)).alias("_all"))
-    groups = F.array_distinct(F.concat(*[runs(n) for n in range(1, longest + 1)]))
-    each = split.select(*keep, "_text", F.explode(groups).alias("_words"))
-    quoted = F.regexp_replace("_name", r"([^\p{L}\p{N}\s])", r"\\$1")
-    found = F.call_function("rlike", F.col("_text"), F.concat(F.lit(r"(?U)(?<!\w)"), quoted, F.lit(r"(?!\w)")))
-    return each.join(names, "_words").filter(found).select(*keep, "competence_id").distinct()
+    tokens = postings.select(*keep, text.alias("_text")).select(
+        *keep, F.regexp_extract("_text", r"(?U)^\W*", 0).alias("_head"), F.regexp_extract_all("_text", F.lit(r"(?U)\w+\W*"), F.lit(0)).alias("_tokens"))
+    split = tokens.select(*keep, "_head", "_tokens", F.transform("_tokens", lambda t: F.regexp_extract(t, r"(?U)^\w+", 0)).alias("_all"))
+
+    def runs(n: int) -> Column:
+        """Groups of ``n`` words: the words, the text from the first on, what stands before it, and whether the text ends there."""
+        size = F.size("_all")
+        each = F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i: F.struct(
+            F.array_join(F.slice("_all", i, n), " ").alias("words"), F.array_join(F.slice("_tokens", i, n), "").alias("raw"),
+            F.when(i == 1, F.col("_head")).otherwise(F.regexp_extract(F.get("_tokens", i - 2), r"(?U)\W*$", 0)).alias("before"),
+            (i == 1).alias("first"), (i + (n - 1) == size).alias("last")))
+        return F.when(size >= n, each).otherwise(F.array().cast(
+            "array<struct<words:string,raw:string,before:string,first:boolean,last:boolean>>"))
+
+    each = split.select(*keep, F.explode(F.concat(*[runs(n) for n in range(1, longest + 1)])).alias("_run")).select(
+        *keep, F.col("_run.words").alias("_words"), "_run.raw", "_run.before", "_run.first", "_run.last")
+    starts = F.endswith("before", "_lead") & ((F.col("_lead") == "") | F.col("first") | (F.length("before") > F.length("_lead")))
+    ends = F.startswith("raw", "_body") & (F.col("last") | (F.length("raw") > F.length("_body")) | F.col("_body").rlike(r"(?U)\w$"))
+    return each.join(names, "_words").filter(starts & ends).select(*keep, "competence_id").distinct()
 
 
 def _whole_word(lowered: Column, name: str) -> Column:

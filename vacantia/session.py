@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -22,7 +25,30 @@ def build_session(app: str = "vacantia", master: str | None = None, **conf: str)
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once for an application, unless their path has it already.
+
+    Functions that run in Python workers are imported there by name. An installed package or a PYTHONPATH that names its folder
+    needs nothing; else the driver serves the package as an archive.
+    """
+    root = Path(__file__).resolve().parent
+    named = [Path(p or ".").resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if root.parent in named or root.parent.name == "site-packages" or spark.sparkContext.applicationId in _SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="vacantia-")) / "vacantia.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(spark.sparkContext.applicationId)
 
 
 def shared_folder(spark: SparkSession) -> str:
