@@ -367,7 +367,7 @@ ORACLE["salary_terms"] = f"""WITH {T},
 
 
 def standardised(c: str) -> str:
-    return f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS {c}"
+    return f"coalesce(round(({c} - avg({c}) OVER ()) / nullif(stddev_samp({c}) OVER (), 0), 6), 0) AS {c}"
 
 
 ORACLE["salary_flags"] = f"""WITH {P}, r AS (SELECT * REPLACE (concat(titre, CASE WHEN CAST(offre_id AS BIGINT) % 3 = 0 THEN ' senior' ELSE '' END,
