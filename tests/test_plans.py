@@ -1,12 +1,15 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from vacantia.operators.merge import new_rows
 from vacantia.plans import conform, gold, marts, pipeline, recommend, skills, star
-from vacantia.schema import LABOUR_API, LABOUR_RECORD, LISTING_API, POSTING_COLUMNS, SCRAPED_SITE
+from vacantia.plans.conform import sanitise
+from vacantia.schema import CANDIDATE_SCHEMA, LABOUR_API, LABOUR_RECORD, LISTING_API, POSTING_COLUMNS, SCRAPED_SITE
 from vacantia.sources.tables import read_current
 
 
@@ -73,8 +76,15 @@ def test_daily_job(spark, landed, tmp_path):
     assert done["gold"] == ["offres_par_source", "offres_par_contrat", "offres_par_ville", "salaires", "offres_par_mois", "offres_par_secteur"]
     assert {r.colonne: r.nb_nulls for r in done["quality"].collect()}["date_creation"] == 3
 
+    rejects = {(r.source, r.lisible) for r in done["rejects"].collect()}
+    assert (LABOUR_API, False) in rejects
+    bridge = sorted(map(tuple, read_current(spark, lake.table("bridge_offre_competence")).collect()))
+    dimension = sorted(map(tuple, read_current(spark, lake.table("dim_competence")).collect()))
+
     pipeline.run_daily(spark, landed, lake)  # the same files again change nothing
     assert pipeline.read_star(spark, lake).fact.count() == 6 and read_current(spark, lake.table("raw_offres")).count() == 6
+    assert sorted(map(tuple, read_current(spark, lake.table("bridge_offre_competence")).collect())) == bridge
+    assert sorted(map(tuple, read_current(spark, lake.table("dim_competence")).collect())) == dimension
 
     predictions = spark.createDataFrame([("A3", 3333.0), ("A1", 1.0)], "offre_id STRING, salaire_predit_eur DOUBLE")
     assert pipeline.apply_predictions(spark, lake, predictions, F.lit("2026-06-01").cast("timestamp")) == 1
@@ -242,6 +252,83 @@ def test_recommendation_end_to_end(spark):
     assert first.ville == "Non renseigné" and first.salaire_min == 0 and 0 < first.score_pct <= 100
 
 
+def test_only_new_postings_reach_star_and_bridge(spark, tmp_path):
+    """A second load gets the new rows alone, reads no text of known postings, and adds what they bring."""
+    lake = pipeline.Lake(str(tmp_path / "lake"))
+    first = postings(spark, [dict(offre_id="1", titre="Dev Python", description="sql", entreprise="A", date_creation=dt.datetime(2026, 1, 5)),
+                             dict(offre_id="2", titre="Dev Java", description="docker", entreprise="B", date_creation=dt.datetime(2026, 2, 5))])
+    second = first.unionByName(postings(spark, [dict(offre_id="3", titre="Dev Kafka", description="python", entreprise="A", date_creation=dt.datetime(2026, 2, 6))]))
+    for rows, new in ((first, ["1", "2"]), (second, ["3"]), (second, [])):
+        rows.write.mode("overwrite").parquet(lake.unified)
+        fresh = pipeline.load_raw(spark, lake)
+        assert sorted(r.offre_id for r in fresh.collect()) == new
+        tables = pipeline.load_star(spark, lake, fresh)
+        pipeline.load_skills(spark, lake, fresh, tables.fact)
+    known = read_current(spark, lake.table("raw_offres"))
+    plan = plan_of(new_rows(known, sanitise(spark.read.parquet(lake.unified))))
+    assert "ReadSchema: struct<offre_id:string>" in plan  # of the table of known postings
+    assert tables.fact.count() == 3 and tables.dim_company.count() == 2 and tables.dim_date.count() == 3
+    skills_ = {r.nom: (r.competence_id, r.nb_offres) for r in read_current(spark, lake.table("dim_competence")).collect()}
+    assert skills_["Python"][1] == 2 and skills_["Kafka"][1] == 1
+    ids = [i for i, _ in skills_.values()]
+    assert len(ids) == len(set(ids)) and skills_["Kafka"][0] == max(ids)
+    pairs = read_current(spark, lake.table("bridge_offre_competence"))
+    assert pairs.count() == pairs.distinct().count() and {r.offre_id for r in pairs.filter(F.col("competence_id") == skills_["Python"][0]).collect()} == {"1", "3"}
+
+
+def test_predictions_from_model_to_fact(spark, tmp_path):
+    from test_salary_model import SMALL, rows
+
+    lake, at = pipeline.Lake(str(tmp_path / "lake")), F.lit("2026-06-01").cast("timestamp")
+    postings(spark, [r | {"date_creation": dt.datetime(2026, 1 + i % 3, 5)} for i, r in enumerate(rows())]).write.parquet(lake.unified)
+    pipeline.load_star(spark, lake, pipeline.load_raw(spark, lake))
+    fact = f"{lake.table('fact_offres')}/v1"
+    unknown = pipeline.read_star(spark, lake).fact.filter("salaire_min IS NULL").count()
+    assert unknown == 40 and pipeline.predict_salaries(spark, lake, at, settings=SMALL) == unknown
+    done = pipeline.read_star(spark, lake).fact
+    assert done.count() == 160 and done.filter("salaire_predit_eur IS NOT NULL AND salaire_confiance = 'moyenne'").count() == unknown
+    assert read_current(spark, f"{lake.gold}/salaires_predits").count() == unknown
+    files = {f: os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(fact) for f in names}
+    assert pipeline.predict_salaries(spark, lake, at, settings=SMALL) == 0
+    assert files == {f: os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(fact) for f in names}
+
+
+def test_one_current_vector_for_each_posting(spark, tmp_path):
+    lake = pipeline.Lake(str(tmp_path / "lake"))
+    rows = postings(spark, [dict(description="un"), dict(description="deux"), dict(description="trois")])
+    assert pipeline.refresh_vectors(spark, lake, rows) == 3 and pipeline.refresh_vectors(spark, lake, rows) == 0
+    before = {r.offre_id: r.vector for r in pipeline.current_vectors(spark, lake, rows).collect()}
+    changed = rows.withColumn("description", F.when(F.col("offre_id") == "0", "deux trois").otherwise(F.col("description")))
+    assert pipeline.refresh_vectors(spark, lake, changed) == 1
+    after = {r.offre_id: r.vector for r in pipeline.current_vectors(spark, lake, changed).collect()}
+    assert len(after) == 3 and after["1"] == before["1"] and after["0"] != before["0"]
+    assert pipeline.current_vectors(spark, lake, changed).count() == 3
+    assert pipeline.refresh_vectors(spark, lake, changed, refit=True) == 3 and pipeline.current_vectors(spark, lake, changed).count() == 3
+
+
+def test_candidate_table(spark, tmp_path):
+    lake, now = pipeline.Lake(str(tmp_path / "lake")), F.lit("2026-06-01").cast("timestamp")
+    columns = "nom STRING, prenom STRING, email STRING, texte_cv STRING, updated_at TIMESTAMP"
+    pipeline.register_candidates(spark, lake, spark.createDataFrame([("A", "a", "a@x", "python", None)], columns), now)
+    out = pipeline.register_candidates(spark, lake, spark.createDataFrame([("B", "b", "b@x", "sql", None), ("A2", "a", "a@x", "java", None)], columns), now)
+    rows = {r.email: r for r in out.collect()}
+    assert (rows["a@x"].nom, rows["a@x"].competences, rows["b@x"].competences) == ("A2", "java", "sql")
+    assert tuple(out.columns) == tuple(CANDIDATE_SCHEMA.names) and all(r.candidat_id is not None for r in rows.values())
+
+
+def test_salary_market_reads_the_fact_once(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    staged = star.stage(postings(spark, [dict(salaire_min=10 + i % 3, ville=f"v{i % 2}") for i in range(20)]))
+    star.fact_by_hash(staged).write.parquet(path)
+    star.dim_place(staged).write.parquet(path + "-places")
+    out = marts.salary_market(spark.read.parquet(path), spark.read.parquet(path + "-places"))
+    assert out.count() == 2
+    out.collect()
+    final = plan_of(out).split("== Initial Plan ==")[0]
+    scans = [line for line in final.split("\n") if "Scan parquet" in line and "salaire_min" in line]
+    assert len(scans) == 1, final
+
+
 def test_vector_refresh_encodes_new_and_changed(spark):
     rows = postings(spark, [dict(description="un"), dict(description="deux"), dict(description="trois")])
     text = recommend.posting_text()
