@@ -17,7 +17,8 @@ def library():
 
 
 def pieces(texts):
-    for run in B._chunks(texts):
+    for a, b in B._cuts(np.array([len(t.encode()) for t in texts]), B.CHUNK):
+        run = texts[a:b]
         ids, offsets, per_text = B.merger(PATH).encode(run)
         data, stops = B.merger(PATH).decode(ids, offsets, per_text)
         ends = np.cumsum(per_text)

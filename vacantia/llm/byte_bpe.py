@@ -14,13 +14,15 @@ import base64
 import heapq
 import unicodedata
 from array import array
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from vacantia.llm.common import sha256_hex
+from vacantia.llm.common import SlotTables, sha256_hex
 
 # Letters and numbers that Unicode 16 has beyond the 15.1 of Python's tables, as (first, last).
 LETTERS_16 = (
@@ -40,9 +42,9 @@ LETTER, NUMBER, OTHER, SPACE, GLUE, LONE, SHORT, LONG, BREAK = range(9)
 # States: what the open pre-token is, or FRESH if the next character starts one. ONE, TWO: letters left of a contraction.
 FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_SPACE, GLUED, ONE, TWO = range(8)
 
-CHUNK = 1 << 20  # code points scanned at a time
+CHUNK = 1 << 19  # bytes of text scanned at a time
 BLOCK = 256
-CACHED = 400_000  # pre-tokens whose ids a worker keeps
+CACHED = 300_000  # pre-tokens whose ids a worker keeps
 FAR = 1 << 30
 
 
@@ -144,22 +146,6 @@ def pretoken_starts(points: np.ndarray, breaks: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts[state, symbols])
 
 
-def _hash_tables(pairs: dict[int, int]) -> list[tuple]:
-    """Tables of one key a slot; keys that meet go on to the next table, until all have a place."""
-    keys, ranks = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64)
-    tables, random = [], np.random.default_rng(0)
-    while len(keys):
-        bits = int(len(keys)).bit_length() + 2
-        factor, shift = np.uint64(random.integers(1 << 62, 1 << 63) | 1), np.uint64(64 - bits)
-        at = (keys.view(np.uint64) * factor >> shift).view(np.int64)
-        _, first = np.unique(at, return_index=True)
-        slots, values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
-        slots[at[first]], values[at[first]] = keys[first], ranks[first]
-        tables.append((factor, shift, slots, values))
-        keys, ranks = np.delete(keys, first), np.delete(ranks, first)
-    return tables
-
-
 class Merger:
     """Ids of pre-tokens by pair merging, kept for the pre-tokens seen before."""
 
@@ -178,7 +164,7 @@ class Merger:
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.pairs[left << 20 | right] = rank
-        self.tables = _hash_tables(self.pairs)
+        self.table = SlotTables(np.array(list(self.pairs), np.int64), np.array(list(self.pairs.values()), np.int64), FAR)
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         self.flat = np.frombuffer(b"".join(self.tokens), np.uint8)
         self.flat_starts = np.cumsum(self.lengths) - self.lengths
@@ -209,14 +195,8 @@ class Merger:
         self.ids.frombytes(ids.astype(np.int32).tobytes())
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rank of each pair, FAR where it is no token: a lookup in a few hash tables without chains."""
-        keys = left << 20 | right
-        out = np.full(len(keys), FAR, np.int64)
-        for factor, shift, slots, ranks in self.tables:
-            at = (keys.view(np.uint64) * factor >> shift).view(np.int64)
-            hit = slots[at] == keys
-            out[hit] = ranks[at[hit]]
-        return out
+        """The rank of each pair, FAR where it is no token."""
+        return self.table.find(left << 20 | right)
 
     def _merge_short(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All pieces side by side: in each, the pair of lowest rank, leftmost first, is merged until none is left.
@@ -337,57 +317,72 @@ def merger(path: str) -> Merger:
     return Merger(path)
 
 
-def _chunks(texts: list[str]):
-    """Runs of texts of about CHUNK code points; a longer text is a run of its own."""
-    run, size = [], 0
-    for text in texts:
-        if run and size + len(text) > CHUNK:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+def _cuts(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Runs of rows of about ``most`` in size; a longer row is in a run with few others."""
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1).tolist(), len(sizes)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
+def _lists(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
-def encode_column(text: Column, path: str) -> Column:
-    """struct(ids, offsets): token ids and the byte offset of each in the UTF-8 text."""
-    @F.arrow_udf("struct<ids: array<int>, offsets: array<int>>")
-    def encode(texts: pa.Array) -> pa.Array:
-        parts = [merger(path).encode(run) for run in _chunks([t or "" for t in texts.to_pylist()])]
-        per_text = np.concatenate([p[2] for p in parts]) if parts else np.zeros(0, np.int64)
-        ends = pa.array(np.concatenate([[0], np.cumsum(per_text)]).astype(np.int32))
-        ids, offsets = (pa.ListArray.from_arrays(
-            ends, pa.array(np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int32), pa.int32()))
-            for i in (0, 1))
-        return pa.StructArray.from_arrays([ids, offsets], ["ids", "offsets"])
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, text: str, ids: str, offsets: str) -> Iterator[pa.RecordBatch]:
+    """Batches with ids and offsets, handed on in parts of about ``CHUNK`` bytes of text."""
+    for batch in batches:
+        texts = pc.fill_null(batch.column(text), "")
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        for a, b in _cuts(sizes, CHUNK):
+            found, places, per_text = merger(path).encode(texts[a:b].to_pylist())
+            ends = np.cumsum(per_text)
+            columns = dict(zip(batch.schema.names, batch[a:b].columns)) | {ids: _lists(ends, found), offsets: _lists(ends, places)}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return encode(text)
+
+def decoded(ids: pa.ListArray, offsets: pa.ListArray, path: str) -> pa.Array:
+    """The bytes of each list of ids."""
+    per_text = np.diff(ids.offsets.to_numpy()).astype(np.int64)
+    data, sizes = [], []
+    for a, b in _cuts(per_text, CHUNK // 4):
+        run, stops = merger(path).decode(ids[a:b].flatten().to_numpy(), offsets[a:b].flatten().to_numpy(), per_text[a:b])
+        data.append(run.tobytes())
+        sizes.append(np.diff(stops, prepend=0))
+    ends = np.cumsum(np.concatenate([[0], *sizes])).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(data))])
 
 
 def decode_column(ids: Column, offsets: Column, path: str) -> Column:
     """The bytes of the ids, as binary. Null lists give no bytes."""
     @F.arrow_udf("binary")
     def decode(ids: pa.Array, offsets: pa.Array) -> pa.Array:
-        per_text = np.diff(ids.offsets.to_numpy()).astype(np.int64)
-        data, stops = merger(path).decode(ids.flatten().to_numpy(), offsets.flatten().to_numpy(), per_text)
-        ends = np.concatenate([[0], stops]).astype(np.int32)
-        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        return decoded(ids, offsets, path)
 
     none = F.array().cast("array<int>")
     return decode(F.coalesce(ids, none), F.coalesce(offsets, none))
 
 
+def _types(df: DataFrame, more: dict[str, str]) -> T.StructType:
+    kinds = {f.name: f.dataType for f in df.schema.fields} | {c: T._parse_datatype_string(k) for c, k in more.items()}
+    return T.StructType([T.StructField(c, k) for c, k in kinds.items()])
+
+
 def encode_table(df: DataFrame, path: str, text: str = "text", ids: str = "ids", offsets: str = "offsets") -> DataFrame:
     """The table with a column of ids and one of offsets, replacing columns of these names."""
-    coded = df.withColumn("__coded", encode_column(F.col(text), path))
-    return coded.withColumns({ids: F.col("__coded.ids"), offsets: F.col("__coded.offsets")}).drop("__coded")
+    kept = df.drop(ids, offsets)
+    return kept.mapInArrow(lambda batches: _encoded(batches, path, text, ids, offsets),
+                           _types(kept, {ids: "array<int>", offsets: "array<int>"}))
 
 
 def round_trip_digests(df: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, and the digests of the ids and of the bytes decoded from them."""
-    coded = encode_table(df.select("doc_id", "text"), path).drop("text")
-    back = coded.withColumn("back", decode_column(F.col("ids"), F.col("offsets"), path))
+    texts = df.select("doc_id", "text")
+
+    def there_and_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _encoded(batches, path, "text", "ids", "offsets"):
+            back = decoded(part.column("ids"), part.column("offsets"), path)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), back], ["doc_id", "ids", "back"])
+
+    back = texts.mapInArrow(there_and_back, _types(texts.select("doc_id"), {"ids": "array<int>", "back": "binary"}))
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        sha256_hex(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
                        sha256_hex(F.col("back")).alias("decoded_sha256"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.session import staging_path
@@ -30,6 +34,14 @@ def sha256_hex(data: Column) -> Column:
     return F.sha2(data, 256)
 
 
+def in_parts(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Runs of texts of about ``most`` bytes, nulls as empty texts; a longer text is in a run with few others."""
+    texts = pc.fill_null(texts, "")
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(sizes // most)) + 1).tolist(), len(texts)]
+    yield from (texts[a:b] for a, b in zip(cuts, cuts[1:]) if a < b)
+
+
 class SlotTables:
     """Whole numbers to values, looked up side by side: tables of one key a slot; keys that meet go on to the next table."""
 
