@@ -8,7 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"salary_train"}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
@@ -17,7 +17,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
     ok, note = compare(spark, con, name, SF)
     assert ok, note

@@ -31,6 +31,7 @@ PREDICTED = "salaire_predit_eur"
 MODEL_TAG = "gradient_boosting_v1"
 
 HASHED_SIZE = 1 << 12
+ROWS_PER_PARTITION = 10_000
 
 
 @dataclass(frozen=True)
@@ -213,7 +214,9 @@ def train(postings: DataFrame, settings: ModelSettings = ModelSettings(), key: s
         F.count_if(F.col(TARGET).between(*TARGET_RANGE)).alias("usable")).first()
     if counts.usable < settings.at_least:
         raise ValueError(f"{counts.usable} rows with a usable salary, {settings.at_least} are needed")
-    rows = training_rows(features).select(*columns).persist()
+    # Boosting reads these rows some thousand times, so their partitions are sized for it.
+    parts = -(-counts.usable // ROWS_PER_PARTITION)
+    rows = training_rows(features).select(*columns).repartition(parts, key).persist()
     listed = [c for c in CATEGORIES if c not in settings.hashed]
     regressor = GBTRegressor(
         featuresCol="_features", labelCol=TARGET, predictionCol="prediction", maxIter=settings.trees,
