@@ -101,36 +101,55 @@ def hit_windows(docs: DataFrame, windows: DataFrame, settings: Winnowing, key: l
 
     A document without any gives one row with nulls, and an occurrence may come twice.
     """
-    span = settings.span
     lengths = [r[0] for r in windows.select("length").distinct().collect()]  # at most ``span`` numbers
     rows = docs.select(*key, words_of(F.col(text)).alias("words"))
     rows = rows.select(*key, "words", F.size("words").alias("n_words"),
                        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     rows = rows.select(*key, "words", "n_words", "hashes", gram_hashes(F.col("hashes"), settings.k).alias("grams"))
-    looked_up = [F.array(F.lit(None).cast("struct<length:int,hash:bigint>"))]  # keeps a row for each document
-    for n in lengths:
-        of = winnowed(F.col("grams"), settings.window) if n == span else F.array_distinct(gram_hashes(F.col("hashes"), n))
-        looked_up.append(_with_length(of, n))
-    rows = rows.select(*key, "words", "n_words", "hashes", F.explode(F.concat(*looked_up)).alias("look"))
-    rows = rows.select(*key, "words", "n_words", "hashes", "look.length", "look.hash", _slot(F.col("look.hash")).alias("slot"))
+    rows = rows.select(*key, "words", "n_words", "hashes", "grams", least_positions(F.col("grams"), settings.window).alias("places"))
+    looked_up = [F.array(F.lit(None).cast(LOOK))]  # keeps a row for each document
+    looked_up += [_looks(n, settings) for n in lengths]
+    # A row takes along the words around its gram and not the document's, so that long texts cost no more for each word.
+    rows = rows.select(*key, "n_words", F.explode(F.concat(*looked_up)).alias("look"))
+    rows = rows.select(*key, "n_words", "look.*", _slot(F.col("look.hash")).alias("slot"))
     known = F.col("hash").isNull() | (F.call_function("getbit", "bits", _bit(F.col("hash"))) == 1)
     rows = rows.join(F.broadcast(bitmap(windows)), ["length", "slot"], "left").where(known)
-    at = F.col("length")
-    gram = F.when(at == span, settings.k).otherwise(at)
-    grams_at = F.filter(F.sequence(F.lit(1), F.greatest(F.size("hashes") - gram + 1, F.lit(1))),
-                        lambda i: F.xxhash64(F.slice("hashes", i, gram)) == F.col("hash"))
-    around = F.flatten(F.transform(grams_at, lambda i: F.sequence(  # the windows that hold the gram
-        F.greatest(i - (at - gram), F.lit(1)), F.least(i, F.col("n_words") - (at - 1)))))
-    rows = rows.select(*key, "words", "n_words", "length", F.explode_outer(F.when(F.col("hash").isNotNull(), around)).alias("at"))
+    found = F.transform(F.sequence(F.lit(0), F.size("context") - F.col("length")), lambda o: F.struct(
+        (F.col("start") + o).alias("at"), F.array_join(F.slice("context", o + 1, F.col("length")), " ").alias("window")))
+    rows = rows.select(*key, "n_words", F.explode_outer(F.when(F.col("hash").isNotNull(), found)).alias("found"))
     # A document's row without a window has a join key of its own, so that such rows are dealt out evenly.
-    rows = rows.select(*key, "n_words", "at", F.when(
-        F.col("at").isNotNull(), F.array_join(F.slice("words", F.col("at"), F.col("length")), " ")
-    ).otherwise(F.concat(F.lit(" "), F.xxhash64(*key).cast("string"))).alias("window"))
+    alone = F.concat(F.lit(" "), F.xxhash64(*key).cast("string"))
+    rows = rows.select(*key, "n_words", "found.at", F.coalesce("found.window", alone).alias("window"))
     return rows.join(windows.select("window", "length", "items"), "window", "left").drop("window")
 
 
-def _with_length(hashes: Column, length: int) -> Column:
-    return F.transform(hashes, lambda h: F.struct(F.lit(length).alias("length"), h.alias("hash")))
+LOOK = "struct<length:int,hash:bigint,start:int,context:array<string>>"
+
+
+def least_positions(grams: Column, window: int) -> Column:
+    """Where the least hash of each ``window`` consecutive ones stands, each place once; of equal hashes the first."""
+    def place(i: Column) -> Column:
+        near = F.slice(grams, i, window)
+        return (i - 1 + F.array_position(near, F.array_min(near))).cast("int")
+
+    return F.when(F.size(grams) >= window, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.size(grams) - (window - 1)), place))).otherwise(F.array().cast("array<int>"))
+
+
+def _looks(length: int, settings: Winnowing) -> Column:
+    """What to look up in a document for windows of a length: hashes, with the words of all windows around each."""
+    if length < settings.span:
+        hashes, most = F.col("hashes"), F.size("hashes") - (length - 1)
+        return F.when(most > 0, F.transform(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), lambda i: F.struct(
+            F.lit(length).alias("length"), F.xxhash64(F.slice(hashes, i, length)).alias("hash"), i.alias("start"),
+            F.slice("words", i, length).alias("context")))).otherwise(F.array().cast(f"array<{LOOK}>"))
+
+    def around(i: Column) -> Column:
+        start = F.greatest(i - (length - settings.k), F.lit(1))
+        return F.struct(F.lit(length).alias("length"), F.get("grams", i - 1).alias("hash"), start.alias("start"),
+                        F.slice("words", start, i + length - start).alias("context"))
+
+    return F.when(F.col("n_words") >= length, F.transform("places", around)).otherwise(F.array().cast(f"array<{LOOK}>"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, settings: Winnowing = Winnowing(), text: str = "text",
