@@ -25,18 +25,29 @@ from vacantia.llm.quality_rules import keep_good
 from vacantia.llm.simhash import keep_first
 
 
+#: Rows that a task hands to Python at once. Rows hold whole texts, so this bounds the memory of a task on either side.
+ROWS_TO_PYTHON = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_TO_PYTHON)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, whose limits come from the documents given."""
+    small_batches(spark)
     return keep_good(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the accepted languages."""
+    small_batches(spark)
     return keep_identified(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies."""
+    small_batches(spark)
     return keep_first(docs)
 
 
@@ -49,6 +60,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its token ids and their byte offsets."""
+    small_batches(spark)
     return encode_table(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 

@@ -23,13 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.common import staged
+from vacantia.llm.common import in_parts, staged
 
 UND = "und"
 # Country suffixes and the language most used there.
 SUFFIX_LANGUAGE = {"uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "fr": "fr", "de": "de", "at": "de", "es": "es",
                    "mx": "es", "ar": "es", "co": "es", "cl": "es", "pe": "es"}
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -76,9 +76,11 @@ def learn_trigrams(labelled: DataFrame, settings: Evidence = Evidence(), text: s
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), buckets), np.int64)
         for batch in batches:
-            of_text = np.array([languages.index(x) for x in batch.column(1).to_pylist()], np.int64)
-            for first, grams, of in _grams([t or "" for t in batch.column(0).to_pylist()], bits):
-                total += np.bincount(of_text[of + first] * buckets + grams, minlength=total.size).reshape(total.shape)
+            of_text, at = np.array([languages.index(x) for x in batch.column(1).to_pylist()], np.int64), 0
+            for part in in_parts(batch.column(0), 4 * CHUNK):
+                for first, grams, of in _grams(part.to_pylist(), bits):
+                    total += np.bincount(of_text[of + first + at] * buckets + grams, minlength=total.size).reshape(total.shape)
+                at += len(part)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
 
@@ -97,12 +99,14 @@ def text_evidence(text: Column, table: np.ndarray, settings: Evidence = Evidence
 
     @F.arrow_udf("array<double>")
     def compute(texts: pa.Array) -> pa.Array:
-        out = np.zeros((len(texts), width))
-        for first, grams, of in _grams([t or "" for t in texts.to_pylist()], bits):
-            n = int(of[-1]) + 1 if len(of) else 0
-            counts = np.maximum(np.bincount(of, minlength=n), 1)
-            for k in range(width):
-                out[first:first + n, k] = np.bincount(of, table[grams, k], n) / np.sqrt(counts)
+        out, at = np.zeros((len(texts), width)), 0
+        for part in in_parts(texts, 4 * CHUNK):
+            for first, grams, of in _grams(part.to_pylist(), bits):
+                n = int(of[-1]) + 1 if len(of) else 0
+                counts = np.maximum(np.bincount(of, minlength=n), 1)
+                for k in range(width):
+                    out[at + first:at + first + n, k] = np.bincount(of, table[grams, k], n) / np.sqrt(counts)
+            at += len(part)
         ends = pa.array(np.arange(len(out) + 1, dtype=np.int32) * width)
         return pa.ListArray.from_arrays(ends, pa.array(out.ravel()))
 

@@ -16,7 +16,6 @@ Repeated rows are scored each for itself; other columns are not read.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from itertools import combinations
 
@@ -26,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.common import staged
+from vacantia.llm.common import in_parts, staged
 from vacantia.llm.quality_rules import BYTES_AT_ONCE, count_texts
 
 FEATURES = ("log_words", "word_length", "symbols", "repeats", "dup_lines", "upper", "digits", "marks", "bars", "stops",
@@ -75,17 +74,10 @@ def features_of(texts: pa.Array) -> np.ndarray:
     return np.column_stack([columns[f] for f in FEATURES]).astype(float)
 
 
-def _in_parts(texts: pa.Array) -> Iterator[pa.Array]:
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-    cuts = [0, *(np.flatnonzero(np.diff(sizes // BYTES_AT_ONCE)) + 1).tolist(), len(texts)]
-    yield from (texts[a:b] for a, b in zip(cuts, cuts[1:]) if a < b)
-
-
 def features(text: Column) -> Column:
     @F.arrow_udf("array<double>")
     def compute(texts: pa.Array) -> pa.Array:
-        texts = pc.fill_null(texts, "")
-        rows = np.concatenate([features_of(p) for p in _in_parts(texts)] or [np.zeros((0, len(FEATURES)))])
+        rows = np.concatenate([features_of(p) for p in in_parts(texts, BYTES_AT_ONCE)] or [np.zeros((0, len(FEATURES)))])
         return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES)), pa.array(rows.ravel()))
 
     return compute(text)
@@ -242,7 +234,7 @@ def quality_score(text: Column, model: Model) -> Column:
     """The probability of label 1."""
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        parts = [model.score(features_of(p)) for p in _in_parts(pc.fill_null(texts, ""))]
+        parts = [model.score(features_of(p)) for p in in_parts(texts, BYTES_AT_ONCE)]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
     return score(text)

@@ -29,11 +29,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.common import staged
+from vacantia.llm.common import in_parts, staged
 
 BITS = 64
 SEED = 42
 SHINGLES_AT_ONCE = 1 << 14
+BYTES_AT_ONCE = 1 << 20
 ROWS_AT_ONCE = 1 << 18
 
 
@@ -71,7 +72,7 @@ def fingerprint(text: Column, settings: Linking = Linking()) -> Column:
 
     @F.arrow_udf("bigint")
     def simhash(texts: pa.Array) -> pa.Array:
-        return pa.array([fingerprint_of(t, shingle) for t in texts.to_pylist()], pa.int64())
+        return pa.array([fingerprint_of(t, shingle) for part in in_parts(texts, BYTES_AT_ONCE) for t in part.to_pylist()], pa.int64())
 
     return simhash(text)
 

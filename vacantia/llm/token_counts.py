@@ -25,11 +25,11 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.common import SlotTables
+from vacantia.llm.common import SlotTables, in_parts
 
 MARK = "▁"
 BYTE_SCORE = 5.0  # below the rarest piece
-BYTES_AT_ONCE = 1 << 22
+BYTES_AT_ONCE = 1 << 21
 WIDTH = 48  # longer words are scored one by one
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 COUNTED = "struct<n_words: bigint, n_tokens: bigint, n_bytes: bigint, score: double>"
@@ -151,10 +151,7 @@ def token_counts(text: Column, path: str) -> Column:
     """struct(n_words, n_tokens, n_bytes, score): words, tokens, those of them that are bytes, and the log probability."""
     @F.arrow_udf(COUNTED)
     def count(texts: pa.Array) -> pa.Array:
-        texts = pc.fill_null(texts, "")
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-        cuts = [0, *(np.flatnonzero(np.diff(sizes // BYTES_AT_ONCE)) + 1).tolist(), len(texts)]
-        parts = [count_texts(texts[a:b], pieces_of(path)) for a, b in zip(cuts, cuts[1:]) if a < b]
+        parts = [count_texts(part, pieces_of(path)) for part in in_parts(texts, BYTES_AT_ONCE)]
         columns = [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0) for i in range(4)]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         return pa.StructArray.from_arrays([pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds)],
