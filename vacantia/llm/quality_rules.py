@@ -24,10 +24,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vacantia.llm.common import staged
+from vacantia.llm.common import in_parts, staged
 
 SYMBOLS = "#*$%&|<>"
-BYTES_AT_ONCE = 1 << 22
+BYTES_AT_ONCE = 1 << 20
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 MEASURES = ("symbols", "repeats", "dup_lines", "word_length")
 EXACT_BITS = 6  # numbers of so many bits have buckets of their own
@@ -40,7 +40,7 @@ class Rules:
     reach: int = 3
     least_rows: int = 100
     floor_symbols: int = 100
-    floor_repeats: int = 100
+    floor_repeats: int = 160
     floor_dup_lines: int = 200
     floor_word_length: int = 100
 
@@ -108,10 +108,7 @@ def base_counts(text: Column) -> Column:
     """struct of the base counts, as bigint."""
     @F.arrow_udf("struct<" + ",".join(f"{c}: bigint" for c in COUNTS) + ">")
     def count(texts: pa.Array) -> pa.Array:
-        texts = pc.fill_null(texts, "")
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-        cuts = [0, *(np.flatnonzero(np.diff(sizes // BYTES_AT_ONCE)) + 1).tolist(), len(texts)]
-        parts = [count_texts(texts[a:b]) for a, b in zip(cuts, cuts[1:]) if a < b]
+        parts = [count_texts(part) for part in in_parts(texts, BYTES_AT_ONCE)]
         return pa.StructArray.from_arrays(
             [pa.array(np.concatenate([p[c] for p in parts] or [np.zeros(0)]).astype(np.int64)) for c in COUNTS], list(COUNTS))
 

@@ -100,7 +100,7 @@ lim AS (SELECT p.lang, p.source, k.measure, coalesce(a.q1, s.q1, z.q1) AS q1, co
   LEFT JOIN q s ON s.level = 2 AND s.n >= 100 AND s.measure = k.measure AND s.lang IS NOT DISTINCT FROM p.lang
   LEFT JOIN q z ON z.level = 3 AND z.measure = k.measure),
 h AS (SELECT lang, source, max(CASE measure WHEN 'symbols' THEN q3 + 3 * greatest(q3 - q1, 100) END) AS hs,
-  max(CASE measure WHEN 'repeats' THEN q3 + 3 * greatest(q3 - q1, 100) END) AS hr,
+  max(CASE measure WHEN 'repeats' THEN q3 + 3 * greatest(q3 - q1, 160) END) AS hr,
   max(CASE measure WHEN 'dup_lines' THEN q3 + 3 * greatest(q3 - q1, 200) END) AS hd,
   max(CASE measure WHEN 'word_length' THEN q3 + 3 * greatest(q3 - q1, 100) END) AS hw,
   max(CASE measure WHEN 'word_length' THEN q1 - 3 * greatest(q3 - q1, 100) END) AS lw FROM lim GROUP BY ALL)
