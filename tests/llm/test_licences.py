@@ -74,3 +74,79 @@ def test_table(spark, documents):
         names, left = plain(text or "")
         assert (r.licences, r.n_notices, r.n_unmatched) == (sorted(set(names)), len(names), left)
     assert L.scan_licences(docs.limit(0)).count() == 0
+
+
+#: The notices as their publishers print them, and the licence of each.
+WRAPPED = [("""Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+""", "MIT", 3), ("""Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS.
+""", "ISC", 1), ("""Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+""", "BSD-2-Clause", 3), ("""Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+""", "Apache-2.0", 5), ("""This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+""", "GPL-3.0-or-later", 4)]
+
+
+@pytest.mark.parametrize("text,want,size", WRAPPED, ids=[w for _, w, _ in WRAPPED])
+@pytest.mark.parametrize("before", ["", "# ", " * ", "-- "])
+def test_wrapped_as_published(text, want, size, before):
+    text = "".join(before + line + "\n" for line in text.splitlines())
+    assert [(s["licence"], len(s["sentences"])) for s in L.match_rules(L.sentences(text))] == [(want, size)]
+
+
+def test_any_width():
+    for name, forms in L.SENTENCES.items():
+        for form in forms:
+            assert [f[2] for f in L.sentences("Words before.\n" + form.replace(" ", "\n") + "\nwords after")] == [name]
+
+
+def test_wrapped_in_a_table(spark, documents):
+    rows = [(i, t) for i, (t, _, _) in enumerate(WRAPPED)] + [(10, "This work is in the public\ndomain."), (11, "Released\nunder MIT.")]
+    got = [r.licences for r in L.scan_licences(documents(rows)).collect()]
+    assert got == [[w] for _, w, _ in WRAPPED] + [["public-domain"], ["MIT"]]

@@ -109,7 +109,8 @@ RULES = (
     ("public-domain", ("public-domain",)), ("none-granted", ("all-rights",)),
 )
 
-TRIGGERS = ("licen", "permi", "redistribut", "warrant", "copyright", "public domain", "free software", "released under")
+# Parts of single words, so that no line break can stand inside one.
+TRIGGERS = ("licen", "permi", "redistribut", "warrant", "copyright", "domain", "software", "released")
 SENTENCE = re.compile(r"[^\n]*?(?:[.;:](?=\s|$)|(?=\n)|$)")
 FOUND = "array<struct<licence: string, at: int, length: int, sentences: array<string>>>"
 
@@ -119,26 +120,44 @@ def normal(sentence: str) -> str:
     return " ".join(w.strip(".-") for w in re.split(r"[^\w.\-]+", sentence.lower()) if w.strip(".-"))
 
 
-KNOWN = {normal(s): name for name, forms in SENTENCES.items() for s in forms}
-LONGEST = 3  # a sentence may run over so many lines
+def word_trie(known: dict[str, str]) -> dict:
+    """Words to nodes; a node at which a sentence ends holds its identifier under None."""
+    root: dict = {}
+    for sentence, name in known.items():
+        node = root
+        for word in sentence.split():
+            node = node.setdefault(word, {})
+        node[None] = name
+    return root
+
+
+KNOWN = word_trie({normal(s): name for name, forms in SENTENCES.items() for s in forms})
 
 
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """(at, end, identifier) of the known sentences, in order.
 
-    A notice may be wrapped, so a sentence is also looked up joined with the lines that go on with it.
+    A notice may be wrapped, so the pieces that follow are joined for as long as they go on as some known sentence does,
+    over however many lines. Of the sentences that start at a piece the longest counts.
     """
-    pieces = [(m.start(), m.end()) for m in SENTENCE.finditer(text) if m.group().strip()]
+    pieces = [(m.start(), m.end(), words) for m in SENTENCE.finditer(text) if (words := normal(m.group()).split())]
     out, i = [], 0
     while i < len(pieces):
-        for n in range(min(LONGEST, len(pieces) - i), 0, -1):
-            at, end = pieces[i][0], pieces[i + n - 1][1]
-            if (name := KNOWN.get(normal(text[at:end]))) is not None:
-                out.append((at + len(text[at:end]) - len(text[at:end].lstrip()), end, name))
-                i += n
+        node, found = KNOWN, None
+        for n in range(i, len(pieces)):
+            for word in pieces[n][2]:
+                if (node := node.get(word)) is None:
+                    break
+            if node is None:
                 break
-        else:
+            if None in node:
+                found = n, node[None]
+        if found is None:
             i += 1
+            continue
+        (at, _, _), (_, end, _) = pieces[i], pieces[found[0]]
+        out.append((at + len(text[at:end]) - len(text[at:end].lstrip()), end, found[1]))
+        i = found[0] + 1
     return out
 
 
