@@ -150,3 +150,43 @@ def test_wrapped_in_a_table(spark, documents):
     rows = [(i, t) for i, (t, _, _) in enumerate(WRAPPED)] + [(10, "This work is in the public\ndomain."), (11, "Released\nunder MIT.")]
     got = [r.licences for r in L.scan_licences(documents(rows)).collect()]
     assert got == [[w] for _, w, _ in WRAPPED] + [["public-domain"], ["MIT"]]
+
+
+BSD2 = next(t for t, w, _ in WRAPPED if w == "BSD-2-Clause")
+NAMES = ["the copyright holder", "the University of California, Berkeley", "Example\n   Research Inc."]
+LATER = [("program", "GNU Lesser General Public License", "3", "LGPL-3.0-or-later"), ("library", "GNU Lesser General Public License", "2.1", "LGPL-2.1-or-later"),
+         ("library", "GNU Library General Public License", "2", "LGPL-2.0-or-later"), ("program", "GNU Affero General Public License", "3", "AGPL-3.0-or-later"),
+         ("program", "GNU General Public License", "2", "GPL-2.0-or-later")]
+
+
+def named(text):
+    return [(s["licence"], len(s["sentences"])) for s in L.match_rules(L.sentences(text))]
+
+
+@pytest.mark.parametrize("owner", NAMES)
+def test_bsd_by_clauses(owner):
+    third = (f"3. Neither the name of {owner} nor the names of its\n   contributors may be used to endorse or promote products derived from\n"
+             "   this software without specific prior written permission.\n")
+    advertising = ("3. All advertising materials mentioning features or use of this software\n   must display the following acknowledgement:\n"
+                   "   This product includes software developed by someone.\n")
+    rest = "\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\".\n"
+    assert named(BSD2 + rest) == [("BSD-2-Clause", 3)]
+    assert named(BSD2 + "\n" + third + rest) == [("BSD-3-Clause", 4)]
+    assert named(BSD2 + "\n" + advertising + third + rest) == [("BSD-4-Clause", 5)]
+    twice = L.sentences((BSD2 + third + rest) * 2)
+    assert [s["licence"] for s in L.match_rules(twice)] == ["BSD-3-Clause"] * 2
+
+
+def test_a_name_is_no_longer_than_it_must():
+    clause = "Neither the name of A. Nyone nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    text = "Neither the name of the rose.\n" + clause + "\n" + clause[len("Neither the name of "):] + "\n" + "Neither the name of\n" * 20_000
+    assert [(text[a:e], n) for a, e, n in L.sentences(text)] == [(clause, "bsd-name")]
+
+
+@pytest.mark.parametrize("work,name,version,want", LATER, ids=[x[-1] for x in LATER])
+def test_later_versions(work, name, version, want):
+    grant = (f"This {work} is free software; you can redistribute it and/or\nmodify it under the terms of the {name}\nas published by the Free Software Foundation; "
+             f"either\nversion {version} of the License, or (at your option) any later version.\n")
+    rest = (f"\nThis {work} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n"
+            f"MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the {name}\nfor more details.\n")
+    assert named(grant + rest) == [(want, 4)] and named(grant) == [(want, 2)]

@@ -19,6 +19,8 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+OWNER = "NAME_OF_OWNER"  # in a sentence: any words, one at least, up to those that follow it there
+
 # Sentences of public licence notices, by identifier. They are compared as ``normal`` gives them.
 SENTENCES = {
     "mit-released": ("Released under the MIT License.", "Released under MIT.", "This project is released under the MIT License."),
@@ -47,14 +49,28 @@ SENTENCES = {
     "gpl2-licensed": ("This work is licensed under the GNU General Public License, version 2.",
                       "This program is licensed under the GNU General Public License, version 2.",
                       "Licensed under the GNU General Public License, version 2.", "Licensed under the GPLv2 license."),
-    "gpl-free": ("This program is free software:", "This program is free software;"),
+    "gpl-free": ("This program is free software:", "This program is free software;", "This library is free software:",
+                 "This library is free software;"),
     "gpl3-later": ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
                    "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
     "gpl2-later": ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
                    "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",),
     "gpl-no-warranty": ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
-                        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",),
+                        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+                        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+                        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."),
     "gpl-see": ("See the GNU General Public License for more details.",),
+    "lgpl3-later": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+                    "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "lgpl21-later": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+                     "by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",),
+    "lgpl2-later": ("you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published "
+                    "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",),
+    "lgpl-see": ("See the GNU Lesser General Public License for more details.",
+                 "See the GNU Library General Public License for more details."),
+    "agpl3-later": ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+                    "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",),
+    "agpl-see": ("See the GNU Affero General Public License for more details.",),
     "lgpl3-licensed": ("Licensed under the GNU Lesser General Public License, version 3.",),
     "lgpl21-licensed": ("Licensed under the GNU Lesser General Public License, version 2.1.",),
     "agpl3-licensed": ("Licensed under the GNU Affero General Public License, version 3.",),
@@ -64,6 +80,14 @@ SENTENCES = {
                    "following disclaimer.",),
     "bsd-binary": ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
                    "following disclaimer in the documentation and/or other materials provided with the distribution.",),
+    "bsd-advertising": ("All advertising materials mentioning features or use of this software must display the following acknowledgement:",),
+    "bsd-name": tuple(f"{start} may {verb}be used to endorse or promote products derived from this software without specific prior "
+                      "written permission." for start, verb in (
+                          *((f"Neither the {name} of {OWNER} nor the names of {whose}contributors", "")
+                            for name in ("name", "names") for whose in ("", "its ", "their ", "his ", "her ", "any ", "other ")),
+                          ("The name of the author", "not "), ("The names of the authors", "not "),
+                          ("The name of the copyright holder", "not "), ("The names of the copyright holders", "not "),
+                          ("The names of its contributors", "not "), ("The names of the contributors", "not "))),
     "bsd3-licensed": ("Licensed under the BSD 3-Clause License.",),
     "bsd2-licensed": ("Licensed under the BSD 2-Clause License.",),
     "isc-licensed": ("Licensed under the ISC License.",),
@@ -93,8 +117,16 @@ RULES = (
     ("Apache-2.0", ("apache2-licensed", "apache2-comply", "apache2-obtain")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-later", "gpl-no-warranty", "gpl-see")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl2-later", "gpl-no-warranty", "gpl-see")),
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl3-later", "gpl-no-warranty", "lgpl-see")),
+    ("LGPL-2.1-or-later", ("gpl-free", "lgpl21-later", "gpl-no-warranty", "lgpl-see")),
+    ("LGPL-2.0-or-later", ("gpl-free", "lgpl2-later", "gpl-no-warranty", "lgpl-see")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl3-later", "gpl-no-warranty", "agpl-see")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-later")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl2-later")),
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl3-later")), ("LGPL-2.1-or-later", ("gpl-free", "lgpl21-later")),
+    ("LGPL-2.0-or-later", ("gpl-free", "lgpl2-later")), ("AGPL-3.0-or-later", ("gpl-free", "agpl3-later")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-name")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("MIT", ("mit-grant", "mit-condition")),
     ("MIT", ("mit-released",)), ("MIT", ("mit-licensed",)), ("MIT", ("mit-name",)),
@@ -120,13 +152,22 @@ def normal(sentence: str) -> str:
     return " ".join(w.strip(".-") for w in re.split(r"[^\w.\-]+", sentence.lower()) if w.strip(".-"))
 
 
+SLOT = "*"  # no word
+NEITHER = "neither"  # the sentences with an owner start so; the name ends at the latest where another one may start
+
+
 def word_trie(known: dict[str, str]) -> dict:
-    """Words to nodes; a node at which a sentence ends holds its identifier under None."""
+    """Words to nodes; a node at which a sentence ends holds its identifier under None. A node that an owner's name leads to
+    holds itself under ``SLOT``, so that the name may have further words."""
     root: dict = {}
     for sentence, name in known.items():
         node = root
         for word in sentence.split():
-            node = node.setdefault(word, {})
+            if word == normal(OWNER):
+                node = node.setdefault(SLOT, {})
+                node[SLOT] = node
+            else:
+                node = node.setdefault(word, {})
         node[None] = name
     return root
 
@@ -134,6 +175,12 @@ def word_trie(known: dict[str, str]) -> dict:
 KNOWN = word_trie({normal(s): name for name, forms in SENTENCES.items() for s in forms})
 
 
+def step(nodes: list[dict], word: str) -> list[dict]:
+    """The nodes a word leads to."""
+    out = [n[word] for n in nodes if word in n]
+    return out + [n[SLOT] for n in nodes if SLOT in n and word != NEITHER]
+
+
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """(at, end, identifier) of the known sentences, in order.
 
@@ -143,15 +190,16 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
     pieces = [(m.start(), m.end(), words) for m in SENTENCE.finditer(text) if (words := normal(m.group()).split())]
     out, i = [], 0
     while i < len(pieces):
-        node, found = KNOWN, None
+        nodes, found = [KNOWN], None
         for n in range(i, len(pieces)):
             for word in pieces[n][2]:
-                if (node := node.get(word)) is None:
+                if not (nodes := step(nodes, word)):
                     break
-            if node is None:
+            if not nodes:
                 break
-            if None in node:
-                found = n, node[None]
+            if name := next((k[None] for k in nodes if None in k), None):
+                found = n, name
+                nodes = [k for k in nodes if k.get(SLOT) is not k]  # a slot takes no more than it must
         if found is None:
             i += 1
             continue
