@@ -6,7 +6,7 @@ Each stage judges all documents that the one before has kept:
 * language: documents whose language is not one of the accepted ones, or not clear, go;
 * near-copies: of each group of near-copies the document of the smallest doc_id stays. Rows that repeat a doc_id are one
   document and stay once; rows without a doc_id go if a document with one is in their group, and all stay if none is;
-* decontamination: documents that hold a passage of the benchmark go;
+* decontamination: documents that hold a passage of the benchmark go, each row by its own text;
 * tokens: each document gets its token ids and their byte offsets.
 
 Null texts fail the quality rules, so no later stage of ``run`` sees any. An empty table gives an empty table.
@@ -15,11 +15,11 @@ Null texts fail the quality rules, so no later stage of ``run`` sees any. An emp
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from vacantia.llm.byte_bpe import encode_table
 from vacantia.llm.common import staged
-from vacantia.llm.decontaminate import contaminated_ids
+from vacantia.llm.decontaminate import drop_contaminated
 from vacantia.llm.language_id import keep_identified
 from vacantia.llm.quality_rules import keep_good
 from vacantia.llm.simhash import keep_first
@@ -54,8 +54,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = staged(contaminated_ids(docs, benchmark), "contaminated").withColumnRenamed("doc_id", "__found")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti").select(docs.columns)
+    return drop_contaminated(docs, benchmark)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

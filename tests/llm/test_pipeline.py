@@ -109,6 +109,17 @@ def test_decontamination_alone(spark, documents, tmp_path):
     assert sorted(r.doc_id for r in kept) == [2, 3, 4]
 
 
+def test_decontamination_by_row(spark, documents, tmp_path):
+    """Rows without an id, or with one id, are told apart by their texts; equal rows have one fate."""
+    passage = "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = [(None, "clean"), (None, "also clean"), (None, None), (7, "clean"), (8, passage[:20]), (8, passage[:20])]
+    docs = documents(clean + [(None, passage), (None, "x " + passage), (7, passage + " y"), (9, passage), (9, passage)])
+    kept = corpus_pipeline.decontamination(spark, docs.repartition(3), str(tmp_path))
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, clean))
+
+
 def test_registered():
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and set(ORACLE) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_copies", "decontamination", "tokens"]

@@ -159,8 +159,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, settings: Winnowing = W
 
     The windows of the benchmark are written to the shared folder once.
     """
+    return _by_text(docs, benchmark, settings, text, doc).drop("text_key")
+
+
+def text_key(text: str) -> Column:
+    """Tells texts apart that share an id, or have none."""
+    return F.xxhash64(text)
+
+
+def _by_text(docs: DataFrame, benchmark: DataFrame, settings: Winnowing, text: str = "text", doc: str = "doc_id") -> DataFrame:
+    """What ``decontaminate`` gives, with the key of the text."""
     windows = staged(benchmark_windows(benchmark, settings), "windows")
-    docs = docs.select(F.col(doc).alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    docs = docs.select(F.col(doc).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
     hits = hit_windows(docs, windows, settings, ["doc_id", "text_key"])
     hit = F.when(F.col("length").isNotNull(), F.struct("at", (F.col("at") + F.col("length")).alias("end")))
     grouped = hits.groupBy("doc_id", "text_key").agg(
@@ -172,10 +182,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, settings: Winnowing = W
             F.element_at(spans, -1)["at"].alias("at"),
             F.greatest(F.element_at(spans, -1)["end"], h["end"]).alias("end"))))
     ).otherwise(F.concat(spans, F.array(h))))
-    out = grouped.select("doc_id", "n_words", F.size("hits").alias("__n"), merged.alias("merged"),
+    out = grouped.select("doc_id", "text_key", "n_words", F.size("hits").alias("__n"), merged.alias("merged"),
                          F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"))
     covered = F.aggregate("merged", F.lit(0).cast("bigint"), lambda n, s: n + (s["end"] - s["at"]))
-    return out.select("doc_id", F.col("n_words").cast("long").alias("n_words"), covered.alias("n_hit"), "items",
+    return out.select("doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"), covered.alias("n_hit"), "items",
                       F.transform("merged", lambda s: F.struct(s["at"].alias("at"), (s["end"] - s["at"]).alias("length"))
                                   ).alias("spans"))
 
@@ -191,3 +201,12 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, settings: Winnow
 def contaminated_ids(docs: DataFrame, benchmark: DataFrame, settings: Winnowing = Winnowing()) -> DataFrame:
     """The ids of documents with a word inside a benchmark window, each once."""
     return decontaminate(docs, benchmark, settings).where("n_hit > 0").select("doc_id").distinct()
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Winnowing = Winnowing()) -> DataFrame:
+    """The documents without a word inside a benchmark window. Each row goes by its own text: one that shares its id with a
+    contaminated row, or has none as that one, stays if its text is clean."""
+    found = staged(_by_text(docs, benchmark, settings).where("n_hit > 0").select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")), "contaminated")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key("text") == F.col("__text"))
+    return docs.join(found, same, "left_anti").select(docs.columns)
