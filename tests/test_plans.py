@@ -276,6 +276,37 @@ def test_only_new_postings_reach_star_and_bridge(spark, tmp_path):
     assert pairs.count() == pairs.distinct().count() and {r.offre_id for r in pairs.filter(F.col("competence_id") == skills_["Python"][0]).collect()} == {"1", "3"}
 
 
+@pytest.mark.parametrize("stop", ["fact_offres", "bridge_offre_competence"])
+def test_a_stopped_load_is_mended_by_the_next(spark, tmp_path, monkeypatch, stop):
+    """A run that stops before it writes a table: the next one brings in its postings, nothing lost or counted twice."""
+    lake = pipeline.Lake(str(tmp_path / "lake"))
+    rows = postings(spark, [dict(offre_id="1", titre="Dev Kafka", description="python", entreprise="B"), dict(offre_id="2", titre="Chef"),
+                            dict(offre_id="3", titre=None, description="scala")])
+    rows.coalesce(1).write.parquet(lake.unified)
+
+    def load():
+        fresh = pipeline.load_raw(spark, lake)
+        pipeline.load_skills(spark, lake, fresh, pipeline.load_star(spark, lake, fresh).fact)
+
+    def stopping(write):
+        def wrapped(df, path, *args, **kwargs):
+            if path.endswith("/" + stop):
+                raise RuntimeError(stop)
+            return write(df, path, *args, **kwargs)
+        return wrapped
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match=stop):
+        for name in ("append_current", "publish"):
+            m.setattr(pipeline, name, stopping(getattr(pipeline, name)))
+        load()
+    load()
+    assert sorted(r.offre_id for r in read_current(spark, lake.table("fact_offres")).collect()) == ["1", "2"]
+    skills_ = {r.competence_id: (r.nom, r.nb_offres) for r in read_current(spark, lake.table("dim_competence")).collect()}
+    assert {"Python": 1, "Kafka": 1, "Scala": 1}.items() <= dict(skills_.values()).items() and max(n for _, n in skills_.values()) == 1
+    pairs = sorted((r.offre_id, skills_[r.competence_id][0]) for r in read_current(spark, lake.table("bridge_offre_competence")).collect())
+    assert pairs == [("1", "Kafka"), ("1", "Python")]
+
+
 def test_predictions_from_model_to_fact(spark, tmp_path):
     from test_salary_model import SMALL, rows
 

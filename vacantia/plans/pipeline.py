@@ -10,14 +10,14 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vacantia.operators.merge import new_rows, update_predictions, upsert_candidates
+from vacantia.operators.merge import known_keys, new_rows, update_predictions, upsert_candidates
 from vacantia.operators.profile import duplicate_keys
 from vacantia.plans import gold, marts, recommend, salary_model, skills, star
 from vacantia.plans.conform import CONFORMERS, clean_source, sanitise, unify
 from vacantia.schema import CANDIDATE_SCHEMA, RECORD_SCHEMAS
 from vacantia.session import staging_path
 from vacantia.sources import envelopes
-from vacantia.sources.tables import (align, append_current, current_path, publish, read_current, read_sources, reload_if_any,
+from vacantia.sources.tables import (align, append_current, current_path, current_version, publish, read_current, read_sources,
                                      replace_in_partitions, try_read, write_named, write_partitioned)
 
 log = logging.getLogger(__name__)
@@ -83,7 +83,8 @@ def build_silver(spark: SparkSession, landed: Mapping[str, str], lake: Lake) ->
 
 
 def load_raw(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Append unified postings with unseen ids to the raw table. Returns the rows appended."""
+    """Append unified postings with unseen ids to the raw table. Returns the rows to load: those appended, and those that a
+    run before has appended and not brought into the fact."""
     raw, batch = lake.table("raw_offres"), sanitise(spark.read.parquet(lake.unified))
     known = read_current(spark, raw)
     fresh = new_rows(batch.limit(0) if known is None else known, batch, order=(F.col("date_creation").desc_nulls_last(),))
@@ -91,7 +92,22 @@ def load_raw(spark: SparkSession, lake: Lake) -> DataFrame:
     fresh.write.parquet(staged)
     fresh = spark.read.schema(fresh.schema).parquet(staged)
     append_current(fresh, raw)
-    return fresh
+    titled = read_current(spark, raw).filter(F.col("titre").isNotNull())  # the fact holds no others
+    return fresh.unionByName(_left_over(titled, read_current(spark, lake.table("fact_offres")), fresh).select(fresh.columns))
+
+
+def _left_over(raw: DataFrame, done: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """Rows of the raw table that are neither done nor new. Only ids are compared; other columns are read if a run before has
+    stopped half-way and left some."""
+    ids = raw.select("offre_id").join(known_keys(fresh, "offre_id"), "offre_id", "left_anti")
+    ids = _staged(ids if done is None else ids.join(known_keys(done, "offre_id"), "offre_id", "left_anti"), "left_over")
+    return raw.limit(0) if ids.isEmpty() else raw.join(ids, "offre_id", "left_semi")
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_star(spark: SparkSession, lake: Lake, fresh: DataFrame) -> star.Star:
@@ -130,18 +146,44 @@ def with_month(fact: DataFrame) -> DataFrame:
 def load_skills(spark: SparkSession, lake: Lake, fresh: DataFrame, fact: DataFrame) -> bool:
     """Add the skills of new postings to the skill dimension and the bridge; nothing found changes nothing.
 
-    Only new postings are searched. Skills keep their number; one not seen before gets the next ones.
+    Only postings not searched before are. Skills keep their number; one not seen before gets the next ones. A run that stops
+    half-way is mended by the next: ``offres_comptees`` names the version of the dimension that counts a posting, before that
+    version is there, and ``offres_reliees`` the postings whose pairs are in the bridge. Tables without these two are filled anew.
     """
-    dim, bridge = lake.table("dim_competence"), lake.table("bridge_offre_competence")
-    found = skills.skill_summary(fresh, skills.dictionary())
-    known = read_current(spark, dim)
-    if known is not None and found.isEmpty():
-        return False
-    if not reload_if_any(found if known is None else skills.add_counts(known, found), dim):
+    dim, log_path = lake.table("dim_competence"), lake.table("offres_comptees")
+    known, log_, version = read_current(spark, dim), read_current(spark, log_path), current_version(spark, dim)
+    raw = read_current(spark, lake.table("raw_offres"))
+    done = None if log_ is None else log_.filter(F.col("version") <= version)
+    new = fresh if done is None else fresh.join(known_keys(done, "offre_id"), "offre_id", "left_anti")
+    rows = new.unionByName(_left_over(raw, done, fresh).select(fresh.columns))
+    found = _staged(skills.skill_summary(rows, skills.dictionary()), "found")
+    changes = not found.isEmpty()
+    ids = _staged(rows.select("offre_id", F.lit(version + 1 if changes else version).alias("version")), "searched")
+    if not ids.isEmpty():
+        append_current(ids, log_path)
+    if changes:
+        if known is not None and log_ is None:
+            known = known.withColumn("nb_offres", F.lit(0).cast("bigint"))
+        publish(found if known is None else skills.add_counts(known, found), dim)
+    linked = read_current(spark, dim) is not None and _link_skills(spark, lake, fact)
+    return changes or linked
+
+
+def _link_skills(spark: SparkSession, lake: Lake, fact: DataFrame) -> bool:
+    """Add the pairs of the postings that the bridge has not had yet."""
+    bridge, log_path = lake.table("bridge_offre_competence"), lake.table("offres_reliees")
+    known, log_ = read_current(spark, bridge), read_current(spark, log_path)
+    ids = fact.select("offre_id")
+    ids = _staged(ids if log_ is None else ids.join(known_keys(log_, "offre_id"), "offre_id", "left_anti"), "to_link")
+    if ids.isEmpty():
         return False
-    names = skills.read_dictionary(read_current(spark, dim))
-    rows = fact.join(fresh.select("offre_id"), "offre_id", "left_semi")
-    append_current(skills.skill_bridge(rows, names), bridge)
+    pairs = skills.skill_bridge(fact.join(ids, "offre_id", "left_semi"), skills.read_dictionary(read_current(spark, lake.table("dim_competence"))))
+    if known is None or log_ is None:
+        publish(pairs, bridge)
+    else:  # a run before may have written some and not logged them
+        held = known.join(ids, "offre_id", "left_semi").select("offre_id", "competence_id")
+        append_current(pairs.join(held, ["offre_id", "competence_id"], "left_anti").select(known.columns), bridge)
+    append_current(ids, log_path)
     return True
 
 

@@ -77,6 +77,11 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/v{versions[-1]}") if versions else None
 
 
+def current_version(spark: SparkSession, path: str) -> int:
+    """The number of the latest complete version of a table, 0 if there is none."""
+    return (_versions(spark, path) or [0])[-1]
+
+
 def current_path(spark: SparkSession, path: str) -> str | None:
     """The folder of the latest complete version of a table, or None."""
     versions = _versions(spark, path)
