@@ -5,6 +5,8 @@ import shutil
 import subprocess
 import sys
 
+import pytest
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -15,13 +17,28 @@ def names(folder):
     return out.stdout.split("\n")[1].split()
 
 
-def test_entry_without_the_text_operators(tmp_path):
-    skipped = shutil.ignore_patterns("llm", ".git", "corpus_pipeline.py", "__pycache__")
+@pytest.mark.parametrize("gone", [("llm", "corpus_pipeline.py"), ("llm",)])
+def test_entry_without_the_text_operators(tmp_path, gone):
+    skipped = shutil.ignore_patterns(*gone, ".git", "__pycache__")
     shutil.copytree(ROOT, tmp_path / "repo", ignore=skipped)
     left = names(tmp_path / "repo")
     assert "salary_market" in left and not any(n.startswith("op") or n == "pipeline" for n in left)
 
 
+def test_entry_with_left_over_folder(tmp_path):
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__"))
+    (tmp_path / "repo/vacantia/llm/__pycache__").mkdir(parents=True)
+    assert "salary_market" in names(tmp_path / "repo")
+
+
+def test_the_rest_is_collected_without_the_text_operators(tmp_path):
+    shutil.copytree(ROOT, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", ".git", "__pycache__"))
+    out = subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "--collect-only", "-p", "no:cacheprovider"], cwd=tmp_path / "repo",
+                         capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stdout[-2000:]
+    assert "test_plans" in out.stdout and "test_streaming" in out.stdout
+
+
 def test_nothing_else_imports_the_text_operators():
     for folder in ("vacantia", "registry", "tests"):
         for at, dirs, files in os.walk(os.path.join(ROOT, folder)):

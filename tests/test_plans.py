@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of, postings
 from vacantia.operators.merge import new_rows
 from vacantia.plans import conform, gold, marts, pipeline, recommend, skills, star
 from vacantia.plans.conform import sanitise
@@ -114,14 +114,6 @@ def test_lenient_conforming(spark):
     assert (row.pays, row.url_offre, row.date_creation) == ("Maroc", "u1", dt.datetime(2026, 5, 18)) and len(row.offre_id) == 32
 
 
-def postings(spark, rows):
-    """Postings from dictionaries; the rest is NULL."""
-    from vacantia.schema import POSTING_SCHEMA
-
-    base = dict.fromkeys(POSTING_COLUMNS)
-    return spark.createDataFrame([{**base, "offre_id": str(i), "titre": "Titre", **r} for i, r in enumerate(rows)], POSTING_SCHEMA)
-
-
 def test_full_key_gives_one_row_and_name_key_fans_out(spark):
     rows = postings(spark, [dict(entreprise="A", secteur="x", ville="P"), dict(entreprise="A", secteur="y", ville="P", region="R"), dict()])
     assert star.build_star(rows).fact.count() == 3

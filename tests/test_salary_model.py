@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from test_plans import postings
+from helpers import postings
 from vacantia.plans import salary_model as sm
 
 

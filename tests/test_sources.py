@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from vacantia.schema import LABOUR_RECORD, POSTING_COLUMNS
 from vacantia.sources import envelopes, pages, tables
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from test_plans import postings
+from helpers import postings
 from vacantia.plans.marts import weekly_trend
 from vacantia.schema import POSTING_SCHEMA
 from vacantia.streaming import landing
