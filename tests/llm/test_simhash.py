@@ -182,3 +182,19 @@ def test_keep_first(spark, documents, rows):
 def test_empty_table(spark, documents, rows):
     assert S.near_copies(documents(rows).limit(0)).count() == 0
     assert S.keep_first(documents(rows).limit(0)).count() == 0
+
+
+def test_keep_first_judges_rows_by_their_text(spark, documents):
+    """Texts that share an id, or have none, are documents of their own; equal rows are one."""
+    a, b, c, d, e = (" ".join(f"{w}{i * i}" for i in range(60)) for w in ("alpha", "beta", "gamma", "delta", "eps"))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, d), (None, e), (None, e), (None, a), (4, d), (4, d), (None, None), (5, "")]
+    kept = S.keep_first(documents(rows).repartition(3)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+        [(1, a), (2, b), (3, c), (3, d), (None, e), (5, "")], key=str)
+
+
+def test_keep_first_with_clashing_columns(spark, documents):
+    docs = documents([(2, "x y z w"), (1, "x y z w"), (9, "other words here now")])
+    docs = docs.withColumns({"print": F.lit("p"), "root": F.lit(1), "first": F.lit(2), "n": F.lit(3)})
+    kept = S.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 9]

@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from vacantia.llm.common import SlotTables, sha256_hex
+from vacantia.llm.common import SlotTables, give_back, held, sha256_hex
 
 # Letters and numbers that Unicode 16 has beyond the 15.1 of Python's tables, as (first, last).
 LETTERS_16 = (
@@ -44,7 +44,8 @@ FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_SPACE, GLUED, ONE, TWO = range(8)
 
 CHUNK = 1 << 19  # bytes of text scanned at a time
 BLOCK = 256
-CACHED = 300_000  # pre-tokens whose ids a worker keeps
+CACHED = 100_000  # pre-tokens whose ids a worker keeps
+CACHED_BYTES = 8 << 20  # of these pre-tokens
 FAR = 1 << 30
 
 
@@ -158,13 +159,14 @@ class Merger:
             self.tokens[rank] = token
         self.single = [self.ranks[bytes([b])] for b in range(256)]
         self.single_array = np.array(self.single, np.int64)
-        self.pairs = {}
+        pairs, made = array("q"), array("q")
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left << 20 | right] = rank
-        self.table = SlotTables(np.array(list(self.pairs), np.int64), np.array(list(self.pairs.values()), np.int64), FAR)
+                    pairs.append(left << 20 | right)
+                    made.append(rank)
+        self.table = SlotTables(np.array(pairs, np.int64), np.array(made, np.int64), FAR)
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
         self.flat = np.frombuffer(b"".join(self.tokens), np.uint8)
         self.flat_starts = np.cumsum(self.lengths) - self.lengths
@@ -172,6 +174,7 @@ class Merger:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.known_bytes = 0
         self.ids, self.ends = array("i"), array("q", [0])
 
     def learn(self, pieces: list[bytes]) -> None:
@@ -190,6 +193,7 @@ class Merger:
 
     def _add(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
         before = len(self.known)
+        self.known_bytes += sum(map(len, pieces))
         self.known.update(zip(pieces, range(before, before + len(pieces))))
         self.ends.frombytes((ends + len(self.ids)).astype(np.int64).tobytes())
         self.ids.frombytes(ids.astype(np.int32).tobytes())
@@ -244,15 +248,22 @@ class Merger:
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same by a heap of pairs and a linked list."""
-        n, pairs = len(ids), self.pairs
-        after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
+        n, seen = len(ids), {}
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        at = np.array(ids, np.int64)
+        ranks = self.pair_ranks(at[:-1], at[1:])
+        some = np.flatnonzero(ranks < FAR)
+        heap = list(zip(ranks[some].tolist(), some.tolist(), at[some].tolist(), at[some + 1].tolist()))
+        heapq.heapify(heap)
 
         def offer(i: int) -> None:
-            if i >= 0 and after[i] < n and (rank := pairs.get(ids[i] << 20 | ids[after[i]])) is not None:
-                heapq.heappush(heap, (rank, i, ids[i], ids[after[i]]))
+            if i >= 0 and after[i] < n:
+                pair = ids[i] << 20 | ids[after[i]]
+                if pair not in seen:
+                    seen[pair] = int(self.table.find(np.array([pair], np.int64))[0])
+                if seen[pair] < FAR:
+                    heapq.heappush(heap, (seen[pair], i, ids[i], ids[after[i]]))
 
-        for i in range(n):
-            offer(i)
         while heap:
             rank, i, left, right = heapq.heappop(heap)
             j = after[i] if ids[i] == left else n
@@ -267,7 +278,7 @@ class Merger:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, the byte offset of each in its text, and the number of ids of each text."""
-        if len(self.known) > CACHED or len(self.ids) > 10 * CACHED:
+        if len(self.known) > CACHED or self.known_bytes > CACHED_BYTES:
             self.forget()
         joined = "\0".join(texts) + "\0"
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -311,10 +322,9 @@ class Merger:
         return out, stops
 
 
-@cache
 def merger(path: str) -> Merger:
     """One per worker and vocabulary."""
-    return Merger(path)
+    return held(("merger", path), lambda: Merger(path))
 
 
 def _cuts(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
@@ -337,6 +347,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, text: str, ids: str,
             ends = np.cumsum(per_text)
             columns = dict(zip(batch.schema.names, batch[a:b].columns)) | {ids: _lists(ends, found), offsets: _lists(ends, places)}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        del columns, found, places, texts
+        give_back()
 
 
 def decoded(ids: pa.ListArray, offsets: pa.ListArray, path: str) -> pa.Array:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.common import in_parts, staged
+from vacantia.llm.common import in_parts, lean, staged
 
 UND = "und"
 # Country suffixes and the language most used there.
@@ -98,6 +98,7 @@ def text_evidence(text: Column, table: np.ndarray, settings: Evidence = Evidence
     bits, width = settings.gram_bits, len(settings.all)
 
     @F.arrow_udf("array<double>")
+    @lean
     def compute(texts: pa.Array) -> pa.Array:
         out, at = np.zeros((len(texts), width)), 0
         for part in in_parts(texts, 4 * CHUNK):

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vacantia.llm.common import in_parts, staged
+from vacantia.llm.common import in_parts, lean, staged
 
 SYMBOLS = "#*$%&|<>"
 BYTES_AT_ONCE = 1 << 20
@@ -107,6 +107,7 @@ def count_texts(texts: pa.Array) -> dict[str, np.ndarray]:
 def base_counts(text: Column) -> Column:
     """struct of the base counts, as bigint."""
     @F.arrow_udf("struct<" + ",".join(f"{c}: bigint" for c in COUNTS) + ">")
+    @lean
     def count(texts: pa.Array) -> pa.Array:
         parts = [count_texts(part) for part in in_parts(texts, BYTES_AT_ONCE)]
         return pa.StructArray.from_arrays(

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.common import in_parts, staged
+from vacantia.llm.common import in_parts, lean, staged
 
 BITS = 64
 SEED = 42
@@ -71,6 +71,7 @@ def fingerprint(text: Column, settings: Linking = Linking()) -> Column:
     shingle = settings.shingle
 
     @F.arrow_udf("bigint")
+    @lean
     def simhash(texts: pa.Array) -> pa.Array:
         return pa.array([fingerprint_of(t, shingle) for part in in_parts(texts, BYTES_AT_ONCE) for t in part.to_pylist()], pa.int64())
 
@@ -285,15 +286,20 @@ def components(edges: DataFrame) -> DataFrame:
         edges, before = staged(small.select("e.a", "e.b").where("a <> b").distinct(), "links"), now
 
 
+def _rooted(of_docs: DataFrame, settings: Linking) -> DataFrame:
+    """(print, first, root): each distinct fingerprint, the smallest doc_id that has it, and the fingerprint that names its group."""
+    prints = staged(of_docs.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
+    grouped = components(links(prints.select("print"), settings)).withColumnRenamed("node", "print")
+    return prints.join(grouped, "print", "left").withColumn("root", F.coalesce("root", "print"))
+
+
 def near_copies(docs: DataFrame, settings: Linking = Linking(), doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, print (bigint) and component_id, the smallest doc_id reachable, for each row.
 
     Texts are read once; ids and fingerprints go to the shared folder.
     """
     of_docs = staged(docs.select(F.col(doc).alias("doc_id"), fingerprint(F.col(text), settings).alias("print")), "prints")
-    prints = staged(of_docs.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
-    grouped = components(links(prints.select("print"), settings)).withColumnRenamed("node", "print")
-    rooted = prints.join(grouped, "print", "left").withColumn("root", F.coalesce("root", "print"))
+    rooted = _rooted(of_docs, settings)
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = staged(rooted.join(named, "root").select("print", "component_id"), "components")
     return of_docs.join(by_print, "print", "left").select("doc_id", "print", "component_id")
@@ -303,26 +309,37 @@ def print_hex(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 
 
+KEYS = ("__id", "__text", "__row")
+
+
+def _with_keys(docs: DataFrame) -> DataFrame:
+    """The rows with what tells them apart: the id, a hash of the text, a hash of all columns that can be hashed."""
+    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    return docs.withColumns({"__id": F.col("doc_id"), "__text": F.xxhash64("text"), "__row": F.xxhash64(*[F.col(f"`{c}`") for c in plain])})
+
+
 def keep_first(docs: DataFrame, settings: Linking = Linking()) -> DataFrame:
-    """The documents whose doc_id names their group, with their columns.
+    """One document of each group, with its columns: that of the smallest doc_id (none comes last), then of the least hashes of
+    its text and its row.
 
-    Only ids are joined with the texts. Rows without an id go with their fingerprint: they stay if their group has no id at all.
-    Rows that repeat an id stay once; where no id repeats, no text is moved for that.
+    Documents are rows here: texts that share an id are judged each by its own group. Only keys are joined with the texts. Rows
+    equal in everything are one group, of which one stays; no text is moved for that unless there are some.
     """
-    found = staged(near_copies(docs, settings), "groups")
-    copies = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__copy")).distinct()
-    named = found.where(F.col("doc_id").isNull() & F.col("component_id").isNotNull()).select(
-        F.col("print").alias("__named")).distinct()
-    repeated = staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
-        F.col("doc_id").alias("__repeated")), "repeated")
-    kept = docs.join(staged(copies, "copies"), F.col("doc_id") == F.col("__copy"), "left_anti")
-    named = staged(named, "named")
-    if not named.isEmpty():
-        without = kept.where("doc_id IS NULL").withColumn("__print", fingerprint(F.col("text"), settings))
-        without = without.join(named, F.col("__print") == F.col("__named"), "left_anti").select(*docs.columns)
-        kept = kept.where("doc_id IS NOT NULL").select(*docs.columns).unionByName(without)
-    if not repeated.isEmpty():
-        again = F.col("doc_id") == F.col("__repeated")
-        once = kept.join(repeated, again, "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-        kept = kept.join(repeated, again, "left_anti").select(*docs.columns).unionByName(once)
+    seen = staged(_with_keys(docs).select(*KEYS, fingerprint(F.col("text"), settings).alias("print")), "rows")
+    roots = staged(_rooted(seen.withColumnRenamed("__id", "doc_id"), settings).select("print", "root"), "roots")
+    place = F.struct(F.col("__id").isNull().alias("none"), *KEYS)
+    rooted = seen.join(roots, "print")
+    first = staged(rooted.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
+    several = staged(rooted.join(first, "root").select(*KEYS, (place == F.col("first")).alias("stays")), "several")
+    gone = staged(several.where("NOT stays").select(*[F.col(c).alias(f"{c}_gone") for c in KEYS]).distinct(), "copies")
+    equal = several.where("stays").groupBy(*KEYS).agg(F.count("*").alias("n")).where("n > 1")
+    equal = staged(equal.select(*[F.col(c).alias(f"{c}_equal") for c in KEYS]), "equal")
+
+    def same(what: str) -> list[Column]:
+        return [F.col(c).eqNullSafe(F.col(f"{c}_{what}")) for c in KEYS]
+
+    kept = _with_keys(docs).join(gone, same("gone"), "left_anti")
+    if not equal.isEmpty():
+        once = kept.join(equal, same("equal"), "left_semi").dropDuplicates(list(KEYS))
+        kept = kept.join(equal, same("equal"), "left_anti").unionByName(once)
     return kept.select(*docs.columns)
