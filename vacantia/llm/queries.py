@@ -11,6 +11,7 @@ from vacantia.llm.byte_bpe import round_trip_digests
 from vacantia.llm.decontaminate import contamination_report
 from vacantia.llm.language_id import identify_pages
 from vacantia.llm.licences import scan_licences
+from vacantia.llm.merkle import manifest_report
 from vacantia.llm.quality_classifier import score_quality
 from vacantia.llm.quality_rules import quality_verdicts
 from vacantia.llm.sharding import shard_manifest
@@ -159,3 +160,45 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text")
+    return "sha256(concat(" + ", ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + "))"
+
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT list(c ORDER BY k) AS t FROM (SELECT k, list_reduce(range(8),
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, k) AS c FROM range(256) r(k))),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, lang, {_leaf('n_chars')} AS leaf,
+  CASE WHEN xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+    lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)]), 4294967295), 4294967295) % 7 = 0 THEN {_leaf('n_chars + 1')} END AS forged
+  FROM documents, crc),
+i AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS j,
+  count(*) OVER (PARTITION BY lang) AS n FROM d),
+nodes AS (SELECT lang, 0 AS h, j, n, leaf AS d FROM i UNION ALL
+  SELECT lang, h + 1, j // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY j)) FROM nodes WHERE n > 1 GROUP BY lang, h, j // 2, n),
+tops AS (SELECT lang, 0 AS h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j, count(*) OVER () AS n, d FROM nodes WHERE n = 1),
+outer_nodes AS (SELECT 0 AS h, j, n, d FROM tops UNION ALL
+  SELECT h + 1, j // 2, (n + 1) // 2, sha256(string_agg(d, '' ORDER BY j)) FROM outer_nodes WHERE n > 1 GROUP BY h, j // 2, n),
+steps AS MATERIALIZED (
+  SELECT i.r, a.h AS k, (i.j >> a.h) % 2 = 1 AS l, b.d FROM i
+    JOIN nodes a ON a.lang IS NOT DISTINCT FROM i.lang AND a.j = i.j >> a.h AND a.n > 1
+    LEFT JOIN nodes b ON b.lang IS NOT DISTINCT FROM i.lang AND b.h = a.h AND b.j = xor(i.j >> a.h, 1)
+  UNION ALL SELECT i.r, 100 + a.h, (t.j >> a.h) % 2 = 1, b.d FROM i JOIN tops t ON t.lang IS NOT DISTINCT FROM i.lang
+    JOIN outer_nodes a ON a.j = t.j >> a.h AND a.n > 1 LEFT JOIN outer_nodes b ON b.h = a.h AND b.j = xor(t.j >> a.h, 1)),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY r ORDER BY k) AS z FROM steps),
+folded AS (SELECT r, 0 AS z, coalesce(forged, leaf) AS d FROM i UNION ALL
+  SELECT f.r, p.z, sha256(CASE WHEN p.d IS NULL THEN f.d WHEN p.l THEN p.d || f.d ELSE f.d || p.d END)
+  FROM folded f JOIN placed p ON p.r = f.r AND p.z = f.z + 1),
+ends AS (SELECT r, arg_max(d, z) AS folded_root FROM folded GROUP BY r),
+proofs AS (SELECT r, string_agg(d, '' ORDER BY z) AS p FROM placed GROUP BY r)
+SELECT doc_id, leaf, t.d AS subroot, o.d AS root, sha256(coalesce(p, '')) AS proof_sha256, folded_root, folded_root = o.d AS verified
+FROM i JOIN tops t ON t.lang IS NOT DISTINCT FROM i.lang JOIN ends USING (r) LEFT JOIN proofs USING (r)
+  JOIN (SELECT d FROM outer_nodes WHERE n = 1) o ON true
+"""
