@@ -12,6 +12,7 @@ from vacantia.llm.decontaminate import contamination_report
 from vacantia.llm.language_id import identify_pages
 from vacantia.llm.licences import scan_licences
 from vacantia.llm.merkle import manifest_report
+from vacantia.llm.pivot_search import top_k_products
 from vacantia.llm.quality_classifier import score_quality
 from vacantia.llm.quality_rules import quality_verdicts
 from vacantia.llm.sharding import shard_manifest
@@ -202,3 +203,19 @@ SELECT doc_id, leaf, t.d AS subroot, o.d AS root, sha256(coalesce(p, '')) AS pro
 FROM i JOIN tops t ON t.lang IS NOT DISTINCT FROM i.lang JOIN ends USING (r) LEFT JOIN proofs USING (r)
   JOIN (SELECT d FROM outer_nodes WHERE n = 1) o ON true
 """
+
+
+@query
+def op12_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op12_pivot_search"] = """
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+QUALIFY rank <= 5
+"""
