@@ -121,5 +121,5 @@ def test_decontamination_by_row(spark, documents, tmp_path):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and set(ORACLE) <= set(QUERIES)
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and set(ORACLE) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_copies", "decontamination", "tokens"]

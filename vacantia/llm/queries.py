@@ -15,6 +15,7 @@ from vacantia.llm.merkle import manifest_report
 from vacantia.llm.pivot_search import top_k_products
 from vacantia.llm.quality_classifier import score_quality
 from vacantia.llm.quality_rules import quality_verdicts
+from vacantia.llm.ranked_search import rank_documents
 from vacantia.llm.sharding import shard_manifest
 from vacantia.llm.simhash import near_copies, print_hex
 from vacantia.llm.token_counts import count_tokens
@@ -219,3 +220,27 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
 QUALIFY rank <= 5
 """
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLE["op13_ranked_search"] = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS w FROM documents),
+i AS MATERIALIZED (SELECT row_number() OVER () AS q, item_id, {TERMS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+whole AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d),
+tf AS MATERIALIZED (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY ALL),
+wt AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), whole),
+m AS (SELECT r, 25 + (75 * CAST(len(w) AS BIGINT) * n_docs) // greatest(n_terms, 1) AS m FROM d, whole),
+it AS (SELECT q, t, count(*) AS times FROM (SELECT q, unnest(w) AS t FROM i) GROUP BY ALL),
+s AS (SELECT q, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM it JOIN tf USING (t) JOIN wt USING (t) JOIN m USING (r) GROUP BY q, r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM s JOIN d USING (r) JOIN i USING (q) WHERE score > 0 QUALIFY rank <= 10
+"""
