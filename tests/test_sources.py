@@ -1,11 +1,13 @@
+import dataclasses
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_of
 from vacantia.schema import LABOUR_RECORD, POSTING_COLUMNS
-from vacantia.sources import envelopes, pages, tables
+from vacantia.sources import commits, envelopes, pages, tables
 
 
 def write(folder, name, body):
@@ -114,7 +116,7 @@ def test_append_with_other_columns_and_retention(spark, tmp_path):
     path = str(tmp_path / "t")
     for i in range(5):
         tables.publish(spark.range(i, i + 1), path)
-    assert sorted(f.name for f in (tmp_path / "t").iterdir()) == ["v3", "v4", "v5"]
+    assert commits.version_numbers(spark, path) == [3, 4, 5] and len(list((tmp_path / "t").glob("_lot=*"))) == 3
     tables.append_current(spark.createDataFrame([(9, "x")], "id LONG, extra STRING"), path)
     assert sorted((r.id, r.extra) for r in tables.read_current(spark, path).collect()) == [(4, None), (9, "x")]
 
@@ -127,7 +129,7 @@ def test_versions(spark, tmp_path):
     assert tables.read_current(spark, path).count() == 2
     tables.append_current(spark.range(10, 11), path)
     assert sorted(r.id for r in tables.read_current(spark, path).collect()) == [1, 2, 10]
-    (tmp_path / "t" / "v9").mkdir()  # a write that did not finish
+    commits.write_lot(spark.range(50), path)  # a write that did not finish
     assert tables.read_current(spark, path).count() == 3
     assert not tables.reload_if_any(spark.range(0), path) and tables.read_current(spark, path).count() == 3
 
@@ -140,16 +142,16 @@ def test_named_writes_skip_empty(spark, tmp_path):
 def test_replace_touches_concerned_partitions_only(spark, tmp_path):
     path = str(tmp_path / "t")
     columns = "offre_id STRING, n INT, mois STRING"
-    spark.createDataFrame([("1", 0, "2024-01"), ("2", 0, "2024-01"), ("3", 0, "2024-02"), ("4", 0, "2024-03"), ("5", 0, None)],
-                          columns).write.partitionBy("mois").parquet(path)
-    untouched = sorted(f.name for f in (tmp_path / "t" / "mois=2024-03").iterdir())
+    tables.append_current(spark.createDataFrame([("1", 0, "2024-01"), ("2", 0, "2024-01"), ("3", 0, "2024-02"), ("4", 0, "2024-03"), ("5", 0, None)],
+                                                columns), path, ["mois"])
+    untouched = [f for f in commits.read_version(spark, path).folders if f.endswith("mois=2024-03")]
     batch = spark.createDataFrame([("2", 1, "2024-04"), ("3", 1, "2024-01"), ("5", 1, "2024-04"), ("6", 1, "2024-04")], columns)
     for _ in range(2):  # a second run changes nothing
         tables.replace_in_partitions(batch, path, "offre_id", "mois")
-        rows = sorted(tuple(r) for r in spark.read.schema(columns).parquet(path).collect())
+        rows = sorted(tuple(r) for r in tables.read_current(spark, path).collect())
         assert rows == [("1", 0, "2024-01"), ("2", 1, "2024-04"), ("3", 1, "2024-01"), ("4", 0, "2024-03"), ("5", 1, "2024-04"),
                         ("6", 1, "2024-04")]
-    assert sorted(f.name for f in (tmp_path / "t" / "mois=2024-03").iterdir()) == untouched
+    assert [f for f in commits.read_version(spark, path).folders if f.endswith("mois=2024-03")] == untouched
 
 
 def test_bucketed_table_is_not_shuffled_for_known_keys(spark, tmp_path):
@@ -167,3 +169,62 @@ def test_bucketed_table_is_not_shuffled_for_known_keys(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE IF EXISTS bucketed CASCADE")
+
+
+def test_a_snapshot_stays_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.append_current(spark.range(3), path)
+    before = tables.read_current(spark, path)
+    tables.append_current(spark.range(10, 12), path)
+    tables.publish(spark.range(20, 21), path)
+    assert sorted(r.id for r in before.collect()) == [0, 1, 2]
+    assert [sorted(r.id for r in tables.read_current(spark, path, v).collect()) for v in (1, 2, 3)] == [[0, 1, 2], [0, 1, 2, 10, 11], [20]]
+
+
+def test_two_writers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.publish(spark.range(3), path)
+    base = commits.read_version(spark, path)
+    lot = commits.write_lot(spark.range(100, 101), path)  # a slow writer, who began from version 1
+    tables.append_current(spark.range(10, 11), path)
+    with pytest.raises(commits.Conflict):
+        commits.commit(spark, path, dataclasses.replace(base, number=2, folders=tuple(lot)))
+    with pytest.raises(commits.Conflict):
+        tables.publish(spark.range(5), path, based_on=1)
+    assert sorted(r.id for r in tables.read_current(spark, path).collect()) == [0, 1, 2, 10]
+    assert not list((tmp_path / "t" / "_versions").glob(".*-*")) and commits.remove_unnamed(spark, path, hours=0) == 2
+    assert commits.remove_unnamed(spark, path, hours=0) == 0 and tables.read_current(spark, path).count() == 4
+
+
+def test_appends_at_once_are_all_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: tables.append_current(spark.range(i, i + 1), path), range(6)))
+    assert sorted(r.id for r in tables.read_current(spark, path).collect()) == list(range(6))
+    for _ in range(2):
+        tables.append_current(spark.range(7, 8), path, write="once")
+    assert tables.read_current(spark, path).count() == 7
+
+
+def test_a_replacement_starts_again_behind_a_faster_writer(spark, tmp_path, monkeypatch):
+    path, columns = str(tmp_path / "t"), "offre_id STRING, n INT, mois STRING"
+    tables.append_current(spark.createDataFrame([("1", 0, "a"), ("2", 0, "b")], columns), path, ["mois"])
+    write, once = commits.write_lot, []
+
+    def slow(df, at, *args, **kwargs):
+        if not once:
+            once.append(True)
+            tables.append_current(spark.createDataFrame([("3", 0, "a")], columns), path, ["mois"])
+        return write(df, at, *args, **kwargs)
+
+    monkeypatch.setattr(commits, "write_lot", slow)
+    tables.replace_in_partitions(spark.createDataFrame([("1", 5, "a")], columns), path, "offre_id", "mois")
+    assert sorted(map(tuple, tables.read_current(spark, path).collect())) == [("1", 5, "a"), ("2", 0, "b"), ("3", 0, "a")]
+
+
+def test_an_empty_table_keeps_its_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.publish(spark.createDataFrame([], "a INT, mois STRING"), path, ["mois"])
+    assert tables.read_current(spark, path).schema.simpleString() == "struct<a:int,mois:string>"
+    tables.append_current(spark.createDataFrame([(1, "x")], "a INT, mois STRING"), path)
+    assert [tuple(r) for r in tables.read_current(spark, path).collect()] == [(1, "x")]

@@ -17,7 +17,7 @@ from vacantia.plans.conform import CONFORMERS, clean_source, sanitise, unify
 from vacantia.schema import CANDIDATE_SCHEMA, RECORD_SCHEMAS
 from vacantia.session import staging_path
 from vacantia.sources import envelopes
-from vacantia.sources.tables import (align, append_current, current_path, current_version, publish, read_current, read_sources,
+from vacantia.sources.tables import (align, append_current, current_version, publish, read_current, read_sources,
                                      replace_in_partitions, try_read, write_named, write_partitioned)
 
 log = logging.getLogger(__name__)
@@ -196,7 +196,7 @@ def apply_predictions(spark: SparkSession, lake: Lake, predictions: DataFrame, a
     changed = spark.read.parquet(staged)
     n = changed.count()
     if n:
-        replace_in_partitions(changed, current_path(spark, fact), "offre_id", MONTH)
+        replace_in_partitions(changed, fact, "offre_id", MONTH)
     return n
 
 

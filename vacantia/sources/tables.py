@@ -1,4 +1,4 @@
-"""Parquet tables: partitioned posting tables, versioned keyed tables, named aggregates."""
+"""Parquet tables: partitioned posting tables, keyed tables with versions, named aggregates."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vacantia.operators.merge import delete_insert, known_keys, sync_schema
 from vacantia.schema import POSTING_SCHEMA
-from vacantia.session import staging_path
+from vacantia.sources import commits
 
 log = logging.getLogger(__name__)
 
@@ -54,70 +54,41 @@ def read_sources(spark: SparkSession, paths: Mapping[str, str], schema: T.Struct
     return out
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete versions of a table."""
-    at, fs = _fs(spark, path)
-    if not fs.exists(at):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(at)]
-    numbers = [int(n[1:]) for n in names if n.startswith("v") and n[1:].isdigit()]
-    jpath = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(n for n in numbers if fs.exists(jpath(f"{path}/v{n}/_SUCCESS")))
-
-
-def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """The latest complete version of a table, or None."""
-    versions = _versions(spark, path)
-    return spark.read.parquet(f"{path}/v{versions[-1]}") if versions else None
+def read_current(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """The rows of a table at its latest version, or at one given, or None. Later writes don't change them."""
+    found = commits.read_version(spark, path, version)
+    return commits.read_table(spark, path, found) if found else None
 
 
 def current_version(spark: SparkSession, path: str) -> int:
-    """The number of the latest complete version of a table, 0 if there is none."""
-    return (_versions(spark, path) or [0])[-1]
+    """The number of the latest version of a table, 0 if there is none."""
+    return (commits.version_numbers(spark, path) or [0])[-1]
 
 
-def current_path(spark: SparkSession, path: str) -> str | None:
-    """The folder of the latest complete version of a table, or None."""
-    versions = _versions(spark, path)
-    return f"{path}/v{versions[-1]}" if versions else None
+def append_current(df: DataFrame, path: str, partition_by: Sequence[str] = (), write: str | None = None) -> None:
+    """Add rows to a table, or start it, in one step: readers see all of them or none. A ``write`` of a name is taken once.
 
-
-def append_current(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Add rows to the latest version of a table, or start its first version.
-
-    Rows with other columns than the table has go into a new version under their columns: new ones are NULL in old
-    rows, vanished ones go.
+    Rows with other columns than the table has replace it by old and new rows under their columns: new ones are NULL in
+    old rows, vanished ones go.
     """
     spark = df.sparkSession
-    current = read_current(spark, path)
-    if current is None:
-        publish(df, path, partition_by)
-    elif set(current.columns) != set(df.columns):
-        publish(sync_schema(current, df), path, partition_by)
+    now = commits.read_version(spark, path)
+    if now is not None and set(now.columns.names) != set(df.columns):
+        commits.overwrite(sync_schema(commits.read_table(spark, path, now), df), path, partition_by, now.number)
     else:
-        df.write.mode("append").partitionBy(*partition_by).parquet(current_path(spark, path))
+        commits.append(df, path, partition_by, write)
 
 
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 3) -> DataFrame:
-    """Write a new version of a table and return it; the latest ``keep`` versions stay.
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 3, based_on: int | None = None) -> DataFrame:
+    """Replace the rows of a table in one step and return them; the latest ``keep`` versions stay.
 
-    The old version stays readable, so the new content may be computed from it. A failed write leaves no
-    ``_SUCCESS`` file and is not picked up.
+    The old version stays readable, so the new content may be computed from it. ``based_on`` is the version it was computed
+    from: if another writer has made the next one meanwhile, the write fails and changes nothing.
     """
     spark = df.sparkSession
-    versions = _versions(spark, path)
-    target = f"{path}/v{versions[-1] + 1 if versions else 1}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(target)
-    for old in versions[:len(versions) + 1 - keep]:
-        at, fs = _fs(spark, f"{path}/v{old}")
-        fs.delete(at, True)
-    return spark.read.parquet(target)
+    version = commits.overwrite(df, path, partition_by, based_on)
+    commits.forget(spark, path, keep)
+    return commits.read_table(spark, path, version)
 
 
 def reload_if_any(df: DataFrame, path: str) -> bool:
@@ -150,30 +121,24 @@ def append_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
 
 
 def replace_in_partitions(batch: DataFrame, path: str, key: str, by: str) -> int:
-    """Delete-then-insert by key that reads and rewrites only the partitions concerned.
+    """Delete-then-insert by key that reads and rewrites only the partitions concerned, in one step.
 
-    These are the partitions of the batch and those holding an older row of one of its keys, found from the
-    key and partition columns alone. The new content is written to the shared folder first, because a
-    partition cannot be overwritten while it is read. A run that stops half-way is repaired by running it
-    again. Returns the number of partitions rewritten.
+    These are the partitions of the batch and those holding an older row of one of its keys, found from the key and partition
+    columns alone. Readers see the table before or after. Another writer's rows are not lost: if one was faster, the new
+    content is computed again from what it left. Returns the number of partitions rewritten.
     """
-    spark = batch.sparkSession
-    stored = spark.read.schema(batch.schema).parquet(path)
-    older = stored.select(key, by).join(known_keys(batch, key), key, "left_semi").select(by)
-    values = [r[0] for r in older.union(batch.select(by)).distinct().collect()]  # one per partition
-    concerned = F.col(by).isin([v for v in values if v is not None])
-    if None in values:
-        concerned = concerned | F.col(by).isNull()
-    staged_at = staging_path(spark, "replace")
-    delete_insert(stored.filter(concerned), batch, key).write.partitionBy(by).parquet(staged_at)
-    staged = spark.read.schema(batch.schema).parquet(staged_at)
-    write = staged.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    write.partitionBy(by).parquet(path)
-    kept = {r[0] for r in staged.select(by).distinct().collect()}
+    spark, done = batch.sparkSession, []
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for value in set(values) - kept:  # all rows of the partition have moved elsewhere
-        at, fs = _fs(spark, f"{path}/{names.getPartitionPathString(by, None if value is None else str(value))}")
-        fs.delete(at, True)
-    at, fs = _fs(spark, staged_at)
-    fs.delete(at, True)
-    return len(values)
+
+    def changed(stored: DataFrame) -> tuple[DataFrame, set[str]]:
+        older = stored.select(key, by).join(known_keys(batch, key), key, "left_semi").select(by)
+        values = [r[0] for r in older.union(batch.select(by)).distinct().collect()]  # one per partition
+        done[:] = values
+        concerned = F.col(by).isin([v for v in values if v is not None])
+        if None in values:
+            concerned = concerned | F.col(by).isNull()
+        rows = delete_insert(stored.filter(concerned), batch.select(stored.columns), key)
+        return rows, {names.getPartitionPathString(by, None if v is None else str(v)) for v in values}
+
+    commits.change(spark, path, changed)
+    return len(done)
