@@ -333,7 +333,7 @@ ORACLE |= {
         offre_id="md5(concat(titre, '|', coalesce(entreprise, chr(0)), '|', url_offre))", pays="'Maroc'", source="'emploima'")} FROM p""",
     "landed_records": f"""WITH {LANDED} SELECT offre_id, titre, latitude, CASE WHEN NOT odd THEN CAST(salaire_min AS DOUBLE) END AS salaire_min,
         CASE WHEN NOT odd THEN entreprise END AS entreprise FROM v WHERE NOT bad""",
-    "landed_files": f"""WITH {LANDED} SELECT source AS dossier, true AS lisible, count(DISTINCT k % 7) AS nb_fichiers,
+    "landed_files": f"""WITH {LANDED} SELECT source AS dossier, true AS lisible, count(DISTINCT k // 1000) AS nb_fichiers,
         CAST(count(*) FILTER (WHERE NOT bad) AS BIGINT) AS nb_lues, CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS nb_rejetees FROM v GROUP BY source
       UNION ALL SELECT unnest(['cut', 'blank']), false, 1, 0, 0""",
     "skill_words": f"WITH {T}, x AS MATERIALIZED (SELECT offre_id, concat(lower(titre), chr(10), lower(description)) AS txt FROM t) " + " UNION ALL ".join(
@@ -375,3 +375,14 @@ ORACLE["salary_flags"] = f"""WITH {P}, r AS (SELECT * REPLACE (concat(titre, CAS
   f AS (SELECT offre_id, {flag('titre', SENIOR_WORDS, 'is_senior')}, {flag('titre', JUNIOR_WORDS, 'is_junior')},
     {flag(_text, TECH_WORDS, 'has_tech')} FROM r)
   SELECT offre_id, {", ".join(standardised(c) for c in ("is_senior", "is_junior", "has_tech"))} FROM f"""
+
+ORACLE["incremental_landing"] = f"""WITH {P}, k AS (SELECT *, CAST(offre_id AS BIGINT) // 1000 AS k FROM p)
+  SELECT offre_id, CASE WHEN k % 6 = 0 THEN concat('v2 ', titre) ELSE titre END AS titre, latitude, CAST(salaire_min AS DOUBLE) AS salaire_min,
+    entreprise, CAST(CASE WHEN k % 6 = 0 THEN 2 ELSE 1 END AS BIGINT) AS lectures
+  FROM k WHERE k % 6 <> 0 OR CAST(offre_id AS BIGINT) % 2 = 0"""
+ORACLE["table_commits"] = f"""WITH {P}, o AS (SELECT offre_id, titre, strftime(date_creation, '%Y-%m') AS mois FROM ({OLD})),
+    n AS (SELECT offre_id, titre, strftime(date_creation, '%Y-%m') AS mois FROM ({NEW}) WHERE CAST(offre_id AS BIGINT) % 3 = 0),
+    v AS (SELECT 1 AS version, * FROM o WHERE mois < '1996' UNION ALL SELECT 2, * FROM o
+      UNION ALL SELECT 3, * FROM o WHERE offre_id NOT IN (SELECT offre_id FROM n) UNION ALL SELECT 3, * FROM n)
+  SELECT CAST(version AS INT) AS version, mois, count(*) AS n, count(*) FILTER (WHERE starts_with(titre, 'v2')) AS remplaces,
+    CAST(sum(CAST(offre_id AS BIGINT)) AS BIGINT) AS somme FROM v GROUP BY version, mois"""

@@ -17,11 +17,11 @@ from vacantia.operators.merge import delete_insert, insert_ignore, new_rows, syn
     upsert_candidates
 from vacantia.operators.profile import field_profile, row_counts
 from vacantia.operators.topk import top_k_similar
-from vacantia.plans import conform, gold, marts, pipeline, recommend, salary_model, skills, star
+from vacantia.plans import conform, gold, landing as landing_plan, marts, pipeline, recommend, salary_model, skills, star
 from vacantia.schema import LABOUR_API, LISTING_API, POSTING_SCHEMA, RECORD_SCHEMAS, SCRAPED_SITE
 from vacantia.session import shared_folder, ship_package, staging_path
-from vacantia.sources import envelopes, pages
-from vacantia.sources.tables import align, write_partitioned
+from vacantia.sources import commits, envelopes, ledger, pages
+from vacantia.sources.tables import align, append_current, publish, read_current, replace_in_partitions, write_partitioned
 from vacantia.streaming import landing
 
 AS_OF = "2001-08-01"
@@ -429,7 +429,7 @@ def _landed_folder(spark, sf_dir):
         F.col("offre_id").alias("id"), F.col("titre").alias("title"), F.col("latitude").cast("string").alias("latitude"),
         F.lit("on request").alias("salary_min"), F.col("entreprise").alias("company")))
     text = F.when(F.col("k") % 50 == 1, F.lit('"no record"')).when(F.col("k") % 5 == 2, odd).otherwise(sound)
-    chunk = F.concat("source", F.lit("_"), F.col("k") % 7)
+    chunk = F.concat("source", F.lit("_"), F.floor(F.col("k") / 1000))  # a bounded number of records each
     files = rows.groupBy(chunk.alias("keyword"), "source").agg(F.array_join(F.collect_list(text), ",").alias("offres")).select(
         F.col("source").alias("dossier"),
         F.concat(F.lit('{"source": "'), "source", F.lit('", "keyword": "'), "keyword", F.lit('", "nb_offres": "many", "offres": ['), "offres", F.lit("]}")).alias("value"))
@@ -454,6 +454,57 @@ def landed_files(spark, sf_dir):
                                                  F.sum("nb_rejetees").alias("nb_rejetees"))
 
 
+def _land_listing(spark, rows, at, of_file):
+    """Write listing records as envelopes, one file for each value of a column, in a folder of its name; a folder is replaced."""
+    text = F.to_json(F.struct(F.col("offre_id").alias("id"), F.col("titre").alias("title"), "latitude", F.col("salaire_min").alias("salary_min"),
+                              F.struct(F.col("entreprise").alias("display_name")).alias("company"),
+                              F.date_format("date_creation", "yyyy-MM-dd'T'HH:mm:ss").alias("created")))
+    files = rows.groupBy(of_file.alias("dossier")).agg(F.array_join(F.sort_array(F.collect_list(text)), ",").alias("offres")).select(
+        "dossier", F.concat(F.lit('{"source": "adzuna", "keyword": "k", "offres": ['), "offres", F.lit("]}")).alias("value"))
+    files.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1).partitionBy("dossier").text(at)
+
+
+@query
+def incremental_landing(spark, sf_dir):
+    """Four landings: the first files; more files, one of them changed, by a run that stops before it counts; the same again; none."""
+    rows = postings(spark, sf_dir).withColumn("k", F.floor(F.col("offre_id").cast("bigint") / 1000))
+    root, at = staging_path(spark, "lake"), staging_path(spark, "bronze")
+    files = {LISTING_API: f"{at}/*/*.txt"}
+    _land_listing(spark, rows.filter("k % 3 < 2"), at, F.col("k"))
+    landing_plan.land(spark, files, root)
+    renewed = rows.filter("k % 3 = 2 OR k % 6 = 0").withColumn("titre", F.when(F.col("k") % 6 == 0, F.concat(F.lit("v2 "), "titre")).otherwise(F.col("titre")))
+    _land_listing(spark, renewed.filter("k % 6 <> 0 OR CAST(offre_id AS BIGINT) % 2 = 0"), at, F.col("k"))
+    landing_plan.read_new_files(spark, LISTING_API, files[LISTING_API], root)  # and stops here
+    landing_plan.land(spark, files, root)
+    landing_plan.land(spark, files, root)
+    read = ledger.read_ledger(spark, landing_plan.ledger_path(root)).groupBy("fichier").agg(F.count("octets").alias("lu"))
+    times = read.select(F.regexp_extract("fichier", "dossier=([0-9]+)/", 1).cast("bigint").alias("k"), "lu")
+    now = landing_plan.clean_postings(spark, LISTING_API, root).withColumn("k", F.floor(F.col("offre_id").cast("bigint") / 1000))
+    files_read = times.groupBy(F.floor("k").alias("k")).agg(F.sum("lu").alias("lectures"))
+    return now.join(files_read, "k").select("offre_id", "titre", "latitude", "salaire_min", "entreprise", "lectures")
+
+
+@query
+def table_commits(spark, sf_dir):
+    """A table over versions: a first load, an append, a write that stops before its commit, two writers from one version, and a
+    replacement by key in the months concerned."""
+    old, new = (df.select("offre_id", "titre", F.date_format("date_creation", "yyyy-MM").alias("mois")) for df in _old_and_new(spark, sf_dir))
+    path = staging_path(spark, "commits")
+    publish(old.filter("mois < '1996'"), path, ["mois"])
+    append_current(old.filter("mois >= '1996'"), path, ["mois"], write="1996")
+    append_current(old.filter("mois >= '1996'"), path, ["mois"], write="1996")  # the same write again
+    commits.write_lot(new, path, ["mois"])  # stops here
+    try:
+        publish(new, path, ["mois"], based_on=1)  # began from version 1
+    except commits.Conflict:
+        pass
+    replace_in_partitions(new.filter("offre_id % 3 = 0"), path, "offre_id", "mois")
+    parts = [read_current(spark, path, v).select(F.lit(v).alias("version"), "offre_id", "titre", "mois") for v in (1, 2, 3)]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("version", "mois").agg(F.count("*").alias("n"), F.count_if(F.startswith("titre", F.lit("v2"))).alias("remplaces"),
+                                               F.sum(F.col("offre_id").cast("bigint")).alias("somme"))
+
+
 @query
 def flatten_nested(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(

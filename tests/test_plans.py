@@ -392,3 +392,36 @@ def test_hot_company_is_split_in_the_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_landings_open_new_files_only(spark, landed, tmp_path, monkeypatch):
+    from vacantia.plans import landing
+
+    root, opened, read = str(tmp_path / "landing"), [], landing.envelopes.read_envelopes
+
+    def watched(session, paths):
+        opened.append(sorted(os.path.basename(p) for p in paths))
+        return read(session, paths)
+
+    def titles(source=LABOUR_API):
+        return {r.offre_id: r.titre for r in landing.clean_postings(spark, source, root).collect()}
+
+    monkeypatch.setattr(landing.envelopes, "read_envelopes", watched)
+    folder, files = tmp_path / "bronze" / LABOUR_API, {LABOUR_API: landed[LABOUR_API]}
+
+    def put(name, *records):
+        (folder / name).write_text(json.dumps({"source": LABOUR_API, "offres": list(records)}))
+
+    assert landing.land(spark, files, root) == {LABOUR_API: 3} and set(titles()) == {"A1", "A3"}
+    put("second.json", labour("A4", "Data Steward", "2026-05-04T10:00:00Z"))
+    put("data.json", labour("A1", "Data Engineer II", "2026-05-01T10:00:00Z"))
+    landing.read_new_files(spark, LABOUR_API, files[LABOUR_API], root)  # a run that is cut off
+    assert set(titles()) == {"A1", "A3"}
+    assert landing.land(spark, files, root) == {LABOUR_API: 2} and opened[-1] == ["data.json", "second.json"]
+    assert titles() == {"A1": "Data Engineer II", "A4": "Data Steward"}
+    assert landing.land(spark, files, root) == {LABOUR_API: 0} and len(opened) == 3
+    put("third.json", labour("A5", "Data Owner", "2026-05-04T10:00:00Z"))
+    os.remove(folder / "second.json")
+    assert landing.land(spark, files, root) == {LABOUR_API: 2} and opened[-1] == ["third.json"]
+    assert titles() == {"A1": "Data Engineer II", "A5": "Data Owner"}
+    assert landing.land(spark, files, root) == {LABOUR_API: 0}

@@ -55,13 +55,15 @@ def raw_field(records: DataFrame, fields: Mapping[str, str], name: str) -> Colum
 
 
 def _postings(records: DataFrame, source: str, computed: Callable[[dict[str, Column]], dict[str, Column]]) -> DataFrame:
-    """Postings of one source: landed fields, replaced by the computed ones, in posting order and types."""
+    """Postings of one source: landed fields, replaced by the computed ones, in posting order and types. The file that a record
+    was read from goes with it."""
     landed = {name: raw_field(records, FIELDS[source], name) for name in POSTING_COLUMNS}
     landed |= {name: safe_double(landed[name]) for name in ("latitude", "longitude")}
     landed |= {name: safe_int(landed[name]) for name in ("salaire_min", "salaire_max")}
     columns = {**landed, "titre": clean_text(landed["titre"]), "type_contrat": contract_label(landed["type_contrat"]),
                "source": F.lit(source), **computed(landed)}
-    return align(records.select(*[c.alias(name) for name, c in columns.items()]))
+    carried = [c for c in ("fichier",) if c in records.columns]
+    return align(records.select(*[c.alias(name) for name, c in columns.items()], *carried), keep=carried)
 
 
 def labour_postings(records: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacantia.operators.merge import known_keys, new_rows, update_predictions, upsert_candidates
 from vacantia.operators.profile import duplicate_keys
-from vacantia.plans import gold, marts, recommend, salary_model, skills, star
-from vacantia.plans.conform import CONFORMERS, clean_source, sanitise, unify
-from vacantia.schema import CANDIDATE_SCHEMA, RECORD_SCHEMAS
+from vacantia.plans import gold, landing, marts, recommend, salary_model, skills, star
+from vacantia.plans.conform import sanitise, unify
+from vacantia.schema import CANDIDATE_SCHEMA, POSTING_SCHEMA
 from vacantia.session import staging_path
 from vacantia.sources import envelopes
 from vacantia.sources.tables import (align, append_current, current_version, publish, read_current, read_sources,
@@ -32,6 +32,10 @@ class Lake:
     def source(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
 
+    @property
+    def landing(self) -> str:
+        return f"{self.root}/landing"
+
     @property
     def unified(self) -> str:
         return f"{self.root}/silver/unified"
@@ -44,12 +48,6 @@ class Lake:
         return f"{self.root}/gold"
 
 
-def silver_of_source(spark: SparkSession, source: str, files: str) -> DataFrame:
-    """Clean postings of one source from its landed files."""
-    landed = envelopes.records(envelopes.read_envelopes(spark, files), RECORD_SCHEMAS[source])
-    return clean_source(CONFORMERS[source](landed))
-
-
 def landing_rejects(spark: SparkSession, landed: Mapping[str, str]) -> DataFrame:
     """Files of all sources that could not be read, or not in whole, with the number of records rejected."""
     parts = []
@@ -65,21 +63,22 @@ def landing_rejects(spark: SparkSession, landed: Mapping[str, str]) -> DataFrame
 
 
 def build_silver(spark: SparkSession, landed: Mapping[str, str], lake: Lake) -> list[str]:
-    """Write each source, then the unified table. A source without files is skipped; without any it fails."""
-    built = []
-    for source, files in landed.items():
-        try:
-            postings = silver_of_source(spark, source, files)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+    """Read the files that are new or have changed, then write the sources concerned and the unified table. A source without files
+    is skipped; without any it fails. Where no file is new, nothing is written."""
+    read = landing.land(spark, landed, lake.landing)
+    for source in landed:
+        if source not in read:
             log.warning("no files for %s", source)
-            continue
+    stale = {s for s, n in read.items() if n or try_read(spark, lake.source(s)) is None}
+    for source in stale:
+        postings = landing.clean_postings(spark, source, lake.landing)
+        if postings is None:  # files, but all without a byte or a record
+            postings = spark.createDataFrame([], POSTING_SCHEMA)
         write_partitioned(postings, lake.source(source), ["source"])
-        built.append(source)
-    unified = unify(read_sources(spark, {s: lake.source(s) for s in built}))
-    write_partitioned(unified, lake.unified, ["source", "pays"])
-    return built
+    if stale or try_read(spark, lake.unified) is None:
+        unified = unify(read_sources(spark, {s: lake.source(s) for s in read}))
+        write_partitioned(unified, lake.unified, ["source", "pays"])
+    return list(read)
 
 
 def load_raw(spark: SparkSession, lake: Lake) -> DataFrame:

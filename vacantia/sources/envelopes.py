@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from vacantia.schema import ENVELOPE
@@ -11,8 +13,8 @@ RECORDS_PER_ENVELOPE = 50_000
 BYTES_PER_ENVELOPE = 64 << 20
 
 
-def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    """Documents under a path or glob: header fields, ``offres`` (JSON text of each record) and ``fichier``.
+def read_envelopes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Documents under a path, a glob or some paths: header fields, ``offres`` (JSON text of each record) and ``fichier``.
 
     The schema is given, so no pass over the data is needed to infer it, and an absent field is NULL. Records stay text
     here, so a record that does not fit its schema costs neither its document nor its neighbours. A file without a
@@ -21,7 +23,7 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path).withColumn("fichier", F.col("_metadata.file_path")).drop(CORRUPT)
+        .json(path if isinstance(path, str) else list(path)).withColumn("fichier", F.col("_metadata.file_path")).drop(CORRUPT)
     )
 
 
@@ -29,14 +31,14 @@ def _is_object(text: Column) -> Column:
     return F.coalesce(F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
 
 
-def records(envelopes: DataFrame, record: T.StructType) -> DataFrame:
-    """One row per record with its fields and the source of the envelope. Empty envelopes give none.
+def records(envelopes: DataFrame, record: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per record with its fields, the source of the envelope and its columns to keep. Empty envelopes give none.
 
     A value that does not fit its field is NULL, the record's other values stay. What is not an object gives no row.
     """
-    raw = envelopes.select("source", F.explode("offres").alias("_raw")).filter(_is_object(F.col("_raw")))
-    parsed = raw.select(F.from_json("_raw", record, {"mode": "PERMISSIVE"}).alias("_o"), "source")
-    return parsed.select(*[F.col("_o")[f].alias(f) for f in record.names if f != "source"], "source")
+    raw = envelopes.select("source", *keep, F.explode("offres").alias("_raw")).filter(_is_object(F.col("_raw")))
+    parsed = raw.select(F.from_json("_raw", record, {"mode": "PERMISSIVE"}).alias("_o"), "source", *keep)
+    return parsed.select(*[F.col("_o")[f].alias(f) for f in record.names if f not in ("source", *keep)], "source", *keep)
 
 
 def empty_files(spark: SparkSession, path: str) -> list[str]:

@@ -36,11 +36,11 @@ def try_read(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def align(df: DataFrame, schema: T.StructType = POSTING_SCHEMA) -> DataFrame:
-    """The columns of a schema, in order and type; absent ones are NULL."""
+def align(df: DataFrame, schema: T.StructType = POSTING_SCHEMA, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns of a schema, in order and type, and those to keep; absent ones are NULL."""
     return df.select(*[
         (F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields])
+        for f in schema.fields], *keep)
 
 
 def read_sources(spark: SparkSession, paths: Mapping[str, str], schema: T.StructType = POSTING_SCHEMA) -> DataFrame:
