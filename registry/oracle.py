@@ -386,3 +386,9 @@ ORACLE["table_commits"] = f"""WITH {P}, o AS (SELECT offre_id, titre, strftime(d
       UNION ALL SELECT 3, * FROM o WHERE offre_id NOT IN (SELECT offre_id FROM n) UNION ALL SELECT 3, * FROM n)
   SELECT CAST(version AS INT) AS version, mois, count(*) AS n, count(*) FILTER (WHERE starts_with(titre, 'v2')) AS remplaces,
     CAST(sum(CAST(offre_id AS BIGINT)) AS BIGINT) AS somme FROM v GROUP BY version, mois"""
+
+ORACLE["skill_large_dictionary"] = f"""WITH {T}, names AS (SELECT unnest({[s.nom.lower() for s in dictionary(CORPUS_SKILLS)]!r}) AS nom
+    UNION SELECT w FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE length(w) BETWEEN 2 AND 9),
+  n AS (SELECT nom, CAST('0x' || left(md5(nom), 13) AS BIGINT) AS id FROM names),
+  x AS MATERIALIZED (SELECT offre_id, concat(lower(titre), chr(10), lower(description)) AS txt FROM t)
+  SELECT offre_id, count(*) AS n, CAST(sum(id % 1000003) AS BIGINT) AS somme FROM x JOIN n ON contains(txt, nom) GROUP BY offre_id"""

@@ -572,6 +572,17 @@ def skill_words(spark, sf_dir):
     return skills.skill_words(text_postings(spark, sf_dir), skills.skill_table(spark, _DICTIONARY))
 
 
+@query
+def skill_large_dictionary(spark, sf_dir):
+    """Names held as a table: the dictionary, and some thousand more out of the words of the benchmark."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("w"))
+    more = words.filter(F.length("w").between(2, 9)).select("w")
+    names = skills.skill_table(spark, _DICTIONARY).select("nom").union(more)
+    numbered = names.select(F.lower("nom").alias("nom")).distinct().select(F.conv(F.left(F.md5("nom"), F.lit(13)), 16, 10).cast("bigint").alias("competence_id"), "nom")
+    pairs = skills.skill_contains(text_postings(spark, sf_dir), numbered)
+    return pairs.groupBy("offre_id").agg(F.count("*").alias("n"), F.sum(F.col("competence_id") % 1000003).alias("somme"))
+
+
 @query
 def skill_top(spark, sf_dir):
     fact = fact_table(star.stage(text_postings(spark, sf_dir)))
@@ -686,6 +697,7 @@ def explain_match(spark, sf_dir):
     talks = table(spark, sf_dir, "conversations").agg(F.count_distinct("conv_id")).scalar()
     rows = text_postings(spark, sf_dir).select("offre_id", "titre", "description", F.length("description").alias("n")).withColumn(
         "conv_id", F.col("offre_id").cast("bigint") % talks)
+    rows = recommend.with_wanted(rows)
     people = _cvs(spark, sf_dir).select("candidat_id", "competences", "conv_id", "turn")
     pairs = people.join(rows, "conv_id").withColumn("score", (F.col("n") % 997) / 1000).withColumn("rang", F.col("turn") + 1)
     out = recommend.explain_matches(pairs)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from vacantia.functions.measures import exact_sum, percent, rounded_ratio
 from vacantia.functions.text import found_names, join_list, split_list
+from vacantia.operators.substrings import found_in, pairs_in
+from vacantia.session import ship_package
 
 # Skills looked for in postings, by category, in order.
 SKILLS_BY_CATEGORY: tuple[tuple[str, tuple[str, ...]], ...] = (
@@ -64,69 +66,45 @@ def skill_table(spark: SparkSession, skills: Sequence[Skill]) -> DataFrame:
 
 
 def read_dictionary(table: DataFrame) -> list[Skill]:
-    """A stored skill dimension as a dictionary that becomes part of the plan. For thousands of skills leave it a
-    table and use ``skill_words``."""
+    """A stored skill dimension as a dictionary that travels with the plan. A larger one stays a table: ``skill_contains``."""
     return sorted(Skill(*r) for r in table.select("competence_id", "nom", "categorie").collect())
 
 
 def skill_words(postings: DataFrame, skills: DataFrame, keep: Sequence[str] = ("offre_id",)) -> DataFrame:
-    """One row per posting and skill found as whole words, for dictionaries of any size.
+    """One row per posting and skill found as whole words, for dictionaries of any size. Texts are scanned once and don't travel.
 
-    The words and groups of words of a posting, each with the text they cover, are joined with the words of the names, and what
-    meets is compared letter by letter. Texts themselves don't travel. Names without a letter or digit have no words and are
-    never found. ``skills`` has competence_id and nom.
+    Names without a letter or digit are never found. ``skills`` has competence_id and nom.
     """
-    blank, word = F.lit(""), r"(?U)\w+"
-    name_words = F.regexp_extract_all(F.lower("nom"), F.lit(word), F.lit(0))
-    lead = F.regexp_extract(F.lower("nom"), r"(?U)^\W*", 0)
-    names = skills.select("competence_id", lead.alias("_lead"), F.substr(F.lower("nom"), F.length(lead) + 1).alias("_body"),
-                          F.array_join(name_words, " ").alias("_words"), F.size(name_words).alias("_n")).filter("_n > 0")
-    longest = names.agg(F.max("_n")).first()[0] or 1
-
-    # Arrays are columns of their own: inside a lambda they would be made again for each word.
-    text = F.lower(F.concat(F.coalesce("titre", blank), F.lit("\n"), F.coalesce("description", blank)))
-    tokens = postings.select(*keep, text.alias("_text")).select(
-        *keep, F.regexp_extract("_text", r"(?U)^\W*", 0).alias("_head"), F.regexp_extract_all("_text", F.lit(r"(?U)\w+\W*"), F.lit(0)).alias("_tokens"))
-    split = tokens.select(*keep, "_head", "_tokens", F.transform("_tokens", lambda t: F.regexp_extract(t, r"(?U)^\w+", 0)).alias("_all"))
-
-    def runs(n: int) -> Column:
-        """Groups of ``n`` words: the words, the text from the first on, what stands before it, and whether the text ends there."""
-        size = F.size("_all")
-        each = F.transform(F.sequence(F.lit(1), F.greatest(size - (n - 1), F.lit(1))), lambda i: F.struct(
-            F.array_join(F.slice("_all", i, n), " ").alias("words"), F.array_join(F.slice("_tokens", i, n), "").alias("raw"),
-            F.when(i == 1, F.col("_head")).otherwise(F.regexp_extract(F.get("_tokens", i - 2), r"(?U)\W*$", 0)).alias("before"),
-            (i == 1).alias("first"), (i + (n - 1) == size).alias("last")))
-        return F.when(size >= n, each).otherwise(F.array().cast(
-            "array<struct<words:string,raw:string,before:string,first:boolean,last:boolean>>"))
-
-    each = split.select(*keep, F.explode(F.concat(*[runs(n) for n in range(1, longest + 1)])).alias("_run")).select(
-        *keep, F.col("_run.words").alias("_words"), "_run.raw", "_run.before", "_run.first", "_run.last")
-    starts = F.endswith("before", "_lead") & ((F.col("_lead") == "") | F.col("first") | (F.length("before") > F.length("_lead")))
-    ends = F.startswith("raw", "_body") & (F.col("last") | (F.length("raw") > F.length("_body")) | F.col("_body").rlike(r"(?U)\w$"))
-    return each.join(names, "_words").filter(starts & ends).select(*keep, "competence_id").distinct()
-
-
-def _whole_word(lowered: Column, name: str) -> Column:
-    quoted = "".join("\\" + ch if not ch.isalnum() and not ch.isspace() else ch for ch in name.lower())
-    return lowered.rlike(rf"(?U)(?<!\w){quoted}(?!\w)")
+    names = skills.select("competence_id", F.lower("nom").alias("_nom")).filter(F.col("_nom").rlike(r"(?U)\w"))
+    return pairs_in(_searched(postings, keep), "_text", names, "_nom", "competence_id", keep, whole=True).distinct()
+
+
+def skill_contains(postings: DataFrame, skills: DataFrame, keep: Sequence[str] = ("offre_id",)) -> DataFrame:
+    """One row per posting and skill whose name it contains anywhere, for dictionaries of any size."""
+    names = skills.select("competence_id", F.lower("nom").alias("_nom"))
+    return pairs_in(_searched(postings, keep), "_text", names, "_nom", "competence_id", keep)
+
+
+def _searched(postings: DataFrame, keep: Sequence[str], per_field: bool = True) -> DataFrame:
+    """Title and description as one lower-cased text. A line break, which no name holds, keeps a match from spanning both."""
+    blank = F.lit("")
+    joined = F.concat(F.coalesce("titre", blank), F.lit("\n" if per_field else " "), F.coalesce("description", blank))
+    return postings.select(*keep, F.lower(joined).alias("_text"))
 
 
 def skill_matches(postings: DataFrame, skills: Sequence[Skill], keep: Sequence[str] = ("offre_id",),
                   per_field: bool = True, boundary: bool = False) -> DataFrame:
     """One row per posting and skill found, with the columns to keep.
 
-    The dictionary is part of the expression, so postings are read once and not joined. Title and
-    description are searched as one text; with ``per_field`` a line break, which no name holds, keeps a
-    match from spanning both. ``boundary`` asks for whole words; the default is plain containment, which
-    finds 'r' in 'spark'.
+    The dictionary travels with the tasks, so postings are read once and not joined. Title and description are searched as one
+    text; with ``per_field`` a line break keeps a match from spanning both. ``boundary`` asks for whole words; the default is
+    plain containment, which finds 'r' in 'spark'.
     """
-    blank = F.lit("")
-    joined = F.concat(F.coalesce("titre", blank), F.lit("\n" if per_field else " "), F.coalesce("description", blank))
-    lowered = postings.select(*keep, F.lower(joined).alias("_text"))
-    text = F.col("_text")
-    hits = [F.when(_whole_word(text, s.nom) if boundary else F.contains(text, F.lit(s.nom.lower())),
-                   F.lit(s.competence_id)) for s in skills]
-    return lowered.select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("competence_id"))
+    ship_package(postings.sparkSession)
+    found = found_in(F.col("_text"), [s.nom.lower() for s in skills], boundary)
+    ids = F.array(*[F.lit(s.competence_id) for s in skills])
+    at = _searched(postings, keep, per_field).select(*keep, F.explode(found).alias("_at"))
+    return at.select(*keep, F.get(ids, "_at").alias("competence_id"))
 
 
 AMOUNTS = ("salaire_min", "salaire_max", "salaire_predit_eur")
