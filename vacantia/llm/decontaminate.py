@@ -6,10 +6,10 @@ on both sides: every shared span of that length gives a common fingerprint. Fing
 those of the benchmark are extended to all word windows around them, and the windows are compared word by word, so the
 result is exact. Items shorter than a span are one window each; their hash is looked up at every word of a document.
 
-The join of fingerprints has two steps. A bitmap of the benchmark's fingerprints, at most ``SLOTS`` rows of 64 bits for
-a window length whatever the size of the benchmark, is broadcast and drops most fingerprints before any shuffle. What
-passes is joined by its window's words, an equi join that Spark may split by key. A fuller bitmap passes more rows, never
-fewer.
+The join of fingerprints has three steps. Bitmaps of the benchmark's fingerprints, of fixed size for a window length whatever the
+size of the benchmark, drop most fingerprints before any shuffle: ``COARSE`` numbers of 64 bits where they are made, ``SLOTS``
+broadcast. What passes is joined by its window's words, an equi join that Spark may split by key. Fuller bitmaps pass more
+rows, never fewer.
 
 Nulls and texts without words have no windows: such documents are clean, such items are never found. Rows are grouped
 by id and text, so repeated rows give one row, and texts that share an id, or have none, give one row each. Other columns are
@@ -27,6 +27,8 @@ from vacantia.llm.common import ascii_lower, sha256_hex, staged
 NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SLOTS = 1 << 16  # of 64 bits: the rows a bitmap has at most
 SLOT_BITS = 48  # the bits of a hash right of its slot
+COARSE = 1 << 10  # slots of the coarse bitmap
+SLOT_STEP = 6  # bits of a slot that the coarse one drops
 
 
 @dataclass(frozen=True)
@@ -48,9 +50,8 @@ def words_of(text: Column) -> Column:
 
 def gram_hashes(hashes: Column, length: int) -> Column:
     """A hash for each run of ``length`` words."""
-    return F.when(F.size(hashes) >= length, F.transform(
-        F.sequence(F.lit(1), F.size(hashes) - (length - 1)), lambda i: F.xxhash64(F.slice(hashes, i, length)))
-    ).otherwise(F.array().cast("array<bigint>"))
+    runs = F.transform(hashes, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, length)]))
+    return F.slice(runs, 1, F.greatest(F.size(hashes) - (length - 1), F.lit(0)))
 
 
 def winnowed(grams: Column, window: int) -> Column:
@@ -96,62 +97,77 @@ def benchmark_windows(benchmark: DataFrame, settings: Winnowing, item: str = "it
         F.array_join("window", " ").alias("window"), F.size("window").alias("length"), "items", keys.alias("keys"))
 
 
+def coarse_bits(windows: DataFrame, length: int) -> Column:
+    """A coarser bitmap of a window length as one value of ``COARSE`` numbers, small enough to stand in each row."""
+    held = bitmap(windows.where(F.col("length") == length)).groupBy(F.shiftright("slot", SLOT_STEP).alias("slot")).agg(F.bit_or("bits").alias("bits"))
+    slots = windows.sparkSession.range(COARSE).select(F.col("id").cast("int").alias("slot")).join(held, "slot", "left")
+    listed = slots.agg(F.sort_array(F.collect_list(F.struct("slot", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits")))).alias("all"))
+    return listed.select(F.transform("all", lambda x: x["bits"])).scalar()
+
+
+def _may_be_known(bits: Column, hash_: Column) -> Column:
+    return F.call_function("getbit", F.get(bits, F.shiftright(_slot(hash_), SLOT_STEP)), _bit(hash_)) == 1
+
+
+def _lesser(values: Column, step: int) -> Column:
+    """Of each value and the one ``step`` places further the lesser, where there is one."""
+    return F.transform(values, lambda x, i: F.least(x, F.get(values, i + step)))
+
+
+LOOK = "struct<length:int,hash:bigint,start:int,context:array<string>>"
+
+
+def _short_looks(hashes: Column, length: int, bits: Column) -> Column:
+    """Where a window of less than full length may stand."""
+    places = F.filter(F.sequence(F.lit(1), F.size(hashes)), lambda i: _may_be_known(bits, F.get(hashes, i - 1)))
+    return F.when(F.size(hashes) > 0, F.transform(places, lambda i: F.struct(
+        F.lit(length).alias("length"), F.get(hashes, i - 1).alias("hash"), i.alias("start"), F.slice("words", i, length).alias("context"))))
+
+
 def hit_windows(docs: DataFrame, windows: DataFrame, settings: Winnowing, key: list[str], text: str = "text") -> DataFrame:
     """Each occurrence of a benchmark window in a document: key columns, n_words, position, length, items.
 
-    A document without any gives one row with nulls, and an occurrence may come twice.
+    A document without any gives one row with nulls, and an occurrence may come twice. Hashes are first looked up in a coarse
+    bitmap inside the document's row; those that pass become rows, with the words around them, and meet the finer one.
     """
     lengths = [r[0] for r in windows.select("length").distinct().collect()]  # at most ``span`` numbers
+    span = settings.span
     rows = docs.select(*key, words_of(F.col(text)).alias("words"))
-    rows = rows.select(*key, "words", F.size("words").alias("n_words"),
-                       F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-    rows = rows.select(*key, "words", "n_words", "hashes", gram_hashes(F.col("hashes"), settings.k).alias("grams"))
-    rows = rows.select(*key, "words", "n_words", "hashes", "grams", least_positions(F.col("grams"), settings.window).alias("places"))
-    looked_up = [F.array(F.lit(None).cast(LOOK))]  # keeps a row for each document
-    looked_up += [_looks(n, settings) for n in lengths]
-    # A row takes along the words around its gram and not the document's, so that long texts cost no more for each word.
-    rows = rows.select(*key, "n_words", F.explode(F.concat(*looked_up)).alias("look"))
+    rows = rows.select(*key, "words", F.size("words").alias("n_words"), F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    looks = [F.array(F.lit(None).cast(LOOK))]  # keeps a row for each document
+    if span in lengths:
+        rows = rows.withColumn("grams", gram_hashes(F.col("hashes"), settings.k)).withColumn("least", F.col("grams"))
+        reach = 1
+        while reach < settings.window:  # the least of twice as many grams at each step; the last steps overlap
+            step = min(reach, settings.window - reach)
+            rows = rows.withColumn("least", _lesser(F.col("least"), step))
+            reach += step
+        kept = F.array_distinct(F.slice("least", 1, F.greatest(F.size("least") - (settings.window - 1), F.lit(0))))
+        rows = rows.withColumn("bits", coarse_bits(windows, span)).withColumn("least", F.filter(kept, lambda h: _may_be_known(F.col("bits"), h)))
+
+        def around(i: Column) -> Column:
+            start = F.greatest(i - (span - settings.k), F.lit(1))
+            return F.struct(F.lit(span).alias("length"), F.get("grams", i - 1).alias("hash"), start.alias("start"), F.slice("words", start, i + span - start).alias("context"))
+
+        places = F.filter(F.sequence(F.lit(1), F.size("grams")), lambda i: F.array_contains("least", F.get("grams", i - 1)))
+        looks.append(F.when(F.size("least") > 0, F.transform(places, around)))
+    for n in (x for x in lengths if x < span):
+        rows = rows.withColumns({f"runs{n}": gram_hashes(F.col("hashes"), n), f"bits{n}": coarse_bits(windows, n)})
+        looks.append(_short_looks(F.col(f"runs{n}"), n, F.col(f"bits{n}")))
+    none = F.array().cast(f"array<{LOOK}>")
+    rows = rows.select(*key, "n_words", F.explode(F.concat(looks[0], *[F.coalesce(x, none) for x in looks[1:]])).alias("look"))
     rows = rows.select(*key, "n_words", "look.*", _slot(F.col("look.hash")).alias("slot"))
     known = F.col("hash").isNull() | (F.call_function("getbit", "bits", _bit(F.col("hash"))) == 1)
     rows = rows.join(F.broadcast(bitmap(windows)), ["length", "slot"], "left").where(known)
     found = F.transform(F.sequence(F.lit(0), F.size("context") - F.col("length")), lambda o: F.struct(
         (F.col("start") + o).alias("at"), F.array_join(F.slice("context", o + 1, F.col("length")), " ").alias("window")))
-    rows = rows.select(*key, "n_words", F.explode_outer(F.when(F.col("hash").isNotNull(), found)).alias("found"))
+    rows = rows.select(*key, "n_words", F.explode_outer(F.when(F.col("length").isNotNull(), found)).alias("found"))
     # A document's row without a window has a join key of its own, so that such rows are dealt out evenly.
     alone = F.concat(F.lit(" "), F.xxhash64(*key).cast("string"))
     rows = rows.select(*key, "n_words", "found.at", F.coalesce("found.window", alone).alias("window"))
     return rows.join(windows.select("window", "length", "items"), "window", "left").drop("window")
 
 
-LOOK = "struct<length:int,hash:bigint,start:int,context:array<string>>"
-
-
-def least_positions(grams: Column, window: int) -> Column:
-    """Where the least hash of each ``window`` consecutive ones stands, each place once; of equal hashes the first."""
-    def place(i: Column) -> Column:
-        near = F.slice(grams, i, window)
-        return (i - 1 + F.array_position(near, F.array_min(near))).cast("int")
-
-    return F.when(F.size(grams) >= window, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size(grams) - (window - 1)), place))).otherwise(F.array().cast("array<int>"))
-
-
-def _looks(length: int, settings: Winnowing) -> Column:
-    """What to look up in a document for windows of a length: hashes, with the words of all windows around each."""
-    if length < settings.span:
-        hashes, most = F.col("hashes"), F.size("hashes") - (length - 1)
-        return F.when(most > 0, F.transform(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), lambda i: F.struct(
-            F.lit(length).alias("length"), F.xxhash64(F.slice(hashes, i, length)).alias("hash"), i.alias("start"),
-            F.slice("words", i, length).alias("context")))).otherwise(F.array().cast(f"array<{LOOK}>"))
-
-    def around(i: Column) -> Column:
-        start = F.greatest(i - (length - settings.k), F.lit(1))
-        return F.struct(F.lit(length).alias("length"), F.get("grams", i - 1).alias("hash"), start.alias("start"),
-                        F.slice("words", start, i + length - start).alias("context"))
-
-    return F.when(F.col("n_words") >= length, F.transform("places", around)).otherwise(F.array().cast(f"array<{LOOK}>"))
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, settings: Winnowing = Winnowing(), text: str = "text",
                   doc: str = "doc_id") -> DataFrame:
     """Per document: n_words, n_hit (words inside any benchmark window), items (sorted ids as text), spans (position and
