@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache, wraps
 
 import numpy as np
@@ -27,6 +27,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def without(docs: DataFrame, gone: DataFrame, keys: Sequence[str], suffix: str) -> DataFrame:
+    """The rows whose ``keys`` are not among those of ``gone``, whose columns have the suffix. Nulls are equal.
+
+    A bitmap of fixed size tells most rows that stay; they are not moved. Only rows that it can't tell, the ones that go among them,
+    meet ``gone`` in a join. A fuller bitmap sends more rows there and changes nothing else.
+    """
+    def slot(hash_: Column) -> Column:
+        return F.shiftrightunsigned(hash_, 48).cast("int")
+
+    def bit(hash_: Column) -> Column:
+        return hash_.bitwiseAND(63).cast("int")
+
+    hashed = gone.select(F.xxhash64(*[f"{k}{suffix}" for k in keys]).alias("__h"))
+    bits = hashed.groupBy(slot(F.col("__h")).alias("__slot")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(F.col("__h")))).alias("__bits"))
+    marked = docs.withColumn("__h", F.xxhash64(*keys)).withColumn("__slot", slot(F.col("__h"))).join(
+        F.broadcast(bits), "__slot", "left")  # 65,536 rows at most
+    may_go = F.coalesce(F.call_function("getbit", "__bits", bit(F.col("__h"))) == 1, F.lit(False))
+    same = [F.col(k).eqNullSafe(F.col(f"{k}{suffix}")) for k in keys]
+    stay = marked.where(~may_go).select(*docs.columns)
+    return stay.unionByName(marked.where(may_go).join(gone, same, "left_anti").select(*docs.columns))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())

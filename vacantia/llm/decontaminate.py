@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.common import ascii_lower, sha256_hex, staged
+from vacantia.llm.common import ascii_lower, sha256_hex, staged, without
 
 NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SLOTS = 1 << 16  # of 64 bits: the rows a bitmap has at most
@@ -223,6 +223,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, settings: Winnowing
     """The documents without a word inside a benchmark window. Each row goes by its own text: one that shares its id with a
     contaminated row, or has none as that one, stays if its text is clean."""
     found = staged(_by_text(docs, benchmark, settings).where("n_hit > 0").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key("text") == F.col("__text"))
-    return docs.join(found, same, "left_anti").select(docs.columns)
+        F.col("doc_id").alias("__id_gone"), F.col("text_key").alias("__text_gone")), "contaminated")
+    keyed = docs.withColumns({"__id": F.col("doc_id"), "__text": text_key("text")})
+    return without(keyed, found, ["__id", "__text"], "_gone").select(docs.columns)

@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vacantia.llm.common import in_parts, lean, staged
+from vacantia.llm.common import in_parts, lean, staged, without
 
 BITS = 64
 SEED = 42
@@ -335,11 +335,8 @@ def keep_first(docs: DataFrame, settings: Linking = Linking()) -> DataFrame:
     equal = several.where("stays").groupBy(*KEYS).agg(F.count("*").alias("n")).where("n > 1")
     equal = staged(equal.select(*[F.col(c).alias(f"{c}_equal") for c in KEYS]), "equal")
 
-    def same(what: str) -> list[Column]:
-        return [F.col(c).eqNullSafe(F.col(f"{c}_{what}")) for c in KEYS]
-
-    kept = _with_keys(docs).join(gone, same("gone"), "left_anti")
+    kept = without(_with_keys(docs), gone, KEYS, "_gone")
     if not equal.isEmpty():
-        once = kept.join(equal, same("equal"), "left_semi").dropDuplicates(list(KEYS))
-        kept = kept.join(equal, same("equal"), "left_anti").unionByName(once)
+        once = kept.join(equal, [F.col(c).eqNullSafe(F.col(f"{c}_equal")) for c in KEYS], "left_semi").dropDuplicates(list(KEYS))
+        kept = without(kept, equal, KEYS, "_equal").unionByName(once)
     return kept.select(*docs.columns)
