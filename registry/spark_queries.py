@@ -12,7 +12,7 @@ from vacantia.functions.labels import contract_label
 from vacantia.functions.salary import confidence, estimate, monthly_target, salary_from_text, salary_range
 from vacantia.functions.text import clean_text, key_md5, normalise_title
 from vacantia.operators.dedup import best_source_per_posting, latest_per_key
-from vacantia.operators.keys import hash_key
+from vacantia.operators.keys import hash_key, settle_keys
 from vacantia.operators.merge import delete_insert, insert_ignore, new_rows, sync_schema, update_predictions, \
     upsert_candidates
 from vacantia.operators.profile import field_profile, row_counts
@@ -177,6 +177,20 @@ def staging(spark, sf_dir):
     return plain_times(star.stage(texts.drop("region").withColumn("extra", F.length("offre_id"))))
 
 
+@query
+def colliding_keys(spark, sf_dir):
+    """Places under keys of 8 bits, half of the postings first: each keeps a key of its own, and the first ones theirs."""
+    rows = staged(spark, sf_dir)
+    early = rows.filter(F.col("date_creation") < F.lit(TARGET_UNTIL).cast("date"))
+    first = settle_keys(star.dim_place(early), star.PLACE_KEY, "lieu_id", bits=8)
+    place = F.struct(*star.PLACE_KEY)
+    new = star.dim_place(rows).withColumn("_p", place).join(first.select(place.alias("_p")), "_p", "left_anti")
+    places = first.unionByName(settle_keys(new, star.PLACE_KEY, "lieu_id", first, bits=8))
+    fact = star.fact_by_hash(rows, exceptions={"lieu_id": places.filter("essai > 0")}, bits=8)
+    counts = fact.groupBy("lieu_id").agg(F.count("*").alias("nb_offres"))
+    return places.join(counts, "lieu_id").select(*star.PLACE_KEY, "nb_offres")
+
+
 # --- keyed writes --------------------------------------------------------------------------------
 
 def _old_and_new(spark, sf_dir):
@@ -393,10 +407,9 @@ def conform_scraped(spark, sf_dir):
     return plain_times(conform.clean_source(conform.scraped_postings(raw)))
 
 
-@query
-def sanitise(spark, sf_dir):
+def _junk(spark, sf_dir):
     rows = postings(spark, sf_dir)
-    junk = rows.select(
+    return rows.select(
         "offre_id", F.concat(F.lit("  "), "titre", F.lit("\t ")).alias("titre"),
         F.when(F.col("ville").isNull(), " nan ").otherwise(F.col("ville")).alias("ville"),
         F.when(F.col("pays") == "ASIA", "None").when(F.col("pays") == "AFRICA", "").otherwise(F.repeat("pays", 20)).alias("pays"),
@@ -404,7 +417,16 @@ def sanitise(spark, sf_dir):
         F.when(F.col("salaire_min") % 3 == 0, F.concat("salaire_min", F.lit(".9")))
         .when(F.col("salaire_min") % 3 == 1, F.concat("salaire_min", F.lit("000000"))).otherwise("NaN").alias("salaire_min"),
         F.when(F.col("rome_code") == "2", "bientôt").otherwise(F.date_format("date_creation", "yyyy-MM-dd HH:mm:ss")).alias("date_creation"))
-    return plain_times(conform.sanitise(junk))
+
+
+@query
+def sanitise(spark, sf_dir):
+    return plain_times(conform.sanitise(_junk(spark, sf_dir)))
+
+
+@query
+def sanitise_rejects(spark, sf_dir):
+    return conform.sanitise_rejects(_junk(spark, sf_dir))
 
 
 @query

@@ -197,3 +197,27 @@ def test_field_profile(spark):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1,), (2,), (2,)], "k INT")
     assert [tuple(r) for r in profile.duplicate_keys(df, "k").collect()] == [(2, 2)]
+
+
+def test_settled_keys_are_distinct_and_stay(spark):
+    rows = spark.createDataFrame([(f"n{i}", None if i % 7 == 0 else "x") for i in range(40)], "nom STRING, part STRING")
+    first = keys.settle_keys(rows.limit(25), ["nom", "part"], "id", bits=6).collect()
+    known = spark.createDataFrame(first)
+    rest = rows.subtract(known.select("nom", "part"))
+    more = keys.settle_keys(rest, ["nom", "part"], "id", known, bits=6).collect()
+    ids = [r.id for r in first + more]
+    assert len(ids) == 40 == len(set(ids)) and all(0 <= i < 64 for i in ids) and any(r.essai for r in first + more)
+    assert sorted(map(tuple, keys.settle_keys(rest, ["nom", "part"], "id", known, bits=6).collect()), key=str) == sorted(map(tuple, more), key=str)
+    wide = keys.settle_keys(rows, ["nom", "part"], "id")
+    assert {r.essai for r in wide.collect()} == {0}
+    with pytest.raises(ValueError):
+        keys.settle_keys(rows, ["nom", "part"], "id", bits=5, attempts=5)
+
+
+def test_exceptions_reach_the_fact(spark):
+    rows = spark.createDataFrame([("a", "x"), ("b", None), ("c", "y")], "nom STRING, part STRING")
+    listed = spark.createDataFrame([(77, "b", None)], "id LONG, nom STRING, part STRING")
+    parts = {"nom": F.col("nom"), "part": F.col("part")}
+    out = keys.exact_keys(rows.withColumn("id", keys.hash_key(*parts.values())), "id", parts, listed)
+    got = {r.nom: r.id for r in out.collect()}
+    assert got["b"] == 77 and got["a"] != 77 and got["c"] != 77

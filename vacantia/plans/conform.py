@@ -138,8 +138,8 @@ def clean_lenient(postings: DataFrame) -> DataFrame:
     return first_per_key(titled, ["offre_id"], [F.col("date_creation").desc_nulls_last()])
 
 
-def sanitise(df: DataFrame) -> DataFrame:
-    """Postings ready for the warehouse table: stripped, null words gone, cut to width, safely typed."""
+def sanitised_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``sanitise``, in order."""
     def column(field: T.StructField) -> Column:
         c = F.col(field.name) if field.name in df.columns else F.lit(None)
         if field.name in TEXT_WIDTHS:
@@ -150,4 +150,20 @@ def sanitise(df: DataFrame) -> DataFrame:
             return safe_double(c)
         return safe_timestamp(c)
 
-    return df.select(*[column(f).alias(f.name) for f in POSTING_SCHEMA.fields])
+    return [column(f).alias(f.name) for f in POSTING_SCHEMA.fields]
+
+
+def sanitise(df: DataFrame) -> DataFrame:
+    """Postings ready for the warehouse table: stripped, null words gone, cut to width, safely typed."""
+    return df.select(*sanitised_columns(df))
+
+
+def sanitise_rejects(df: DataFrame) -> DataFrame:
+    """How many values of each typed column ``sanitise`` has to give up: those that hold something and fit no value of the type.
+    One pass over all columns."""
+    typed = [f.name for f in POSTING_SCHEMA.fields if f.name not in TEXT_WIDTHS and f.name in df.columns]
+    clean_of = dict(zip(POSTING_SCHEMA.names, sanitised_columns(df)))
+    lost = [F.count_if(safe_string(F.col(c)).isNotNull() & clean_of[c].isNull()).alias(c) for c in typed]
+    counts = df.agg(*lost)
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("colonne"), F.col(c).alias("nb_rejetees")) for c in typed])).alias("r")
+                         ).select("r.*")

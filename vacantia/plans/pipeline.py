@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vacantia.operators.keys import settle_keys
 from vacantia.operators.merge import known_keys, new_rows, update_predictions, upsert_candidates
-from vacantia.operators.profile import duplicate_keys
 from vacantia.plans import gold, landing, marts, recommend, salary_model, skills, star
 from vacantia.plans.conform import sanitise, unify
 from vacantia.schema import CANDIDATE_SCHEMA, POSTING_SCHEMA
@@ -115,23 +115,38 @@ def load_star(spark: SparkSession, lake: Lake, fresh: DataFrame) -> star.Star:
     staged = star.stage(fresh)
     dims = {"dim_date": star.dim_date(staged), "dim_entreprise": star.dim_company(staged),
             "dim_lieu": star.dim_place(staged)}
+    exceptions = {}
     for name, df in dims.items():
         known, key = read_current(spark, lake.table(name)), df.columns[0]
-        append_current(df if known is None else _unknown(df, known), lake.table(name))
-        # Two natural keys with one hash would mix their postings.
-        if not duplicate_keys(read_current(spark, lake.table(name)), key).isEmpty():
-            raise ValueError(f"{key} is not unique; build this star with dense ids")
+        found = _add_to_dimension(spark, lake, name, df, known, key)
+        if found is not None:
+            exceptions[key] = found
     fact = lake.table("fact_offres")
-    rows = with_month(star.fact_by_hash(staged))
+    rows = with_month(star.fact_by_hash(staged, exceptions=exceptions))
     known = read_current(spark, fact)
     append_current(rows if known is None else new_rows(known, rows), fact, [MONTH])
     return read_star(spark, lake)
 
 
-def _unknown(df: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows whose natural key the dimension does not hold; NULL parts are equal."""
-    row = F.struct(*df.columns)
-    return df.withColumn("_row", row).join(known.select(row.alias("_row")), "_row", "left_anti").drop("_row")
+def _add_to_dimension(spark: SparkSession, lake: Lake, name: str, df: DataFrame, known: DataFrame | None, key: str) -> DataFrame | None:
+    """Add the rows that a dimension does not hold, each with a key of its own. Returns the natural keys whose key is not their
+    first hash, if there are any; they are stored before the dimension, so a run that stops between leaves no row without them."""
+    natural, path = star.NATURAL[key], lake.table(f"cles_{name}")
+    row = F.struct(*natural)
+    new = df.withColumn("_row", row)
+    if known is not None:
+        new = new.join(known.select(row.alias("_row")), "_row", "left_anti")
+    keys = _staged(settle_keys(new, natural, key, known), "settled")
+    odd = keys.filter("essai > 0")
+    if not odd.isEmpty():
+        append_current(odd, path)
+    fresh = new.drop(key).join(keys.select(key, row.alias("_row")), "_row").select(df.columns)
+    append_current(fresh, lake.table(name))
+    stored = read_current(spark, path)
+    if stored is None:
+        return None
+    held = read_current(spark, lake.table(name)).select(key, row.alias("_row"))  # a run that stopped may have stored others
+    return stored.withColumn("_row", row).join(held, [key, "_row"], "left_semi").select(stored.columns).distinct()
 
 
 MONTH = "mois_creation"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacantia.functions.dates import weekday_name
 from vacantia.functions.labels import or_label
-from vacantia.operators.keys import dense_ids, hash_key
+from vacantia.operators.keys import dense_ids, exact_keys, family_key, hash_key
 from vacantia.schema import DEFAULT_COUNTRY, POSTING_SCHEMA
 
 COMPANY_KEY = ("nom", "secteur", "taille")
@@ -87,13 +88,22 @@ def _fact_columns(df: DataFrame, with_predictions: bool) -> DataFrame:
     return df.select(*[column(n) for n in FACT_COLUMNS])
 
 
-def fact_by_hash(staged: DataFrame, with_predictions: bool = False) -> DataFrame:
-    """The fact with hash keys. They are computed from the row, so nothing is joined or shuffled."""
-    keyed = staged.withColumns({
-        "date_id": F.when(_date().isNotNull(), hash_key(_date())),
-        "entreprise_id": hash_key(*_company().values()),
-        "lieu_id": hash_key(*_place().values()),
-    })
+#: The natural keys of the dimensions, by the name of the id.
+NATURAL: dict[str, tuple[str, ...]] = {"date_id": ("date_full",), "entreprise_id": COMPANY_KEY, "lieu_id": PLACE_KEY}
+
+
+def _natural() -> dict[str, dict[str, Column]]:
+    return {"date_id": {"date_full": _date()}, "entreprise_id": _company(), "lieu_id": _place()}
+
+
+def fact_by_hash(staged: DataFrame, with_predictions: bool = False, exceptions: Mapping[str, DataFrame] | None = None,
+                 bits: int = 64) -> DataFrame:
+    """The fact with hash keys. They are computed from the row, so nothing is joined or shuffled; only where two natural keys have
+    had one hash are the few ``exceptions``, by the name of the id, looked up."""
+    keyed = staged.withColumns({name: family_key(0, list(parts.values()), bits) for name, parts in _natural().items()})
+    for name, listed in (exceptions or {}).items():
+        keyed = exact_keys(keyed, name, _natural()[name], listed)
+    keyed = keyed.withColumn("date_id", F.when(_date().isNotNull(), F.col("date_id")))
     return _fact_columns(keyed, with_predictions)
 
 

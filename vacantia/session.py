@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "vacantia", master: str | None = None, **conf: str) -> SparkSession:
@@ -76,3 +76,10 @@ def use_checkpoints(spark: SparkSession) -> None:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back: for rows used more than once, and to cut lineage."""
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
