@@ -396,6 +396,17 @@ def landing_stream(spark, sf_dir):
     return plain_times(landing.landed(spark, target))
 
 
+@query
+def weekly_stream(spark, sf_dir):
+    """The weekly trend kept by a stream, with a restart between two landings; the second one holds late postings."""
+    source, table_at, state = (staging_path(spark, n) for n in ("landed", "trend", "state"))
+    rows = align(postings(spark, sf_dir))
+    for part in (rows.filter("offre_id % 2 = 0"), rows.filter("offre_id % 2 = 1")):
+        part.write.mode("append").parquet(source)
+        landing.keep_weekly_trend(landing.stream_table(spark, source, POSTING_SCHEMA), table_at, state).awaitTermination()
+    return read_current(spark, table_at).select(F.date_format("semaine", "yyyy-MM-dd").alias("semaine"), "source", "metier", "nb_offres")
+
+
 @query
 def conform_scraped(spark, sf_dir):
     rows = postings(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vacantia.functions.measures import rounded_mean
 from vacantia.operators.merge import new_rows
-from vacantia.sources.tables import try_read
+from vacantia.sources.tables import publish, try_read
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000) -> DataFrame:
@@ -58,3 +58,16 @@ def weekly_trend_stream(postings: DataFrame, late: str = "14 days") -> DataFrame
         .select(F.col("window.start").alias("semaine"), "source", F.col("rome_libelle").alias("metier"), "nb_offres",
                 "salaire_moyen_min", "salaire_moyen_max")
     )
+
+
+def keep_weekly_trend(postings: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Keep the weekly trend as a table, for all files present, then stop.
+
+    The sums stay in the stream's state, so a run after a restart reads new files only. Each batch replaces the table in one step; it
+    has a row for each week, source and occupation. Late postings count in their week.
+    """
+    def replace(trend: DataFrame, _: int) -> None:
+        publish(trend, table)
+
+    return (weekly_trend_stream(postings).writeStream.outputMode("complete").foreachBatch(replace)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
