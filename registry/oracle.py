@@ -398,4 +398,4 @@ ORACLE["sanitise_rejects"] = f"""WITH {P} SELECT 'salaire_min' AS colonne, count
 ORACLE["colliding_keys"] = f"""WITH {P} SELECT coalesce(ville, 'Non renseigné') AS ville, region, coalesce(pays, 'France') AS pays, code_postal,
     latitude, longitude, count(*) AS nb_offres FROM p GROUP BY ALL"""
 ORACLE["weekly_stream"] = f"""WITH {P} SELECT strftime(date_trunc('week', date_creation), '%Y-%m-%d') AS semaine, source, rome_libelle AS metier,
-    count(*) AS nb_offres FROM p GROUP BY ALL"""
+    count(*) AS nb_offres, {MEANS} FROM p GROUP BY ALL"""

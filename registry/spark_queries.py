@@ -404,7 +404,8 @@ def weekly_stream(spark, sf_dir):
     for part in (rows.filter("offre_id % 2 = 0"), rows.filter("offre_id % 2 = 1")):
         part.write.mode("append").parquet(source)
         landing.keep_weekly_trend(landing.stream_table(spark, source, POSTING_SCHEMA), table_at, state).awaitTermination()
-    return read_current(spark, table_at).select(F.date_format("semaine", "yyyy-MM-dd").alias("semaine"), "source", "metier", "nb_offres")
+    return read_current(spark, table_at).select(F.date_format("semaine", "yyyy-MM-dd").alias("semaine"), "source", "metier", "nb_offres",
+                                                "salaire_moyen_min", "salaire_moyen_max")
 
 
 @query
