@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,81 @@ def test_gzip_members(spark, pages, tmp_path):
     gaps = [(r["at"], r.length) for r in a if r.gap]
     assert gaps == [(sum(map(len, members[:3])), len(broken))]
     assert sum(r.archive.endswith("b.warc") for r in rows) == len(ROWS)
+
+
+def plain(n, digest=True, size=300):
+    """Records made by hand."""
+    out = []
+    for i in range(n):
+        block = (f"page {i} " * size)[:size].encode()
+        line = f"WARC-Block-Digest: sha1:{hashlib.sha1(block).hexdigest()}\r\n" if digest else ""
+        out.append(f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\n{line}Content-Length: {size}\r\n\r\n".encode() + block + b"\r\n\r\n")
+    return out
+
+
+def ids(found):
+    return [int(r["id"][10:-1]) for r in found if "id" in r]
+
+
+def gaps_of(found):
+    return [(r["at"], r["length"], r.get("inner_at"), r.get("inner_length")) for r in found if "gap" in r]
+
+
+@pytest.mark.parametrize("digest", [True, False])
+def test_a_cut_member_gives_its_whole_records(digest):
+    records = plain(500, digest)
+    member = gzip.compress(b"".join(records))
+    cut = member[:len(member) * 9 // 10]
+    found = list(W.salvage(cut))
+    n = len(ids(found))
+    assert ids(found) == list(range(n)) and 400 < n < 500
+    inner = sum(len(r) for r in records[:n])
+    assert gaps_of(found)[0][2] == inner  # inflated bytes of the record that was cut
+    after = gzip.compress(b"".join(plain(3)))
+    found = list(W.salvage(cut + after))
+    assert ids(found)[-3:] == [0, 1, 2] and set(range(n)) <= set(ids(found)[:-3])
+
+
+def test_a_damaged_member_gives_what_digests_confirm():
+    first, second = gzip.compress(b"".join(plain(500))), gzip.compress(b"".join(plain(5)))
+    for at in range(len(first) // 10, len(first), len(first) // 7):
+        damaged = bytearray(first)
+        damaged[at] ^= 0x55
+        found = list(W.salvage(bytes(damaged) + second))
+        right = {(f"page {i} " * 300)[:300].encode() for i in range(500)}
+        got = [r for r in found if "id" in r]
+        assert ids(got[-5:]) == list(range(5)) and not any("doubtful" in r for r in got[-5:])
+        assert all(r["doubtful"] and r["payload"] in right for r in got[:-5]) and len(got) <= 505
+        assert gaps_of(found)
+    unsure = bytearray(gzip.compress(b"".join(plain(50, digest=False))))
+    unsure[-6] ^= 1  # the check sum
+    assert ids(W.salvage(bytes(unsure))) == []
+    sure = bytearray(gzip.compress(b"".join(plain(50))))
+    sure[-6] ^= 1
+    assert ids(W.salvage(bytes(sure))) == list(range(50))
+
+
+def test_gaps_inside_a_member_have_their_own_place():
+    records = plain(6)
+    content = b"".join(records[:2]) + b"#" * 90 + b"".join(records[2:])
+    member = gzip.compress(content)
+    found = list(W.salvage(b"noise" + member))
+    assert ids(found) == list(range(6))
+    assert gaps_of(found) == [(0, 5, None, None), (5, len(member), sum(map(len, records[:2])), 90)]
+
+
+def test_many_members_take_linear_time():
+    members = b"".join(gzip.compress(r) for r in plain(10_000, size=2000))
+    start = time.time()
+    assert sum("id" in r for r in W.salvage(members)) == 10_000
+    assert time.time() - start < 4
+
+
+def test_long_pages_have_archives_with_few_others(spark, tmp_path):
+    rows = [(i, "u", f"{i} " * 20) for i in range(400)] + [(1000 + i, "u", f"{i} " * 40_000) for i in range(4)] + [(2000, None, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    W.write_archives(pages, path, archive_bytes=20_000)
+    sizes = [os.path.getsize(f"{path}/{n}") for n in archives(path)]
+    assert max(sizes) < 16 * 20_000
+    assert sorted((tuple(r) for r in W.read_pages(spark, path).collect()), key=str) == want(rows)

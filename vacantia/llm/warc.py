@@ -7,11 +7,14 @@ Spark's text writer with the record separator as its line separator, so that los
 The reader takes each archive as a whole (their size is bounded) and walks it member by member. A record counts if
 its version line, headers, length, separator and block digest are right. After a failed check it looks for the next version line
 or gzip member that starts a valid record, goes on there, and logs the bytes between as a quarantined gap with the
-reason. A member of gzip may hold many records.
+reason. A member of gzip may hold many records. One that is cut or damaged is inflated as far as it goes and its whole records
+count; if it is damaged and not just cut, only those that a block digest confirms, and they are marked ``doubtful``, for nothing
+confirms their headers. Members are fed in slices, so the time is linear in the bytes. What lies in a member has the member's place in ``at`` and ``length`` and its own in the inflated content
+in ``inner_at`` and ``inner_length``.
 
 Null html is an empty payload, null urls are left out. Equal rows give a record each; if several have the largest
-page_id, all of them are responses. Pages without an id are responses unless an equal payload has one. Further columns are not
-stored. An empty table gives no archives, and a folder without archives no records.
+page_id, all of them are responses. Pages without an id are responses unless an equal payload has one. A very long page is a record
+like any other, in an archive with few others. Further columns are not stored. An empty table gives no archives, and a folder without archives no records.
 """
 
 from __future__ import annotations
@@ -30,8 +33,11 @@ from vacantia.session import staging_path
 END = "\r\n\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 GZIP = b"\x1f\x8b\x08"
+SLICE = 1 << 16  # bytes given to zlib at a time
+OVERHEAD = 600  # bytes of a record beside its payload, roughly
+SPREAD = 16
 RECORD = ("archive string, at bigint, length bigint, type string, id string, refers_to string, uri string, "
-          "payload_digest string, payload binary, gap string")
+          "payload_digest string, payload binary, gap string, inner_at bigint, inner_length bigint, doubtful boolean")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -80,12 +86,27 @@ def record(date: str) -> Column:
 
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = 16 << 20, least_revisit: int = 1000,
                    date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write a record for each page. Tasks write what they read, as files of so many records as make ``archive_bytes``
-    on average; payloads are not dealt out anew."""
-    n, total = pages.agg(F.count("*"), F.sum(F.octet_length("html"))).first()
-    per_file = max(1, archive_bytes * n // ((total or 0) + 600 * n)) if n else 1
-    records = with_revisits(pages, least_revisit).select(record(date).alias("value"))
-    records.write.option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
+    """Write a record for each page. Tasks write what they read; payloads are not dealt out anew.
+
+    Ordinary pages, of at most ``SPREAD`` times the mean, go to files of so many records as make ``archive_bytes`` on
+    average. Longer ones are written by classes of length with fewer to a file, so that no archive passes
+    ``SPREAD * archive_bytes`` unless one record alone does. A class costs a scan of the pages, and there are at most seven.
+    """
+    long = F.coalesce(F.octet_length("html"), F.lit(0)).cast("bigint") + OVERHEAD
+    n, total = pages.agg(F.count("*"), F.sum(long)).first()
+    mean = max(OVERHEAD, -(-(total or 0) // max(n, 1)))
+    tops = [mean * SPREAD]
+    while tops[-1] < 1 << 31:
+        tops.append(tops[-1] * SPREAD)
+    inside = [(long > low) & (long <= top) for low, top in zip([0, *tops], tops)]
+    counts = pages.agg(*[F.count(F.when(c, 1)) for c in inside]).first()
+    records = with_revisits(pages, least_revisit).select(record(date).alias("value"), (F.octet_length("payload").cast("bigint") + OVERHEAD).alias("size"))
+    for i, (low, top) in enumerate(zip([0, *tops], tops)):
+        if i and not counts[i]:
+            continue
+        per_file = max(1, archive_bytes // mean if i == 0 else SPREAD * archive_bytes // top)
+        some = records.where((F.col("size") > low) & (F.col("size") <= top)) if i or counts[0] < n else records
+        some.select("value").write.mode("append").option("lineSep", END).option("maxRecordsPerFile", per_file).text(path)
 
 
 def _parse(data: bytes, at: int) -> tuple[dict | None, int | str]:
@@ -110,69 +131,111 @@ def _parse(data: bytes, at: int) -> tuple[dict | None, int | str]:
         return None, "length and separator disagree"
     block = data[start:end]
     digest = headers.get(b"warc-block-digest", b"")
-    if digest.startswith(b"sha1:") and digest[5:].decode("latin-1").lower() != hashlib.sha1(block).hexdigest():
+    confirmed = digest.startswith(b"sha1:")
+    if confirmed and digest[5:].decode("latin-1").lower() != hashlib.sha1(block).hexdigest():
         return None, "block digest differs"
     if headers.get(b"content-type", b"").startswith(b"application/http"):
         _, found, body = block.partition(b"\r\n\r\n")
         block = body if found else block
     text = {k.decode("latin-1"): v.decode("utf-8", "replace") for k, v in headers.items()}
     return {"type": text.get("warc-type"), "id": text.get("warc-record-id"), "refers_to": text.get("warc-refers-to"),
-            "uri": text.get("warc-target-uri"), "payload_digest": text.get("warc-payload-digest"), "payload": block}, end + 4
+            "uri": text.get("warc-target-uri"), "payload_digest": text.get("warc-payload-digest"), "payload": block,
+            "confirmed": confirmed}, end + 4
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes | None, int]:
-    """A gzip member's content and its end; None if it is broken."""
-    stream = zlib.decompressobj(31)
+def _feed(stream, piece: memoryview, out: bytearray) -> tuple[object, int | None]:
+    """Inflate a piece. The stream to go on with, and the byte of the piece at which it broke, or None."""
+    before = stream.copy()
     try:
-        content = stream.decompress(data[at:] if at else data)
+        out += stream.decompress(piece)
+        return stream, None
     except zlib.error:
-        return None, at
-    return (content, len(data) - len(stream.unused_data)) if stream.eof else (None, at)
-
-
-def salvage(data: bytes) -> Iterator[dict]:
-    """Valid records, each with where it starts and its length, and gaps: the bytes between them and what was wrong.
-
-    For records inside a gzip member, ``at`` and ``length`` are those of the member.
-    """
+        if len(piece) == 1:
+            return before, 0
+    half = len(piece) // 2
+    stream, broke = _feed(before, piece[:half], out)
+    if broke is not None:
+        return stream, broke
+    stream, broke = _feed(stream, piece[half:], out)
+    return stream, half + broke if broke is not None else None
+
+
+def _inflate(data: memoryview, at: int) -> tuple[bytes, int, str]:
+    """What a gzip member holds, as far as it can be inflated; where that ends; what is wrong with the rest, if anything."""
+    stream, out, step = zlib.decompressobj(31), bytearray(), 1 << 12
+    while at < len(data):
+        piece = data[at:at + step]
+        stream, broke = _feed(stream, piece, out)
+        if broke is not None:
+            return bytes(out), at + broke, "broken gzip member"
+        at += len(piece)
+        if stream.eof:
+            return bytes(out), at - len(stream.unused_data), ""
+        step = min(2 * step, SLICE)
+    return bytes(out), at, "gzip member cut"
+
+
+def _walk(data: bytes, members: bool, confirmed: bool = False) -> Iterator[dict]:
+    """Valid records and gaps of some bytes. ``members``: gzip members are opened. ``confirmed``: records need a block digest."""
     at, bad, reason = 0, None, ""
-    candidate = re.compile(rb"WARC/1\.[01]\r\n|" + re.escape(GZIP))
+    candidate = re.compile(rb"WARC/1\.[01]\r\n" + (b"|" + re.escape(GZIP) if members else b""))
+    view = memoryview(data)
     while at < len(data):
-        if data.startswith(GZIP, at):
-            content, end = _inflate(data, at)
-            found = [] if content is None else list(salvage(content))
-            wrong = "broken gzip member" if content is None else "" if any("id" in r for r in found) else "member without records"
-            rows = [r | {"at": at, "length": end - at} for r in found]
+        rows, wrong, since = [], "", at
+        if members and data.startswith(GZIP, at):
+            content, end, wrong = _inflate(view, at)
+            found = list(_walk(content, False, wrong.startswith("broken")))
+            if any("id" in r for r in found):
+                rows = [r | {"at": at, "length": end - at, "inner_at": r["at"], "inner_length": r["length"]} for r in found]
+                since = end
+            else:
+                wrong = wrong or "member without records"
         else:
             one, end = _parse(data, at)
-            wrong = end if one is None else ""
-            rows = [] if one is None else [one | {"at": at, "length": end - at}]
-        if wrong:
-            if bad is None:
-                bad, reason = at, wrong
-            hit = candidate.search(data, at + 1)
-            at = hit.start() if hit else len(data)
-            continue
-        if bad is not None:
+            if one is None:
+                wrong = end
+            elif confirmed and not one["confirmed"]:
+                wrong = "no digest in a broken member"
+            else:
+                rows = [{k: v for k, v in one.items() if k != "confirmed"} | {"at": at, "length": end - at}
+                        | ({"doubtful": True} if confirmed else {})]
+        if rows and bad is not None:
             yield {"at": bad, "length": at - bad, "gap": reason}
             bad = None
         yield from rows
-        at = end
+        if not wrong:
+            at = end
+            continue
+        if bad is None:
+            bad, reason = since, wrong
+        hit = candidate.search(data, at + 1)
+        at = hit.start() if hit else len(data)
+        if bad >= at:  # the member was inflated up to where the next one starts
+            bad = None
     if bad is not None:
         yield {"at": bad, "length": len(data) - bad, "gap": reason}
 
 
+def salvage(data: bytes) -> Iterator[dict]:
+    """Valid records, each with where it starts and its length, and gaps: the bytes between them and what was wrong.
+
+    For what lies inside a gzip member, ``at`` and ``length`` are those of the member, or of the part of it that could be
+    inflated, and ``inner_at`` and ``inner_length`` say where it lies in the inflated content.
+    """
+    return _walk(data, True)
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """A row for each record, and one with ``gap`` for each stretch of bytes that holds no valid record."""
-    names = ["archive", "at", "length", "type", "id", "refers_to", "uri", "payload_digest", "payload", "gap"]
+    names = ["archive", "at", "length", "type", "id", "refers_to", "uri", "payload_digest", "payload", "gap", "inner_at", "inner_length", "doubtful"]
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.schema([(n, pa.int64() if n in ("at", "length") else pa.binary() if n == "payload" else pa.string()) for n in names])
+        kind = pa.schema([(n, pa.int64() if n.endswith(("at", "length")) else pa.binary() if n == "payload" else pa.bool_() if n == "doubtful" else pa.string()) for n in names])
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows, size = [], 0
                 for row in salvage(content.as_py()):
-                    rows.append(row | {"archive": name})
+                    rows.append(row | {"archive": name, "doubtful": row.get("doubtful", False)})
                     size += len(row.get("payload") or b"") + 200
                     if size > 1 << 22:
                         yield pa.RecordBatch.from_pylist(rows, kind)
@@ -190,9 +253,9 @@ def page_of(record_id_: Column) -> Column:
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of the records read; a revisit has the bytes of its response.
 
-    The digest is that of the bytes read; a revisit's is the one it names.
+    The digest is that of the bytes read; a revisit's is the one it names. Doubtful records are left out.
     """
-    found = read_archives(spark, path).where("gap IS NULL")
+    found = read_archives(spark, path).where("gap IS NULL AND NOT doubtful")
     rows = staged(found.select(
         page_of(F.col("id")).alias("page_id"), F.col("type").alias("record_type"), page_of(F.col("refers_to")).alias("refers_to"),
         F.octet_length("payload").cast("long").alias("own_bytes"),
