@@ -399,3 +399,9 @@ ORACLE["colliding_keys"] = f"""WITH {P} SELECT coalesce(ville, 'Non renseigné')
     latitude, longitude, count(*) AS nb_offres FROM p GROUP BY ALL"""
 ORACLE["weekly_stream"] = f"""WITH {P} SELECT strftime(date_trunc('week', date_creation), '%Y-%m-%d') AS semaine, source, rome_libelle AS metier,
     count(*) AS nb_offres, {MEANS} FROM p GROUP BY ALL"""
+
+# The kept aggregates are the plain ones over the postings with the predictions of prediction_update written.
+_predicted = """p AS (SELECT * REPLACE (CASE WHEN pays IS NOT NULL AND salaire_min IS NULL AND salaire_predit_eur IS NULL
+    THEN CAST(length(titre) AS DOUBLE) ELSE salaire_predit_eur END AS salaire_predit_eur) FROM p0)"""
+for _kept, _plain in (("kept_global", "kpi_global"), ("kept_source", "kpi_source"), ("kept_company", "kpi_company"), ("kept_trend", "weekly_trend")):
+    ORACLE[_kept] = ORACLE[_plain].replace(P, f"p0 AS ({plain(POSTINGS)}), {_predicted}")

@@ -17,7 +17,7 @@ from vacantia.operators.merge import delete_insert, insert_ignore, new_rows, syn
     upsert_candidates
 from vacantia.operators.profile import field_profile, row_counts
 from vacantia.operators.topk import top_k_similar
-from vacantia.plans import conform, gold, landing as landing_plan, marts, pipeline, recommend, salary_model, skills, star
+from vacantia.plans import conform, gold, landing as landing_plan, maintained, marts, pipeline, recommend, salary_model, skills, star
 from vacantia.schema import LABOUR_API, LISTING_API, POSTING_SCHEMA, RECORD_SCHEMAS, SCRAPED_SITE
 from vacantia.session import shared_folder, ship_package, staging_path
 from vacantia.sources import commits, envelopes, ledger, pages
@@ -234,6 +234,51 @@ def prediction_update(spark, sf_dir):
     return update_predictions(fact, predictions, F.lit("2024-01-01").cast("timestamp_ntz"))
 
 
+# --- kept aggregates -------------------------------------------------------------------------------
+
+def _kept(spark, sf_dir, *names):
+    """States after three batches of postings, a refresh after each, and a run of predictions that rewrites months. Returns where
+    they are and the staged postings."""
+    rows, lake = staged(spark, sf_dir), pipeline.Lake(staging_path(spark, "kept"))
+    facts, at = lake.table("fact_offres"), lake.states
+    whole = pipeline.with_month(fact_table(rows))
+    for part in range(3):
+        append_current(whole.filter(F.crc32(F.encode("offre_id", "utf-8")) % 3 == part), facts, [pipeline.MONTH])
+        maintained.refresh(spark, facts, at, names)
+    predictions = rows.filter("pays IS NOT NULL").select("offre_id", F.length("titre").cast("double").alias("salaire_predit_eur"))
+    updated = update_predictions(read_current(spark, facts), predictions, F.lit("2024-01-01").cast("timestamp_ntz"))
+    changed = staging_path(spark, "changed")
+    updated.filter("modifie").drop("modifie").write.parquet(changed)
+    replace_in_partitions(spark.read.parquet(changed), facts, "offre_id", pipeline.MONTH)
+    maintained.refresh(spark, facts, at, names)
+    maintained.compact(spark, at, names, lots=2)
+    return at, rows
+
+
+@query
+def kept_global(spark, sf_dir):
+    at, rows = _kept(spark, sf_dir, "jours_metiers", "jours_entreprises", "lieux")
+    return maintained.kpi_global(spark, at, star.dim_place(rows))
+
+
+@query
+def kept_source(spark, sf_dir):
+    at, _ = _kept(spark, sf_dir, "jours_metiers", "jours_entreprises")
+    return maintained.kpi_source(spark, at)
+
+
+@query
+def kept_company(spark, sf_dir):
+    at, rows = _kept(spark, sf_dir, "jours_entreprises", "entreprises_metiers")
+    return maintained.kpi_company(spark, at, star.dim_company(rows))
+
+
+@query
+def kept_trend(spark, sf_dir):
+    at, _ = _kept(spark, sf_dir, "jours_metiers")
+    return maintained.weekly_trend(spark, at, F.to_date(F.lit(AS_OF)))
+
+
 # --- gold ------------------------------------------------------------------------------------------
 
 def _gold(name: str, f: Callable[[DataFrame], DataFrame]) -> None:

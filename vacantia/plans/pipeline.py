@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacantia.operators.keys import settle_keys
 from vacantia.operators.merge import known_keys, new_rows, update_predictions, upsert_candidates
-from vacantia.plans import gold, landing, marts, recommend, salary_model, skills, star
+from vacantia.plans import gold, landing, maintained, marts, recommend, salary_model, skills, star
 from vacantia.plans.conform import sanitise, unify
+from vacantia.plans.maintained import MONTH
 from vacantia.schema import CANDIDATE_SCHEMA, POSTING_SCHEMA
 from vacantia.session import staging_path
 from vacantia.sources import envelopes
@@ -43,6 +44,10 @@ class Lake:
     def table(self, name: str) -> str:
         return f"{self.root}/warehouse/{name}"
 
+    @property
+    def states(self) -> str:
+        return f"{self.root}/warehouse/etats"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
@@ -149,9 +154,6 @@ def _add_to_dimension(spark: SparkSession, lake: Lake, name: str, df: DataFrame,
     return stored.withColumn("_row", row).join(held, [key, "_row"], "left_semi").select(stored.columns).distinct()
 
 
-MONTH = "mois_creation"
-
-
 def with_month(fact: DataFrame) -> DataFrame:
     """The fact with the month it is partitioned by."""
     return fact.withColumn(MONTH, F.date_format("date_creation", "yyyy-MM"))
@@ -211,9 +213,16 @@ def apply_predictions(spark: SparkSession, lake: Lake, predictions: DataFrame, a
     n = changed.count()
     if n:
         replace_in_partitions(changed, fact, "offre_id", MONTH)
+    maintain(spark, lake)
     return n
 
 
+def maintain(spark: SparkSession, lake: Lake) -> None:
+    """Bring the kept aggregates up to the fact. Only folders of the fact that have come or gone since are read."""
+    maintained.refresh(spark, lake.table("fact_offres"), lake.states)
+    maintained.compact(spark, lake.states)
+
+
 def predict_salaries(spark: SparkSession, lake: Lake, at: Column, force: bool = False,
                      settings: salary_model.ModelSettings = salary_model.ModelSettings()) -> int:
     """Train or load the model, predict the postings without a salary, export the predictions to gold and write them into the
@@ -268,6 +277,7 @@ def run_daily(spark: SparkSession, landed: Mapping[str, str], lake: Lake) -> dic
     fresh = load_raw(spark, lake)
     tables = load_star(spark, lake, fresh)
     load_skills(spark, lake, fresh, tables.fact)
+    maintain(spark, lake)
     unified = spark.read.parquet(lake.unified)
     written: Sequence[str] = write_named(gold.gold_tables(unified), lake.gold, gold.SKIP_WHEN_EMPTY)
     return {"sources": sources, "rejects": landing_rejects(spark, landed), "gold": list(written),
