@@ -91,3 +91,20 @@ def test_without_labels(spark, documents, rows):
     one = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id bigint, quality int")
     assert all(r.predicted == 1 for r in C.score_quality(documents(rows[:5]), one, SMALL).collect())
     assert C.score_quality(documents(rows[:5]).limit(0), one, SMALL).count() == 0
+
+
+def test_sample_is_the_rows_of_least_hash(spark):
+    known = spark.range(20_000).select(F.col("id").alias("doc_id"))
+    hashed = sorted((r.h, r.doc_id) for r in known.select("doc_id", F.xxhash64("doc_id").alias("h")).collect())
+    for n in (1, 100, 19_990, 30_000):
+        sample = C.least_hashes(known, n)
+        assert sorted(r.doc_id for r in sample.collect()) == sorted(d for _, d in hashed[:n])
+    assert C.least_hashes(known.limit(0), 5).count() == 0
+
+
+def test_of_several_texts_under_one_id_the_same_is_used(spark):
+    docs = [(i % 50, f"word{i} " * (i + 1) + "." * (i % 7)) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id bigint, quality int")
+    models = [C.fit_on(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), labels, SMALL) for rows in (docs, docs[::-1])]
+    assert models[0].intercept == models[1].intercept
+    assert all((a == b).all() for a, b in zip(models[0].tables, models[1].tables))

@@ -9,7 +9,7 @@ Fitting uses at most ``fit_rows`` labelled rows, those of least hash; the texts
 of them are fitted at once, a task each, and the tables' means are the model, so the driver sees tables only.
 
 Null texts count as empty and are scored like any other text. Labels other than 0 and 1 are ignored, and of repeated labels
-or documents one is used to fit. Without labels of both kinds the model is the share of the label there is, or one half.
+the largest and of repeated documents the one of least features is used to fit. Without labels of both kinds the model is the share of the label there is, or one half.
 Repeated rows are scored each for itself; other columns are not read.
 """
 
@@ -203,12 +203,23 @@ def mean_model(models: list[Model]) -> Model:
                  [np.mean(t, axis=0) for t in zip(*(m.tables for m in models))], first.pair_edges, pairs, [tables[p] for p in pairs])
 
 
+def least_hashes(known: DataFrame, n: int) -> DataFrame:
+    """The n rows of least hash of doc_id. Hashes are uniform, so a bound on them leaves a little more than n rows, and only
+    these are put in order: what one task gets does not grow with the number of partitions or rows."""
+    total = known.count()
+    share = (n + 8 * n ** 0.5 + 64) / max(total, 1)  # eight standard deviations more than n
+    if share < 1:
+        known = known.where(F.xxhash64("doc_id") < int(-2 ** 63 + share * 2 ** 64))
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+
+
 def fit_on(docs: DataFrame, labels: DataFrame, settings: Boosting = Boosting(), label: str = "quality") -> Model:
     """A model of the labelled documents given. Both tables need doc_id."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.fit_rows)
+    sample = least_hashes(staged(known, "labels"), settings.fit_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # fit_rows rows at most
-    rows = staged(texts.select("doc_id", "label", features(F.col("text")).alias("x")).dropDuplicates(["doc_id"]), "features")
+    each = texts.select("doc_id", "label", features(F.col("text")).alias("x"))
+    rows = staged(each.groupBy("doc_id", "label").agg(F.min("x").alias("x")), "features")  # of several texts, always the same one
     pieces = rows.select("x").toPandas()  # fit_rows rows of a dozen numbers at most
     x = np.array(pieces.x.tolist(), float).reshape(-1, len(FEATURES))
     edges, pair_edges = ([bin_edges(c, n) if len(c) else np.zeros(0) for c in x.T] for n in (settings.bins, settings.pair_bins))
