@@ -393,6 +393,8 @@ ORACLE["skill_large_dictionary"] = f"""WITH {T}, names AS (SELECT unnest({[s.nom
   x AS MATERIALIZED (SELECT offre_id, concat(lower(titre), chr(10), lower(description)) AS txt FROM t)
   SELECT offre_id, count(*) AS n, CAST(sum(id % 1000003) AS BIGINT) AS somme FROM x JOIN n ON contains(txt, nom) GROUP BY offre_id"""
 
+ORACLE["recommend_pruned"] = ORACLE["recommend_topk"]
+
 ORACLE["sanitise_rejects"] = f"""WITH {P} SELECT 'salaire_min' AS colonne, count(*) FILTER (WHERE salaire_min % 3 = 1 AND salaire_min >= 2148) AS nb_rejetees FROM p
   UNION ALL SELECT 'date_creation', count(*) FILTER (WHERE rome_code = '2') FROM p UNION ALL SELECT 'longitude', 0"""
 ORACLE["colliding_keys"] = f"""WITH {P} SELECT coalesce(ville, 'Non renseigné') AS ville, region, coalesce(pays, 'France') AS pays, code_postal,

@@ -16,6 +16,7 @@ from vacantia.operators.keys import hash_key, settle_keys
 from vacantia.operators.merge import delete_insert, insert_ignore, new_rows, sync_schema, update_predictions, \
     upsert_candidates
 from vacantia.operators.profile import field_profile, row_counts
+from vacantia.operators.pruned_topk import pruned_top_k
 from vacantia.operators.topk import top_k_similar
 from vacantia.plans import conform, gold, landing as landing_plan, maintained, marts, pipeline, recommend, salary_model, skills, star
 from vacantia.schema import LABOUR_API, LISTING_API, POSTING_SCHEMA, RECORD_SCHEMAS, SCRAPED_SITE
@@ -740,6 +741,14 @@ def recommend_topk(spark, sf_dir):
                        "score")
 
 
+@query
+def recommend_pruned(spark, sf_dir):
+    """As recommend_topk, without the pairs that bounds rule out."""
+    vectors = table(spark, sf_dir, "embeddings")
+    best = pruned_top_k(vectors, vectors, 10, "vec_id", "vec_id", "embedding", "embedding").rows
+    return best.select(F.col("query_id").alias("candidat_id"), F.col("item_id").alias("offre_id"), "rang", "score")
+
+
 @query
 def vector_refresh(spark, sf_dir):
     rows = text_postings(spark, sf_dir)
