@@ -56,6 +56,43 @@ def test_slots_in_buckets(spark, documents):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_equal_rows_are_numbered_in_pieces(spark, documents):
+    hot = [(None, "")] * 900 + [(7, "x")] * 700 + [(i, "y") for i in range(8, 900)]
+    placed = H.assign_shards(documents(hot).select("doc_id"), "doc_id", [1.0] * 3)
+    groups = H.dealt(placed, ["doc_id"], 50).groupBy("shard", "__bucket", "__heavy", "__piece").count().collect()
+    assert sum(r["count"] for r in groups) == len(hot) and max(r["count"] for r in groups) <= 150
+    assert sum(r["__heavy"] != 0 for r in groups) >= 30
+    out = H.with_slots(placed, ["doc_id"], bucket_rows=50)
+    assert sorted(out.columns) == ["doc_id", "shard", "slot"]
+    slots, kinds = {}, Counter()
+    for r in out.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+        kinds[r.doc_id] += 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert kinds == Counter(i for i, _ in hot)
+
+
+def plain_shard(key, weights):
+    """The scores by the library's own hash of (shard, key), their logarithm in plain Python."""
+    import math
+
+    import xxhash
+
+    def hash64(shard):
+        h = xxhash.xxh64(shard.to_bytes(4, "little", signed=True), seed=42).intdigest()
+        return h if key is None else xxhash.xxh64(key.to_bytes(8, "little", signed=True), seed=h).intdigest()
+
+    return max(((w / -math.log(((hash64(i) >> 12) + 0.5) / 2**52)), i) for i, w in enumerate(weights))[1]
+
+
+def test_shards_by_brute_force(spark, documents):
+    weights = [1.0, 2.0, 0.5, 1.0, 3.0]
+    df = documents([(i, "") for i in range(2000)] + [(None, "")])
+    got = H.assign_shards(df.select("doc_id"), "doc_id", weights, grown_by=2.0).collect()
+    assert [(r.doc_id, r.shard, r.grown_shard) for r in got] == [
+        (r.doc_id, plain_shard(r.doc_id, weights), plain_shard(r.doc_id, [*weights, 2.0])) for r in got]
+
+
 def test_empty_table_and_files(spark, documents, tmp_path):
     assert manifest(documents(ROWS).limit(0)).count() == 0
     H.write_shards(documents(ROWS), "doc_id", [1.0] * 4, str(tmp_path / "out"))

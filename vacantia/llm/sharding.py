@@ -8,8 +8,9 @@ record moves between the shards there were; on average 1/n of the records move.
 Records get slots in their shard, from 0 without gaps. They are numbered inside buckets of a shard, and the counts of
 the buckets before are added, so that no task holds a whole shard.
 
-Null keys share one hash. Records of equal key share a shard, and get slots of their own, equal ones in any order. Null
-texts have no bytes.
+Null keys share one hash. Records of equal key share a shard, and get slots of their own, equal ones in any order; however many
+they are, they are numbered in pieces of bounded size. Null texts have no bytes. Of a text only its size and checksum are
+carried, so a very long one weighs no more than another. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -46,22 +47,39 @@ def assign_shards(df: DataFrame, key: str, weights: Sequence[float], grown_by: f
     return out.withColumn("grown_shard", F.when(more >= best, F.lit(len(weights))).otherwise(F.col("shard")))
 
 
-def with_slots(rows: DataFrame, order: Sequence[str], bucket_rows: int = 20_000) -> DataFrame:
-    """The rows, narrow ones, with ``slot``: gapless in each shard. They are written to the shared folder once.
+def dealt(rows: DataFrame, order: Sequence[str], bucket_rows: int) -> DataFrame:
+    """The rows, written to the shared folder once, with ``__bucket``, ``__heavy`` and ``__piece``: groups of a shard that
+    hold some ``bucket_rows`` rows each, whatever the size of the table.
 
-    Buckets are as many as keep ``bucket_rows`` rows in each, whatever the size of the table.
+    Buckets follow a hash of ``order``. Where one holds far more than its share, rows equal in ``order`` are counted, and those
+    more than ``bucket_rows`` are dealt out by their place in the written rows.
     """
-    rows = staged(rows, "sharded")
+    rows = staged(rows.withColumn("__row", F.monotonically_increasing_id()), "sharded")
     shards = max(rows.select("shard").distinct().count(), 1)
     buckets = max(1, -(-rows.count() // (bucket_rows * shards)))
-    dealt = rows.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counts = dealt.groupBy("shard", "__bucket").agg(F.count("*").alias("__n"))
+    out = rows.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    full = out.groupBy("shard", "__bucket").agg(F.count("*").alias("__n")).where(F.col("__n") > 2 * bucket_rows)
+    equal = out.join(full, ["shard", "__bucket"], "left_semi").groupBy("shard", *order).agg(F.count("*").alias("__n"))
+    heavy = equal.where(F.col("__n") > bucket_rows).select(
+        *[F.col(c).alias(f"__of_{c}") for c in ("shard", *order)], F.xxhash64(*order).alias("__heavy"),
+        F.ceil(F.col("__n") / bucket_rows).cast("long").alias("__pieces"))
+    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in ("shard", *order)]
+    return out.join(staged(heavy, "heavy"), same, "left").select(
+        *out.columns, F.coalesce("__heavy", F.lit(0)).alias("__heavy"),
+        F.coalesce(F.pmod(F.xxhash64("__row"), F.col("__pieces")), F.lit(0)).alias("__piece")).drop("__row")
+
+
+def with_slots(rows: DataFrame, order: Sequence[str], bucket_rows: int = 20_000) -> DataFrame:
+    """The rows, narrow ones, with ``slot``: gapless in each shard. Rows equal in ``order`` may change places."""
+    groups = ["__bucket", "__heavy", "__piece"]
+    parts = dealt(rows, order, bucket_rows)
+    before = Window.partitionBy("shard").orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy("shard", *groups).agg(F.count("*").alias("__n"))
     offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    number = F.row_number().over(Window.partitionBy("shard", "__bucket").orderBy(*order))
-    numbered = dealt.withColumn("__number", number - 1)
-    return numbered.join(offsets, ["shard", "__bucket"]).withColumn(
-        "slot", (F.col("__number") + F.col("__before")).cast("long")).drop("__bucket", "__number", "__before")
+    number = F.row_number().over(Window.partitionBy("shard", *groups).orderBy(*order))
+    numbered = parts.withColumn("__number", number - 1)
+    return numbered.join(offsets, ["shard", *groups]).withColumn(
+        "slot", (F.col("__number") + F.col("__before")).cast("long")).drop(*groups, "__number", "__before")
 
 
 def shard_manifest(docs: DataFrame, weights: Sequence[float], grown_by: float = 1.0, doc: str = "doc_id",
