@@ -28,7 +28,8 @@ def clustered(rng, groups=20, each=60, width=16):
     return np.repeat(rng.normal(size=(groups, width)), each, axis=0) + 0.05 * rng.normal(size=(groups * each, width))
 
 
-@pytest.mark.parametrize("options", [{}, {"query_block_rows": 7, "item_block_rows": 11}, {"centres": 1, "rings": 1}])
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "query_block_rows": 7, "item_block_rows": 11},
+                                     {"centres": 1, "rings": 1}])
 def test_clusters_are_left_out(spark, options):
     rng = np.random.default_rng(5)
     items = clustered(rng)
@@ -36,19 +37,19 @@ def test_clusters_are_left_out(spark, options):
     out = pruned_top_k(frame(spark, q), frame(spark, items).repartition(5), 7, "id", "id", **options)
     assert found(out) == brute_force(q, items, 7)
     assert out.pairs == len(q) * len(items)
-    assert out.multiplied == out.pairs if options.get("centres") == 1 else out.multiplied < 0.3 * out.pairs
+    assert out.multiplied >= out.pairs if options.get("centres") == 1 else out.multiplied < 0.3 * out.pairs
     plan = plan_of(out.rows)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("k", [1, 9, 500])
-def test_vectors_without_clusters(spark, k):
+@pytest.mark.parametrize("k, sent", [(1, 0), (9, 0), (9, 1 << 20), (500, 1 << 20)])
+def test_vectors_without_clusters(spark, k, sent):
     rng = np.random.default_rng(6)
     q, items = rng.normal(size=(19, 6)), rng.normal(size=(300, 6))
     items[::3] = items[0]  # a third are copies, so ties decide
     items[5] = items[7] = q[3] = 0
     q[4], q[5] = items[0], -items[0]
-    out = pruned_top_k(frame(spark, q), frame(spark, items).repartition(5), k, "id", "id", item_block_rows=40)
+    out = pruned_top_k(frame(spark, q), frame(spark, items).repartition(5), k, "id", "id", item_block_rows=40, broadcast_bytes=sent)
     assert found(out) == brute_force(q, items, k)
     same = top_k_similar(frame(spark, q), frame(spark, items), k, "id", "id")
     assert sorted(map(tuple, out.rows.collect())) == sorted(map(tuple, same.collect()))

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vacantia.operators.topk import ITEM_BLOCK_ROWS, QUERY_BLOCK_ROWS, _best, _matrix, _usable
+from vacantia.operators.topk import BROADCAST_BYTES, CHUNK_ROWS, ITEM_BLOCK_ROWS, QUERY_BLOCK_ROWS, SCORE_DIGITS, _best, _best_of, _matrix, _usable
 from vacantia.session import ship_package, staged
 
 SAMPLE_ROWS = 2_048
@@ -168,25 +168,78 @@ def _met(probes: DataFrame, placed: DataFrame, cells: Cells, k: int, query_block
     return found, sum(n * rows[c] for c, n in arrivals.items())
 
 
+def _beaten(asked: pa.Table, kind: str, placed: DataFrame, cells: Cells, k: int) -> tuple[DataFrame, int]:
+    """What reaches each query's k-th score ``t``, and the pairs multiplied. The queries, of a checked size, go to the tasks."""
+    ids, unit = asked["query_id"].combine_chunks(), _matrix(asked["v"])
+    kth = asked["t"].combine_chunks().fill_null(-2.0).to_numpy(zero_copy_only=False)
+    centres, rings, blank = cells.centres, cells.rings, ~unit.any(axis=1)
+    ranges = {int(c): (low, high) for c, low, high in zip(cells.name, cells.low, cells.high)}
+
+    def angles() -> np.ndarray:
+        return np.arccos(np.clip(unit @ centres.T, -1, 1))
+
+    def open_to(angle: np.ndarray, cell: int) -> np.ndarray:
+        low, high = ranges[cell]
+        at = angle[:, max(cell, 0) // rings]
+        bound = np.cos(np.maximum(np.maximum(at - high, low - at), 0))
+        return np.flatnonzero(np.where(blank | (cell == ZERO_CELL), 0.0, bound) + SLACK >= kth)
+
+    def reach(rows: np.ndarray, item_ids: pa.Array, items: np.ndarray) -> Iterator[pa.Table]:
+        step = max(1, CHUNK_ROWS * 1024 // max(1, len(items)))
+        for start in range(0, len(rows), step):
+            part = rows[start:start + step]
+            scores = unit[part] @ items.T
+            row, item = np.nonzero(scores >= kth[part, None] - SLACK)
+            many = np.bincount(row, minlength=len(part)) > k
+            few = ~many[row]
+            yield pa.table({"query_id": ids.take(pa.array(part[row[few]])), "item_id": item_ids.take(pa.array(item[few])),
+                            "score": np.round(scores[row[few], item[few]], SCORE_DIGITS)})
+            if many.any():
+                yield pa.Table.from_batches(list(_best(ids.take(pa.array(part[many])).to_numpy(zero_copy_only=False), unit[part[many]],
+                                                       item_ids.to_numpy(zero_copy_only=False), items, k)))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        angle, held, rows = None, [], 0
+        for batch in batches:
+            angle = angles() if angle is None else angle
+            unit_items, cell = _matrix(batch["v"]) if batch.num_rows else None, batch["cell"].to_numpy()
+            for c in np.unique(cell):
+                at = np.flatnonzero(cell == c)
+                for found in reach(open_to(angle, int(c)), batch["item_id"].take(pa.array(at)), unit_items[at]):
+                    held.append(found)
+                    rows += found.num_rows
+            if rows > 2 * k * len(ids):  # the best k of each query are all that leaves the task
+                held = [_best_of(pa.concat_tables(held), k)]
+                rows = held[0].num_rows
+        if rows:
+            yield from _best_of(pa.concat_tables(held), k).to_batches()
+
+    angle, size = angles(), dict(zip(cells.name.tolist(), cells.rows.tolist()))
+    schema = f"query_id {kind}, item_id {placed.schema['item_id'].dataType.simpleString()}, score double"
+    return placed.select("item_id", "v", "cell").mapInArrow(score, schema), sum(len(open_to(angle, c)) * n for c, n in size.items())
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "item_id"))
     return found.withColumn("rang", rank).where(F.col("rang") <= k)
 
 
 def pruned_top_k(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, query_vector: str = "vector",
-                 item_vector: str = "vector", centres: int = 64, rings: int = 32, query_block_rows: int = QUERY_BLOCK_ROWS,
+                 item_vector: str = "vector", centres: int = 64, rings: int = 32, broadcast_bytes: int = BROADCAST_BYTES, query_block_rows: int = QUERY_BLOCK_ROWS,
                  item_block_rows: int = ITEM_BLOCK_ROWS) -> Pruned:
     """The k items nearest to each query: ``query_id, item_id, score, rang``, ties by item id; and the pairs multiplied.
 
     All vectors have the same length and ids are unique on each side. Vectors that are null, or hold a null or a number that is
     not finite, take no part. A zero vector has score 0 with everything. The items are placed and written once to the shared
-    folder, as are the first round's results.
+    folder, as are the first round's results. In the second round queries go to the tasks up to ``broadcast_bytes``, and the items
+    stay where they are; beyond it both are shuffled by cell, a query once for each cell it has to meet.
     """
     ship_package(queries.sparkSession)
     asked = _finite(_usable(queries, query_id, query_vector, "query_id"))
     offered = _finite(_usable(items, item_id, item_vector, "item_id"))
-    sizes = [df.agg(F.count("*").alias("n"), F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most")).first()
-             for df in (asked, offered)]
+    sizes = [df.agg(F.count("*").alias("n"), F.min(F.size("v")).alias("least"), F.max(F.size("v")).alias("most"),
+                    F.sum(F.length(F.col(name).cast("string"))).alias("text")).first()
+             for df, name in ((asked, "query_id"), (offered, "item_id"))]
     if len({w for s in sizes for w in (s.least, s.most) if w is not None}) > 1:
         raise ValueError("vectors of different length")
     n_queries, n_items = (s.n for s in sizes)
@@ -195,7 +248,8 @@ def pruned_top_k(queries: DataFrame, items: DataFrame, k: int, query_id: str, it
         return Pruned(_ranked(none, k), 0, 0)
 
     middles = centres_of(_sample(offered, n_items), centres)
-    placed = staged(_placed(offered, middles, rings), "placed")
+    in_order = _placed(offered, middles, rings).repartitionByRange("cell", F.xxhash64("item_id")).sortWithinPartitions("cell")
+    placed = staged(in_order, "placed")
     stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
     found = sorted(stats.collect())  # at most centres x rings + 1 rows
     cells = Cells(middles, rings, *(np.array([r[c] for r in found]) for c in ("cell", "n", "low", "high")))
@@ -205,6 +259,9 @@ def pruned_top_k(queries: DataFrame, items: DataFrame, k: int, query_id: str, it
     best = staged(_ranked(near, k).drop("rang"), "first")
     kth = best.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("t")).where(F.col("n") == k).drop("n")
     left = staged(asked.join(kth, "query_id", "left"), "asked")
-    rest, second = _met(_probes(left, cells, k, later=True), *options)
-    every = best if rest is None else best.unionByName(rest)
+    if n_queries * (sizes[0].most * 8 + 64 + 8 * len(middles)) + (sizes[0].text or 0) <= broadcast_bytes:
+        every, second = _beaten(left.toArrow(), asked.schema["query_id"].dataType.simpleString(), placed, cells, k)
+    else:
+        rest, second = _met(_probes(left, cells, k, later=True), *options)
+        every = best if rest is None else best.unionByName(rest)
     return Pruned(_ranked(every, k), n_queries * n_items, first + second)
