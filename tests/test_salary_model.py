@@ -91,3 +91,10 @@ def test_named_categories_are_hashed(table):
 def test_too_few_rows(spark):
     with pytest.raises(ValueError):
         sm.train(postings(spark, rows(8)), SMALL)
+
+
+def test_texts_are_cut_once_for_all_splits(table, monkeypatch):
+    cut, plain = [], sm.RegexTokenizer.transform
+    monkeypatch.setattr(sm.RegexTokenizer, "transform", lambda self, *a: cut.append(1) or plain(self, *a))
+    model = sm.train(table, SMALL)
+    assert len(cut) == 1 and [type(s).__name__ for s in model.pipeline.stages].count("RegexTokenizer") == 1

@@ -31,7 +31,7 @@ PREDICTED = "salaire_predit_eur"
 MODEL_TAG = "gradient_boosting_v1"
 
 HASHED_SIZE = 1 << 12
-ROWS_PER_PARTITION = 10_000
+ROWS_PER_PARTITION = 25_000
 
 
 @dataclass(frozen=True)
@@ -146,13 +146,19 @@ class TopTerms(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, Defa
         return model
 
 
-def _text_stages(terms: int) -> list:
-    """Weights of the most frequent words and word pairs, unit length."""
+def _term_stages() -> list:
+    """Words and word pairs of a text. Nothing is learned here."""
     return [
         FoldAccents(inputCol="texte", outputCol="_folded"),
         RegexTokenizer(inputCol="_folded", outputCol="_words", pattern=r"(?U)\w\w+", gaps=False),
         NGram(n=2, inputCol="_words", outputCol="_pairs"),
         JoinWords(inputCols=["_words", "_pairs"], outputCol="_terms"),
+    ]
+
+
+def _weight_stages(terms: int) -> list:
+    """Weights of the most frequent terms, unit length."""
+    return [
         TopTerms(inputCol="_terms", outputCol="_counts", size=terms),
         SublinearCounts(inputCol="_counts", outputCol="_tf"),
         IDF(inputCol="_tf", outputCol="_tfidf"),
@@ -162,9 +168,9 @@ def _text_stages(terms: int) -> list:
 
 
 def feature_stages(terms: int, listed: Sequence[str], hashed: Sequence[str]) -> list:
-    """Text weights, one column per listed category value (unknown values give zeros), hashed categories,
+    """Weights of ``_terms``, one column per listed category value (unknown values give zeros), hashed categories,
     standardised flags; one vector."""
-    stages = _text_stages(terms)
+    stages = _weight_stages(terms)
     parts = ["_text"]
     if listed:
         index, hot = [f"_{c}_index" for c in listed], [f"_{c}_hot" for c in listed]
@@ -184,7 +190,7 @@ def feature_stages(terms: int, listed: Sequence[str], hashed: Sequence[str]) ->
 
 def term_weights(features: DataFrame, terms: int = ModelSettings.terms, key: str = "offre_id") -> DataFrame:
     """(key, term, weight): the text part of the feature vector, its non-zero entries."""
-    model = Pipeline(stages=_text_stages(terms)).fit(features)
+    model = Pipeline(stages=[*_term_stages(), *_weight_stages(terms)]).fit(features)
     names, = [s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel)]
     weights = F.transform(vector_to_array("_text"), lambda w, i: F.struct(F.get(F.lit(names), i).alias("term"), w.alias("weight")))
     rows = model.transform(features).select(key, F.explode(F.filter(weights, lambda w: w["weight"] > 0)).alias("w"))
@@ -207,16 +213,18 @@ def train(postings: DataFrame, settings: ModelSettings = ModelSettings(), key: s
           max_chars: int | None = None) -> SalaryModel:
     """Fit the model and measure it on held-out rows and, with ``folds`` > 1, by cross-validation."""
     use_checkpoints(postings.sparkSession)
-    columns = [key, "texte", *CATEGORIES, *FLAGS, TARGET]
+    columns = [key, "_terms", *CATEGORIES, *FLAGS, TARGET]
+    words = PipelineModel(_term_stages())
     features = engineer_features(postings, max_chars)
     counts = features.agg(
         F.count("*").alias("n_offres_total"), F.count_if(F.col(TARGET).isNull()).alias("n_sans_salaire"),
         F.count_if(F.col(TARGET).between(*TARGET_RANGE)).alias("usable")).first()
     if counts.usable < settings.at_least:
         raise ValueError(f"{counts.usable} rows with a usable salary, {settings.at_least} are needed")
-    # Boosting reads these rows some thousand times, so their partitions are sized for it.
+    # Boosting reads these rows some thousand times, so their partitions are sized for it: a level of a tree costs each of them the
+    # start of two tasks and a shuffle of its histograms. Texts are cut into words once for all splits.
     parts = -(-counts.usable // ROWS_PER_PARTITION)
-    rows = training_rows(features).select(*columns).repartition(parts, key).persist()
+    rows = words.transform(training_rows(features).select(key, "texte", *columns[2:]).repartition(parts, key)).select(*columns).persist()
     listed = [c for c in CATEGORIES if c not in settings.hashed]
     regressor = GBTRegressor(
         featuresCol="_features", labelCol=TARGET, predictionCol="prediction", maxIter=settings.trees,
@@ -235,7 +243,7 @@ def train(postings: DataFrame, settings: ModelSettings = ModelSettings(), key: s
         finally:
             vectors.unpersist()
         scores |= {"n_train": sizes.get(True, 0), "n_test": sizes.get(False, 0)}
-        return PipelineModel([*stages.stages, trees]), scores
+        return PipelineModel([*words.stages, *stages.stages, trees]), scores
 
     splits = [_share(key, settings.seed, 100) >= settings.test_percent]
     if settings.folds > 1:
