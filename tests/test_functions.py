@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacantia.functions import cast, dates, labels, measures, salary, text
+from vacantia.sources import pages
 
 
 def values(spark, rows, kind, *columns):
@@ -151,3 +152,14 @@ def test_links(spark, x):
 
 def test_fold_accents(spark, x):
     assert values(spark, ["Développeur ÇÀ"], "string", text.fold_accents(x)) == ["Developpeur CA"]
+
+
+def test_tags_are_removed_once_however_often_the_text_is_used(spark):
+    df = spark.createDataFrame([("a &amp; <b>b</b> &#233;",)], "x string").select(pages.plain_text(F.col("x")).alias("t"))
+    assert df.first().t == "a & b é"
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 1
+
+
+def test_once_computes_the_value_before_branches(spark):
+    df = spark.range(3).select(text.once(F.col("id") + 1, lambda v: F.when(v > 1, v * v).otherwise(-v)).alias("v"))
+    assert [r.v for r in df.collect()] == [-1, 4, 9]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html.entities import html5
 
 from pyspark.sql import Column, functions as F
@@ -11,6 +11,11 @@ from pyspark.sql import Column, functions as F
 NULL_MARK = "\u0000"
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` names it. In branches and lambdas Spark computes it each time."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def clean_text(c: Column) -> Column:
     """Collapse runs of white space and trim."""
     return F.trim(F.regexp_replace(c, r"\s+", " "))
@@ -94,20 +99,26 @@ def unescape_html(c: Column) -> Column:
 
     A number that is no character gives the replacement character; an unknown name stays. Each reference is decoded once.
     """
-    pieces, names = F.split(c, "&"), _references()
+    names = _references()
 
-    def decode(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9]*);", 1)
+    def letters(name: Column) -> Column:
         point = F.when(name.rlike("^#[xX]"), F.conv(F.right(F.concat(F.lit("000000000000"), F.substr(name, F.lit(3))), F.lit(12)), 16, 10)
                        ).otherwise(F.substr(name, F.lit(2))).try_cast("bigint")
         valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
         letter = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
-        value = F.when(F.startswith(name, F.lit("#")), letter).otherwise(F.try_element_at(names, name))
-        known = F.concat(value, F.substr(piece, F.length(name) + 2))
-        return F.coalesce(F.when(name != "", known), F.concat(F.lit("&"), piece))
+        return F.when(F.startswith(name, F.lit("#")), letter).otherwise(F.try_element_at(names, name))
+
+    def decode(piece: Column) -> Column:
+        found = F.regexp_extract(piece, r"^(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9]*);", 1)
+        known = once(found, lambda name: F.when(name != "", F.concat(letters(name), F.substr(piece, F.length(name) + 2))))
+        return F.coalesce(known, F.concat(F.lit("&"), piece))
+
+    def decoded(text: Column) -> Column:
+        whole = once(F.split(text, "&"), lambda pieces: F.concat(F.get(pieces, F.lit(0)), F.array_join(
+            F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), decode), "")))
+        return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
-    tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), decode)
-    return F.when(F.contains(c, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(tail, ""))).otherwise(c)
+    return once(c, decoded)
 
 
 def absolute_link(base: str, href: Column) -> Column:
