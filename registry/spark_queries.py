@@ -20,7 +20,7 @@ from vacantia.operators.pruned_topk import pruned_top_k
 from vacantia.operators.topk import top_k_similar
 from vacantia.plans import conform, gold, landing as landing_plan, maintained, marts, pipeline, recommend, salary_model, skills, star
 from vacantia.schema import LABOUR_API, LISTING_API, POSTING_SCHEMA, RECORD_SCHEMAS, SCRAPED_SITE
-from vacantia.session import shared_folder, ship_package, staging_path
+from vacantia.session import shared_folder, ship_package, staged as at_rest, staging_path
 from vacantia.sources import commits, envelopes, ledger, pages
 from vacantia.sources.tables import align, append_current, publish, read_current, replace_in_partitions, write_partitioned
 from vacantia.streaming import landing
@@ -513,6 +513,7 @@ def _landed_folder(spark, sf_dir):
     files = rows.groupBy(chunk.alias("keyword"), "source").agg(F.array_join(F.collect_list(text), ",").alias("offres")).select(
         F.col("source").alias("dossier"),
         F.concat(F.lit('{"source": "'), "source", F.lit('", "keyword": "'), "keyword", F.lit('", "nb_offres": "many", "offres": ['), "offres", F.lit("]}")).alias("value"))
+    files = at_rest(files, "files")  # the cut and the blank one are made from it too
     cut = files.limit(1).select(F.lit("cut").alias("dossier"), F.expr("left(value, length(value) - 9)").alias("value"))
     blank = files.limit(1).select(F.lit("blank").alias("dossier"), F.lit("").alias("value"))
     path = staging_path(spark, "landed")

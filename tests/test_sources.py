@@ -3,7 +3,7 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameReader, functions as F
 
 from helpers import plan_of
 from vacantia.schema import LABOUR_RECORD, POSTING_COLUMNS
@@ -228,3 +228,36 @@ def test_an_empty_table_keeps_its_columns(spark, tmp_path):
     assert tables.read_current(spark, path).schema.simpleString() == "struct<a:int,mois:string>"
     tables.append_current(spark.createDataFrame([(1, "x")], "a INT, mois STRING"), path)
     assert [tuple(r) for r in tables.read_current(spark, path).collect()] == [(1, "x")]
+
+
+def test_files_are_listed_without_a_call_for_each(spark, tmp_path, monkeypatch):
+    for i in range(60):
+        (tmp_path / f"é {i}.json").write_text('{"source": "s", "offres": [{"id": 1}]}' if i % 3 else "")
+    calls, gateway = [], spark.sparkContext._gateway._gateway_client
+    send = gateway.send_command
+    monkeypatch.setattr(gateway, "send_command", lambda *a, **k: calls.append(1) or send(*a, **k))
+    files = envelopes.landing_report(spark, str(tmp_path)).groupBy("lisible").agg(F.count("*"), F.sum("octets"))
+    few = len(calls)
+    assert sorted(map(tuple, files.collect())) == [(False, 20, 0), (True, 40, 40 * 38)]
+    for i in range(60, 1060):
+        (tmp_path / f"é {i}.json").write_text("")
+    calls.clear()
+    envelopes.landing_report(spark, str(tmp_path)).groupBy("lisible").agg(F.count("*"), F.sum("octets"))
+    assert len(calls) < few + 1000
+
+
+def test_documents_in_one_file_and_a_mark_of_byte_order(spark, tmp_path):
+    one = '{"source": "é", "nb_offres": "many", "offres": [{"id": 1.00, "x": {"a": "ü"}}, "no"]}'
+    (tmp_path / "list.json").write_text(f" [{one}, {one}]", encoding="utf-8")
+    for name in ("utf-8-sig", "utf-8"):
+        (tmp_path / f"{name}.json").write_text(one, encoding=name)
+    got = envelopes.read_envelopes(spark, str(tmp_path)).select("source", "offres").collect()
+    assert len(got) == 4 and {(r.source, *r.offres) for r in got} == {("é", '{"id": 1.00, "x": {"a": "ü"}}', "no")}
+
+
+def test_records_cost_no_seek_in_their_file(spark, tmp_path, monkeypatch):
+    options, plain = {}, DataFrameReader.option
+    monkeypatch.setattr(DataFrameReader, "option", lambda self, k, v: options.update({k: v}) or plain(self, k, v))
+    (tmp_path / "a.json").write_text('{\n"source": "s",\r\n"offres": [{"id":\n 1.50}]}')
+    assert [tuple(r.offres) for r in envelopes.read_envelopes(spark, str(tmp_path)).collect()] == [('{"id":\n 1.50}',)]
+    assert "multiLine" not in options

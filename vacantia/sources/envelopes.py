@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from vacantia.schema import ENVELOPE
 
 CORRUPT = "_corrupt"
+NO_LINE = "\0" * 8
 RECORDS_PER_ENVELOPE = 50_000
 BYTES_PER_ENVELOPE = 64 << 20
 
@@ -18,11 +19,12 @@ def read_envelopes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
     The schema is given, so no pass over the data is needed to infer it, and an absent field is NULL. Records stay text
     here, so a record that does not fit its schema costs neither its document nor its neighbours. A file without a
-    readable list of records gives a row whose ``offres`` is NULL, or no row.
+    readable list of records gives a row whose ``offres`` is NULL, or no row. A file is read as one line, by a separator that no JSON
+    text can hold in any of its encodings: in ``multiLine`` mode the text of each record costs a seek in the file.
     """
     return (
         spark.read.schema(T.StructType([*ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        .option("lineSep", NO_LINE).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         .json(path if isinstance(path, str) else list(path)).withColumn("fichier", F.col("_metadata.file_path")).drop(CORRUPT)
     )
 
@@ -41,25 +43,25 @@ def records(envelopes: DataFrame, record: T.StructType, keep: Sequence[str] = ()
     return parsed.select(*[F.col("_o")[f].alias(f) for f in record.names if f not in ("source", *keep)], "source", *keep)
 
 
-def empty_files(spark: SparkSession, path: str) -> list[str]:
-    """Files without a byte under a path or glob."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs, found = at.getFileSystem(spark._jsc.hadoopConfiguration()), []
-    for status in fs.globStatus(at) or []:
-        inside = fs.listFiles(status.getPath(), True)
-        while inside.hasNext():
-            file = inside.next()
-            if file.getLen() == 0 and not file.getPath().getName().startswith(("_", ".")):
-                found.append(file.getPath().toUri().toString().replace("file:/", "file:///", 1))
-    return found
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(fichier) of every file under a path or glob, as the scan lists them; files without a byte too, which it leaves out.
+
+    The list goes from the scan's own listing to a table inside the JVM: no file costs a call of its own.
+    """
+    found = spark.read.format("binaryFile").load(path)._jdf.inputFiles()
+    jvm, n = spark._jvm, len(found)
+    held = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, n)
+    jvm.java.lang.System.arraycopy(found, 0, held, 0, n)
+    names = DataFrame(spark._jsparkSession.createDataset(jvm.java.util.Arrays.asList(held), jvm.org.apache.spark.sql.Encoders.STRING()).toDF(), spark)
+    return names.select(F.regexp_replace("value", "^file:///", "file:/").alias("fichier"))  # as scans name them
 
 
 def landing_report(spark: SparkSession, path: str) -> DataFrame:
     """Every file: its size, whether a list of records could be read, and how many records were read and rejected."""
     files = spark.read.format("binaryFile").load(path).select(
         F.col("_metadata.file_path").alias("fichier"), F.col("_metadata.file_size").alias("octets"))
-    empty = spark.createDataFrame([(f, 0) for f in empty_files(spark, path)], "fichier string, octets bigint")
-    files = files.unionByName(empty)  # scans leave them out
+    empty = listed_files(spark, path).join(files.select("fichier"), "fichier", "left_anti")  # scans leave them out
+    files = files.unionByName(empty.withColumn("octets", F.lit(0).cast("bigint")))
     good = F.size(F.filter("offres", _is_object))
     seen = read_envelopes(spark, path).filter("offres IS NOT NULL").groupBy("fichier").agg(
         F.sum(good).alias("nb_lues"), F.sum(F.size("offres") - good).alias("nb_rejetees"))
