@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import postings
+from helpers import plan_of, postings
 from vacantia.plans import salary_model as sm
 
 
@@ -98,3 +98,8 @@ def test_texts_are_cut_once_for_all_splits(table, monkeypatch):
     monkeypatch.setattr(sm.RegexTokenizer, "transform", lambda self, *a: cut.append(1) or plain(self, *a))
     model = sm.train(table, SMALL)
     assert len(cut) == 1 and [type(s).__name__ for s in model.pipeline.stages].count("RegexTokenizer") == 1
+
+
+def test_weights_come_from_counts_and_not_from_texts_again(table):
+    out = sm.term_weights(sm.engineer_features(table), 20)
+    assert "texte" not in plan_of(out) and out.count() > 0

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vacantia.functions.labels import JUNIOR_WORDS, SENIOR_WORDS, TECH_WORDS, category, keyword_flag
 from vacantia.functions.salary import TARGET_RANGE, confidence, floor_prediction, monthly_target
 from vacantia.functions.text import fold_accents, search_text
-from vacantia.session import use_checkpoints
+from vacantia.session import staged, use_checkpoints
 from vacantia.sources.tables import try_read
 
 CATEGORIES = ("pays", "type_contrat", "source", "secteur", "taille_entreprise")
@@ -190,10 +190,15 @@ def feature_stages(terms: int, listed: Sequence[str], hashed: Sequence[str]) ->
 
 def term_weights(features: DataFrame, terms: int = ModelSettings.terms, key: str = "offre_id") -> DataFrame:
     """(key, term, weight): the text part of the feature vector, its non-zero entries."""
-    model = Pipeline(stages=[*_term_stages(), *_weight_stages(terms)]).fit(features)
-    names, = [s.vocabulary for s in model.stages if isinstance(s, CountVectorizerModel)]
+    top, *weigh = _weight_stages(terms)
+    words = PipelineModel(_term_stages()).transform(features.select(key, "texte"))
+    counts = top.fit(words)
+    names = counts.vocabulary
+    # Texts are cut into words for the vocabulary and for the counts; weights are learned and computed from the counts.
+    counted = staged(counts.transform(words).select(key, "_counts"), "counts")
+    model = Pipeline(stages=weigh).fit(counted)
     weights = F.transform(vector_to_array("_text"), lambda w, i: F.struct(F.get(F.lit(names), i).alias("term"), w.alias("weight")))
-    rows = model.transform(features).select(key, F.explode(F.filter(weights, lambda w: w["weight"] > 0)).alias("w"))
+    rows = model.transform(counted).select(key, F.explode(F.filter(weights, lambda w: w["weight"] > 0)).alias("w"))
     return rows.select(key, "w.term", "w.weight")
 
 
