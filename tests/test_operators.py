@@ -2,6 +2,7 @@ import random
 import statistics
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,27 @@ def test_top_k_text_ids_and_empty_sides(spark):
     assert topk.top_k_similar(q, items.limit(0), 5, "id", "id", broadcast_bytes=0).count() == 0
 
 
+def test_top_k_multiplies_few_pairs_twice(monkeypatch):
+    """Scores closer than single precision tells apart, copies, a zero vector; several slices of items."""
+    monkeypatch.setattr(topk, "ITEMS_AT_ONCE", 300)
+    rng = np.random.default_rng(8)
+    items = rng.normal(size=(2_000, 32))
+    items[100:140] = items[0] + 3e-4 * rng.normal(size=(40, 32))
+    items[200:500] = items[1]
+    items[7] = 0
+    items /= np.where((norms := np.linalg.norm(items, axis=1, keepdims=True)) == 0, 1, norms)
+    q = np.concatenate([items[:60], np.zeros((1, 32))])
+    kept = topk.Kept(pa.array([f"q{i}" for i in range(len(q))]), q, 9)
+    exact, whole = [], []
+    monkeypatch.setattr(kept, "_keep", lambda rows, *rest, keep=kept._keep: (exact.append(len(rows)), keep(rows, *rest)))
+    monkeypatch.setattr(kept, "_whole", lambda rows, *rest, keep=kept._whole: (whole.append(len(rows)), keep(rows, *rest)))
+    kept.offer(pa.array(np.arange(len(items))), items)
+    scores = np.round(q @ items.T, 9)
+    wanted = {(f"q{i}", j, scores[i, j]) for i in range(len(q)) for j in sorted(range(len(items)), key=lambda j: (-scores[i, j], j))[:9]}
+    assert {tuple(r.values()) for r in kept.result().to_pylist()} == wanted
+    assert sum(exact) < 0.1 * q.shape[0] * len(items) and sum(whole) <= 2 * 9 * 7  # the zero vector and the copied one
+
+
 def test_top_k_rejects_mixed_lengths(spark):
     items = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "id LONG, vector ARRAY<DOUBLE>").coalesce(1)
     with pytest.raises(Exception, match="different length"):

@@ -244,6 +244,17 @@ def test_recommendation_end_to_end(spark):
     assert first.ville == "Non renseigné" and first.salaire_min == 0 and 0 < first.score_pct <= 100
 
 
+def test_recommendations_compare_pairs_once(spark):
+    postings = spark.createDataFrame([(str(i), f"t{i}", "d", "", "", "FR", "", "", "", 0, 0, "", "s", "u", [1.0, float(i)]) for i in range(9)],
+                                     "offre_id string, titre string, description string, type_contrat string, ville string, pays string, entreprise string, "
+                                     "secteur string, experience string, salaire_min int, salaire_max int, rome_libelle string, source string, url_offre string, "
+                                     "vector array<float>")
+    people = spark.createDataFrame([(1, "sql", [1.0, 0.0]), (2, "java", [0.0, 1.0])], "candidat_id bigint, competences string, vector array<float>")
+    out = recommend.recommend(people, postings, k=2)
+    assert plan_of(out).count("MapInArrow") <= 1  # the search for skills; the top-k is at rest
+    assert sorted((r.candidat_id, r.offre_id, r.rang) for r in out.collect()) == [(1, "0", 1), (1, "1", 2), (2, "7", 2), (2, "8", 1)]
+
+
 def test_only_new_postings_reach_star_and_bridge(spark, tmp_path):
     """A second load gets the new rows alone, reads no text of known postings, and adds what they bring."""
     lake = pipeline.Lake(str(tmp_path / "lake"))

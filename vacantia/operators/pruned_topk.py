@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vacantia.operators.topk import BROADCAST_BYTES, CHUNK_ROWS, ITEM_BLOCK_ROWS, QUERY_BLOCK_ROWS, SCORE_DIGITS, _best, _best_of, _matrix, _usable
+from vacantia.operators.topk import BROADCAST_BYTES, ITEM_BLOCK_ROWS, QUERY_BLOCK_ROWS, Kept, _best, _column, _matrix, _usable
 from vacantia.session import ship_package, staged
 
 SAMPLE_ROWS = 2_048
@@ -156,12 +156,7 @@ def _met(probes: DataFrame, placed: DataFrame, cells: Cells, k: int, query_block
              f"item_id {placed.schema['item_id'].dataType.simpleString()}, score double"
 
     def score(item_table: pa.Table, query_table: pa.Table) -> pa.Table:
-        if not item_table.num_rows or not query_table.num_rows:
-            return pa.schema([("query_id", query_table["query_id"].type), ("item_id", item_table["item_id"].type),
-                              ("score", pa.float64())]).empty_table()
-        return pa.Table.from_batches(list(_best(
-            query_table["query_id"].to_numpy(), _matrix(query_table["v"]),
-            item_table["item_id"].to_numpy(), _matrix(item_table["v"]), k)))
+        return _best(query_table, item_table, k)
 
     key = ["cell", "qb", "ib"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(score, schema)
@@ -170,7 +165,7 @@ def _met(probes: DataFrame, placed: DataFrame, cells: Cells, k: int, query_block
 
 def _beaten(asked: pa.Table, kind: str, placed: DataFrame, cells: Cells, k: int) -> tuple[DataFrame, int]:
     """What reaches each query's k-th score ``t``, and the pairs multiplied. The queries, of a checked size, go to the tasks."""
-    ids, unit = asked["query_id"].combine_chunks(), _matrix(asked["v"])
+    ids, unit = _column(asked, "query_id"), _matrix(asked["v"])
     kth = asked["t"].combine_chunks().fill_null(-2.0).to_numpy(zero_copy_only=False)
     centres, rings, blank = cells.centres, cells.rings, ~unit.any(axis=1)
     ranges = {int(c): (low, high) for c, low, high in zip(cells.name, cells.low, cells.high)}
@@ -184,35 +179,19 @@ def _beaten(asked: pa.Table, kind: str, placed: DataFrame, cells: Cells, k: int)
         bound = np.cos(np.maximum(np.maximum(at - high, low - at), 0))
         return np.flatnonzero(np.where(blank | (cell == ZERO_CELL), 0.0, bound) + SLACK >= kth)
 
-    def reach(rows: np.ndarray, item_ids: pa.Array, items: np.ndarray) -> Iterator[pa.Table]:
-        step = max(1, CHUNK_ROWS * 1024 // max(1, len(items)))
-        for start in range(0, len(rows), step):
-            part = rows[start:start + step]
-            scores = unit[part] @ items.T
-            row, item = np.nonzero(scores >= kth[part, None] - SLACK)
-            many = np.bincount(row, minlength=len(part)) > k
-            few = ~many[row]
-            yield pa.table({"query_id": ids.take(pa.array(part[row[few]])), "item_id": item_ids.take(pa.array(item[few])),
-                            "score": np.round(scores[row[few], item[few]], SCORE_DIGITS)})
-            if many.any():
-                yield pa.Table.from_batches(list(_best(ids.take(pa.array(part[many])).to_numpy(zero_copy_only=False), unit[part[many]],
-                                                       item_ids.to_numpy(zero_copy_only=False), items, k)))
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        angle, held, rows = None, [], 0
+        angle, kept = None, None
         for batch in batches:
-            angle = angles() if angle is None else angle
-            unit_items, cell = _matrix(batch["v"]) if batch.num_rows else None, batch["cell"].to_numpy()
+            if not batch.num_rows:
+                continue
+            if kept is None:
+                angle, kept = angles(), Kept(ids, unit, k, kth.copy())
+            unit_items, cell = _matrix(batch["v"]), batch["cell"].to_numpy()
             for c in np.unique(cell):
                 at = np.flatnonzero(cell == c)
-                for found in reach(open_to(angle, int(c)), batch["item_id"].take(pa.array(at)), unit_items[at]):
-                    held.append(found)
-                    rows += found.num_rows
-            if rows > 2 * k * len(ids):  # the best k of each query are all that leaves the task
-                held = [_best_of(pa.concat_tables(held), k)]
-                rows = held[0].num_rows
-        if rows:
-            yield from _best_of(pa.concat_tables(held), k).to_batches()
+                kept.offer(batch["item_id"].take(pa.array(at)), unit_items[at], open_to(angle, int(c)))
+        if kept and (best := kept.result()) is not None:  # the best k of each query are all that leaves the task
+            yield from best.to_batches()
 
     angle, size = angles(), dict(zip(cells.name.tolist(), cells.rows.tolist()))
     schema = f"query_id {kind}, item_id {placed.schema['item_id'].dataType.simpleString()}, score double"
