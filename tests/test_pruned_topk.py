@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from helpers import plan_of
+from vacantia.operators import pruned_topk
 from vacantia.operators.pruned_topk import centres_of, pruned_top_k
 from vacantia.operators.topk import top_k_similar
 
@@ -81,3 +82,13 @@ def test_centres_count_copies_once():
     rows = np.repeat(np.eye(3), [500, 1, 1], axis=0)
     assert sorted(centres_of(rows, 3).tolist()) == sorted(np.eye(3).tolist())
     assert len(centres_of(rows, 64)) == 3
+
+
+def test_a_query_is_sent_once_to_a_block_of_cells(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    q, items = rng.normal(size=(40, 8)), rng.normal(size=(600, 8))
+    sent, met = [], pruned_topk._met
+    monkeypatch.setattr(pruned_topk, "_met", lambda probes, *rest: (sent.append(probes.count()), met(probes, *rest))[1])
+    out = pruned_top_k(frame(spark, q), frame(spark, items), 7, "id", "id", broadcast_bytes=0, item_block_rows=200)
+    assert found(out) == brute_force(q, items, 7)
+    assert len(sent) == 2 and sent[1] <= len(q) * 6  # not once for each of some hundred cells

@@ -3,7 +3,8 @@
 Items are placed by their nearest centre and their angle to it; a cell is one centre and one ring of angles around it. The
 angle between two vectors is a metric, so an item of a cell is at least as far from a query as the query's own angle to
 the centre lies outside the cell's range of angles. Each query first meets the cells nearest to it. Its k-th score there
-says which others can still hold something better; only these it meets in the second round.
+says which others can still hold something better; only these it meets in the second round, where neighbouring cells share a
+block, so that a query is sent once to each block and not to each cell.
 
 Centres come from a sample of bounded size and decide the work alone, never the result: rows are those of
 ``topk.top_k_similar``. Vectors without clusters are all near to each other's bounds, and nearly all pairs are multiplied.
@@ -11,14 +12,14 @@ Centres come from a sample of bounded size and decide the work alone, never the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vacantia.operators.topk import BROADCAST_BYTES, ITEM_BLOCK_ROWS, QUERY_BLOCK_ROWS, Kept, _best, _column, _matrix, _usable
+from vacantia.operators.topk import BLOCK_NUMBERS, BROADCAST_BYTES, ITEM_BLOCK_ROWS, QUERY_BLOCK_ROWS, Kept, _best, _column, _matrix, _nothing, _usable
 from vacantia.session import ship_package, staged
 
 SAMPLE_ROWS = 2_048
@@ -26,13 +27,15 @@ HASHES = 1 << 31
 ROUNDS_OF_MEANS = 8
 FIRST_CELLS = 2
 ROWS_AT_ONCE = 512
+QUERIES_AT_ONCE = 2_048
 SLACK = 1e-6  # over the error of an angle near zero
 ZERO_CELL = -1
 
 
 @dataclass(frozen=True)
 class Pruned:
-    """The rows found, and how many of all pairs were multiplied for them."""
+    """The rows found, and how many of all pairs the bounds let through for them, in both rounds. In the second, queries of one
+    nearest centre go through together, and a pair is multiplied if any of them needs it."""
     rows: DataFrame
     pairs: int
     multiplied: int
@@ -114,35 +117,58 @@ def _placed(items: DataFrame, centres: np.ndarray, rings: int) -> DataFrame:
     return items.mapInArrow(place, f"item_id {kinds['item_id']}, v {kinds['v']}, cell int, angle double")
 
 
-def _probes(queries: DataFrame, cells: Cells, k: int, later: bool) -> DataFrame:
-    """A row for each query and cell that meet: the first cells, or later those that its k-th score ``t`` leaves."""
+def _probes(queries: DataFrame, cells: Cells, k: int) -> DataFrame:
+    """A row for each query and cell that meet in the first round, with the rows of the cell."""
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
-                bound, off = cells.near(_matrix(part["v"]))
-                flags = cells.first(bound, off, k)
-                if later:
-                    kth = part["t"].fill_null(-2.0).to_numpy(zero_copy_only=False)
-                    flags = ~flags & (bound + SLACK >= kth[:, None])
-                row, cell = np.nonzero(flags)
+                row, cell = np.nonzero(cells.first(*cells.near(_matrix(part["v"])), k))
                 taken = part.select(["query_id", "v"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells.name[cell].astype(np.int32))],
-                                                 names=["query_id", "v", "cell"])
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells.name[cell].astype(np.int32)), pa.array(cells.rows[cell])],
+                                                 names=["query_id", "v", "lane", "pairs"])
 
     kinds = {c: queries.schema[c].dataType.simpleString() for c in ("query_id", "v")}
-    return queries.mapInArrow(probe, f"query_id {kinds['query_id']}, v {kinds['v']}, cell int")
+    return queries.mapInArrow(probe, f"query_id {kinds['query_id']}, v {kinds['v']}, lane int, pairs bigint")
 
 
-def _met(probes: DataFrame, placed: DataFrame, cells: Cells, k: int, query_block_rows: int,
-         item_block_rows: int) -> tuple[DataFrame | None, int]:
-    """The best k of each probe, and the pairs multiplied. Cells are cut so that each pair of blocks is one bounded group."""
-    arrivals = {r.cell: r["count"] for r in probes.groupBy("cell").count().collect()}  # at most one row for each cell
-    rows = dict(zip(cells.name.tolist(), cells.rows.tolist()))
+def _lanes(cells: Cells, most: int) -> np.ndarray:
+    """The first cells of lanes: runs of cells that hold at most so many rows together, or one cell that holds more."""
+    starts, held = [], most
+    for at, n in enumerate(cells.rows.tolist()):
+        if held + n > most:
+            starts.append(at)
+            held = 0
+        held += n
+    return np.array(starts)
+
+
+def _later_probes(queries: DataFrame, cells: Cells, starts: np.ndarray) -> DataFrame:
+    """A row for each query and lane with a cell that its k-th score ``t`` leaves, and the rows of all such cells of the lane."""
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                left = _Left(cells, _matrix(part["v"]), _kth(part["t"]))
+                pairs = np.add.reduceat(left.open(slice(None), np.arange(len(cells.name))) * cells.rows, starts, axis=1)
+                row, lane = np.nonzero(pairs)
+                taken = part.select(["query_id", "v", "t"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(lane.astype(np.int32)), pa.array(pairs[row, lane])],
+                                                 names=["query_id", "v", "t", "lane", "pairs"])
+
+    kinds = {c: queries.schema[c].dataType.simpleString() for c in ("query_id", "v")}
+    return queries.mapInArrow(probe, f"query_id {kinds['query_id']}, v {kinds['v']}, t double, lane int, pairs bigint")
+
+
+def _met(probes: DataFrame, placed: DataFrame, sizes: dict[int, int], search: Callable[[pa.Table, pa.Table], pa.Table],
+         query_block_rows: int, item_block_rows: int) -> tuple[DataFrame | None, int]:
+    """What a search of queries and items finds in each lane, and the pairs let through. Lanes of so many items are cut so that
+    each pair of blocks is one bounded group."""
+    arrivals = probes.groupBy("lane").agg(F.count("*").alias("n"), F.sum("pairs").alias("pairs")).collect()  # at most one row for each cell
     if not arrivals:
         return None, 0
     blocks = F.broadcast(placed.sparkSession.createDataFrame(
-        [(c, -(-n // query_block_rows), -(-rows[c] // item_block_rows)) for c, n in arrivals.items()], "cell int, nq int, ni int"))
+        [(r.lane, -(-r.n // query_block_rows), -(-sizes[r.lane] // item_block_rows)) for r in arrivals], "lane int, nq int, ni int"))
 
     def number(name: str, n: str) -> Column:
         return F.pmod(F.xxhash64(name), F.col(n)).cast("int")
@@ -150,52 +176,104 @@ def _met(probes: DataFrame, placed: DataFrame, cells: Cells, k: int, query_block
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = placed.join(blocks, "cell").select("item_id", "v", "cell", number("item_id", "ni").alias("ib"), every("nq").alias("qb"))
-    right = probes.join(blocks, "cell").select("query_id", "v", "cell", number("query_id", "nq").alias("qb"), every("ni").alias("ib"))
+    left = placed.join(blocks, "lane").select("item_id", "v", "cell", "lane", number("item_id", "ni").alias("ib"), every("nq").alias("qb"))
+    right = probes.drop("pairs").join(blocks, "lane").withColumn("qb", number("query_id", "nq")).withColumn("ib", every("ni")).drop("nq", "ni")
     schema = f"query_id {probes.schema['query_id'].dataType.simpleString()}, " \
              f"item_id {placed.schema['item_id'].dataType.simpleString()}, score double"
 
     def score(item_table: pa.Table, query_table: pa.Table) -> pa.Table:
-        return _best(query_table, item_table, k)
+        return search(query_table, item_table)
 
-    key = ["cell", "qb", "ib"]
+    key = ["lane", "qb", "ib"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(score, schema)
-    return found, sum(n * rows[c] for c, n in arrivals.items())
+    return found, sum(r.pairs for r in arrivals)
 
 
-def _beaten(asked: pa.Table, kind: str, placed: DataFrame, cells: Cells, k: int) -> tuple[DataFrame, int]:
-    """What reaches each query's k-th score ``t``, and the pairs multiplied. The queries, of a checked size, go to the tasks."""
-    ids, unit = _column(asked, "query_id"), _matrix(asked["v"])
-    kth = asked["t"].combine_chunks().fill_null(-2.0).to_numpy(zero_copy_only=False)
-    centres, rings, blank = cells.centres, cells.rings, ~unit.any(axis=1)
-    ranges = {int(c): (low, high) for c, low, high in zip(cells.name, cells.low, cells.high)}
+def _kth(column: pa.Array) -> np.ndarray:
+    return column.fill_null(-2.0).to_numpy(zero_copy_only=False)
+
 
-    def angles() -> np.ndarray:
-        return np.arccos(np.clip(unit @ centres.T, -1, 1))
+class _Left:
+    """The cells that the k-th scores of some queries leave."""
 
-    def open_to(angle: np.ndarray, cell: int) -> np.ndarray:
-        low, high = ranges[cell]
-        at = angle[:, max(cell, 0) // rings]
-        bound = np.cos(np.maximum(np.maximum(at - high, low - at), 0))
-        return np.flatnonzero(np.where(blank | (cell == ZERO_CELL), 0.0, bound) + SLACK >= kth)
+    def __init__(self, cells: Cells, unit: np.ndarray, kth: np.ndarray) -> None:
+        self.cells = cells
+        self.angle = np.arccos(np.clip(unit @ cells.centres.T, -1, 1))
+        reach = np.where(kth <= SLACK - 1, np.pi, np.arccos(np.clip(kth - SLACK, -1, 1)))
+        self.open_to_zero = kth <= SLACK
+        self.reach = np.where(unit.any(axis=1), reach, np.where(self.open_to_zero, 2 * np.pi, -2 * np.pi))  # a zero vector has score 0 with all
 
+    def open(self, rows: slice | np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Flags for queries and the cells at some places."""
+        name = self.cells.name[at]
+        angle, reach = self.angle[rows][:, np.maximum(name, 0) // self.cells.rings], self.reach[rows][:, None]
+        flags = (angle <= self.cells.high[at] + reach) & (angle >= self.cells.low[at] - reach)
+        flags[:, name == ZERO_CELL] = self.open_to_zero[rows][:, None]
+        return flags
+
+
+class _Later:
+    """The second round of some queries: their k best of the items offered, except some that don't reach the k-th score ``t``."""
+
+    def __init__(self, asked: pa.Table, cells: Cells, k: int) -> None:
+        ids, unit, kth = _column(asked, "query_id"), _matrix(asked["v"]), _kth(_column(asked, "t"))
+        self.left, self.cells = _Left(cells, unit, kth), cells
+        self.kept = Kept(ids, unit, k, kth.copy())
+        near = self.left.angle.argmin(axis=1)
+        order = np.argsort(near, kind="stable")
+        ends = np.flatnonzero(np.diff(near[order])) + 1
+        self.parts = [part[i:i + QUERIES_AT_ONCE] for part in np.split(order, ends) for i in range(0, len(part), QUERIES_AT_ONCE)]
+
+    def offer(self, item_ids: pa.Array, items: np.ndarray, cell: np.ndarray) -> None:
+        names, of = np.unique(cell, return_inverse=True)
+        at = np.searchsorted(self.cells.name, names)
+        for part in self.parts:
+            flags = self.left.open(part, at)
+            rows, wanted = part[flags.any(axis=1)], flags.any(axis=0)
+            if wanted.all():
+                self.kept.offer(item_ids, items, rows)
+            elif wanted.any():
+                some = np.flatnonzero(wanted[of])
+                self.kept.offer(item_ids.take(pa.array(some)), items[some], rows)
+
+    def pairs(self) -> int:
+        """The pairs that the bounds let through."""
+        every = np.arange(len(self.cells.name))
+        return sum(int(self.left.open(part, every).sum(axis=0) @ self.cells.rows) for part in self.parts)
+
+
+def _beaten(asked: pa.Table, kind: str, placed: DataFrame, cells: Cells, k: int) -> tuple[DataFrame, int]:
+    """What reaches each query's k-th score ``t``, and the pairs let through. The queries, of a checked size, go to the tasks."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        angle, kept = None, None
+        later = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if kept is None:
-                angle, kept = angles(), Kept(ids, unit, k, kth.copy())
-            unit_items, cell = _matrix(batch["v"]), batch["cell"].to_numpy()
-            for c in np.unique(cell):
-                at = np.flatnonzero(cell == c)
-                kept.offer(batch["item_id"].take(pa.array(at)), unit_items[at], open_to(angle, int(c)))
-        if kept and (best := kept.result()) is not None:  # the best k of each query are all that leaves the task
+            if batch.num_rows:
+                later = later or _Later(asked, cells, k)
+                later.offer(batch["item_id"], _matrix(batch["v"]), batch["cell"].to_numpy())
+        if later and (best := later.kept.result()) is not None:  # the best k of each query are all that leaves the task
             yield from best.to_batches()
 
-    angle, size = angles(), dict(zip(cells.name.tolist(), cells.rows.tolist()))
     schema = f"query_id {kind}, item_id {placed.schema['item_id'].dataType.simpleString()}, score double"
-    return placed.select("item_id", "v", "cell").mapInArrow(score, schema), sum(len(open_to(angle, c)) * n for c, n in size.items())
+    return placed.select("item_id", "v", "cell").mapInArrow(score, schema), _Later(asked, cells, k).pairs()
+
+
+def _beaten_in_blocks(asked: DataFrame, placed: DataFrame, cells: Cells, k: int, query_block_rows: int,
+                      item_block_rows: int) -> tuple[DataFrame | None, int]:
+    """As _beaten, for queries of any size: each goes once to every block that holds a cell it has to meet."""
+    starts = _lanes(cells, item_block_rows)
+    lane = F.broadcast(placed.sparkSession.createDataFrame(
+        [(int(name), int(np.searchsorted(starts, at, "right")) - 1) for at, name in enumerate(cells.name)], "cell int, lane int"))
+
+    def search(query_table: pa.Table, item_table: pa.Table) -> pa.Table:
+        best = None
+        if query_table.num_rows and item_table.num_rows:
+            later = _Later(query_table, cells, k)
+            later.offer(_column(item_table, "item_id"), _matrix(item_table["v"]), _column(item_table, "cell").to_numpy())
+            best = later.kept.result()
+        return _nothing(query_table, item_table) if best is None else best
+
+    sizes = dict(enumerate(np.add.reduceat(cells.rows, starts).tolist()))
+    return _met(_later_probes(asked, cells, starts), placed.join(lane, "cell"), sizes, search, query_block_rows, item_block_rows)
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -206,12 +284,13 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 def pruned_top_k(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, query_vector: str = "vector",
                  item_vector: str = "vector", centres: int = 64, rings: int = 32, broadcast_bytes: int = BROADCAST_BYTES, query_block_rows: int = QUERY_BLOCK_ROWS,
                  item_block_rows: int = ITEM_BLOCK_ROWS) -> Pruned:
-    """The k items nearest to each query: ``query_id, item_id, score, rang``, ties by item id; and the pairs multiplied.
+    """The k items nearest to each query: ``query_id, item_id, score, rang``, ties by item id; and the pairs let through.
 
     All vectors have the same length and ids are unique on each side. Vectors that are null, or hold a null or a number that is
     not finite, take no part. A zero vector has score 0 with everything. The items are placed and written once to the shared
     folder, as are the first round's results. In the second round queries go to the tasks up to ``broadcast_bytes``, and the items
-    stay where they are; beyond it both are shuffled by cell, a query once for each cell it has to meet.
+    stay where they are; beyond it both are shuffled in blocks of neighbouring cells, a query once for each block with a cell that it
+    has to meet.
     """
     ship_package(queries.sparkSession)
     asked = _finite(_usable(queries, query_id, query_vector, "query_id"))
@@ -232,15 +311,18 @@ def pruned_top_k(queries: DataFrame, items: DataFrame, k: int, query_id: str, it
     stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
     found = sorted(stats.collect())  # at most centres x rings + 1 rows
     cells = Cells(middles, rings, *(np.array([r[c] for r in found]) for c in ("cell", "n", "low", "high")))
-    options = (placed, cells, k, query_block_rows, item_block_rows)
+    blocks = [max(1, min(rows, BLOCK_NUMBERS // max(1, sizes[0].most))) for rows in (query_block_rows, item_block_rows)]
+
+    def search(query_table: pa.Table, item_table: pa.Table) -> pa.Table:
+        return _best(query_table, item_table, k)
 
-    near, first = _met(_probes(asked, cells, k, later=False), *options)
+    names = dict(zip(cells.name.tolist(), cells.rows.tolist()))
+    near, first = _met(_probes(asked, cells, k), placed.withColumn("lane", F.col("cell")), names, search, *blocks)
     best = staged(_ranked(near, k).drop("rang"), "first")
     kth = best.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("t")).where(F.col("n") == k).drop("n")
     left = staged(asked.join(kth, "query_id", "left"), "asked")
     if n_queries * (sizes[0].most * 8 + 64 + 8 * len(middles)) + (sizes[0].text or 0) <= broadcast_bytes:
         every, second = _beaten(left.toArrow(), asked.schema["query_id"].dataType.simpleString(), placed, cells, k)
     else:
-        rest, second = _met(_probes(left, cells, k, later=True), *options)
-        every = best if rest is None else best.unionByName(rest)
+        every, second = _beaten_in_blocks(left, placed, cells, k, *blocks)
     return Pruned(_ranked(every, k), n_queries * n_items, first + second)
