@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import plan_of
 from vacantia.plans import maintained, marts, pipeline
 from vacantia.sources import commits
 from vacantia.sources.tables import append_current, publish, read_current, replace_in_partitions
@@ -140,3 +141,22 @@ def test_a_refresh_that_stops_or_meets_another(spark, tmp_path, dims, monkeypatc
     monkeypatch.undo()
     assert calls
     check(spark, fact, root, dims)
+
+
+def test_an_append_leaves_a_file_for_each_partition(spark, tmp_path):
+    fact = str(tmp_path / "fact")
+    rows = pipeline.with_month(spark.createDataFrame([row(i, (1 + i % 6, 5)) for i in range(300)], SCHEMA).repartition(7))
+    append_current(rows, fact, [pipeline.MONTH])
+    append_current(rows, fact, [pipeline.MONTH])
+    stored = read_current(spark, fact)
+    assert stored.count() == 600 and len(stored.inputFiles()) == 12  # not one for each task, month and append
+    assert stored.exceptAll(rows.unionByName(rows).select(stored.columns)).count() == 0
+
+
+def test_companies_are_shuffled_to_their_names_once(spark, tmp_path, dims):
+    fact, root = str(tmp_path / "fact"), str(tmp_path / "states")
+    add(spark, fact, BATCHES[0] + BATCHES[2])
+    maintained.refresh(spark, fact, root)
+    plan = plan_of(maintained.kpi_company(spark, root, dims[0]))
+    assert plan.count("Join") == 1  # with the names; the two states are put under each other
+    check(spark, fact, root, dims)

@@ -190,10 +190,11 @@ def kpi_source(spark: SparkSession, root: str) -> DataFrame:
 
 def kpi_company(spark: SparkSession, root: str, companies: DataFrame) -> DataFrame:
     """Volume, occupations, salaries and days on the market per company, as ``marts.kpi_company`` gives them."""
-    seen = read_state(spark, root, "jours_entreprises").groupBy(F.col("entreprise_id").alias("_id")).agg(
+    seen = read_state(spark, root, "jours_entreprises").groupBy("entreprise_id").agg(
         F.min("date_creation").alias("first"), F.max("date_creation").alias("last"))
-    offers = read_state(spark, root, "entreprises_metiers").join(seen, F.col("entreprise_id").eqNullSafe(F.col("_id")))
-    named = offers.join(companies.select("entreprise_id", "nom", "secteur", "taille"), "entreprise_id", "left")
+    # Both states hold the same companies, so their rows need not meet before they are grouped.
+    rows = read_state(spark, root, "entreprises_metiers").unionByName(seen, allowMissingColumns=True)
+    named = rows.join(companies.select("entreprise_id", "nom", "secteur", "taille"), "entreprise_id", "left")
     return named.groupBy("nom", "secteur", "taille").agg(
         F.sum("n").alias("nb_offres"), F.count_distinct("rome_libelle").alias("nb_metiers_differents"), *_means(),
         F.max("last").alias("derniere_offre"), whole_days_between(F.min("first"), F.max("last")).alias("duree_presence_jours"),
