@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import plan_of
 from vacantia.plans import maintained, marts, pipeline
-from vacantia.sources import commits
+from vacantia.sources import commits, tables
 from vacantia.sources.tables import append_current, publish, read_current, replace_in_partitions
 
 SCHEMA = ("offre_id string, date_id bigint, entreprise_id bigint, lieu_id bigint, source string, rome_libelle string, description string, "
@@ -160,3 +161,32 @@ def test_companies_are_shuffled_to_their_names_once(spark, tmp_path, dims):
     plan = plan_of(maintained.kpi_company(spark, root, dims[0]))
     assert plan.count("Join") == 1  # with the names; the two states are put under each other
     check(spark, fact, root, dims)
+
+
+def test_a_refresh_after_a_replacement_reads_the_rows_replaced(spark, tmp_path, dims, monkeypatch):
+    fact, root = str(tmp_path / "fact"), str(tmp_path / "states")
+    add(spark, fact, [row(i, (1 + i % 3, 5), low=i) for i in range(60)])
+    maintained.refresh(spark, fact, root)
+    first = commits.read_version(spark, fact)
+
+    def put(*rows):
+        replace_in_partitions(pipeline._staged(pipeline.with_month(spark.createDataFrame(rows, SCHEMA)), "b"), fact, "offre_id", pipeline.MONTH)
+
+    put(row(3, (1, 5), low=100), row(4, (3, 9), low=200), row(70, None, low=300))  # 4 was in another month
+    second = commits.read_version(spark, fact)
+    read = maintained.changes(spark, fact, first, second)
+    assert sorted((int(r.offre_id), r.salaire_min, r._sign) for r in read.collect()) == [
+        (3, 3, -1), (3, 100, 1), (4, 4, -1), (4, 200, 1), (70, 300, 1)]  # and not the 60 rows of the months, twice
+    assert not any("-kept/" in f for f in read.inputFiles())
+    add(spark, fact, BATCHES[0])
+    monkeypatch.setattr(tables, "HASHED_KEYS", 0)
+    put(row(3, (2, 5), low=101), row(6, (1, 5), company=2))
+    assert read_current(spark, fact).filter("offre_id = '3'").count() == 1
+    maintained.refresh(spark, fact, root)
+    check(spark, fact, root, dims)
+    put(row(6, (1, 6), company=3))
+    maintained.refresh(spark, fact, root)
+    check(spark, fact, root, dims)
+    commits.forget(spark, fact, 1)  # what the last version left out is still named by it
+    assert commits.read_table(spark, fact, replace(second, folders=commits.read_version(spark, fact).gone)).count() == 1
+    check(spark, fact, root, dims)

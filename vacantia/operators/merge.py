@@ -35,6 +35,20 @@ def delete_insert(target: DataFrame, batch: DataFrame, key: str = "offre_id") ->
     return kept.unionByName(batch)
 
 
+def delete_insert_kinds(target: DataFrame, batch: DataFrame, key: str, kind: str, names: tuple[str, str, str], hashed: bool = False) -> DataFrame:
+    """The rows of target and batch, with a column ``kind`` that says by one of three ``names`` whether a row stays, is new, or goes.
+    Those that stay and the new ones are what ``delete_insert`` gives.
+
+    ``hashed`` is for batches of many keys: the keys are distinct, so no task gets many more than others, and a hash of a task's
+    keys spares the order of the target's whole rows. Else Spark decides by the size it sees.
+    """
+    stays, new, goes = (F.lit(n) for n in names)
+    keys = known_keys(batch, key).withColumn("_hit", F.lit(True))
+    met = target.join(keys.hint("shuffle_hash") if hashed else keys, key, "left")
+    old = met.select(*target.columns, F.when(F.col("_hit"), goes).otherwise(stays).alias(kind))
+    return old.unionByName(batch.withColumn(kind, new))
+
+
 def sync_schema(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Target and batch under the columns of the batch: new columns are NULL in old rows, vanished ones go."""
     return target.unionByName(batch, allowMissingColumns=True).select(*batch.columns)

@@ -6,18 +6,20 @@ taken back. Views are computed from the states, which have a row for each group
 
 A refresh compares two versions of the fact, the one that a state holds and the latest, by their lists of folders. It reads the
 folders that have come, adds their rows, and those that have gone, and takes their rows away: new postings cost a scan of
-these postings, a rewritten month one of that month before and after, and the rest of the fact is not opened. The result
-is appended to the state in the same step that notes the version, so a refresh that stops has done nothing, a repeated one does
-nothing more, and of two at once one starts again. A state whose version of the fact is no longer there is built from all rows.
+these postings, and the rest of the fact is not opened. Of a month rewritten to replace some rows only these rows are read, as
+they were and as they are, for the fact's version says where they lie. The result is appended to the state in the same step that
+notes the version, so a refresh that stops has done nothing, a repeated one does nothing more, and of two at once one starts
+again. A state whose version of the fact is no longer there is built from all rows.
 """
 
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vacantia.functions.dates import day_label, week_start, whole_days_between
 from vacantia.functions.labels import or_label
@@ -56,8 +58,11 @@ def partial(rows: DataFrame, state: State, sign: str) -> DataFrame:
     signed = F.col(sign).cast("bigint")
 
     def total(a: str) -> Column:
-        x = F.col(a).cast(EXACT)
-        return F.coalesce(F.sum(F.when(signed > 0, x).otherwise(-x)), F.lit(0)).cast("decimal(38,4)")
+        if rows.schema[a].dataType == T.IntegerType():  # exact in 64 bits, without a decimal for each row
+            x = F.col(a) * signed
+        else:
+            x = F.when(signed > 0, F.col(a)).otherwise(-F.col(a)).cast(EXACT)
+        return F.coalesce(F.sum(x), F.lit(0)).cast("decimal(38,4)")
 
     sums = [F.sum(signed).alias("n"), *[total(a).alias(f"s_{a}") for a in state.amounts],
             *[F.coalesce(F.sum(F.when(F.col(c).isNotNull(), signed)), F.lit(0)).alias(f"n_{c}") for c in (*state.amounts, *state.present)]]
@@ -75,12 +80,26 @@ def merged(stored: DataFrame, state: State, by: Sequence[str]) -> DataFrame:
     return _with_content(summed, state)
 
 
+def _steps(spark: SparkSession, fact: str, since: commits.Version, now: commits.Version) -> list[commits.Version]:
+    """The versions from one to another, or only these two, without the note of what has changed, where one between is missing or
+    has other columns."""
+    between = [commits.read_version(spark, fact, n) for n in range(since.number + 1, now.number)]
+    steps = [since, *between, now]
+    if any(v is None or v.columns != now.columns for v in steps):
+        return [since, replace(now, gone=None, kept=())]
+    return steps
+
+
 def changes(spark: SparkSession, fact: str, since: commits.Version | None, now: commits.Version, sign: str = "_sign") -> DataFrame:
     """The rows that a version of the fact has and an earlier one has not, with sign 1, and the other way round with -1. Only
-    folders that are not in both are read."""
-    before = since or replace(now, folders=())
-    came = replace(now, folders=tuple(f for f in now.folders if f not in set(before.folders)))
-    gone = replace(before, folders=tuple(f for f in before.folders if f not in set(now.folders)))
+    folders that are not in both are read, and where a version says which rows it has replaced, only these rows."""
+    steps = [replace(now, folders=()), replace(now, gone=None, kept=())] if since is None else _steps(spark, fact, since, now)
+    signs: Counter[str] = Counter()
+    for before, after in zip(steps, steps[1:]):
+        old, new = set(before.folders), set(after.folders)
+        signs.update(new - old - set(after.kept))
+        signs.subtract(old - new if after.gone is None else after.gone)
+    came, gone = (replace(v, folders=tuple(sorted(f for f, n in signs.items() if n == s))) for v, s in ((now, 1), (steps[0], -1)))
     parts = [commits.read_table(spark, fact, v).withColumn(sign, F.lit(s)) for v, s in ((came, 1), (gone, -1))]
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 

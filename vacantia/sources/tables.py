@@ -6,14 +6,16 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from vacantia.operators.merge import delete_insert, known_keys, sync_schema
+from vacantia.operators.merge import delete_insert_kinds, known_keys, sync_schema
 from vacantia.schema import POSTING_SCHEMA
 from vacantia.sources import commits
 
 log = logging.getLogger(__name__)
 
+HASHED_KEYS = 1 << 22  # fixed value: rows of a batch beyond which its keys, too large for a broadcast, are hashed and not ordered
+
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
     """Write by partition columns. The rebalance gives few, even files and splits a partition value that
@@ -123,21 +125,27 @@ def append_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
 def replace_in_partitions(batch: DataFrame, path: str, key: str, by: str) -> int:
     """Delete-then-insert by key that reads and rewrites only the partitions concerned, in one step.
 
-    These are the partitions of the batch and those holding an older row of one of its keys, found from the key and partition
-    columns alone. Readers see the table before or after. Another writer's rows are not lost: if one was faster, the new
-    content is computed again from what it left. Returns the number of partitions rewritten.
+    These are the partitions of the batch and those holding an older row of one of its keys. The latter are found from the key and
+    partition columns alone, and only in partitions that the batch does not name: where it covers the table, nothing is looked up.
+    Readers see the table before or after. Another writer's rows are not lost: if one was faster, the new content is computed again
+    from what it left. Returns the number of partitions rewritten.
     """
     spark, done = batch.sparkSession, []
     names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    counted = batch.groupBy(by).count().collect()  # one row per partition
+    named, hashed = {r[0] for r in counted}, sum(r[1] for r in counted) > HASHED_KEYS
+
+    def among(values: set) -> Column:
+        listed = F.col(by).isin([v for v in values if v is not None])
+        return F.coalesce(listed, F.lit(False)) | (F.col(by).isNull() if None in values else F.lit(False))
 
     def changed(stored: DataFrame) -> tuple[DataFrame, set[str]]:
-        older = stored.select(key, by).join(known_keys(batch, key), key, "left_semi").select(by)
-        values = [r[0] for r in older.union(batch.select(by)).distinct().collect()]  # one per partition
+        elsewhere = stored.filter(~among(named)).select(key, by)
+        older = elsewhere.join(known_keys(batch, key), key, "left_semi").select(by).distinct()
+        values = named | {r[0] for r in older.collect()}  # one per partition
         done[:] = values
-        concerned = F.col(by).isin([v for v in values if v is not None])
-        if None in values:
-            concerned = concerned | F.col(by).isNull()
-        rows = delete_insert(stored.filter(concerned), batch.select(stored.columns), key)
+        kinds = (commits.KEPT, commits.NEW, commits.GONE)
+        rows = delete_insert_kinds(stored.filter(among(values)), batch.select(stored.columns), key, commits.KIND, kinds, hashed)
         return rows, {names.getPartitionPathString(by, None if v is None else str(v)) for v in values}
 
     commits.change(spark, path, changed)
