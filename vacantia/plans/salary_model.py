@@ -6,22 +6,25 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import (CountVectorizerModel, FeatureHasher, IDF, NGram, Normalizer, OneHotEncoder, RegexTokenizer,
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, FeatureHasher, IDF, NGram, Normalizer, OneHotEncoder, RegexTokenizer,
                                 StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vacantia.functions.labels import JUNIOR_WORDS, SENIOR_WORDS, TECH_WORDS, category, keyword_flag
 from vacantia.functions.salary import TARGET_RANGE, confidence, floor_prediction, monthly_target
 from vacantia.functions.text import fold_accents, search_text
-from vacantia.session import staged, use_checkpoints
+from vacantia.operators.boosting import BoostedTrees
+from vacantia.session import staged
 from vacantia.sources.tables import try_read
 
 CATEGORIES = ("pays", "type_contrat", "source", "secteur", "taille_entreprise")
@@ -111,13 +114,19 @@ class SublinearCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReada
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset):
-        damped = F.transform(vector_to_array(self.getInputCol()),
-                             lambda c: F.when(c > 0, 1 + F.log(c)).otherwise(F.lit(0.0)))
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(damped))
+        @F.arrow_udf(VectorUDT())
+        def damped(counts: pa.Array) -> pa.Array:
+            listed = counts.field("values")
+            c = listed.values.to_numpy(zero_copy_only=False)
+            values = pa.ListArray.from_arrays(listed.offsets, pa.array(np.where(c > 0, 1 + np.log(np.where(c > 0, c, 1)), 0.0)))
+            return pa.StructArray.from_arrays([counts.field("type"), counts.field("size"), counts.field("indices"), values],
+                                              ["type", "size", "indices", "values"])
+
+        return dataset.withColumn(self.getOutputCol(), damped(F.col(self.getInputCol())))
 
 
 class AddVectors(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Sum of two vectors: tf + tf * idf is tf * (idf + 1)."""
+    """Sum of two vectors. Models stored before ``SmoothIDF`` hold it."""
 
     @keyword_only
     def __init__(self, *, inputCols=None, outputCol=None):
@@ -129,6 +138,19 @@ class AddVectors(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable,
         return dataset.withColumn(self.getOutputCol(), array_to_vector(F.zip_with(a, b, lambda x, y: x + y)))
 
 
+class SmoothIDF(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """tf * (idf + 1), in vectors that stay sparse."""
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset):
+        idf = IDF(inputCol=self.getInputCol(), outputCol=self.getOutputCol()).fit(dataset).idf
+        return ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1), inputCol=self.getInputCol(), outputCol=self.getOutputCol())
+
+
 class TopTerms(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Counts of the most frequent terms. Equal frequencies are ordered by name, so the vocabulary is the same in every run."""
 
@@ -161,8 +183,7 @@ def _weight_stages(terms: int) -> list:
     return [
         TopTerms(inputCol="_terms", outputCol="_counts", size=terms),
         SublinearCounts(inputCol="_counts", outputCol="_tf"),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        AddVectors(inputCols=["_tf", "_tfidf"], outputCol="_weighted"),
+        SmoothIDF(inputCol="_tf", outputCol="_weighted"),
         Normalizer(inputCol="_weighted", outputCol="_text", p=2.0),
     ]
 
@@ -217,7 +238,6 @@ def _share(key: str, seed: int, parts: int) -> Column:
 def train(postings: DataFrame, settings: ModelSettings = ModelSettings(), key: str = "offre_id",
           max_chars: int | None = None) -> SalaryModel:
     """Fit the model and measure it on held-out rows and, with ``folds`` > 1, by cross-validation."""
-    use_checkpoints(postings.sparkSession)
     columns = [key, "_terms", *CATEGORIES, *FLAGS, TARGET]
     words = PipelineModel(_term_stages())
     features = engineer_features(postings, max_chars)
@@ -226,20 +246,19 @@ def train(postings: DataFrame, settings: ModelSettings = ModelSettings(), key: s
         F.count_if(F.col(TARGET).between(*TARGET_RANGE)).alias("usable")).first()
     if counts.usable < settings.at_least:
         raise ValueError(f"{counts.usable} rows with a usable salary, {settings.at_least} are needed")
-    # Boosting reads these rows some thousand times, so their partitions are sized for it: a level of a tree costs each of them the
-    # start of two tasks and a shuffle of its histograms. Texts are cut into words once for all splits.
+    # The features of each split take a handful of short jobs over these rows. Texts are cut into words once for all splits.
     parts = -(-counts.usable // ROWS_PER_PARTITION)
     rows = words.transform(training_rows(features).select(key, "texte", *columns[2:]).repartition(parts, key)).select(*columns).persist()
     listed = [c for c in CATEGORIES if c not in settings.hashed]
-    regressor = GBTRegressor(
-        featuresCol="_features", labelCol=TARGET, predictionCol="prediction", maxIter=settings.trees,
+    regressor = BoostedTrees(
+        featuresCol="_features", labelCol=TARGET, predictionCol="prediction", keyCol=key, maxIter=settings.trees,
         stepSize=settings.rate, maxDepth=settings.depth, minInstancesPerNode=settings.leaf,
         subsamplingRate=settings.subsample, seed=settings.seed)
 
     def fit_and_score(fit_on: Column) -> tuple[PipelineModel, dict[str, float]]:
         """Fit features and trees on some rows, score on the rest. Features are computed once for both."""
         stages = Pipeline(stages=feature_stages(settings.terms, listed, settings.hashed)).fit(rows.filter(fit_on))
-        vectors = stages.transform(rows).select("_features", TARGET, fit_on.alias("_fit")).persist()
+        vectors = stages.transform(rows).select(key, "_features", TARGET, fit_on.alias("_fit")).persist()
         try:
             trees = regressor.fit(vectors.filter("_fit"))
             scored = trees.transform(vectors.filter("NOT _fit"))
@@ -254,7 +273,7 @@ def train(postings: DataFrame, settings: ModelSettings = ModelSettings(), key: s
     if settings.folds > 1:
         splits += [_share(key, settings.seed + 1, settings.folds) != i for i in range(settings.folds)]
     try:
-        # Boosting is a chain of short jobs; the splits' chains run side by side.
+        # A split is boosted by one task, or by a chain of short jobs if its rows are many; the splits go side by side.
         with ThreadPool(len(splits)) as pool:
             fitted = pool.map(inheritable_thread_target(postings.sparkSession)(fit_and_score), splits)
     finally:
