@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator, Sequence
-from functools import cache, wraps
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vacantia.memory import give_back
 from vacantia.session import staging_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -67,22 +67,6 @@ def in_parts(texts: pa.Array, most: int) -> Iterator[pa.Array]:
     yield from (texts[a:b] for a, b in zip(cuts, cuts[1:]) if a < b)
 
 
-@cache
-def _trim() -> Callable[[int], object] | None:
-    try:
-        return ctypes.CDLL(None).malloc_trim
-    except (AttributeError, OSError):  # not this C library
-        return None
-
-
-def give_back() -> None:
-    """Hand memory that is free in this worker back to the machine. A worker outlives its task, and what its allocators keep
-    would stand beside what the next stage's workers take."""
-    pa.default_memory_pool().release_unused()
-    if trim := _trim():
-        trim(0)
-
-
 def lean(of_batch: Callable) -> Callable:
     """The same function of one batch, which gives memory back after each."""
     @wraps(of_batch)

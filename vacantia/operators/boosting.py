@@ -25,6 +25,7 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vacantia.memory import give_back
 from vacantia.session import ship_package, staged, staging_path, use_checkpoints
 
 BINS = 32
@@ -486,6 +487,8 @@ def _in_a_task(binned: DataFrame, bins: Bins, plan: Plan) -> list[dict]:
             kinds = {"int": pa.int32(), "double": pa.float64()}
             schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in NODES_SCHEMA.split(", ")])
             found = _boost(rows, bins, plan)
+            del rows
+            give_back()
             yield from pa.table({c: [r[c] for r in found] for c in names}, schema).to_batches()
 
     return binned.coalesce(1).mapInArrow(boost, NODES_SCHEMA).toArrow().to_pylist()
